@@ -7,12 +7,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD = r"(?U)[\w]+"
+# What counts as white space and as a word (letters, numbers, underscore).
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+BLANK_RUN = f"[{BLANKS}]+"
+WORD = r"[\p{L}\p{N}_]+"
 
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends (all Unicode white space, not only blanks)."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def filled(c: Column) -> Column:
@@ -45,7 +49,7 @@ def ellipsis(c: Column, n: int = 200) -> Column:
 
 def normalize(c: Column) -> Column:
     """Lower case, stripped, every run of white space as one blank."""
-    return F.regexp_replace(strip(F.lower(F.coalesce(c, F.lit("")))), r"(?U)\s+", " ")
+    return F.regexp_replace(strip(F.lower(F.coalesce(c, F.lit("")))), BLANK_RUN, " ")
 
 
 def tokens(c: Column) -> Column:
@@ -53,10 +57,6 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def whitespace_tokens(c: Column) -> Column:
-    return F.filter(F.split(F.coalesce(c, F.lit("")), r"(?U)\s+"), lambda t: t != "")
-
-
 def safe_name(c: Column) -> Column:
     """A name fit for files and tables."""
     cleaned = F.regexp_replace(c, "[^A-Za-z0-9._-]+", "_")

@@ -204,16 +204,14 @@ def chunk_rows(
     """
     check_sizes(size, overlap)
     step = size - overlap
-    placed = row_positions(df, partition_by, order_by, bucket, "row_number")
-    totals = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("total_rows"))
+    placed = row_positions(df, partition_by, order_by, bucket, "row_number", total="total_rows")
     r = F.col("row_number")
     last = last_window(F.col("total_rows"), size, overlap)
     lo = F.greatest(F.lit(0), F.ceil((r - size + 1) / F.lit(step))).cast("int")
     hi = F.least(F.floor(r / F.lit(step)).cast("int"), last)
     c = F.col("_chunk")
     return (
-        placed.join(totals, list(partition_by))
-        .withColumn("_chunk", F.explode(F.sequence(lo, hi)))
+        placed.withColumn("_chunk", F.explode(F.sequence(lo, hi)))
         .withColumn("chunk_index_in_table", c + 1)
         .withColumn("row_start", (c * step).cast("int"))
         .withColumn("row_end_exclusive", F.least((c * step + size).cast("long"), F.col("total_rows")).cast("int"))

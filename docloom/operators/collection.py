@@ -19,13 +19,13 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return existing.join(fresh.select(key), key, "left_anti").select(*existing.columns).unionByName(fresh)
 
 
-def write_delta(batch: DataFrame, path: str, batch_no: int) -> None:
-    """Store one batch under its own number; writing the same batch again changes nothing."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_no={batch_no}")
+def write_delta(batch: DataFrame, path: str, batch_no: int, run: int = 0) -> None:
+    """Store one batch under its run and number; writing the same batch again changes nothing."""
+    batch.write.mode("overwrite").parquet(f"{path}/run_no={run}/batch_no={batch_no}")
 
 
 def read_collection(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    """The current rows: for each key the last one, by batch and then by ``order``."""
+    """The current rows: for each key the last one, by run, batch and then by ``order``."""
     deltas = spark.read.parquet(path)
-    stamped = deltas.withColumn("_at", F.struct("batch_no", order))
-    return latest(stamped, key, "_at").drop("_at", "batch_no")
+    stamped = deltas.withColumn("_at", F.struct("run_no", "batch_no", order))
+    return latest(stamped, key, "_at").drop("_at", "run_no", "batch_no")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from docloom import fixed_values as V
 
 QUARTILES = (0.25, 0.5, 0.75)
-BRACKET = 1e-3
+BRACKET = 1e-4
 
 
 def attach_predictions(golden: DataFrame, predictions: DataFrame, key: str = "idx") -> DataFrame:
@@ -29,30 +31,36 @@ def numeric_means(df: DataFrame) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in numeric_columns(df)])
 
 
-def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
-    """One-row frame with the linearly interpolated quantile, exact at any size.
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Rows ``(q, value)``: linearly interpolated quantiles, exact at any size.
 
-    Sketch quantiles a little to both sides bracket the answer; values inside the
-    bracket are counted per distinct value first, so only those meet in the final
-    running count. A value shared by a third of all rows is a single row there.
+    Sketch quantiles a little to both sides bracket each answer; values are counted
+    per distinct value first, and only those inside a bracket meet in its running
+    count. A value shared by a third of all rows is a single row there.
     """
     values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
-    sides = F.array(F.lit(max(0.0, q - BRACKET)), F.lit(min(1.0, q + BRACKET)))
-    sketch = values.agg(F.percentile_approx("v", sides, F.lit(int(4 / BRACKET))).alias("b"),
-                        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    low = sketch.select(F.lit(q - BRACKET).alias("s"), "b", "lo").select(
-        F.when(F.col("s") <= 0, F.col("lo")).otherwise(F.col("b")[0])).scalar()
-    high = sketch.select(F.lit(q + BRACKET).alias("s"), "b", "hi").select(
-        F.when(F.col("s") >= 1, F.col("hi")).otherwise(F.col("b")[1])).scalar()
+    marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-BRACKET, BRACKET)]
+    sketch = values.agg(
+        F.percentile_approx("v", F.array(*[F.lit(m) for m in marks]), F.lit(int(4 / BRACKET))).alias("b"),
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    brackets = F.array(*[F.struct(
+        F.lit(q).alias("q"),
+        (F.col("lo") if q <= BRACKET else F.col("b")[2 * i]).alias("low"),
+        (F.col("hi") if q >= 1 - BRACKET else F.col("b")[2 * i + 1]).alias("high"),
+        (F.lit(q) * (F.col("n") - 1)).alias("spot")) for i, q in enumerate(qs)])
+    limits = sketch.select(brackets).scalar()
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    below = counted.where(F.col("v") < low).agg(F.coalesce(F.sum("c"), F.lit(0)))
-    spot = sketch.select(F.lit(q) * (F.col("n") - 1))
-    inside = counted.where((F.col("v") >= low) & (F.col("v") <= high)).select(
-        "v", "c", (F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy("v")) + below.scalar()).alias("upto"))
-    target = spot.scalar()
-    lower = F.min(F.when(F.col("upto") > F.floor(target), F.col("v")))
-    upper = F.min(F.when(F.col("upto") > F.ceil(target), F.col("v")))
-    return inside.agg((lower + (upper - lower) * F.first(target - F.floor(target))).alias("value"))
+    tagged = counted.select("v", "c", F.explode(limits).alias("k")).where(F.col("v") <= F.col("k.high"))
+    # Below a bracket only the count matters, so those values fold into one row each.
+    under = F.col("v") < F.col("k.low")
+    folded = tagged.groupBy("k", F.when(~under, F.col("v")).alias("v")).agg(F.sum("c").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("k").orderBy(F.asc_nulls_first("v")))
+    spot = F.col("k.spot")
+    placed = folded.select("k", "v", upto.alias("upto"))
+    lower = F.min(F.when(F.col("upto") > F.floor(spot), F.col("v")))
+    upper = F.min(F.when(F.col("upto") > F.ceil(spot), F.col("v")))
+    return placed.groupBy("k").agg(lower.alias("a"), upper.alias("z")).select(
+        F.col("k.q").alias("q"), (F.col("a") + (F.col("z") - F.col("a")) * (spot - F.floor(spot))).alias("value"))
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
@@ -61,7 +69,9 @@ def describe(df: DataFrame, col: str) -> DataFrame:
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"), F.max(col).alias("max"),
     )
-    return base.select("*", *[exact_quantile(df, col, q).scalar().alias(f"p{int(q * 100)}") for q in QUARTILES])
+    found = exact_quantiles(df, col).agg(*[
+        F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in QUARTILES])
+    return base.select("*", *[found.select(c).scalar().alias(c) for c in found.columns])
 
 
 def grounding_hits(hits: DataFrame, golden: DataFrame, query: str = "query_id") -> DataFrame:

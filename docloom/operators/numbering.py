@@ -8,42 +8,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def row_positions(
     df: DataFrame,
     partition_by: Sequence[str],
     order_by: Sequence[Column | str],
     bucket: Sequence[Column],
     out: str = "position",
+    total: str | None = None,
 ) -> DataFrame:
     """0-based position of each row within its group, safe for a group of any size.
 
-    ``bucket`` must never decrease along ``order_by``. Rows are ranked inside
-    ``(group, bucket)``, and each bucket starts where the counts of the buckets
-    before it end. So the largest sort is one bucket, not one group, and the
-    running sum covers one short row per bucket.
+    ``bucket`` must not be NULL and must never decrease along ``order_by``. Rows
+    are ranked inside ``(group, bucket)``, and each bucket starts where the counts
+    of the buckets before it end. So the largest sort is one bucket, not one group,
+    and the running sum covers one short row per bucket. The join reuses the
+    window's partitioning: the rows are shuffled once. ``total`` names an optional
+    column with the size of the group.
     """
+    # Group keys without NULLs, so that a plain equality keeps every row.
+    parts = [c for i, p in enumerate(partition_by) for c in (
+        F.isnull(p).alias(f"_m{i}"), F.coalesce(F.col(p).cast("string"), F.lit("")).alias(f"_g{i}"))]
+    groups = [f"_{kind}{i}" for i in range(len(partition_by)) for kind in ("m", "g")]
     keys = [f"_b{i}" for i in range(len(bucket))]
-    tagged = df.select("*", *[b.alias(k) for b, k in zip(bucket, keys)])
-    group = [*partition_by, *keys]
-    sizes = tagged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))
-    ).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(*group).orderBy(*order_by)
+    tagged = df.select("*", *parts, *[b.alias(k) for b, k in zip(bucket, keys)])
+    sizes = tagged.groupBy(*groups, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    before = whole.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *groups, *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        *([F.sum("_n").over(whole).alias(total)] if total else []))
+    inside = Window.partitionBy(*groups, *keys).orderBy(*order_by)
     ranked = tagged.withColumn("_rank", F.row_number().over(inside) - 1)
-    joined = ranked.join(starts, _null_safe(ranked, starts, group), "inner")
-    return joined.select(
-        *[ranked[c] for c in df.columns],
-        (F.col("_start") + F.col("_rank")).cast("long").alias(out),
-    )
+    return ranked.join(starts, [*groups, *keys]).select(
+        *df.columns, (F.col("_start") + F.col("_rank")).cast("long").alias(out), *([total] if total else []))
 
 
 def integer_bucket(key: str | Column, width: int = 65_536) -> list[Column]:
@@ -70,9 +67,8 @@ def with_global_index(chunks: DataFrame, doc: str = "doc_id", local: str = "chun
 
 def head_percent(df: DataFrame, percent: float, key: str) -> DataFrame:
     """The first ``percent`` of the rows along a unique integer key, to the nearest row."""
-    total = df.select(F.count(F.lit(1)).alias("n"))
-    keep = F.round(total.scalar() * percent / 100)
-    return row_positions(df, [], [key], integer_bucket(key), "_p").where(F.col("_p") < keep).drop("_p")
+    placed = row_positions(df, [], [key], integer_bucket(key), "_p", total="_n")
+    return placed.where(F.col("_p") < F.round(F.col("_n") * percent / 100)).drop("_p", "_n")
 
 
 def batches(df: DataFrame, size: int, key: str, seed: str) -> DataFrame:

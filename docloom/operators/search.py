@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from docloom.operators.numbering import top_k
 
@@ -118,13 +120,13 @@ def _scan_shipped(rows: list, queries, vectors, query_id, vector_id, vector, gro
                for i, s in zip(ids.tolist(), scores.tolist())]
         cols = [[r[0] for r in out]] + ([[r[1] for r in out]] if group else [])
         cols += [[r[2] for r in out], [r[3] for r in out]]
-        types = [T_to_arrow(f.dataType) for f in schema.fields]
+        types = [_arrow_type(f.dataType) for f in schema.fields]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=schema.names)
 
     return vectors.select(*columns).mapInArrow(scan, schema)
 
 
-def T_to_arrow(kind: T.DataType) -> pa.DataType:
+def _arrow_type(kind: T.DataType) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
             "string": pa.string()}[kind.simpleString()]
 
@@ -199,25 +201,23 @@ def with_payload(hits: DataFrame, table: DataFrame, key: str, bounded: bool) ->
 
 def plane_signs(planes: int, dim: int) -> list[list[int]]:
     """Random +1/-1 directions from a rule: the low bit of md5('plane:dimension')."""
-    import hashlib
-
     return [[1 if int(hashlib.md5(f"{p}:{d}".encode()).hexdigest()[:8], 16) % 2 else -1
              for d in range(dim)] for p in range(planes)]
 
 
 def band_keys(vector: Column, bands: int, bits: int, dim: int) -> Column:
     """One bucket key per band: ``band * 2^bits`` plus the sign bits of its projections."""
-    signs = plane_signs(bands * bits, dim)
-    keys = []
-    for b in range(bands):
-        key = F.lit(b << bits)
-        for j in range(bits):
-            weights = F.array(*[F.lit(float(w)) for w in signs[b * bits + j]])
-            side = F.aggregate(F.zip_with(vector, weights, lambda x, w: x.cast("double") * w),
-                               F.lit(0.0), lambda acc, x: acc + x)
-            key = key + F.when(side >= 0, F.lit(1 << j)).otherwise(F.lit(0))
-        keys.append(key)
-    return F.array(*keys)
+    planes = np.asarray(plane_signs(bands * bits, dim), dtype=np.float64)
+
+    @pandas_udf(T.ArrayType(T.IntegerType()))
+    def keys(vectors: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype=object)
+        sides = np.stack(vectors).astype(np.float64) @ planes.T >= 0
+        packed = sides.reshape(-1, bands, bits) @ (1 << np.arange(bits))
+        return pd.Series(list((packed + (np.arange(bands) << bits)).astype(np.int32)))
+
+    return keys(vector)
 
 
 def knn_lsh(

@@ -7,8 +7,8 @@ from docloom.operators import chunking, numbering
 from docloom.operators.numbering import integer_bucket
 from docloom.queries import frames
 from docloom.queries import sqltext as q
-from docloom.queries.registry import query, table
-from docloom.session import scratch_path, spread
+from docloom.queries.registry import query, table, wide
+from docloom.session import scratch_path
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 ORDER_CHUNKS = q.row_chunks("oc", "orders", "o_orderpriority", "o_orderkey", ", ".join(ORDER_COLS))
@@ -21,14 +21,13 @@ def _order_rows(spark, sf):
 
 @query("chunk_recursive")
 def chunk_recursive(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    return chunking.chunk_text(spread(docs, "doc_id"))
+    return chunking.chunk_text(wide(spark, sf, "documents", "doc_id", "source", "text"))
 
 
 @query("table_valued_chunker")
 def table_valued_chunker(spark, sf):
     chunking.register_chunker(spark)
-    spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").createOrReplaceTempView("documents_to_chunk")
+    wide(spark, sf, "documents", "doc_id", "text").createOrReplaceTempView("documents_to_chunk")
     return spark.sql("""
         SELECT d.doc_id, c.chunk_index, c.start, c.content
         FROM documents_to_chunk d, LATERAL chunk(d.text, 1200, 150) c""")

@@ -7,7 +7,7 @@ from docloom.functions import text as tx
 from docloom.operators import context, dialogue, ensemble, evaluation, measure
 from docloom.queries import frames
 from docloom.queries import sqltext as q
-from docloom.queries.registry import query, table
+from docloom.queries.registry import query, table, wide
 
 EMAIL = "Write an email.\n\nTopic: {topic}\nTone: {tone}\nAudience: {audience}\n\nEmail:"
 
@@ -30,7 +30,7 @@ SAFE = f"regexp_replace(replace({q.strip('text')}, chr(13), ''), chr(10) || '{{3
     WITH t AS (SELECT doc_id, {SAFE} AS t FROM documents)
     SELECT doc_id, substr(t, 1, 600) || CASE WHEN length(t) > 600 THEN '…' ELSE '' END AS preview FROM t""")
 def safe_preview(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.safe_preview(F.col("text")).alias("preview"))
+    return wide(spark, sf, "documents", "doc_id", "text").select("doc_id", tx.safe_preview(F.col("text")).alias("preview"))
 
 
 @query("truncate_display", """
@@ -41,7 +41,7 @@ def truncate_display(spark, sf):
 
 @query("normalize_text", f"SELECT doc_id, {q.normalized('text')} AS normalized FROM documents")
 def normalize_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
+    return wide(spark, sf, "documents", "doc_id", "text").select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
 
 
 @query("coalesce_identity", "WITH" + q.METADATA + """
@@ -90,7 +90,7 @@ def render_chunk(spark, sf):
     texts = frames.metadata(spark, sf).withColumn("modality", F.lit("text"))
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     record = F.to_json(F.struct(title.alias("summary"), F.array(F.lit("url"), F.lit("page")).alias("key_text")))
-    images = table(spark, sf, "pages").select(
+    images = wide(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").alias("row_id"), F.col("page_id").cast("string").alias("doc_id"),
         F.lit("image_vlm").alias("modality"), F.when(F.col("page_id") % 5 != 0, record).otherwise(F.col("html")).alias("content"))
     rows = ensemble.union_hits(texts, images).withColumn("retrieval_score", F.lit(None).cast("double"))
@@ -125,7 +125,7 @@ def query_filter_exit(spark, sf):
     WITH w AS (SELECT doc_id, {q.words('text')} AS w FROM documents)
     SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, ' ')) AS tokens_md5 FROM w""")
 def tokenize_words(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w")).select(
+    return wide(spark, sf, "documents", "doc_id", "text").select("doc_id", tx.tokens(F.col("text")).alias("w")).select(
         "doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", " ")).alias("tokens_md5"))
 
 
@@ -138,7 +138,7 @@ def tokenize_words(spark, sf):
     SELECT doc_id, array_to_string(list_concat(coalesce(ids, []), list_transform(range(128 - len(coalesce(ids, []))), lambda x: 0)), ' ') AS input_ids,
         len(coalesce(ids, [])) AS n_attended FROM documents LEFT JOIN s USING (doc_id)""")
 def fixed_length_sequences(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = wide(spark, sf, "documents", "doc_id", "text")
     coded = dialogue.fixed_sequences(docs, dialogue.vocabulary(docs))
     return coded.select("doc_id", F.array_join(F.transform("input_ids", lambda x: x.cast("string")), " ").alias("input_ids"),
                         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_attended"))
@@ -203,7 +203,7 @@ def discount_parse(spark, sf):
     text = (F.when(returned & (F.col("l_linenumber") == 1), price)
             .when(returned & (F.col("l_linenumber") == 2), F.concat(price, F.lit(",ten")))
             .otherwise(F.concat(price, F.lit(" , "), F.round(F.col("l_discount") * 100).cast("int"))))
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("input_text")).withColumn(
+    return wide(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag").select("l_orderkey", "l_linenumber", text.alias("input_text")).withColumn(
         "answer", tx.discount_text(F.col("input_text")))
 
 
@@ -264,7 +264,7 @@ def improvement_pct(spark, sf):
         AS accuracy FROM documents""")
 def keyword_accuracy(spark, sf):
     words = F.array(*[F.lit(w) for w in ("the", "and", "der", "que")])
-    return table(spark, sf, "documents").select("doc_id", F.round(tx.keyword_share(F.col("text"), words), 6).alias("accuracy"))
+    return wide(spark, sf, "documents", "doc_id", "text").select("doc_id", F.round(tx.keyword_share(F.col("text"), words), 6).alias("accuracy"))
 
 
 VERDICT = "'FINAL_SCORE:' || CASE WHEN event_type = 'error' THEN '' ELSE ' ' END || round(value / 10, 1)::DOUBLE"

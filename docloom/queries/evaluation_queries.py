@@ -8,7 +8,7 @@ from docloom.operators.numbering import integer_bucket
 from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.column_queries import PAIRED
-from docloom.queries.registry import query, table
+from docloom.queries.registry import query, table, wide
 
 SECTIONS = ["Executive Summary", "Problem Statement", "Proposed Solution", "Timeline"]
 
@@ -188,7 +188,7 @@ def rouge_l(spark, sf):
 def bleu4(spark, sf):
     # The hypothesis is the document with its first line moved to the end.
     moved = F.regexp_replace("text", r"(?s)\A([^\n]*)\n(.*)\z", "$2 $1")
-    return table(spark, sf, "documents").select(
+    return wide(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.round(scoring.bleu4(moved, F.col("text")), 6).alias("bleu"))
 
 

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import strip  # noqa: F401  (re-exported for query modules)
 from docloom.operators import chunking, ensemble, search
 from docloom.operators.numbering import integer_bucket
 from docloom.plans import retrieval
-from docloom.queries.registry import table
+from docloom.queries.registry import table, wide
 
 VECTOR_DIM = 64
 
@@ -34,7 +33,7 @@ def hits(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
 def metadata(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with hit metadata that is filled, empty or missing by modality."""
     n, lang, doc = F.col("n_chars"), F.col("lang"), F.col("doc_id").cast("string")
-    return table(spark, sf, "documents").select(
+    return wide(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("content"),
         F.when((lang == "en") & (n % 2 == 0), F.concat(F.lit("c"), doc)).otherwise("").alias("chunk_uid"),
         F.when(lang == "fr", F.concat(F.lit("v"), doc)).alias("vector_id"),
@@ -54,7 +53,7 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fixed_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = wide(spark, sf, "documents", "doc_id", "source", "text")
     chunks = chunking.chunk_fixed(docs)
     return chunks.withColumn("chunk_id", F.concat(F.col("doc_id"), F.lit(":"), F.col("chunk_index")))
 
@@ -69,7 +68,7 @@ def part_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 def figures(spark: SparkSession, sf: str) -> DataFrame:
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    return table(spark, sf, "pages").select(
+    return wide(spark, sf, "pages", "page_id", "url", "html").select(
         F.col("page_id").alias("doc_id"), F.concat(F.lit("figure_"), "page_id").alias("figure_id"),
         F.col("url").alias("source_image"),
         F.to_json(F.struct(F.lit("screenshot").alias("type"), title.alias("summary"))).alias("content"))
@@ -77,7 +76,7 @@ def figures(spark: SparkSession, sf: str) -> DataFrame:
 
 def collection(spark: SparkSession, sf: str) -> DataFrame:
     """Text, table and image chunks of the given tables in one collection table."""
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = wide(spark, sf, "documents", "doc_id", "source", "text")
     return ensemble.union_hits(
         retrieval.text_collection(docs, 500, 50, recursive=False),
         retrieval.table_collection(part_tables(spark, sf), "doc_id", "table_id", ["p_partkey"],

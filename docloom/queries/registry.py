@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,3 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def wide(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """Some columns of a table for heavy work per row: redistributed if the scan has too few splits."""
+    return spread(table(spark, sf_dir, name).select(key, *cols), key)

@@ -9,7 +9,7 @@ from docloom.plans import evaluation as eval_plan
 from docloom.plans import retrieval
 from docloom.queries import frames
 from docloom.queries import sqltext as q
-from docloom.queries.registry import query, table
+from docloom.queries.registry import query, table, wide
 
 CENT_SCORED = q.CENTROIDS + f""",
     s AS (SELECT query_id, vec_id, label, {q.d2('embedding', 'q')} AS score FROM cent, embeddings)"""
@@ -100,7 +100,7 @@ def fingerprint(spark, sf):
 
 
 def _text_prints(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "source", ensemble.text_fingerprint("text").alias("fingerprint"))
+    return wide(spark, sf, "documents", "doc_id", "source", "text").select("doc_id", "source", ensemble.text_fingerprint("text").alias("fingerprint"))
 
 
 @query("dedupe_keep_first", TEXT_FP + "SELECT doc_id, source, fingerprint FROM n WHERE rn = 1")
@@ -173,7 +173,7 @@ def union_modalities(spark, sf):
     SELECT doc_id, round(list_sum(list_transform(v, lambda x: x::DOUBLE)), 6) AS total,
         md5(array_to_string(list_transform(v, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',')) AS vector_md5 FROM e""")
 def embed_hashed(spark, sf):
-    vec = embed.embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    vec = embed.embed(wide(spark, sf, "documents", "doc_id", "text"), "text")
     micro = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000).cast("bigint").cast("string"))
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return vec.select("doc_id", F.round(total, 6).alias("total"), F.md5(F.array_join(micro, ",")).alias("vector_md5"))
@@ -191,7 +191,7 @@ def character_vectors(texts):
 @query("embed_udf", """
     SELECT doc_id, 32 AS dim, CASE WHEN text = '' THEN 0 ELSE 1 END::DOUBLE AS total FROM documents""")
 def embed_udf(spark, sf):
-    vec = embed.embed(table(spark, sf, "documents").select("doc_id", "text"), "text", embedder=character_vectors)
+    vec = embed.embed(wide(spark, sf, "documents", "doc_id", "text"), "text", embedder=character_vectors)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return vec.select("doc_id", F.size("embedding").alias("dim"), F.round(total, 4).alias("total"))
 

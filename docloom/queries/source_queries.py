@@ -6,7 +6,7 @@ from docloom.functions import text as tx
 from docloom.operators import dialogue, numbering
 from docloom.operators.numbering import integer_bucket
 from docloom.queries import sqltext as q
-from docloom.queries.registry import query, table
+from docloom.queries.registry import query, table, wide
 from docloom.session import scratch_path
 from docloom.sinks import writers
 from docloom.sources import documents, records
@@ -54,7 +54,7 @@ def _html_sql() -> str:
 
 @query("html_text_blocks", _html_sql())
 def html_text_blocks(spark, sf):
-    return documents.text_blocks(table(spark, sf, "pages")).withColumn("block_index", F.col("block_index").cast("long"))
+    return documents.text_blocks(wide(spark, sf, "pages", "page_id", "html")).withColumn("block_index", F.col("block_index").cast("long"))
 
 
 @query("paragraph_join", f"""
@@ -62,7 +62,7 @@ def html_text_blocks(spark, sf):
         lambda x: {q.strip('x')}), lambda x: x <> ''), chr(10) || chr(10)) AS content FROM documents)
     SELECT doc_id, content FROM p WHERE content <> ''""")
 def paragraph_join(spark, sf):
-    return documents.join_paragraphs(table(spark, sf, "documents")).select("doc_id", "content")
+    return documents.join_paragraphs(wide(spark, sf, "documents", "doc_id", "text")).select("doc_id", "content")
 
 
 @query("scan_layout_glob", """

@@ -12,7 +12,7 @@ def normalized(x: str) -> str:
 
 
 def words(x: str) -> str:
-    return rf"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}\p{{M}}_]+')"
+    return rf"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}_]+')"
 
 
 def sid(*parts: str) -> str:

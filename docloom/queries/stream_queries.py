@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docloom.operators import collection
+from docloom.operators import chunking, collection
 from docloom.plans import retrieval
 from docloom.queries import frames
 from docloom.queries import sqltext as q
@@ -39,21 +39,17 @@ def stream_queries(spark, sf):
         return retrieval.retrieve(batch, chunks, 3).select("query_id", "chunk_id", "rank", "score")
 
     jobs.answer_stream(asked, search, out, scratch_path(spark, "cp")).awaitTermination()
-    return spark.read.parquet(out).drop("batch_no")
+    return spark.read.parquet(out).drop("run_no", "batch_no")
 
 
 @query("stream_upsert", "WITH" + q.windows(500, 50) + f"""
     SELECT {q.sid('doc_id', 'source', 'chunk_index', 'content')} AS chunk_uid, doc_id, chunk_index, md5(content) AS content_md5 FROM chunks""")
 def stream_upsert(spark, sf):
-    from docloom.operators import chunking
-
     out = scratch_path(spark, "ingest")
     docs = stream(spark, sf, "documents").select("doc_id", "source", "text")
     chunks = chunking.with_chunk_uid(chunking.chunk_fixed(docs), index="chunk_index").select(
         "chunk_uid", "doc_id", "chunk_index", F.md5("content").alias("content_md5"))
     # The same input twice: the second ingest must add nothing.
-    for _ in range(2):
-        number = _
-        jobs._each_batch(chunks, lambda df, n: collection.write_delta(df, out, 2 * n + number),
-                         scratch_path(spark, "cp"), "append").awaitTermination()
+    for run in range(2):
+        jobs.ingest_stream(chunks, out, scratch_path(spark, "cp"), run).awaitTermination()
     return collection.read_collection(spark, out, "chunk_uid", "chunk_index")

@@ -19,10 +19,10 @@ CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""',
 def export_tables(df: DataFrame, out: str, doc: str = "doc_id", table: str = "table_index") -> DataFrame:
     """All tables as CSV by document and table, and as Parquet for SQL; returns index, name, rows, columns."""
     cols = [c for c in df.columns if c not in (doc, table)]
-    layout = df.write.mode("overwrite").partitionBy(doc, table)
-    layout.options(**CSV).csv(f"{out}/csv")
-    layout.parquet(f"{out}/sql")
-    counted = df.groupBy(doc, table).agg(F.count(F.lit(1)).alias("rows"))
+    df.write.mode("overwrite").partitionBy(doc, table).parquet(f"{out}/sql")
+    stored = df.sparkSession.read.schema(df.schema).parquet(f"{out}/sql")
+    stored.write.mode("overwrite").partitionBy(doc, table).options(**CSV).csv(f"{out}/csv")
+    counted = stored.groupBy(doc, table).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(doc, table, table_name(doc, table).alias("sql_table"), "rows", F.lit(len(cols)).alias("cols"))
 
 

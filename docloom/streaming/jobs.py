@@ -45,9 +45,12 @@ def answer_stream(questions: DataFrame, answer: Callable[[DataFrame], DataFrame]
     return _each_batch(questions, lambda df, n: write_delta(answer(df), out, n), checkpoint, "append")
 
 
-def ingest_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Incremental ingest: each batch lands under its number; stable ids resolve on read."""
-    return _each_batch(rows, lambda df, n: write_delta(df, out, n), checkpoint, "append")
+def ingest_stream(rows: DataFrame, out: str, checkpoint: str, run: int = 0) -> StreamingQuery:
+    """Incremental ingest: each batch lands under its number; stable ids resolve on read.
+
+    A later full re-ingest takes a higher ``run``; its rows replace equal ids.
+    """
+    return _each_batch(rows, lambda df, n: write_delta(df, out, n, run), checkpoint, "append")
 
 
 def _each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
