@@ -152,18 +152,23 @@ def chunk_fixed(
     text: str = "text",
     keep: Sequence[str] = ("doc_id", "source"),
 ) -> DataFrame:
-    """Fixed character windows with overlap, all inside generated code."""
+    """Fixed character windows with overlap.
+
+    One pass cuts the text into steps; a window is its step and the start of the
+    following ones. (Taking each window by its offset would walk the text from the
+    beginning every time, which is quadratic in long documents.)
+    """
     check_sizes(size, overlap)
     step = size - overlap
-    n = F.length(text)
-    placed = df.where(n > 0).select(
-        *keep, text, F.explode(F.sequence(F.lit(0), last_window(n, size, overlap))).alias("chunk_index")
-    )
-    start = F.col("chunk_index") * step
-    return placed.select(
-        *keep, "chunk_index", start.alias("start"),
-        F.substr(F.col(text), start + 1, F.lit(size)).alias("content"),
-    )
+    steps = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    reach = -(-size // step)
+    cut = df.where(F.length(text) > 0).select(
+        *keep, steps.alias("_steps"), last_window(F.length(text), size, overlap).alias("_last"))
+    windows = F.transform(
+        F.sequence(F.lit(0), F.col("_last")),
+        lambda c: F.substring(F.array_join(F.slice("_steps", c + 1, F.lit(reach)), ""), 1, size))
+    return cut.select(*keep, F.posexplode(windows).alias("chunk_index", "content")).select(
+        *keep, "chunk_index", (F.col("chunk_index") * step).alias("start"), "content")
 
 
 def chunk_stats(chunks: DataFrame, by: str = "source") -> DataFrame:

@@ -2,44 +2,51 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from docloom.functions import text as tx
-
 DIM = 64
+WORD = re.compile(r"\w+")  # letters, numbers, underscore: the tokens of functions.text.tokens
+
 
+class HashedEmbedder:
+    """Hashed term frequencies at unit length (all zeros for a text without tokens).
 
-def token_bucket(token: Column, dim: int = DIM) -> Column:
-    """Hash bucket of a token, from the first 32 bits of its md5."""
-    return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dim
+    A token's bucket is the first 32 bits of its md5, modulo ``dim``. Words repeat,
+    so the buckets seen are kept, up to a bound.
+    """
 
+    KEPT = 1_000_000
 
-@pandas_udf(T.ArrayType(T.FloatType()))
-def _unit_counts(buckets: pd.Series, dims: pd.Series) -> pd.Series:
-    """Bucket lists to unit-length count vectors, one numpy pass per Arrow batch."""
-    if buckets.empty:
-        return pd.Series([], dtype=object)
-    dim = int(dims.iat[0])
-    sizes = buckets.map(len).to_numpy()
-    rows = np.repeat(np.arange(len(buckets)), sizes)
-    flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets]) if rows.size else rows
-    counts = np.bincount(rows * dim + flat, minlength=len(buckets) * dim).reshape(-1, dim)
-    norm = np.sqrt((counts * counts).sum(axis=1).astype(np.float64))
-    unit = counts / np.where(norm == 0, 1.0, norm)[:, None]
-    return pd.Series(list(unit.astype(np.float32)))
+    def __init__(self, dim: int = DIM):
+        self.dim = dim
+        self.buckets: dict[str, int] = {}
 
+    def bucket(self, token: str) -> int:
+        found = self.buckets.get(token)
+        if found is None:
+            if len(self.buckets) >= self.KEPT:
+                self.buckets.clear()
+            found = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+            self.buckets[token] = found
+        return found
 
-def hashed_vector(text: Column, dim: int = DIM) -> Column:
-    """Hashed term frequencies of a text at unit length (all zeros for no token)."""
-    buckets = F.transform(tx.tokens(text), lambda t: token_bucket(t, dim))
-    return _unit_counts(buckets, F.lit(dim))
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        lists = [[self.bucket(t) for t in WORD.findall(text.lower())] for text in texts]
+        rows = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
+        flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=len(rows))
+        counts = np.bincount(rows * self.dim + flat, minlength=len(texts) * self.dim).reshape(-1, self.dim)
+        norm = np.sqrt((counts * counts).sum(axis=1).astype(np.float64))
+        return counts / np.where(norm == 0, 1.0, norm)[:, None]
 
 
 def embed(
@@ -55,13 +62,12 @@ def embed(
     Arrow batch inside the tasks; an object with an expensive set-up can do that
     on its first call, once per Python worker.
     """
-    if embedder is None:
-        return df.withColumn(out, hashed_vector(F.col(text), dim))
+    model = embedder or HashedEmbedder(dim)
 
     @pandas_udf(T.ArrayType(T.FloatType()))
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            vectors = embedder(texts.fillna("").tolist())
+            vectors = model(texts.fillna("").tolist())
             yield pd.Series(list(np.asarray(vectors, dtype=np.float32)))
 
     return df.withColumn(out, apply(F.col(text)))

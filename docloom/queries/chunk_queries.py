@@ -35,20 +35,20 @@ def table_valued_chunker(spark, sf):
 
 @query("chunk_stats", "WITH" + q.windows(500, 50) + """
     SELECT source, count(*) AS n_chunks, min(length(content)) AS min_chars, round(avg(length(content)), 6) AS avg_chars,
-        max(length(content)) AS max_chars FROM chunks GROUP BY source""")
+        max(length(content)) AS max_chars FROM chunks GROUP BY source""", ints="min_chars max_chars")
 def chunk_stats(spark, sf):
     stats = chunking.chunk_stats(frames.fixed_chunks(spark, sf))
     return stats.withColumn("avg_chars", F.round("avg_chars", 6))
 
 
-@query("chunk_fixed", "WITH" + q.windows(500, 50) + "SELECT doc_id, source, chunk_index, start, content FROM chunks")
+@query("chunk_fixed", "WITH" + q.windows(500, 50) + "SELECT doc_id, source, chunk_index, start, content FROM chunks", ints="chunk_index start")
 def chunk_fixed(spark, sf):
     return frames.fixed_chunks(spark, sf).drop("chunk_id")
 
 
 @query("table_row_chunks", "WITH" + ORDER_CHUNKS + """
     SELECT part AS o_orderpriority, o_orderkey, r AS row_number, c + 1 AS chunk_index_in_table, r0 AS row_start,
-        r1 AS row_end_exclusive, n AS total_rows FROM oc""")
+        r1 AS row_end_exclusive, n AS total_rows FROM oc""", ints="chunk_index_in_table row_start row_end_exclusive")
 def table_row_chunks(spark, sf):
     return _order_rows(spark, sf).select("o_orderpriority", "o_orderkey", "row_number", "chunk_index_in_table",
                                          "row_start", "row_end_exclusive", "total_rows")
@@ -58,7 +58,7 @@ def table_row_chunks(spark, sf):
     SELECT part AS o_orderpriority, c + 1 AS chunk_index_in_table,
         '| o_orderkey | o_custkey | o_orderstatus | o_totalprice |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
         || string_agg('| ' || o_orderkey || ' | ' || o_custkey || ' | ' || o_orderstatus || ' | ' || o_totalprice || ' |',
-                      chr(10) ORDER BY r) AS body FROM oc GROUP BY part, c""")
+                      chr(10) ORDER BY r) AS body FROM oc GROUP BY part, c""", ints="chunk_index_in_table")
 def serialize_rows_markdown(spark, sf):
     return chunking.rows_to_text(_order_rows(spark, sf), ["o_orderpriority", "chunk_index_in_table"], ORDER_COLS)
 
@@ -67,14 +67,14 @@ def serialize_rows_markdown(spark, sf):
     SELECT part AS o_orderpriority, c + 1 AS chunk_index_in_table,
         'o_orderkey,o_custkey,o_orderstatus,o_totalprice' || chr(10)
         || string_agg(o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',' || o_totalprice, chr(10) ORDER BY r)
-        AS body FROM oc GROUP BY part, c""")
+        AS body FROM oc GROUP BY part, c""", ints="chunk_index_in_table")
 def serialize_rows_csv(spark, sf):
     return chunking.rows_to_text(_order_rows(spark, sf), ["o_orderpriority", "chunk_index_in_table"], ORDER_COLS, "csv")
 
 
 @query("table_chunk_header", "WITH" + q.TABLE_CHUNKS + f"""
     SELECT table_id, c + 1 AS chunk_index_in_table, r0 AS row_start, r1 AS row_end_exclusive, n AS total_rows,
-        {q.sid("'part'", 'table_id', 'r0', 'r1', "'markdown'")} AS vector_id, content FROM tdocs""")
+        {q.sid("'part'", 'table_id', 'r0', 'r1', "'markdown'")} AS vector_id, content FROM tdocs""", ints="chunk_index_in_table row_start row_end_exclusive")
 def table_chunk_header(spark, sf):
     docs = chunking.table_documents(frames.part_tables(spark, sf), "doc_id", "table_id", ["p_partkey"],
                                     integer_bucket("p_partkey"), frames.PART_COLS)
@@ -82,7 +82,7 @@ def table_chunk_header(spark, sf):
                        "vector_id", "content")
 
 
-@query("normalize_column_names", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("normalize_column_names", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name, n_regionkey::BIGINT AS n_regionkey FROM nation")
 def normalize_column_names(spark, sf):
     out = scratch_path(spark, "headers")
     table(spark, sf, "nation").toDF(" n_nationkey", "n_name ", "  n_regionkey ").write.csv(out, header=True)
@@ -93,7 +93,7 @@ def normalize_column_names(spark, sf):
 
 @query("stable_chunk_id", "WITH" + q.windows(500, 50) + f""",
     g AS (SELECT *, row_number() OVER (ORDER BY doc_id, chunk_index) AS chunk_index_global FROM chunks)
-    SELECT doc_id, chunk_index, {q.sid('doc_id', 'source', 'chunk_index_global', 'content')} AS chunk_uid FROM g""")
+    SELECT doc_id, chunk_index, {q.sid('doc_id', 'source', 'chunk_index_global', 'content')} AS chunk_uid FROM g""", ints="chunk_index")
 def stable_chunk_id(spark, sf):
     chunks = numbering.with_global_index(frames.fixed_chunks(spark, sf).drop("chunk_id"))
     return chunking.with_chunk_uid(chunks).select("doc_id", "chunk_index", "chunk_uid")

@@ -13,7 +13,7 @@ EMAIL = "Write an email.\n\nTopic: {topic}\nTone: {tone}\nAudience: {audience}\n
 
 
 @query("tag_modality", "WITH" + q.HITS + """
-    SELECT query_id, vec_id, rank, 'text' AS modality, score AS retrieval_score FROM hits""")
+    SELECT query_id, vec_id, rank, 'text' AS modality, score AS retrieval_score FROM hits""", ints="rank")
 def tag_modality(spark, sf):
     return ensemble.tag(frames.hits(spark, sf), "text").select("query_id", "vec_id", "rank", "modality", "retrieval_score")
 

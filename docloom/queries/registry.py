@@ -14,11 +14,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, ints: str = "") -> Callable[[Query], Query]:
+    """Register a query; ``ints`` lists the columns that are INT (SQL counts in BIGINT)."""
+
     def add(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql:
-            ORACLES[name] = sql
+            narrow = ", ".join(f"{c}::INTEGER AS {c}" for c in ints.split())
+            ORACLES[name] = f"SELECT * REPLACE ({narrow}) FROM ({sql})" if ints else sql
         return fn
 
     return add

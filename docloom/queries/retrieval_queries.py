@@ -17,14 +17,14 @@ CENT_SCORED = q.CENTROIDS + f""",
 
 @query("knn_l2", "WITH" + CENT_SCORED + """
     SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank
-    FROM s QUALIFY rank <= 3""")
+    FROM s QUALIFY rank <= 3""", ints="rank")
 def knn_l2(spark, sf):
     return search.knn(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 3)
 
 
 @query("knn_collection", "WITH" + CENT_SCORED + """
     SELECT query_id, label AS collection, vec_id, score,
-        row_number() OVER (PARTITION BY query_id, label ORDER BY score, vec_id) AS rank FROM s QUALIFY rank <= 4""")
+        row_number() OVER (PARTITION BY query_id, label ORDER BY score, vec_id) AS rank FROM s QUALIFY rank <= 4""", ints="rank")
 def knn_collection(spark, sf):
     vectors = table(spark, sf, "embeddings").withColumnRenamed("label", "collection")
     return search.knn(frames.centroids(spark, sf), vectors, 4, group="collection")
@@ -46,13 +46,13 @@ def _lsh_sql(bands: int = 8, bits: int = 4, dim: int = 64) -> str:
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM s QUALIFY rank <= 3"""
 
 
-@query("knn_lsh", _lsh_sql())
+@query("knn_lsh", _lsh_sql(), ints="query_id rank")
 def knn_lsh(spark, sf):
     return search.knn_lsh(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 3)
 
 
 @query("query_candidate_pairs", "WITH" + q.HITS + """
-    SELECT query_id, rank, 'Which text of label ' || query_id || ' fits best?' AS question, md5(content) AS content_md5 FROM hits""")
+    SELECT query_id, rank, 'Which text of label ' || query_id || ' fits best?' AS question, md5(content) AS content_md5 FROM hits""", ints="rank")
 def query_candidate_pairs(spark, sf):
     asked = frames.centroids(spark, sf).select(
         "query_id", F.concat(F.lit("Which text of label "), "query_id", F.lit(" fits best?")).alias("question"))
@@ -61,7 +61,7 @@ def query_candidate_pairs(spark, sf):
 
 
 @query("retrieval_rank", "WITH" + q.HITS + f"""
-    SELECT query_id, rank, source, score AS faiss_distance, {q.preview('content')} AS preview FROM hits""")
+    SELECT query_id, rank, source, score AS faiss_distance, {q.preview('content')} AS preview FROM hits""", ints="rank")
 def retrieval_rank(spark, sf):
     return frames.hits(spark, sf).select(
         "query_id", "rank", "source", F.col("score").alias("faiss_distance"), tx.preview(F.col("content")).alias("preview"))
@@ -70,7 +70,7 @@ def retrieval_rank(spark, sf):
 @query("candidate_cut", "WITH" + CENT_SCORED + """,
     r AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM s)
     SELECT query_id, vec_id, rank, 'rerank' AS mode FROM r WHERE rank <= 10
-    UNION ALL SELECT query_id, vec_id, rank, 'plain' FROM r WHERE rank <= 3""")
+    UNION ALL SELECT query_id, vec_id, rank, 'plain' FROM r WHERE rank <= 3""", ints="rank")
 def candidate_cut(spark, sf):
     found = search.knn(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 10)
     both = [ensemble.cut(found, flag).withColumn("mode", F.lit(mode)) for flag, mode in ((True, "rerank"), (False, "plain"))]
@@ -78,7 +78,7 @@ def candidate_cut(spark, sf):
 
 
 @query("global_chunk_index", "WITH" + q.windows(500, 50) + """
-    SELECT doc_id, chunk_index, row_number() OVER (ORDER BY doc_id, chunk_index) AS chunk_index_global FROM chunks""")
+    SELECT doc_id, chunk_index, row_number() OVER (ORDER BY doc_id, chunk_index) AS chunk_index_global FROM chunks""", ints="chunk_index")
 def global_chunk_index(spark, sf):
     chunks = frames.fixed_chunks(spark, sf).select("doc_id", "chunk_index")
     return numbering.with_global_index(chunks)
@@ -113,13 +113,13 @@ def dedupe_removed(spark, sf):
     return numbering.removed_rows(_text_prints(spark, sf), ["fingerprint"], "doc_id")
 
 
-@query("ensemble_topk", "WITH" + q.ENSEMBLE + "SELECT query_id, chunk_id, modality, score AS retrieval_score, ensemble_rank FROM ens")
+@query("ensemble_topk", "WITH" + q.ENSEMBLE + "SELECT query_id, chunk_id, modality, score AS retrieval_score, ensemble_rank FROM ens", ints="ensemble_rank")
 def ensemble_topk(spark, sf):
     return frames.ensemble_hits(spark, sf).select("query_id", "chunk_id", "modality", "retrieval_score", "ensemble_rank")
 
 
 @query("rerank_topk", "WITH" + q.ENSEMBLE + """
-    SELECT query_id, chunk_id, ensemble_rank, round(rerank_score, 6) AS rerank_score, final_rank FROM reranked""")
+    SELECT query_id, chunk_id, ensemble_rank, round(rerank_score, 6) AS rerank_score, final_rank FROM reranked""", ints="ensemble_rank final_rank")
 def rerank_topk(spark, sf):
     kept = frames.ensemble_hits(spark, sf).where(~F.col("repeat"))
     final = ensemble.rerank(ensemble.pairs(frames.questions(spark, sf), kept), 7)

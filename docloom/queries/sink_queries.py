@@ -69,7 +69,7 @@ def sink_text_dump(spark, sf):
 
 @query("sink_run_dirs", "WITH" + q.HITS + f"""
     SELECT printf('q_%03d', query_id) AS q_idx, rank, source, score AS faiss_distance,
-        {q.preview('content')} AS preview FROM hits WHERE rank <= 3""")
+        {q.preview('content')} AS preview FROM hits WHERE rank <= 3""", ints="rank")
 def sink_run_dirs(spark, sf):
     base = scratch_path(spark, "runs")
     rows = frames.hits(spark, sf, 3).select(

@@ -120,7 +120,7 @@ def eval_results_scan(spark, sf):
 
 
 @query("nested_csv_scan", """
-    SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+    SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier""")
 def nested_csv_scan(spark, sf):
     out = scratch_path(spark, "nested")
     table(spark, sf, "supplier").select(

@@ -29,7 +29,7 @@ def stream_thread_memory(spark, sf):
 
 
 @query("stream_queries", QA + """
-    SELECT query_id, chunk_id, rank, score FROM top""")
+    SELECT query_id, chunk_id, rank, score FROM top""", ints="rank")
 def stream_queries(spark, sf):
     out = scratch_path(spark, "answers")
     asked = stream(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
@@ -43,7 +43,7 @@ def stream_queries(spark, sf):
 
 
 @query("stream_upsert", "WITH" + q.windows(500, 50) + f"""
-    SELECT {q.sid('doc_id', 'source', 'chunk_index', 'content')} AS chunk_uid, doc_id, chunk_index, md5(content) AS content_md5 FROM chunks""")
+    SELECT {q.sid('doc_id', 'source', 'chunk_index', 'content')} AS chunk_uid, doc_id, chunk_index, md5(content) AS content_md5 FROM chunks""", ints="chunk_index")
 def stream_upsert(spark, sf):
     out = scratch_path(spark, "ingest")
     docs = stream(spark, sf, "documents").select("doc_id", "source", "text")
