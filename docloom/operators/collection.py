@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +20,38 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return existing.join(fresh.select(key), key, "left_anti").select(*existing.columns).unionByName(fresh)
 
 
+def write_base(rows: DataFrame, path: str, *partition_by: str) -> None:
+    """First load of a collection; its keys are unique by construction (stable ids)."""
+    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path}/base")
+
+
 def write_delta(batch: DataFrame, path: str, batch_no: int, run: int = 0) -> None:
-    """Store one batch under its run and number; writing the same batch again changes nothing."""
-    batch.write.mode("overwrite").parquet(f"{path}/run_no={run}/batch_no={batch_no}")
+    """Store one later batch under its run and number; writing it again changes nothing."""
+    batch.write.mode("overwrite").parquet(f"{path}/delta/run_no={run}/batch_no={batch_no}")
 
 
 def read_collection(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    """The current rows: for each key the last one, by run, batch and then by ``order``."""
-    deltas = spark.read.parquet(path)
+    """The current rows: the base, with the rows of later batches in place of equal keys.
+
+    Within the batches the last row wins, by run, batch and then ``order``. Only
+    the batches are grouped; the base is read as it lies, less the keys replaced.
+    """
+    base, deltas = _stored(spark, f"{path}/base"), _stored(spark, f"{path}/delta")
+    if deltas is None:
+        if base is None:
+            raise ValueError(f"no collection at {path}")
+        return base
     stamped = deltas.withColumn("_at", F.struct("run_no", "batch_no", order))
-    return latest(stamped, key, "_at").drop("_at", "run_no", "batch_no")
+    fresh = latest(stamped, key, "_at").drop("_at", "run_no", "batch_no")
+    if base is None:
+        return fresh
+    return base.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

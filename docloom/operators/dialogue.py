@@ -12,6 +12,7 @@ from docloom.functions import text as tx
 from docloom.operators.numbering import integer_bucket, row_positions
 
 BLOCK = 256
+FREQUENT = 10_000  # word ids below this are broadcast
 
 
 def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK) -> DataFrame:
@@ -76,12 +77,22 @@ def vocabulary(df: DataFrame, text: str = "text", reserved: int = 2) -> DataFram
 
 def fixed_sequences(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
                     max_len: int = V.MAX_SEQUENCE) -> DataFrame:
-    """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1."""
+    """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1.
+
+    The most frequent words (a fixed number of them) are looked up by broadcast.
+    Only the others need the shuffled lookup, and the rows already done are dealt
+    evenly over it, so no frequent word makes a hot partition.
+    """
     head = F.slice(tx.tokens(F.col(text)), 1, max_len)
     placed = df.select(key, F.posexplode_outer(head).alias("at", "word"))
-    coded = placed.join(vocab.select("word", "word_id"), "word", "left")
+    frequent = F.broadcast(vocab.where(F.col("word_id") < FREQUENT).select("word", F.col("word_id").alias("_near")))
+    rare = vocab.where(F.col("word_id") >= FREQUENT).select(F.col("word").alias("_probe"), F.col("word_id").alias("_far"))
+    done = F.col("_near").isNotNull() | F.col("word").isNull()
+    dealt = F.concat(F.lit(" "), F.pmod(F.xxhash64(key, "at"), F.lit(4_096)))
+    coded = placed.join(frequent, "word", "left").withColumn(
+        "_probe", F.when(done, dealt).otherwise(F.col("word"))).join(rare, "_probe", "left")
     ids = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct(
-        "at", F.coalesce("word_id", F.lit(1)).alias("id")))))
+        "at", F.coalesce("_near", "_far", F.lit(1)).alias("id")))))
     ids = F.transform(ids, lambda x: x["id"])
     pad = F.lit(max_len) - F.size("ids")
     return coded.groupBy(key).agg(ids.alias("ids")).select(

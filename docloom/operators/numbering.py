@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_positions(
@@ -30,7 +31,11 @@ def row_positions(
         F.isnull(p).alias(f"_m{i}"), F.coalesce(F.col(p).cast("string"), F.lit("")).alias(f"_g{i}"))]
     groups = [f"_{kind}{i}" for i in range(len(partition_by)) for kind in ("m", "g")]
     keys = [f"_b{i}" for i in range(len(bucket))]
-    tagged = df.select("*", *parts, *[b.alias(k) for b, k in zip(bucket, keys)])
+    # A declared default keeps the join from adding a NULL filter to one side only,
+    # which would stop Spark from reusing an exchange the two sides share.
+    kinds = [f.dataType for f in df.select(*bucket).schema.fields]
+    solid = [F.coalesce(b, F.lit("") if isinstance(t, T.StringType) else F.lit(0).cast(t)) for b, t in zip(bucket, kinds)]
+    tagged = df.select("*", *parts, *[b.alias(k) for b, k in zip(solid, keys)])
     sizes = tagged.groupBy(*groups, *keys).agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     before = whole.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -104,16 +109,15 @@ def top_k(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column
 
 
 def keep_first(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """The first row of each group along a unique order column."""
-    return df.join(_firsts(df, group, order), order, "left_semi")
+    """The first row of each group along a unique order column; one pass, one shuffle."""
+    return top_k(df, group, [order], 1, "_first").drop("_first")
 
 
 def removed_rows(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """The rows :func:`keep_first` drops."""
-    return df.join(_firsts(df, group, order), order, "left_anti")
+    """The rows :func:`keep_first` drops.
 
-
-def _firsts(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    # min() combines on the map side, and the join runs on the unique order
-    # column, so a group of copies of any size never meets in one task.
-    return df.groupBy(*group).agg(F.min(order).alias(order)).select(order)
+    min() combines on the map side, and the join runs on the unique order column,
+    so a group of copies of any size never meets in one task.
+    """
+    firsts = df.groupBy(*group).agg(F.min(order).alias(order)).select(order)
+    return df.join(firsts, order, "left_anti")

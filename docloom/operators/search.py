@@ -131,6 +131,10 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
             "string": pa.string()}[kind.simpleString()]
 
 
+def _cells(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
 def _scan_grid(queries, vectors, query_id, vector_id, vector, group, k) -> DataFrame:
     """Many queries: tile the (queries x vectors) work into cells of bounded size.
 
@@ -144,12 +148,12 @@ def _scan_grid(queries, vectors, query_id, vector_id, vector, group, k) -> DataF
     left = queries.select(
         F.col(query_id), F.col(vector).alias("_qv"),
         F.pmod(F.xxhash64(query_id), F.lit(n_rows)).alias("_row"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).cast("long").alias("_col"),
+        F.explode(_cells(n_cols)).alias("_col"),
     )
     right = vectors.select(
         F.col(vector_id), F.col(vector).alias("_vv"), *([F.col(group)] if group else []),
         F.pmod(F.xxhash64(vector_id), F.lit(n_cols)).alias("_col"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).cast("long").alias("_row"),
+        F.explode(_cells(n_rows)).alias("_row"),
     )
 
     def cell(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:

@@ -27,7 +27,7 @@ def retrieve(questions: DataFrame, chunks: DataFrame, k: int, chunk_id: str = "c
     payload = chunks.drop("embedding")
     if group:
         payload = payload.drop(group)
-    return search.with_payload(hits, payload, chunk_id, bounded=shipped is not None)
+    return search.with_payload(hits, payload, chunk_id, bounded=shipped is not None and group is None)
 
 
 def answer_questions(questions: DataFrame, chunks: DataFrame, k: int = V.TOP_K,

@@ -7,6 +7,7 @@ from docloom.functions import text as tx
 from docloom.operators import context, dialogue, ensemble, evaluation, measure
 from docloom.queries import frames
 from docloom.queries import sqltext as q
+from docloom.session import scratch_path
 from docloom.queries.registry import query, table, wide
 
 EMAIL = "Write an email.\n\nTopic: {topic}\nTone: {tone}\nAudience: {audience}\n\nEmail:"
@@ -139,7 +140,9 @@ def tokenize_words(spark, sf):
         len(coalesce(ids, [])) AS n_attended FROM documents LEFT JOIN s USING (doc_id)""")
 def fixed_length_sequences(spark, sf):
     docs = wide(spark, sf, "documents", "doc_id", "text")
-    coded = dialogue.fixed_sequences(docs, dialogue.vocabulary(docs))
+    stored = scratch_path(spark, "vocabulary")
+    dialogue.vocabulary(docs).write.parquet(stored)
+    coded = dialogue.fixed_sequences(docs, spark.read.parquet(stored))
     return coded.select("doc_id", F.array_join(F.transform("input_ids", lambda x: x.cast("string")), " ").alias("input_ids"),
                         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_attended"))
 

@@ -152,21 +152,8 @@ def _turn_pairs(spark, sf):
     return turns.withColumnRenamed("text", "prediction").join(earlier, ["conv_id", "turn"])
 
 
-LCS_SQL = f"""
-    WITH RECURSIVE {TURNS.strip()},
-    dp AS (
-      SELECT conv_id, turn, p, r, 0 AS i, list_transform(range(len(r) + 1), lambda j: 0) AS row FROM pr
-      UNION ALL
-      SELECT conv_id, turn, p, r, i + 1, list_reduce(list_transform(range(len(r)), lambda j: [
-            CASE WHEN p[i + 1] = r[j + 1] THEN row[j + 1] + 1 ELSE row[j + 2] END]),
-          lambda acc, c: list_append(acc, greatest(acc[len(acc)], c[1])), [0]) AS row
-      FROM dp WHERE i < len(p)),
-    l AS (SELECT conv_id, turn, len(p)::DOUBLE AS np, len(r)::DOUBLE AS nr, row[len(row)]::DOUBLE AS lcs FROM dp WHERE i = len(p))
-    SELECT conv_id, turn, round(CASE WHEN lcs = 0 OR np = 0 OR nr = 0 THEN 0
-        ELSE 2 * (lcs / np) * (lcs / nr) / (lcs / np + lcs / nr) END, 6) AS rouge_l FROM l"""
-
-
-@query("rouge_l", LCS_SQL)
+@query("rouge_l", f"WITH RECURSIVE{TURNS}," + q.lcs("pr", "conv_id, turn") + """
+    SELECT conv_id, turn, rouge AS rouge_l FROM scored""")
 def rouge_l(spark, sf):
     return _turn_pairs(spark, sf).select(
         "conv_id", "turn", F.round(scoring.rouge_l(F.col("prediction"), F.col("reference")), 6).alias("rouge_l"))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from docloom.operators import chunking, ensemble, search
 from docloom.operators.numbering import integer_bucket
-from docloom.plans import retrieval
+from docloom.plans import ingest, retrieval
 from docloom.queries.registry import table, wide
+from docloom.session import scratch_path
 
 VECTOR_DIM = 64
 
@@ -75,15 +76,27 @@ def figures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collection(spark: SparkSession, sf: str) -> DataFrame:
-    """Text, table and image chunks of the given tables in one collection table."""
+    """Text, table and image chunks of the given tables as one frame."""
+    return ensemble.union_hits(*modalities(spark, sf))
+
+
+def modalities(spark: SparkSession, sf: str) -> list[DataFrame]:
     docs = wide(spark, sf, "documents", "doc_id", "source", "text")
-    return ensemble.union_hits(
+    return [
         retrieval.text_collection(docs, 500, 50, recursive=False),
         retrieval.table_collection(part_tables(spark, sf), "doc_id", "table_id", ["p_partkey"],
                                    integer_bucket("p_partkey"), PART_COLS),
         retrieval.image_collection(figures(spark, sf), "v1"),
-    )
+    ]
+
+
+def stored_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """The same chunks after an ingest: embedded, written and read back."""
+    path = scratch_path(spark, "collection")
+    ingest.store(path, *modalities(spark, sf))
+    return ingest.open_collection(spark, path)
 
 
-def ensemble_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.ensemble_hits(questions(spark, sf), collection(spark, sf))
+def ensemble_hits(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
+    rows = stored_collection(spark, sf) if stored else collection(spark, sf)
+    return retrieval.ensemble_hits(questions(spark, sf), rows)

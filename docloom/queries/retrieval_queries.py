@@ -196,14 +196,10 @@ def embed_udf(spark, sf):
     return vec.select("doc_id", F.size("embedding").alias("dim"), F.round(total, 4).alias("total"))
 
 
-ANSWER = f"""
-    WITH a AS (SELECT i.item_id, i.text AS question, d.text AS context FROM benchmark i JOIN documents d ON d.doc_id = i.item_id),
-    s AS (SELECT item_id, question, unnest(l) AS sentence, generate_subscripts(l, 1) AS pos FROM (
-        SELECT item_id, question, list_filter(list_transform(string_split(regexp_replace(context, '([.!?])\\s+|\\n+', '\\1' || chr(1), 'g'), chr(1)),
-            lambda x: {q.strip('x')}), lambda x: x <> '') AS l FROM a)),
-    r AS (SELECT item_id, sentence, pos, len(list_intersect(list_distinct({q.words('question')}), {q.words('sentence')})) AS hits FROM s)
-    SELECT a.item_id, coalesce((SELECT arg_min(sentence, (-hits, pos)) FROM r WHERE r.item_id = a.item_id AND hits > 0),
-        'I don''t have enough information in the provided documents.') AS prediction FROM a"""
+ANSWER = """
+    WITH asked AS (SELECT i.item_id, i.text AS question, d.text AS context FROM benchmark i JOIN documents d ON d.doc_id = i.item_id),
+    """ + q.best_sentence("asked", "item_id") + """
+    SELECT item_id, prediction FROM best"""
 
 
 @query("answer_extractive", ANSWER)
@@ -218,7 +214,11 @@ def shared_letters(queries, contents):
     return [len(set(a) & set(b)) / max(1, len(set(a))) for a, b in zip(queries, contents)]
 
 
-@query("rerank_scorer_slot")
+@query("rerank_scorer_slot", "WITH" + q.HITS + """,
+    c AS (SELECT *, list_distinct(string_split(lang, '')) AS a, list_distinct(string_split(content, '')) AS b FROM hits),
+    s AS (SELECT query_id, vec_id, rank, len(list_intersect(a, b)) / len(a)::DOUBLE AS rerank_score FROM c)
+    SELECT query_id, vec_id, rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank) AS final_rank
+    FROM s QUALIFY final_rank <= 3""", ints="final_rank")
 def rerank_scorer_slot(spark, sf):
     hits = frames.hits(spark, sf).withColumn("question", F.col("lang"))
     return ensemble.rerank(hits, 3, prior="rank", scorer=ensemble.pair_scorer(shared_letters)).select(
@@ -240,7 +240,22 @@ def answer_questions(spark, sf):
         "query_id", "question", "context")
 
 
-@query("evaluate_questions")
+EVALUATED = "WITH RECURSIVE" + QA.removeprefix("WITH") + """,
+    asked AS (SELECT t.query_id, b.text AS question, string_agg('[Source: ' || c.source || ']' || chr(10) || c.content,
+        chr(10) || chr(10) ORDER BY rank) AS context, string_agg(c.source, ' | ' ORDER BY rank) AS sources,
+        string_agg(c.content, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS contexts_joined
+      FROM top t JOIN ck c USING (chunk_id) JOIN benchmark b ON b.item_id = t.query_id GROUP BY t.query_id, b.text),
+    """ + q.best_sentence("asked", "query_id") + f""",
+    pr AS (SELECT query_id, {q.words('prediction')} AS p, {q.words('question')} AS r, {q.words('contexts_joined')} AS c
+      FROM best JOIN asked USING (query_id)),
+    """ + q.lcs("pr", "query_id") + """
+    SELECT query_id, prediction, rouge AS rougeL_f1, sources,
+        round(coalesce(len(list_intersect(list_distinct(r), c)) / nullif(len(list_distinct(r)), 0), 0), 6) AS reference_support,
+        round(coalesce(len(list_intersect(list_distinct(p), c)) / nullif(len(list_distinct(p)), 0), 0), 6) AS answer_support
+    FROM asked JOIN best USING (query_id) JOIN pr USING (query_id) JOIN scored USING (query_id)"""
+
+
+@query("evaluate_questions", EVALUATED)
 def evaluate_questions(spark, sf):
     golden = frames.questions(spark, sf).withColumn("ground_truth", F.col("question"))
     results = eval_plan.evaluate(golden, frames.fixed_chunks(spark, sf))

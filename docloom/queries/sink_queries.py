@@ -116,7 +116,7 @@ def sink_sidecar_json(spark, sf):
         'Token counts not available from this call path.' AS chat_note FROM ehits GROUP BY query_id""")
 def sink_trace(spark, sf):
     out = scratch_path(spark, "trace")
-    hits = frames.ensemble_hits(spark, sf)
+    hits = frames.ensemble_hits(spark, sf, stored=True)
     # Distances stand in for stage seconds: the tables hold no clock readings per question.
     both = measure.trace_counts(hits)
     timings = hits.groupBy("query_id").agg(F.sum("retrieval_score").alias("retrieval"))

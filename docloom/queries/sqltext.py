@@ -69,6 +69,38 @@ def row_chunks(name: str, table: str, part: str, order: str, cols: str, size: in
       FROM {name}_g g JOIN {name}_p p ON p.part = g.part AND p.r >= g.c * {step} AND p.r < g.c * {step} + {size})"""
 
 
+def best_sentence(source: str, key: str) -> str:
+    """CTEs ending in ``best(key, prediction)`` over ``source(key, question, context)``."""
+    return f"""
+    sent AS (SELECT {key}, question, unnest(l) AS sentence, generate_subscripts(l, 1) AS pos FROM (
+        SELECT {key}, question, list_filter(list_transform(string_split(
+            regexp_replace(context, '([.!?])\\s+|\\n+', '\\1' || chr(1), 'g'), chr(1)),
+            lambda x: {strip('x')}), lambda x: x <> '') AS l FROM {source})),
+    rated AS (SELECT {key}, sentence, pos,
+        len(list_intersect(list_distinct({words('question')}), {words('sentence')})) AS hits FROM sent),
+    best AS (SELECT a.{key}, coalesce(
+        (SELECT arg_min(sentence, (-hits, pos)) FROM rated r WHERE r.{key} = a.{key} AND hits > 0),
+        'I don''t have enough information in the provided documents.') AS prediction FROM {source} a)"""
+
+
+def lcs(pairs: str, key: str) -> str:
+    """Recursive CTEs ending in ``scored(key, rouge)`` over ``pairs(key, p, r)`` of token lists.
+
+    One row of the dynamic programme per token of p.
+    """
+    return f"""
+    dp AS (
+      SELECT {key}, p, r, 0 AS i, list_transform(range(len(r) + 1), lambda j: 0) AS row FROM {pairs}
+      UNION ALL
+      SELECT {key}, p, r, i + 1, list_reduce(list_transform(range(len(r)), lambda j: [
+            CASE WHEN p[i + 1] = r[j + 1] THEN row[j + 1] + 1 ELSE row[j + 2] END]),
+          lambda acc, c: list_append(acc, greatest(acc[len(acc)], c[1])), [0]) AS row
+      FROM dp WHERE i < len(p)),
+    scored AS (SELECT {key}, round(CASE WHEN lcs = 0 OR np = 0 OR nr = 0 THEN 0
+        ELSE 2 * (lcs / np) * (lcs / nr) / (lcs / np + lcs / nr) END, 6) AS rouge
+      FROM (SELECT {key}, len(p)::DOUBLE AS np, len(r)::DOUBLE AS nr, row[len(row)]::DOUBLE AS lcs FROM dp WHERE i = len(p)))"""
+
+
 CENTROIDS = """
     cent AS (SELECT label AS query_id, list(m ORDER BY d) AS q FROM (
       SELECT label, d, avg(embedding[d]::DOUBLE) AS m FROM embeddings, range(1, 65) r(d) GROUP BY label, d)

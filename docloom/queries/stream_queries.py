@@ -39,7 +39,7 @@ def stream_queries(spark, sf):
         return retrieval.retrieve(batch, chunks, 3).select("query_id", "chunk_id", "rank", "score")
 
     jobs.answer_stream(asked, search, out, scratch_path(spark, "cp")).awaitTermination()
-    return spark.read.parquet(out).drop("run_no", "batch_no")
+    return spark.read.parquet(f"{out}/delta").drop("run_no", "batch_no")
 
 
 @query("stream_upsert", "WITH" + q.windows(500, 50) + f"""
