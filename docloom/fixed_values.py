@@ -27,9 +27,9 @@ IMAGE_MIME = {
     ".webp": "image/webp",
 }
 LAYOUTS = {
-    "tables": ["*/tables/*.csv"],
-    "text": ["*/text/*.docx"],
-    "images": ["*/images/*.png", "*/images/*.jpg", "*/images/*.jpeg", "*/images/*.webp"],
+    "tables": "*/tables/*.csv",
+    "text": "*/text/*.docx",
+    "images": "*/images/*.{png,jpg,jpeg,webp}",
 }
 
 # Joiners and markers.

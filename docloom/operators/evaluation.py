@@ -50,11 +50,13 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = QUARTILES) ->
         (F.lit(q) * (F.col("n") - 1)).alias("spot")) for i, q in enumerate(qs)])
     limits = sketch.select(brackets).scalar()
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    tagged = counted.select("v", "c", F.explode(limits).alias("k")).where(F.col("v") <= F.col("k.high"))
-    # Below a bracket only the count matters, so those values fold into one row each.
-    under = F.col("v") < F.col("k.low")
-    folded = tagged.groupBy("k", F.when(~under, F.col("v")).alias("v")).agg(F.sum("c").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("k").orderBy(F.asc_nulls_first("v")))
+    # Outside a bracket only the count and the value next to it matter: one row per side.
+    side = F.when(F.col("v") < F.col("k.low"), -1).when(F.col("v") > F.col("k.high"), 1).otherwise(0)
+    tagged = counted.select("v", "c", F.explode(limits).alias("k")).withColumn("side", side)
+    folded = tagged.groupBy("k", "side", F.when(F.col("side") == 0, F.col("v")).alias("own")).agg(
+        F.sum("c").alias("c"),
+        F.when(F.col("side") < 0, F.max("v")).otherwise(F.min("v")).alias("v"))
+    upto = F.sum("c").over(Window.partitionBy("k").orderBy("v"))
     spot = F.col("k.spot")
     placed = folded.select("k", "v", upto.alias("upto"))
     lower = F.min(F.when(F.col("upto") > F.floor(spot), F.col("v")))

@@ -71,7 +71,7 @@ def scan_layout_glob(spark, sf):
     root = scratch_path(spark, "layout")
     docs = table(spark, sf, "documents").select("text", "lang")
     docs.write.partitionBy("lang").text(root)
-    found = documents.scan_layout(spark, root, ["*/*.txt"])
+    found = documents.scan_layout(spark, root, "*/*.txt")
     folder = F.regexp_extract("path", r"lang=([^/]+)/", 1)
     return found.groupBy(folder.alias("folder")).agg(F.sum("length").alias("n_bytes"))
 

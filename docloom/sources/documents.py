@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators.ensemble import union_hits
-from docloom.operators.numbering import row_positions
+from docloom.operators.numbering import limit_sorted, row_positions
 
 
 def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt", ".csv"),
@@ -36,8 +37,8 @@ def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".
             else:
                 found = reader.text(path, wholetext=True).select(
                     F.col("value").alias("content"), F.col("_metadata.file_name").alias("source"))
-        except Exception as problem:  # nothing with this suffix: no schema to infer
-            if "UNABLE_TO_INFER_SCHEMA" not in str(problem):
+        except AnalysisException as problem:  # nothing with this suffix: no schema to infer
+            if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             continue
         frames.append(found)
@@ -68,11 +69,15 @@ def join_paragraphs(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("content", tx.paragraphs_joined(F.col(text))).where(F.col("content") != "")
 
 
-def scan_layout(spark: SparkSession, root: str, patterns: Sequence[str], cap: int | None = None) -> DataFrame:
-    """Distinct files of a folder layout in path order; contents are only read if asked for."""
-    found = union_hits(*[spark.read.format("binaryFile").load(f"{root}/{p}") for p in patterns])
-    listed = found.select("path", "length").distinct().orderBy("path")
-    return listed if cap is None else listed.limit(cap)
+def scan_layout(spark: SparkSession, root: str, pattern: str, cap: int | None = None) -> DataFrame:
+    """Distinct files of a folder layout in path order; contents are not read."""
+    try:
+        found = spark.read.format("binaryFile").load(f"{root}/{pattern}")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(f"no files found under {root}; expected {pattern}") from problem
+        raise
+    return limit_sorted(found.select("path", "length").distinct(), ["path"], cap)
 
 
 def with_path_ids(df: DataFrame, path: str = "path") -> DataFrame:
