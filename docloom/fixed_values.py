@@ -46,6 +46,47 @@ RUBRIC_FLOOR = 6.0
 FALLBACK_BASIC = "I don't know based on the provided context."
 FALLBACK_EVAL = "I don't have enough information in the provided documents."
 
+# Prompts; {context} and {question} are filled in.
+PROMPTS = {
+    "context_first": (
+        "\nAnswer the question using ONLY the context below.\n"
+        "If the context does not contain the answer, say:\n"
+        f'"{FALLBACK_BASIC}"\n\n'
+        "Context:\n{context}\n\nQuestion:\n{question}\n\nAnswer:\n"
+    ),
+    "question_first": (
+        "\nAnswer the question using ONLY the context below.\n"
+        f'If the answer is not in the context, say: "{FALLBACK_EVAL}"\n\n'
+        "Question:\n{question}\n\nContext:\n{context}\n\nAnswer:\n"
+    ),
+    "cited": (
+        "You are answering using multimodal company knowledge.\n\n"
+        "Context (mixed text, tables, OCR, diagrams):\n{context}\n\n"
+        "Question: {question}\n\nAnswer clearly and cite sources by [index]."
+    ),
+    "plain": "{question}",
+}
+
+# Headers of contexts, rendered chunks, dumps and table chunks.
+CONTEXT_HEADERS = {
+    "numbered": "[Context {rank}]",
+    "source": "[Source: {source}]",
+    "index": (
+        "[{rank}] chunk_id={chunk_id} | modality={modality} | doc_id={doc_id} | source={hint} | "
+        "score={score} | rerank={rerank}"
+    ),
+}
+CHUNK_HEADER = "chunk_id={chunk_id} | modality={modality} | doc_id={doc_id} | score={score}"
+DUMP_HEADER = "[{rank}] source={source} | faiss_distance={distance} | rerank={rerank}"
+TABLE_HEADER = (
+    "TABLE CHUNK\ndoc_id: {doc_id}\ntable_id: {table_id}\nrows: {first}..{last} (total_rows={total})\n"
+    "columns: {columns}\n---\n"
+)
+
+# Discount answers.
+DISCOUNT_RESULT = "Final price after {percent}% discount is {price}"
+DISCOUNT_ERROR = "Invalid input. Use 'price,discount'."
+
 # Cost notes and unit costs per 1000 tokens (input, output); None = not configured.
 NOTE_NO_TOKENS = "Token counts not available from this call path."
 NOTE_NO_RATE = {

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,31 +27,45 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     return len(b) - row.bit_count()
 
 
-@pandas_udf(T.LongType())
-def _lcs(pred: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([common_subsequence(list(p), list(r)) for p, r in zip(pred, ref)], dtype="int64")
+def f1(precision: float, recall: float) -> float:
+    return 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+
+
+@pandas_udf(T.DoubleType())
+def _rouge_l(pred: pd.Series, ref: pd.Series) -> pd.Series:
+    scores = []
+    for p, r in zip(pred.fillna("").str.lower(), ref.fillna("").str.lower()):
+        p, r = tx.PYTHON_WORD.findall(p), tx.PYTHON_WORD.findall(r)
+        lcs = common_subsequence(p, r)
+        scores.append(f1(lcs / len(p), lcs / len(r)) if p and r else 0.0)
+    return pd.Series(scores, dtype="float64")
 
 
 def rouge_l(pred: Column, ref: Column) -> Column:
     """LCS-based F1 over word tokens; 0 when a side is empty or nothing is shared."""
-    p, r = tx.tokens(pred), tx.tokens(ref)
-    lcs = _lcs(p, r).cast("double")
-    return f1(lcs / F.nullif(F.size(p), F.lit(0)), lcs / F.nullif(F.size(r), F.lit(0)))
+    return _rouge_l(pred, ref)
 
 
-def f1(precision: Column, recall: Column) -> Column:
-    return F.coalesce(F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)), F.lit(0.0))
+TINY = 2.2250738585072014e-308  # smallest normal double: stands in for a zero precision
 
 
-TINY = 2.2250738585072014e-308  # smallest normal double: stands in for a zero precision
+def clipped_matches(hyp: np.ndarray, ref: np.ndarray) -> int:
+    """Sum over the distinct codes of the smaller of their counts."""
+    codes = int(max(hyp.max(initial=-1), ref.max(initial=-1))) + 1
+    return int(np.minimum(np.bincount(hyp, minlength=codes), np.bincount(ref, minlength=codes)).sum())
 
 
 def bleu_of(hyp: list[str], ref: list[str], order: int = 4) -> float:
-    logs = 0.0
+    known: dict[str, int] = {}
+    words = [np.fromiter((known.setdefault(w, len(known)) for w in side), dtype=np.int64) for side in (hyp, ref)]
+    grams, logs = words, 0.0
     for n in range(1, order + 1):
-        have = Counter(zip(*[hyp[i:] for i in range(n)]))
-        want = Counter(zip(*[ref[i:] for i in range(n)]))
-        matched = (have & want).total()
+        if n > 1:
+            # An n-gram is its (n-1)-gram and one more word; dense codes keep the numbers small.
+            longer = [g[:-1] * len(known) + w[n - 1:] for g, w in zip(grams, words)]
+            dense = np.unique(np.concatenate(longer), return_inverse=True)[1]
+            grams = [dense[: len(longer[0])], dense[len(longer[0]):]]
+        matched = clipped_matches(*grams)
         if n == 1 and not matched:
             return 0.0
         ratio = matched / max(1, len(hyp) - n + 1)
@@ -62,7 +76,8 @@ def bleu_of(hyp: list[str], ref: list[str], order: int = 4) -> float:
 
 @pandas_udf(T.DoubleType())
 def _bleu(hyp: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([bleu_of(h.split(), r.split()) for h, r in zip(hyp.fillna(""), ref.fillna(""))], dtype="float64")
+    pairs = zip(hyp.fillna(""), ref.fillna(""))
+    return pd.Series([bleu_of(h.split(), r.split()) for h, r in pairs], dtype="float64")
 
 
 def bleu4(hyp: Column, ref: Column) -> Column:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom import fixed_values as V
+
 # What counts as white space and as a word (letters, numbers, underscore).
 BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
           "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 BLANK_RUN = f"[{BLANKS}]+"
 WORD = r"[\p{L}\p{N}_]+"
+PYTHON_WORD = re.compile(r"\w+")  # the same words, for kernels that run in Python
 
 
 def strip(c: Column) -> Column:
@@ -96,7 +100,7 @@ def data_url(path: Column, content: Column, mime: dict[str, str]) -> Column:
         list(mime.items())[1:],
         F.when(ext == next(iter(mime)), F.lit(next(iter(mime.values())))),
     ).otherwise(F.raise_error(F.concat(F.lit("unsupported image type: "), ext)))
-    payload = F.translate(F.base64(content), "\r\n", "")
+    payload = F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))  # Spark breaks lines at 76
     return F.concat(F.lit("data:"), kind, F.lit(";base64,"), payload)
 
 
@@ -107,14 +111,14 @@ def stable_id(*parts: Column) -> Column:
 
 
 def fill_template(template: str, values: dict[str, Column]) -> Column:
-    """Replace ``{name}`` placeholders; NULL values read as empty."""
-    return reduce(
-        lambda text, item: F.replace(
-            text, F.lit("{" + item[0] + "}"), F.coalesce(item[1].cast("string"), F.lit(""))
-        ),
-        values.items(),
-        F.lit(template),
-    )
+    """Fill ``{name}`` placeholders; NULL values read as empty.
+
+    The template is cut here, so braces inside a value are never filled in turn.
+    """
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[
+        F.coalesce(values[part].cast("string"), F.lit("")) if i % 2 else F.lit(part)
+        for i, part in enumerate(parts) if part])
 
 
 def strip_echo(output: Column, prompt: Column) -> Column:
@@ -150,11 +154,9 @@ def discount_text(c: Column) -> Column:
     good = (F.size(parts) == 2) & price.isNotNull() & percent.isNotNull()
     return F.when(
         good,
-        F.concat(
-            F.lit("Final price after "), percent.cast("string"),
-            F.lit("% discount is "), F.round(final, 2).cast("decimal(38,2)").cast("string"),
-        ),
-    ).otherwise(F.lit("Invalid input. Use 'price,discount'."))
+        fill_template(V.DISCOUNT_RESULT, {
+            "percent": percent, "price": F.round(final, 2).cast("decimal(38,2)")}),
+    ).otherwise(F.lit(V.DISCOUNT_ERROR))
 
 
 def message_text(parts: Column) -> Column:

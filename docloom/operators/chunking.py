@@ -273,11 +273,9 @@ def table_documents(
     rows = chunk_rows(df, [doc, table], order_by, bucket, size, overlap)
     key = [doc, table, "chunk_index_in_table", "row_start", "row_end_exclusive", "total_rows"]
     bodies = rows_to_text(rows, key, cols, form)
-    header = F.concat(
-        F.lit("TABLE CHUNK\ndoc_id: "), F.col(doc), F.lit("\ntable_id: "), F.col(table),
-        F.lit("\nrows: "), F.col("row_start"), F.lit(".."), F.col("row_end_exclusive") - 1,
-        F.lit(" (total_rows="), F.col("total_rows"), F.lit(")\ncolumns: " + ", ".join(cols) + "\n---\n"),
-    )
+    header = tx.fill_template(V.TABLE_HEADER, {
+        "doc_id": F.col(doc), "table_id": F.col(table), "first": F.col("row_start"),
+        "last": F.col("row_end_exclusive") - 1, "total": F.col("total_rows"), "columns": F.lit(", ".join(cols))})
     return bodies.select(
         *key,
         F.lit(len(cols)).alias("n_cols"),

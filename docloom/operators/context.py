@@ -28,18 +28,18 @@ def shown_float(c: Column) -> Column:
 
 
 def block_header(style: str, rank: str) -> Column:
-    if style == "numbered":
-        return F.concat(F.lit("[Context "), F.col(rank), F.lit("]"))
+    if style not in V.CONTEXT_HEADERS:
+        raise ValueError(f"style must be one of {sorted(V.CONTEXT_HEADERS)}")
+    values = {"rank": F.col(rank)}
     if style == "source":
-        return F.concat(F.lit("[Source: "), tx.first_filled(F.col("source"), default="Unknown"), F.lit("]"))
+        values["source"] = tx.first_filled(F.col("source"), default="Unknown")
     if style == "index":
-        return F.concat(
-            F.lit("["), F.col(rank), F.lit("] chunk_id="), chunk_ref(),
-            F.lit(" | modality="), shown(F.col("modality")), F.lit(" | doc_id="), shown(F.col("doc_id")),
-            F.lit(" | source="), source_hint(), F.lit(" | score="), shown_float(F.col("retrieval_score")),
-            F.lit(" | rerank="), shown_float(F.col("rerank_score")),
-        )
-    raise ValueError("style must be 'numbered', 'source' or 'index'")
+        values |= {
+            "chunk_id": chunk_ref(), "modality": shown(F.col("modality")), "doc_id": shown(F.col("doc_id")),
+            "hint": source_hint(), "score": shown_float(F.col("retrieval_score")),
+            "rerank": shown_float(F.col("rerank_score")),
+        }
+    return tx.fill_template(V.CONTEXT_HEADERS[style], values)
 
 
 def joined_in_order(rank: str, value: Column, sep: str) -> Column:
@@ -80,20 +80,9 @@ def sources_used(hits: DataFrame, query: str = "query_id", rank: str = "rank", s
 
 def rag_prompt(style: str, question: Column, context: Column) -> Column:
     """Grounded prompt in one of three layouts, or the plain question."""
-    rule = "\nAnswer the question using ONLY the context below.\n"
-    if style == "context_first":
-        head = rule + f'If the context does not contain the answer, say:\n"{V.FALLBACK_BASIC}"\n\nContext:\n'
-        return F.concat(F.lit(head), context, F.lit("\n\nQuestion:\n"), question, F.lit("\n\nAnswer:\n"))
-    if style == "question_first":
-        head = rule + f'If the answer is not in the context, say: "{V.FALLBACK_EVAL}"\n\nQuestion:\n'
-        return F.concat(F.lit(head), question, F.lit("\n\nContext:\n"), context, F.lit("\n\nAnswer:\n"))
-    if style == "cited":
-        head = "You are answering using multimodal company knowledge.\n\nContext (mixed text, tables, OCR, diagrams):\n"
-        return F.concat(F.lit(head), context, F.lit("\n\nQuestion: "), question,
-                        F.lit("\n\nAnswer clearly and cite sources by [index]."))
-    if style == "plain":
-        return question
-    raise ValueError("unknown prompt style")
+    if style not in V.PROMPTS:
+        raise ValueError(f"style must be one of {sorted(V.PROMPTS)}")
+    return tx.fill_template(V.PROMPTS[style], {"question": question, "context": context})
 
 
 def extractive_answer(question: Column, context: Column, fallback: str = V.FALLBACK_EVAL) -> Column:
@@ -149,11 +138,10 @@ def _listed(name: str, items: Column, n: int) -> Column:
 
 def render_chunk() -> Column:
     """Readable form of a hit: a header and its text, or the fields of an image description."""
-    header = F.concat(
-        F.lit("chunk_id="), chunk_ref(), F.lit(" | modality="), F.coalesce(F.col("modality"), F.lit("unknown")),
-        F.lit(" | doc_id="), F.coalesce(F.col("doc_id").cast("string"), F.lit("N/A")),
-        F.lit(" | score="), shown_float(F.col("retrieval_score")),
-    )
+    header = tx.fill_template(V.CHUNK_HEADER, {
+        "chunk_id": chunk_ref(), "modality": F.coalesce(F.col("modality"), F.lit("unknown")),
+        "doc_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("N/A")),
+        "score": shown_float(F.col("retrieval_score"))})
     p = parse_payload(F.col("content"))
     readable = p.isNotNull() & p["_corrupt_record"].isNull()
     summary = tx.strip(F.concat(F.lit("summary: "), F.coalesce(p["summary"], F.lit(""))))

@@ -11,7 +11,7 @@ from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators.numbering import integer_bucket, row_positions
 
-BLOCK = 256
+BLOCK = 64
 FREQUENT = 10_000  # word ids below this are broadcast
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -14,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from docloom.functions.text import PYTHON_WORD
+
 DIM = 64
-WORD = re.compile(r"\w+")  # letters, numbers, underscore: the tokens of functions.text.tokens
 
 
 class HashedEmbedder:
@@ -41,7 +41,7 @@ class HashedEmbedder:
         return found
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        lists = [[self.bucket(t) for t in WORD.findall(text.lower())] for text in texts]
+        lists = [[self.bucket(t) for t in PYTHON_WORD.findall(text.lower())] for text in texts]
         rows = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
         flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=len(rows))
         counts = np.bincount(rows * self.dim + flat, minlength=len(texts) * self.dim).reshape(-1, self.dim)

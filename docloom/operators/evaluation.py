@@ -73,7 +73,8 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     )
     found = exact_quantiles(df, col).agg(*[
         F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in QUARTILES])
-    return base.select("*", *[found.select(c).scalar().alias(c) for c in found.columns])
+    quartiles = found.select(F.struct(*found.columns)).scalar()
+    return base.select("*", quartiles.alias("_q")).select(*base.columns, "_q.*")
 
 
 def grounding_hits(hits: DataFrame, golden: DataFrame, query: str = "query_id") -> DataFrame:

@@ -232,14 +232,15 @@ def knn_lsh(
     """Approximate neighbours: equal bucket in any band, exact re-score, top k.
 
     A pair counts in its first shared band only, so pairs in several buckets need
-    no distinct. Keys are per band, and the bounded query side lets Spark
-    broadcast it or split a hot bucket at run time.
+    no distinct. Few (counted) queries are broadcast and the vectors stay where
+    they are; otherwise the join shuffles, and a hot bucket is split at run time.
     """
+    few = queries.limit(MAX_SHIPPED_QUERIES + 1).count() <= MAX_SHIPPED_QUERIES
     left = queries.select(query_id, F.col(vector).alias("_qv"), band_keys(F.col(vector), bands, bits, dim).alias("_qk"))
     right = vectors.select(vector_id, F.col(vector).alias("_vv"), band_keys(F.col(vector), bands, bits, dim).alias("_vk"))
     probes = left.select("*", F.explode("_qk").alias("_key"))
     filed = right.select("*", F.explode("_vk").alias("_key"))
     first_shared = F.element_at(F.array_intersect("_qk", "_vk"), 1)
-    pairs = filed.join(probes, "_key").where(F.col("_key") == first_shared)
+    pairs = filed.join(F.broadcast(probes) if few else probes, "_key").where(F.col("_key") == first_shared)
     scored = pairs.select(query_id, vector_id, squared_l2(F.col("_qv"), F.col("_vv")).alias("score"))
     return top_k(scored, [query_id], ["score", vector_id], k)

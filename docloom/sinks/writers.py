@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
-from docloom.operators.context import joined_in_order, shown, shown_float
+from docloom.operators.context import joined_in_order, shown_float
 
 # Cells keep their own white space; an empty text differs from a missing one.
 CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""',
@@ -67,11 +67,10 @@ def write_union_csv(frames: Sequence[DataFrame], out: str, order: str = "sorted"
 
 def candidate_dump(hits: DataFrame, query: str = "query_id", rank: str = "rank") -> DataFrame:
     """The candidates of a query as one text; a rule of dashes follows all but the last."""
-    block = F.concat(
-        F.lit("["), F.col(rank), F.lit("] source="), tx.first_filled(F.col("source"), default="Unknown"),
-        F.lit(" | faiss_distance="), F.format_string("%.6f", F.col("score")),
-        F.lit(" | rerank="), shown_float(F.col("rerank_score")), F.lit("\n"),
-        F.coalesce(F.col("content"), F.lit("")))
+    header = tx.fill_template(V.DUMP_HEADER, {
+        "rank": F.col(rank), "source": tx.first_filled(F.col("source"), default="Unknown"),
+        "distance": F.format_string("%.6f", F.col("score")), "rerank": shown_float(F.col("rerank_score"))})
+    block = F.concat(header, F.lit("\n"), F.coalesce(F.col("content"), F.lit("")))
     body = joined_in_order(rank, block, V.DUMP_RULE + "\n\n")
     return hits.groupBy(query).agg(F.concat(F.lit("\n\n"), body).alias("dump"))
 
