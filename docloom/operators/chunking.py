@@ -86,6 +86,7 @@ def recursive_chunks(
             index += 1
 
 
+CHUNKS_AT_ONCE = 8_192  # rows per output batch, so that huge documents stream out
 CHUNK_FIELDS = [
     T.StructField("chunk_index", T.IntegerType()),
     T.StructField("start", T.IntegerType()),
@@ -108,19 +109,25 @@ def chunk_text(
     arrow_fields = [pa.field("chunk_index", pa.int32()), pa.field("start", pa.int32()),
                     pa.field("content", pa.string())]
 
+    def emit(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        rows, *cols = zip(*found) if found else ([], [], [], [])
+        kept = batch.select(range(len(keep))).take(pa.array(rows, pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [*kept.columns, *[pa.array(c, f.type) for c, f in zip(cols, arrow_fields)]],
+            schema=pa.schema([*kept.schema, *arrow_fields]),
+        )
+
     def split(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            rows, cols = [], ([], [], [])
-            for i, value in enumerate(batch.column(len(keep)).to_pylist()):
+            found: list[tuple] = []
+            for i in range(len(batch)):
+                value = batch.column(len(keep))[i].as_py()
                 for chunk in recursive_chunks(value, size, overlap, seps):
-                    rows.append(i)
-                    for col, v in zip(cols, chunk):
-                        col.append(v)
-            kept = batch.select(range(len(keep))).take(pa.array(rows, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, *[pa.array(c, f.type) for c, f in zip(cols, arrow_fields)]],
-                schema=pa.schema([*kept.schema, *arrow_fields]),
-            )
+                    found.append((i, *chunk))
+                    if len(found) >= CHUNKS_AT_ONCE:
+                        yield emit(batch, found)
+                        found = []
+            yield emit(batch, found)
 
     return df.select(*keep, text).mapInArrow(split, schema)
 

@@ -23,10 +23,14 @@ SCORE_DIGITS = 9
 ROWS_AT_ONCE = 2_048
 
 
-def squared_l2(a: Column, b: Column) -> Column:
-    """Squared distance of two vectors, rounded so that equal distances tie exactly."""
-    diff = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")))
-    return F.round(F.aggregate(diff, F.lit(0.0), lambda acc, d: acc + d * d), SCORE_DIGITS)
+def squared_l2(a: str, b: str, dim: int) -> Column:
+    """Squared distance of two vectors, rounded so that equal distances tie exactly.
+
+    Written out per dimension, it compiles into the surrounding stage; a lambda
+    over the arrays would be interpreted for every pair.
+    """
+    gaps = [f"(double({a}[{i}]) - double({b}[{i}]))" for i in range(dim)]
+    return F.expr(f"round({' + '.join(f'{g} * {g}' for g in gaps)}, {SCORE_DIGITS})")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -242,5 +246,5 @@ def knn_lsh(
     filed = right.select("*", F.explode("_vk").alias("_key"))
     first_shared = F.element_at(F.array_intersect("_qk", "_vk"), 1)
     pairs = filed.join(F.broadcast(probes) if few else probes, "_key").where(F.col("_key") == first_shared)
-    scored = pairs.select(query_id, vector_id, squared_l2(F.col("_qv"), F.col("_vv")).alias("score"))
+    scored = pairs.select(query_id, vector_id, squared_l2("_qv", "_vv", dim).alias("score"))
     return top_k(scored, [query_id], ["score", vector_id], k)

@@ -16,9 +16,9 @@ VECTOR_DIM = 64
 
 def centroids(spark: SparkSession, sf: str) -> DataFrame:
     """One query vector per label: the mean of its vectors, combined on the map side."""
-    means = [F.avg(F.col("embedding")[i].cast("double")) for i in range(VECTOR_DIM)]
+    means = ", ".join(f"avg(double(embedding[{i}]))" for i in range(VECTOR_DIM))
     return table(spark, sf, "embeddings").groupBy(F.col("label").alias("query_id")).agg(
-        F.array(*means).alias("embedding"))
+        F.expr(f"array({means})").alias("embedding"))
 
 
 def hits(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:

@@ -20,6 +20,7 @@ def local_session(app: str = "docloom", cpus: int | str = 8, **conf: str) -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DOCLOOM_DRIVER_MEMORY", "12g"))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
