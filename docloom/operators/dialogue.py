@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
@@ -15,33 +15,39 @@ BLOCK = 64
 FREQUENT = 10_000  # word ids below this are broadcast
 
 
-def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK) -> DataFrame:
-    """0-based place of each message in its thread, and the block that holds it."""
-    placed = row_positions(df, [thread], [turn], integer_bucket(turn), "place")
+def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
+                     bucket: Sequence[Column] | None = None) -> DataFrame:
+    """0-based place of each message in its thread, and the block that holds it.
+
+    Turns that are clock ticks rather than small numbers need an ``even_bucket``.
+    """
+    placed = row_positions(df, [thread], [turn], bucket or integer_bucket(turn), "place")
     return placed.withColumn("block", F.floor(F.col("place") / block).cast("int"))
 
 
-def thread_blocks(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK) -> DataFrame:
+def thread_blocks(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
+                  bucket: Sequence[Column] | None = None) -> DataFrame:
     """Chat rows: the ordered messages of a thread, in blocks of bounded length.
 
     An ordinary thread is its block 0. A thread with millions of turns becomes
     many rows instead of one array no executor could hold.
     """
-    placed = thread_positions(df, thread, turn, block)
+    placed = thread_positions(df, thread, turn, block, bucket)
     message = F.struct(F.col("place"), F.col("role"), F.col("text").alias("content"))
     ordered = F.array_sort(F.collect_list(message))
     return placed.groupBy(thread, "block").agg(
         F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
 
 
-def running_history(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK) -> DataFrame:
+def running_history(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
+                    bucket: Sequence[Column] | None = None) -> DataFrame:
     """For each turn, the messages so far and their count.
 
     ``history`` holds those of the turn's own block; the messages before them are
     the complete blocks ``0 .. block-1`` of :func:`thread_blocks`. Nothing is
     dropped, and a thread of n turns costs n x block messages instead of n x n.
     """
-    placed = thread_positions(df, thread, turn, block)
+    placed = thread_positions(df, thread, turn, block, bucket)
     so_far = Window.partitionBy(thread, "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     return placed.select(
         thread, turn, "role", "text", "block",

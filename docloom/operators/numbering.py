@@ -49,30 +49,45 @@ def row_positions(
 
 
 def integer_bucket(key: str | Column, width: int = 65_536) -> list[Column]:
-    """Bucket for a unique integer key: at most ``width`` rows share one."""
+    """Bucket for a unique, roughly dense integer key: at most ``width`` rows share one."""
     c = F.col(key) if isinstance(key, str) else key
     return [F.floor(c / F.lit(width))]
 
 
+def even_bucket(df: DataFrame, key: str, rows: int = 65_536) -> list[Column]:
+    """Bucket for a sparse numeric key (hashes, clock ticks): about ``rows`` rows share one.
+
+    Reads the range and the count of the key first, so that the number of buckets
+    follows the number of rows and not the size of the ids.
+    """
+    low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not n:
+        return [F.lit(0)]
+    width = max(1.0, (float(high) - float(low)) * rows / n)
+    return [F.floor((F.col(key).cast("double") - F.lit(float(low))) / F.lit(width))]
+
+
 def number_within(
-    df: DataFrame, partition_by: Sequence[str], key: str, out: str = "number", width: int = 65_536
+    df: DataFrame, partition_by: Sequence[str], key: str, out: str = "number",
+    bucket: Sequence[Column] | None = None,
 ) -> DataFrame:
     """1-based counter per group along a unique integer key, plus its 3-digit label."""
-    numbered = row_positions(df, partition_by, [key], integer_bucket(key, width), "_p")
+    numbered = row_positions(df, partition_by, [key], bucket or integer_bucket(key), "_p")
     return numbered.withColumn(out, F.col("_p") + 1).withColumn(
         f"{out}_label", F.format_string("%03d", F.col(out))
     ).drop("_p")
 
 
-def with_global_index(chunks: DataFrame, doc: str = "doc_id", local: str = "chunk_index") -> DataFrame:
+def with_global_index(chunks: DataFrame, doc: str = "doc_id", local: str = "chunk_index",
+                      bucket: Sequence[Column] | None = None) -> DataFrame:
     """1-based index over all chunks in document order."""
-    placed = row_positions(chunks, [], [doc, local], integer_bucket(doc, 1_024), "_p")
+    placed = row_positions(chunks, [], [doc, local], bucket or integer_bucket(doc, 1_024), "_p")
     return placed.withColumn("chunk_index_global", F.col("_p") + 1).drop("_p")
 
 
-def head_percent(df: DataFrame, percent: float, key: str) -> DataFrame:
+def head_percent(df: DataFrame, percent: float, key: str, bucket: Sequence[Column] | None = None) -> DataFrame:
     """The first ``percent`` of the rows along a unique integer key, to the nearest row."""
-    placed = row_positions(df, [], [key], integer_bucket(key), "_p", total="_n")
+    placed = row_positions(df, [], [key], bucket or integer_bucket(key), "_p", total="_n")
     return placed.where(F.col("_p") < F.round(F.col("_n") * percent / 100)).drop("_p", "_n")
 
 

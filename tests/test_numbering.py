@@ -32,6 +32,17 @@ def test_positions_match_a_full_sort(spark, rows, width):
     assert all(r.n == sizes[r.g] for r in got)
 
 
+def test_sparse_keys_get_even_buckets(spark):
+    rng = random.Random(4)
+    keys = sorted({rng.randrange(-(2**62), 2**62) for _ in range(500)})
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3)
+    bucket = nb.even_bucket(df, "k", rows=20)
+    assert df.select(*bucket).distinct().count() <= 26
+    got = nb.row_positions(df, [], ["k"], bucket).collect()
+    assert [r.k for r in sorted(got, key=lambda r: r.position)] == keys
+    assert nb.row_positions(df.limit(0), [], ["k"], nb.even_bucket(df.limit(0), "k")).count() == 0
+
+
 def test_global_positions(spark, rows):
     df = spark.createDataFrame(rows, "k long, g string").repartition(4)
     got = nb.row_positions(df, [], ["k"], nb.integer_bucket("k", 50)).collect()
