@@ -32,8 +32,6 @@ Span = tuple[int, int]
 def _cut(text: str, span: Span, sep: str) -> list[Span]:
     """Pieces of a span, each later piece starting with its separator."""
     lo, hi = span
-    if not sep:
-        return [(i, i + 1) for i in range(lo, hi)]
     edges, at = [lo], text.find(sep, lo, hi)
     while at >= 0:
         edges.append(at)
@@ -42,6 +40,16 @@ def _cut(text: str, span: Span, sep: str) -> list[Span]:
     return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
 
 
+def _slide(span: Span, size: int, overlap: int) -> Iterator[Span]:
+    """Character windows: what packing single characters comes to, without listing them."""
+    lo, hi = span
+    while hi - lo > size:
+        yield lo, lo + size
+        lo += size - overlap
+    if hi > lo:
+        yield lo, hi
+
+
 def _pack(pieces: list[Span], size: int, overlap: int) -> Iterator[Span]:
     """Greedy windows over adjacent pieces; a window slides on by whole pieces."""
     first = 0
@@ -58,6 +66,9 @@ def _pack(pieces: list[Span], size: int, overlap: int) -> Iterator[Span]:
 def _spans(text: str, span: Span, size: int, overlap: int, seps: Sequence[str]) -> Iterator[Span]:
     lo, hi = span
     level = next((i for i, s in enumerate(seps) if not s or text.find(s, lo, hi) >= 0), len(seps) - 1)
+    if not seps[level]:
+        yield from _slide(span, size, overlap)
+        return
     rest = seps[level + 1:]
     small: list[Span] = []
     for piece in _cut(text, span, seps[level]):

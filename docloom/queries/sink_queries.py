@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import chunking, collection, ensemble, measure
+from docloom.operators import collection, measure
 from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.registry import query, table
