@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.session import spread
+from docloom.session import ship_package, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +19,12 @@ def query(name: str, sql: str | None = None, ints: str = "") -> Callable[[Query]
     """Register a query; ``ints`` lists the columns that are INT (SQL counts in BIGINT)."""
 
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             narrow = ", ".join(f"{c}::INTEGER AS {c}" for c in ints.split())
             ORACLES[name] = f"SELECT * REPLACE ({narrow}) FROM ({sql})" if ints else sql

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,10 +29,30 @@ def local_session(app: str = "docloom", cpus: int | str = 8, **conf: str) -> Spa
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers import what a function refers to; they need not share the driver's
+    working folder or search path.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="docloom-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
