@@ -1,5 +1,9 @@
 """Every registered query against its SQL, and the shape of its plan."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -24,6 +28,24 @@ def test_entry(spark):
     assert df.count() == 40 and "prediction" in df.columns
 
 
+SMOKE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print(len(entry.queries()["chunk_recursive"](spark, sys.argv[2]).collect()))
+"""
+
+
+def test_workers_find_the_package_from_any_folder(sf, tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", SMOKE, root, sf], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split()[-1]) > 0
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
