@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import secrets, sharding
+from docloom.llm import secrets, sharding, toxicity
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -32,6 +32,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_model(docs, table(spark, sf_dir, "labels")))
+
+
 @_query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), shards=24)
