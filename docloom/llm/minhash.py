@@ -39,7 +39,6 @@ NEXT = 2  # documents that follow in order, in larger regions
 HASHES = TREES * DEPTH
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_PRIME = np.uint64((1 << 61) - 1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -48,13 +47,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _ODD, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_UNODD = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_POWERS: dict[int, np.ndarray] = {}
 
 
-_UNODD = np.uint64(pow(int(_ODD), -1, 1 << 64))
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first n powers of an odd number modulo 2 ** 64; kept, since most texts are of like length."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 14), base, np.uint64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        if len(known) <= 1 << 20:
+            _POWERS[int(base)] = known
+    return known[:n]
 
 
 def word_hashes(body: bytes) -> np.ndarray:
@@ -65,13 +71,9 @@ def word_hashes(body: bytes) -> np.ndarray:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
-    powers = _powers(len(a) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(a)))])
     # A word's sum divided by the power at its start no longer depends on where it stands.
-    inverse = np.full(len(a) + 1, _UNODD, np.uint64)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
-    return _mixed((sums[ends] - sums[starts]) * inverse[starts])
+    return _mixed((sums[ends] - sums[starts]) * _powers(_UNODD, len(a))[starts])
 
 
 def shingle_set(text: str | None, size: int = 2) -> np.ndarray:
@@ -93,9 +95,12 @@ def _hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
     return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
 
 
+_FAMILY = _hash_family(HASHES)
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The least value of each hash function over a set, as 32 bits."""
-    a, b = _hash_family(HASHES)
+    a, b = _FAMILY
     out = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at:at + 4096, None] * a + b
@@ -179,29 +184,27 @@ def candidates(sigs: DataFrame) -> DataFrame:
             table = np.frombuffer(b"".join(batch.column("sig").to_pylist()), ">u4").reshape(-1, HASHES)
             ids = batch.column("doc_id")
             for t, chosen in enumerate(order):
-                keys = np.ascontiguousarray(table[:, chosen]).view("V32").ravel()
+                values = table[:, chosen].astype(np.uint64)
+                keys = (values[:, ::2] << np.uint64(32) | values[:, 1::2]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), t, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), ids],
-                    ["tree", "key", "doc_id"])
+                    [pa.array(np.full(len(keys), t, np.int32)), *[pa.array(keys[:, i].copy()) for i in range(4)], ids],
+                    ["tree", "k0", "k1", "k2", "k3", "doc_id"])
 
     kind = sigs.schema["doc_id"].dataType.simpleString()
-    rows = sigs.select("doc_id", "sig").mapInArrow(grow, f"tree int, key binary, doc_id {kind}")
-    # The values as numbers: range partitions are drawn from a sample of them.
-    parts = [F.conv(F.hex(F.substring("key", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"k{i}") for i in range(4)]
-    rows = saved(rows.select("tree", *parts, "doc_id"), "forest")
+    rows = sigs.select("doc_id", "sig").mapInArrow(grow, f"tree int, k0 long, k1 long, k2 long, k3 long, doc_id {kind}")
+    # Stored, because the range partitions are drawn from a sample of the rows first.
+    rows = saved(rows, "forest")
     order_by = ["tree", "k0", "k1", "k2", "k3", "doc_id"]
     sorted_rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("part", F.spark_partition_id())
 
     def pair(batches):
-        # The rows of an unfinished run are carried over to the next batch; a run that outgrows the
-        # limit is handed on in parts that share their last rows, so nothing grows with it.
-        held, last, first = None, None, None
-        for batch in [*batches] if False else batches:
+        # The last rows of a batch are seen again with the next one, so no small run is cut apart.
+        held, last = None, None
+        for batch in batches:
             if not batch.num_rows:
                 continue
-            if first is None:
-                first = batch.slice(0, 1)
-                yield _edge(first, 0)
+            if last is None:
+                yield _edge(batch.slice(0, 1), 0)
             last = batch.slice(batch.num_rows - 1, 1)
             whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             yield _pairs(whole)
@@ -255,30 +258,29 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links), kept (is it itself).
 
     Two documents are linked if their shingle sets reach the similarity, in percent. A null, empty or blank
-    text has no shingles and is linked with nothing. Rows with a null id are left out of the groups and keep
-    a null component. Repeated ids are one document if their texts agree, else each text counts for the id.
-    An empty table gives an empty result; other columns are ignored.
+    text has no shingles and is linked with nothing. A row with a null id links nothing; it counts as a copy of
+    an equal text with an id, else it keeps a null component and stays. Rows that repeat an id stay rows; the links
+    of each of their texts count for the id. An empty table gives an empty result; other columns are ignored.
     """
     rows = columns_of(docs, doc_id=id_col, text=text_col)
     sigs = saved(signatures(rows, size), "signatures")
     full = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     heads = full.groupBy("class").agg(F.min("doc_id").alias("head"))
     # The class heads alone are compared; their copies hang on them by the class's name.
-    reps = full.join(heads, "class").where(F.col("doc_id") == F.col("head")).select("doc_id", "sig").dropDuplicates(["doc_id"])
+    reps = full.join(heads, "class").where(F.col("doc_id") == F.col("head")).select("doc_id", "sig").distinct()
     pairs = saved(candidates(reps), "candidates")
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("trees", "b")).alias("b")).union(
         pairs.groupBy("b").agg(F.max_by("a", F.struct("trees", "a")).alias("a")).select("a", "b")).distinct()
-    texts = rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]) if False else rows
-    links = saved(confirmed(best, texts, size, percent), "links")
+    links = saved(confirmed(best, rows, size, percent), "links")
     found = saved(components(links), "components")
     rest = pairs.select("a", "b").join(found.select(F.col("node").alias("a"), F.col("component_id").alias("ca")), "a", "left")
     rest = rest.join(found.select(F.col("node").alias("b"), F.col("component_id").alias("cb")), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     rest = saved(rest.join(best, ["a", "b"], "left_anti"), "rest")
-    more = saved(confirmed(rest, texts, size, percent), "links")
+    more = saved(confirmed(rest, rows, size, percent), "links")
     found = saved(components(links.union(more)), "components") if more.limit(1).count() else found
     named = heads.join(found.select(F.col("node").alias("head"), "component_id"), "head", "left").select(
         "class", F.coalesce("component_id", "head").alias("component_id"))
     out = sigs.join(named, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

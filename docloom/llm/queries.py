@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import secrets, sharding, toxicity
+from docloom.llm import minhash, secrets, sharding, toxicity
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -32,6 +32,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+@_query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 @_query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
