@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import minhash, secrets, sharding, toxicity, vectors
+from docloom.llm import decontaminate, minhash, secrets, sharding, toxicity, vectors
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -27,6 +27,11 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
