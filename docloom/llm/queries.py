@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docloom.llm import decontaminate, minhash, secrets, sharding, toxicity, vectors
+from docloom.llm import decontaminate, minhash, pieces, pii, secrets, sharding, toxicity, vectors
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -37,6 +38,21 @@ def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@_query
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether decoding them gives the text back."""
+    vocabulary = pieces.Vocabulary.load()
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+    return coded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.octet_length("text").cast("long").alias("n_bytes"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"), "tokens")
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.fit_field(docs)))
+
+
 @_query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))

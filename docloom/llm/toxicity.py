@@ -310,21 +310,19 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-              per_label: int = 3000, longest: int = 20_000) -> Model:
-    """Train on labelled rows that are not held out: at most ``per_label`` of each label, of texts up to ``longest``
-    characters. This bounded sample is all that comes to the driver; it is drawn by a hash of the id."""
+              per_label: int = 2000, longest: int = 10_000) -> Model:
+    """Train on labelled rows that are not held out: at most ``per_label`` ids of each label, drawn by a hash of the
+    id, and of these the texts of up to ``longest`` characters. This bounded sample is all that comes to the driver."""
     marked = columns_of(labels, doc_id=id_col, toxic=label_col).where("toxic IN (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
-    texts = columns_of(docs, doc_id=id_col, text=text_col)
-    rows = texts.join(marked, "doc_id").where(F.length("text").between(1, longest)).withColumn("draw", F.xxhash64("doc_id", "text"))
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = []
-    for label in (0, 1):
-        drawn = rows.where(F.col("toxic") == label).orderBy("draw", "doc_id").limit(per_label).select("text").collect()
-        texts_ = sorted({r["text"] for r in drawn})
-        share = sizes.get(label, 0) / max(1, len(drawn))
-        sample += [(t, label, share) for t in texts_]
-    return train([t for t, _, _ in sample], [k for _, k, _ in sample], [w for _, _, w in sample])
+    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Ids are drawn first: a few thousand at most, so they are sent to the texts and not the texts to them.
+    drawn = [marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for label in (0, 1)]
+    texts = columns_of(docs, doc_id=id_col, text=text_col).where(F.length("text").between(1, longest))
+    rows = texts.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").select("text", "toxic").distinct().collect()
+    rows = sorted((r["text"], r["toxic"]) for r in rows)
+    share = {label: sizes.get(label, 0) / max(1, sum(k == label for _, k in rows)) for label in (0, 1)}
+    return train([t for t, _ in rows], [k for _, k in rows], [share[k] for _, k in rows])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
