@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import decontaminate, minhash, pieces, pii, secrets, sharding, suffixes, toxicity, vectors
+from docloom.llm import decontaminate, minhash, pieces, pii, quotes, secrets, sharding, suffixes, toxicity, vectors
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -74,6 +74,11 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@_query
+def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.thread(table(spark, sf_dir, "conversations"))
+
+
 @_query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), shards=24)
