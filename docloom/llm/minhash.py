@@ -284,3 +284,12 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     out = sigs.join(named, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id, with all columns.
+
+    A document is its id: rows with a null id stay, rows that repeat an id stay or go together.
+    """
+    gone = near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone.where("_gone IS NOT NULL").distinct(), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
