@@ -270,7 +270,7 @@ def train(texts: list[str | None], rounds: int = 6, seed: int = 5, stretches: in
     made = [(k, v) for k, v in (("email", "joe@example.com"), ("email", "kim_lee@web.example.net"), ("card", "340000000000009"), ("card", "6011000990139424"),
                                 ("email", "jo.ann7@mail.example.org"), ("ip", "192.0.2.44"), ("card", "4111111111111111"), ("phone", "+1 (212) 555-0134"),
                                 ("phone", "+1 (415) 555-0199"), ("email", "info@example.com"), ("ip", "198.51.100.7"), ("card", "5500005555555559"))]
-    for kind, value in made * 12:
+    for kind, value in made * 30:
         shown = value if rng.random() < 0.4 else _written_around(kind, value, rng)
         cases.append((f"call or write {shown} and then", 14, 14 + len(shown), kind))
     for text in texts:

@@ -55,7 +55,7 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 7, id_col: str = "
     total = rows.count()
     slices = max(1, min(-(-total // SLICE_ROWS), MOST_SLICES))
     tie = ["doc_id", "text_crc32", "size"]
-    rows = rows.withColumn("draw_slice", F.expr(f"draw div {-(-_RANGE // slices)}L"))
+    rows = rows.withColumn("draw_slice", F.expr(f"draw div {min(-(-_RANGE // slices), _RANGE - 1)}L"))
     ranked = _numbered(rows, ["stratum"], "draw_slice", ["draw", *tie], "rank")
     sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("of"))
     ranked = ranked.join(sizes, "stratum").withColumn("fraction", F.expr("(2 * rank + 1) / (2.0D * of)"))

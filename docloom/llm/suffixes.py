@@ -321,7 +321,7 @@ def repeated_spans(docs: DataFrame, batches: int = 4) -> DataFrame:
     spark = docs.sparkSession
     size, least, most = docs.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
     buckets = int(max(64, (size or 0) >> 26))
-    edges = sorted({int(e) for e in docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)}) if least is not None else []
+    edges = sorted({int(e) for e in docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)}) if least is not None and batches > 1 else []
     bounds = [least if least is not None else 0, *[e for e in edges if least < e <= most], (most if most is not None else 0) + 1]
     family = SuffixFamily(spark, buckets)
     noted = None

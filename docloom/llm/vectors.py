@@ -191,7 +191,7 @@ def _compare(heads: DataFrame, n: int, dim: int, threshold: float, tile: int) ->
     lows, highs = np.array([reaches[t][0] for t in tiles]), np.array([reaches[t][1] for t in tiles])
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.zeros((len(pdf), dim))
         for i, v in enumerate(pdf["embedding"]):
             x[i, :len(v)] = v
