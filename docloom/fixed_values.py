@@ -18,7 +18,6 @@ MAX_SEQUENCE = 128
 MAX_DRAFTS = 3
 
 # File types.
-DOCUMENT_SUFFIXES = [".pdf", ".docx", ".csv", ".txt"]
 EXTRACTABLE_SUFFIXES = [".pdf", ".docx", ".pptx", ".html", ".htm", ".md"]
 IMAGE_MIME = {
     ".png": "image/png",
@@ -85,7 +84,10 @@ TABLE_HEADER = (
 
 # Discount answers.
 DISCOUNT_RESULT = "Final price after {percent}% discount is {price}"
-DISCOUNT_ERROR = "Invalid input. Use 'price,discount'."
+DISCOUNT_ERROR = "Invalid input. Use 'price,discount'. Error: {reason}"
+DISCOUNT_FEW = "not enough values to unpack (expected 2, got 1)"
+DISCOUNT_MANY = "too many values to unpack (expected 2)"
+DISCOUNT_WORD = "could not convert string to float: '{value}'"
 
 # Cost notes and unit costs per 1000 tokens (input, output); None = not configured.
 NOTE_NO_TOKENS = "Token counts not available from this call path."

@@ -145,18 +145,25 @@ def rubric_scores(text: Column, dimensions: list[str]) -> list[Column]:
     ]
 
 
+def _number(text: Column) -> Column:
+    """A plain decimal number, or NULL; type suffixes and names such as NaN are none."""
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double"))
+
+
 def discount_text(c: Column) -> Column:
-    """Read ``price,discount`` and state the final price with two decimals, or an error."""
+    """Read ``price,discount`` and state the final price with two decimals, or an error with its reason."""
     parts = F.split(c, ",")
-    price = strip(F.get(parts, F.lit(0))).try_cast("double")
-    percent = strip(F.get(parts, F.lit(1))).try_cast("double")
-    final = (price * (1 - percent / 100)).cast("decimal(38,10)")
+    texts = [strip(F.get(parts, F.lit(i))) for i in (0, 1)]
+    price, percent = (_number(t) for t in texts)
+    final = price * (1 - percent / 100)
+    # Prices that fit are rounded as decimals; beyond that a double has no cents left to round.
+    shown = F.coalesce(F.round(final.try_cast("decimal(38,10)"), 2).cast("decimal(38,2)").cast("string"), F.format_string("%.2f", final))
+    bad = F.when(price.isNull(), texts[0]).otherwise(texts[1])
+    reason = F.when(F.size(parts) < 2, F.lit(V.DISCOUNT_FEW)).when(F.size(parts) > 2, F.lit(V.DISCOUNT_MANY)).otherwise(
+        fill_template(V.DISCOUNT_WORD, {"value": bad}))
     good = (F.size(parts) == 2) & price.isNotNull() & percent.isNotNull()
-    return F.when(
-        good,
-        fill_template(V.DISCOUNT_RESULT, {
-            "percent": percent, "price": F.round(final, 2).cast("decimal(38,2)")}),
-    ).otherwise(F.lit(V.DISCOUNT_ERROR))
+    return F.when(good, fill_template(V.DISCOUNT_RESULT, {"percent": percent, "price": shown})).otherwise(
+        fill_template(V.DISCOUNT_ERROR, {"reason": reason}))
 
 
 def message_text(parts: Column) -> Column:

@@ -20,9 +20,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return existing.join(fresh.select(key), key, "left_anti").select(*existing.columns).unionByName(fresh)
 
 
-def write_base(rows: DataFrame, path: str, *partition_by: str) -> None:
-    """First load of a collection; its keys are unique by construction (stable ids)."""
-    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path}/base")
+def write_base(rows: DataFrame, path: str, key: str, order: str, *partition_by: str) -> None:
+    """First load of a collection. Of rows with one key the last by ``order`` is kept, as in later batches."""
+    latest(rows, key, order).write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path}/base")
 
 
 def write_delta(batch: DataFrame, path: str, batch_no: int, run: int = 0) -> None:

@@ -11,49 +11,62 @@ from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators.numbering import integer_bucket, row_positions
 
-BLOCK = 64
 FREQUENT = 10_000  # word ids below this are broadcast
 
 
-def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
+def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn",
                      bucket: Sequence[Column] | None = None) -> DataFrame:
-    """0-based place of each message in its thread, and the block that holds it.
+    """0-based place of each message in its thread.
 
     Turns that are clock ticks rather than small numbers need an ``even_bucket``.
     """
-    placed = row_positions(df, [thread], [turn], bucket or integer_bucket(turn), "place")
-    return placed.withColumn("block", F.floor(F.col("place") / block).cast("int"))
+    return row_positions(df, [thread], [turn], bucket or integer_bucket(turn), "place")
 
 
-def thread_blocks(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
-                  bucket: Sequence[Column] | None = None) -> DataFrame:
-    """Chat rows: the ordered messages of a thread, in blocks of bounded length.
+def _in_blocks(placed: DataFrame, block: int) -> DataFrame:
+    return placed.withColumn("block", F.floor(F.col("place") / block).cast("int"))
 
-    An ordinary thread is its block 0. A thread with millions of turns becomes
-    many rows instead of one array no executor could hold.
-    """
-    placed = thread_positions(df, thread, turn, block, bucket)
+
+def _ordered_messages() -> Column:
     message = F.struct(F.col("place"), F.col("role"), F.col("text").alias("content"))
-    ordered = F.array_sort(F.collect_list(message))
-    return placed.groupBy(thread, "block").agg(
-        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
+    return F.transform(F.array_sort(F.collect_list(message)),
+                       lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+
+def threads(df: DataFrame, thread: str = "conv_id", turn: str = "turn",
+            bucket: Sequence[Column] | None = None) -> DataFrame:
+    """Chat rows: all messages of a thread in order, one row per thread, whatever its length."""
+    return thread_positions(df, thread, turn, bucket).groupBy(thread).agg(_ordered_messages().alias("messages"))
 
 
-def running_history(df: DataFrame, thread: str = "conv_id", turn: str = "turn", block: int = BLOCK,
+def thread_blocks(df: DataFrame, block: int, thread: str = "conv_id", turn: str = "turn",
+                  bucket: Sequence[Column] | None = None) -> DataFrame:
+    """The messages of a thread in rows of at most ``block``, for threads no executor could hold in one array."""
+    placed = _in_blocks(thread_positions(df, thread, turn, bucket), block)
+    return placed.groupBy(thread, "block").agg(_ordered_messages().alias("messages"))
+
+
+def running_history(df: DataFrame, thread: str = "conv_id", turn: str = "turn",
                     bucket: Sequence[Column] | None = None) -> DataFrame:
-    """For each turn, the messages so far and their count.
+    """For each turn all messages so far and their count. A thread of n turns holds about n * n / 2 messages."""
+    so_far = Window.partitionBy(thread).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    return thread_positions(df, thread, turn, bucket).select(
+        thread, turn, "role", "text", (F.col("place") + 1).alias("n_messages"),
+        F.collect_list(F.struct("role", F.col("text").alias("content"))).over(so_far).alias("history"))
+
 
-    ``history`` holds those of the turn's own block; the messages before them are
-    the complete blocks ``0 .. block-1`` of :func:`thread_blocks`. Nothing is
-    dropped, and a thread of n turns costs n x block messages instead of n x n.
+def block_history(df: DataFrame, block: int, thread: str = "conv_id", turn: str = "turn",
+                  bucket: Sequence[Column] | None = None) -> DataFrame:
+    """For each turn the messages so far of its own block, and the count of all so far.
+
+    The messages before them are the complete blocks ``0 .. block-1`` of
+    :func:`thread_blocks`, so a thread of n turns costs n x block messages.
     """
-    placed = thread_positions(df, thread, turn, block, bucket)
+    placed = _in_blocks(thread_positions(df, thread, turn, bucket), block)
     so_far = Window.partitionBy(thread, "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     return placed.select(
-        thread, turn, "role", "text", "block",
-        (F.col("place") + 1).alias("n_messages"),
-        F.collect_list(F.struct("role", F.col("text").alias("content"))).over(so_far).alias("history"),
-    )
+        thread, turn, "role", "text", "block", (F.col("place") + 1).alias("n_messages"),
+        F.collect_list(F.struct("role", F.col("text").alias("content"))).over(so_far).alias("history"))
 
 
 def transcript(messages: str = "history"):
@@ -61,9 +74,10 @@ def transcript(messages: str = "history"):
 
 
 def last_message(df: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """The final message per thread, found by turn number; the texts are fetched afterwards."""
-    last = df.groupBy(thread).agg(F.max(turn).alias(turn))
-    return df.join(last, [thread, turn])
+    """The final message per thread; of several with the last turn the one whose other columns are greatest."""
+    rest = [c for c in df.columns if c not in (thread, turn)]
+    best = df.groupBy(thread).agg(F.max(F.struct(turn, *rest)).alias("_last"))
+    return best.select(thread, "_last.*").select(*df.columns)
 
 
 def sections(requirements: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -85,18 +99,17 @@ def fixed_sequences(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text:
                     max_len: int = V.MAX_SEQUENCE) -> DataFrame:
     """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1.
 
-    The most frequent words (a fixed number of them) are looked up by broadcast.
-    Only the others need the shuffled lookup, and the rows already done are dealt
-    evenly over it, so no frequent word makes a hot partition.
+    The most frequent words (a fixed number of them) are looked up by broadcast. Only
+    words that this leaves open go through the shuffled lookup; they are rare, so no key is hot.
     """
     head = F.slice(tx.tokens(F.col(text)), 1, max_len)
     placed = df.select(key, F.posexplode_outer(head).alias("at", "word"))
     frequent = F.broadcast(vocab.where(F.col("word_id") < FREQUENT).select("word", F.col("word_id").alias("_near")))
-    rare = vocab.where(F.col("word_id") >= FREQUENT).select(F.col("word").alias("_probe"), F.col("word_id").alias("_far"))
-    done = F.col("_near").isNotNull() | F.col("word").isNull()
-    dealt = F.concat(F.lit(" "), F.pmod(F.xxhash64(key, "at"), F.lit(4_096)))
-    coded = placed.join(frequent, "word", "left").withColumn(
-        "_probe", F.when(done, dealt).otherwise(F.col("word"))).join(rare, "_probe", "left")
+    near = placed.join(frequent, "word", "left")
+    rare = vocab.where(F.col("word_id") >= FREQUENT).select("word", F.col("word_id").alias("_far"))
+    open_ = near.where(F.col("word").isNotNull() & F.col("_near").isNull()).join(rare, "word", "left")
+    done = near.where(F.col("word").isNull() | F.col("_near").isNotNull()).withColumn("_far", F.lit(None).cast("long"))
+    coded = done.select(key, "at", "word", "_near", "_far").union(open_.select(key, "at", "word", "_near", "_far"))
     ids = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct(
         "at", F.coalesce("_near", "_far", F.lit(1)).alias("id")))))
     ids = F.transform(ids, lambda x: x["id"])

@@ -86,15 +86,20 @@ def summary_by(df: DataFrame, key: str) -> DataFrame:
 
 
 def latency(df: DataFrame, model: str, order: str, value: str, warmup: int = 1) -> DataFrame:
-    """Mean per model without its first ``warmup`` runs.
+    """Mean per model without its first ``warmup`` runs; of runs with one order value any may count as warm.
 
-    Only the warm-up rows are ranked (a bounded top-k); the rest of a hot model
-    is averaged by partial aggregation.
+    Totals are summed where the rows lie, and those of the warm-up rows (a bounded top-k) taken
+    off again: no row of a hot model is shuffled. Only models with further runs are listed.
     """
-    last_warm = top_k(df.select(model, order), [model], [order], warmup).groupBy(model).agg(
-        F.max(order).alias("_warm"))
-    steady = df.join(last_warm, model).where(F.col(order) > F.col("_warm"))
-    return steady.groupBy(model).agg(F.avg(value).alias("avg_latency"), F.count(F.lit(1)).alias("runs"))
+    def totals(rows: DataFrame, suffix: str) -> DataFrame:
+        return rows.groupBy(model).agg(F.sum(value).alias(f"_sum{suffix}"), F.count(value).alias(f"_n{suffix}"),
+                                       F.count(F.lit(1)).alias(f"_runs{suffix}"))
+
+    warm = totals(top_k(df.select(model, order, value), [model], [order, value], warmup), "_warm")
+    warm = warm.withColumnRenamed(model, "_model")
+    both = totals(df, "").join(warm, F.col(model).eqNullSafe(F.col("_model")), "left")
+    left = [F.col(c) - F.coalesce(F.col(f"{c}_warm"), F.lit(0)) for c in ("_sum", "_n", "_runs")]
+    return both.select(model, (left[0] / F.nullif(left[1], F.lit(0))).alias("avg_latency"), left[2].alias("runs")).where("runs > 0")
 
 
 def conditional_totals(df: DataFrame, n: Column, flag: Column) -> DataFrame:
@@ -105,8 +110,9 @@ def conditional_totals(df: DataFrame, n: Column, flag: Column) -> DataFrame:
 
 
 def doc_counts(df: DataFrame, doc: str, kind: str, kinds: Sequence[str]) -> DataFrame:
-    """Blocks, tables and images per document, 0 when there are none."""
-    return df.groupBy(doc).agg(*[F.count(F.when(F.col(kind) == k, 1)).alias(f"n_{k}") for k in kinds])
+    """Blocks, tables and images per document, 0 when there are none; whatever is of no listed kind is ``n_other``."""
+    other = F.count(F.when(~F.col(kind).isin(*kinds) | F.col(kind).isNull(), 1)).alias("n_other")
+    return df.groupBy(doc).agg(*[F.count(F.when(F.col(kind) == k, 1)).alias(f"n_{k}") for k in kinds], other)
 
 
 def ingest_totals(chunks: DataFrame, table: Sequence[str], cap: int | None = None) -> DataFrame:

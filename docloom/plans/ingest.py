@@ -11,7 +11,7 @@ KEY = "chunk_id"
 
 def store(path: str, *modalities: DataFrame, embedder=None) -> None:
     """First ingest: embed every chunk and write the collection, one folder per modality."""
-    collection.write_base(_embedded(modalities, embedder), path, "modality")
+    collection.write_base(_embedded(modalities, embedder), path, KEY, "modality", "modality")
 
 
 def update(path: str, *modalities: DataFrame, embedder=None, run: int, batch_no: int = 0) -> None:

@@ -200,7 +200,8 @@ DISCOUNT_INPUT = """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN l_ext
         round(l_discount * 100)::DOUBLE AS d FROM lineitem)
     SELECT l_orderkey, l_linenumber, input_text, CASE WHEN contains(input_text, ' , ')
         THEN 'Final price after ' || d || '% discount is ' || round((p * (1 - d / 100))::DECIMAL(38,10), 2)::DECIMAL(38,2)
-        ELSE 'Invalid input. Use ''price,discount''.' END AS answer FROM i""")
+        WHEN contains(input_text, ',') THEN 'Invalid input. Use ''price,discount''. Error: could not convert string to float: ''ten' || chr(39)
+        ELSE 'Invalid input. Use ''price,discount''. Error: not enough values to unpack (expected 2, got 1)' END AS answer FROM i""")
 def discount_parse(spark, sf):
     price, returned = F.col("l_extendedprice").cast("string"), F.col("l_returnflag") == "R"
     text = (F.when(returned & (F.col("l_linenumber") == 1), price)

@@ -121,7 +121,7 @@ def param_counts(spark, sf):
 
 @query("manifest_counts", """
     SELECT source, count(*) FILTER (WHERE lang = 'en') AS n_en, count(*) FILTER (WHERE lang = 'fr') AS n_fr,
-        count(*) FILTER (WHERE lang = 'de') AS n_de FROM documents GROUP BY source""")
+        count(*) FILTER (WHERE lang = 'de') AS n_de, count(*) FILTER (WHERE lang NOT IN ('en', 'fr', 'de') OR lang IS NULL) AS n_other FROM documents GROUP BY source""")
 def manifest_counts(spark, sf):
     return measure.doc_counts(table(spark, sf, "documents"), "source", "lang", ["en", "fr", "de"])
 
@@ -209,11 +209,21 @@ def assemble_sections(spark, sf):
 
 
 @query("running_history", """
-    SELECT conv_id, turn, role, count(*) OVER w AS n_messages, 0 AS block,
+    SELECT conv_id, turn, role, count(*) OVER w AS n_messages,
         array_to_string(list(role || ': ' || text) OVER w, chr(10)) AS history
     FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def running_history(spark, sf):
     rows = dialogue.running_history(table(spark, sf, "conversations"))
+    return rows.select("conv_id", "turn", "role", "n_messages", dialogue.transcript().alias("history"))
+
+
+@query("block_history", """
+    WITH p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations)
+    SELECT conv_id, turn, role, place + 1 AS n_messages, place // 4 AS block,
+        array_to_string(list(role || ': ' || text) OVER w, chr(10)) AS history
+    FROM p WINDOW w AS (PARTITION BY conv_id, place // 4 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ints="block")
+def block_history(spark, sf):
+    rows = dialogue.block_history(table(spark, sf, "conversations"), 4)
     return rows.select("conv_id", "turn", "role", "n_messages", "block", dialogue.transcript().alias("history"))
 
 

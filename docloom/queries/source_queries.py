@@ -24,10 +24,8 @@ def scan_documents(spark, sf):
     WITH e AS (SELECT page_id, lower(regexp_extract(url, '\.[^./]+$')) AS ext FROM pages)
     SELECT page_id, ext, ext IN ('.pdf', '.docx', '.pptx', '.html', '.htm', '.md') AS supported FROM e""")
 def filter_supported_ext(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url")
-    kept = documents.filter_ext(pages, "url").select("page_id", F.lit(True).alias("supported"))
-    return pages.join(kept, "page_id", "left").select(
-        "page_id", tx.suffix(F.col("url")).alias("ext"), F.coalesce("supported", F.lit(False)).alias("supported"))
+    return table(spark, sf, "pages").select(
+        "page_id", tx.suffix(F.col("url")).alias("ext"), documents.supported(F.col("url")).alias("supported"))
 
 
 @query("csv_row_documents", """
@@ -40,19 +38,18 @@ def csv_row_documents(spark, sf):
     return documents.rows_to_documents(parts, "p_partkey", integer_bucket("p_partkey"))
 
 
-def _html_sql() -> str:
-    c = rf"regexp_replace(html, '{documents.SILENT}', '', 'g')"
-    c = rf"regexp_replace(replace({c}, chr(10), ' '), '{documents.BLOCK_TAGS}', chr(10), 'g')"
-    c = rf"regexp_replace({c}, '<[^>]*>', '', 'g')"
-    for name, char in documents.ENTITIES.items():
-        c = f"replace({c}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return f"""
-    WITH b AS (SELECT page_id, list_filter(list_transform(string_split({c}, chr(10)),
-        lambda x: {q.strip('x')}), lambda x: x <> '') AS l FROM pages)
-    SELECT page_id, unnest(range(len(l))) AS block_index, unnest(l) AS block FROM b"""
+HTML_TEXT = r"""replace(replace(replace(replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(replace(regexp_replace(html,
+        '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'), chr(10), ' '),
+        '(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>',
+        chr(10), 'g'), '<[^>]*>', '', 'g'),
+    '&nbsp;', ' '), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&amp;', '&')"""
 
 
-@query("html_text_blocks", _html_sql())
+@query("html_text_blocks", f"""
+    WITH b AS (SELECT page_id, list_filter(list_transform(string_split({HTML_TEXT}, chr(10)),
+        lambda x: {q.strip('x')}), lambda x: x <> '') AS l FROM pages)
+    SELECT page_id, unnest(range(len(l))) AS block_index, unnest(l) AS block FROM b""")
 def html_text_blocks(spark, sf):
     return documents.text_blocks(wide(spark, sf, "pages", "page_id", "html")).withColumn("block_index", F.col("block_index").cast("long"))
 
@@ -84,26 +81,39 @@ def path_ids(spark, sf):
 
 
 @query("chat_jsonl_scan", """
-    SELECT conv_id, 0 AS block, count(*) AS n_messages,
+    SELECT conv_id, count(*) AS n_messages,
         string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY conv_id""")
 def chat_jsonl_scan(spark, sf):
     out = scratch_path(spark, "chat")
-    dialogue.thread_blocks(table(spark, sf, "conversations")).write.json(out)
+    dialogue.threads(table(spark, sf, "conversations")).write.json(out)
+    chat = records.read_chat(spark, out, "conv_id BIGINT")
+    return chat.select("conv_id", F.size("messages").cast("long").alias("n_messages"),
+                       dialogue.transcript("messages").alias("transcript"))
+
+
+@query("chat_blocks_scan", """
+    WITH p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations)
+    SELECT conv_id, place // 4 AS block, count(*) AS n_messages,
+        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM p GROUP BY ALL""", ints="block")
+def chat_blocks_scan(spark, sf):
+    out = scratch_path(spark, "chat")
+    dialogue.thread_blocks(table(spark, sf, "conversations"), 4).write.json(out)
     chat = records.read_chat(spark, out, "conv_id BIGINT, block INT")
     return chat.select("conv_id", "block", F.size("messages").cast("long").alias("n_messages"),
                        dialogue.transcript("messages").alias("transcript"))
 
 
 @query("golden_scan", f"""
-    SELECT text AS question, {q.preview('text', 80)} AS answer, 'DOC-' || item_id || ' | Clause 1' AS grounding_reference
-    FROM benchmark""")
+    SELECT row_number() OVER (ORDER BY item_id) - 1 AS idx, text AS question, {q.preview('text', 80)} AS answer,
+        'DOC-' || item_id || ' | Clause 1' AS grounding_reference FROM benchmark""")
 def golden_scan(spark, sf):
     out = scratch_path(spark, "golden")
-    table(spark, sf, "benchmark").select(
+    # One file in the order of the items, so that the place in the file is known.
+    table(spark, sf, "benchmark").coalesce(1).sortWithinPartitions("item_id").select(
         F.col("text").alias("question"), tx.preview(F.col("text"), 80).alias("answer"),
         F.concat(F.lit("DOC-"), "item_id", F.lit(" | Clause 1")).alias("grounding_reference"),
     ).write.options(**writers.CSV).csv(out)
-    return records.read_golden(spark, out).select("question", "answer", "grounding_reference")
+    return records.read_golden(spark, out).select("idx", "question", "answer", "grounding_reference")
 
 
 @query("eval_results_scan", """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators.context import joined_in_order, shown_float
+from docloom.session import scratch_path
 
 # Cells keep their own white space; an empty text differs from a missing one.
 CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""',
@@ -17,11 +18,19 @@ CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""',
 
 
 def export_tables(df: DataFrame, out: str, doc: str = "doc_id", table: str = "table_index") -> DataFrame:
-    """All tables as CSV by document and table, and as Parquet for SQL; returns index, name, rows, columns."""
+    """All tables as CSV by document and table, and as Parquet for SQL; returns index, name, rows, columns.
+
+    A table that was exported before is replaced, every other one stays. The rows are
+    computed once: the counts and the CSV come from what was stored.
+    """
+    spark = df.sparkSession
     cols = [c for c in df.columns if c not in (doc, table)]
-    df.write.mode("overwrite").partitionBy(doc, table).parquet(f"{out}/sql")
-    stored = df.sparkSession.read.schema(df.schema).parquet(f"{out}/sql")
-    stored.write.mode("overwrite").partitionBy(doc, table).options(**CSV).csv(f"{out}/csv")
+    fresh = scratch_path(spark, "tables")
+    df.write.parquet(fresh)
+    stored = spark.read.schema(df.schema).parquet(fresh)
+    for folder, form, options in (("sql", "parquet", {}), ("csv", "csv", CSV)):
+        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(doc, table).options(
+            **options).format(form).save(f"{out}/{folder}")
     counted = stored.groupBy(doc, table).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(doc, table, table_name(doc, table).alias("sql_table"), "rows", F.lit(len(cols)).alias("cols"))
 
@@ -32,7 +41,7 @@ def table_name(doc: str, table: str):
 
 def table_view(spark: SparkSession, out: str, doc: str, table: int, name: str) -> DataFrame:
     """One exported table under its SQL name (partition pruning reads only its files)."""
-    view = spark.read.parquet(f"{out}/sql").where(f"doc_id = '{doc}' AND table_index = {int(table)}")
+    view = spark.read.parquet(f"{out}/sql").where((F.col("doc_id") == doc) & (F.col("table_index") == int(table)))
     view = view.drop("doc_id", "table_index")
     view.createOrReplaceTempView(name)
     return view

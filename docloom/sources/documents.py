@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html import unescape
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
@@ -27,9 +30,7 @@ def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".
         reader = spark.read.option("pathGlobFilter", f"*{suffix}")
         try:
             if suffix == ".csv":
-                raw = reader.csv(path, header=True, multiLine=True, quote='"', escape='"')
-                body = row_text(raw.columns)
-                found = raw.select(body.alias("content"), F.col("_metadata.file_name").alias("source"))
+                found = _csv_documents(spark, reader, path)
             elif suffix == ".parquet":
                 raw = reader.parquet(path)
                 rest = [c for c in raw.columns if c not in (text, "source", "content")]
@@ -48,6 +49,21 @@ def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".
     return union_hits(*frames)
 
 
+def _csv_documents(spark: SparkSession, reader, path: str) -> DataFrame:
+    """One document per CSV row. Files are read together with those of equal header, each group with its own columns."""
+    first = reader.text(path, wholetext=False).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    # The header is the first line of a file's first block; one short line per file comes to the driver.
+    lines = first.where("at = 0").groupBy("file").agg(F.first("value").alias("header")).collect()
+    groups: dict[str, list[str]] = {}
+    for line in lines:
+        groups.setdefault(line["header"], []).append(line["file"])
+    frames = []
+    for files in groups.values():
+        raw = spark.read.csv(sorted(files), header=True, multiLine=True, quote='"', escape='"')
+        frames.append(raw.select(row_text(raw.columns).alias("content"), F.col("_metadata.file_name").alias("source")))
+    return union_hits(*frames) if frames else spark.createDataFrame([], "content string, source string")
+
+
 def row_text(cols: Sequence[str]) -> Column:
     """``column: value`` lines in column order."""
     return F.array_join(F.array(*[
@@ -60,8 +76,12 @@ def rows_to_documents(df: DataFrame, order_by: str, bucket: Sequence[Column]) ->
     return row_positions(df, [], [order_by], bucket, "row").select("row", row_text(df.columns).alias("content"))
 
 
+def supported(path: Column, suffixes: Sequence[str] = tuple(V.EXTRACTABLE_SUFFIXES)) -> Column:
+    return tx.suffix(path).isin(*suffixes)
+
+
 def filter_ext(df: DataFrame, path: str, suffixes: Sequence[str] = tuple(V.EXTRACTABLE_SUFFIXES)) -> DataFrame:
-    return df.where(tx.suffix(F.col(path)).isin(*suffixes))
+    return df.where(supported(F.col(path), suffixes))
 
 
 def join_paragraphs(df: DataFrame, text: str = "text") -> DataFrame:
@@ -84,20 +104,26 @@ def with_path_ids(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumn("doc_id", tx.grandparent(F.col(path))).withColumn("item_id", tx.stem(F.col(path)))
 
 
-# Elements without visible text, elements that end a line, named entities.
+# Elements without visible text, elements that end a line, what may stand inside a tag.
 SILENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 BLOCK_TAGS = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|"
-              r"header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>")
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+              r"header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b")
+INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+
+
+def _decoded(text: pd.Series) -> pd.Series:
+    """Every named and numeric character reference; a space that must not break counts as one."""
+    return text.map(lambda t: t if t is None or "&" not in t else unescape(t).replace("\u00a0", " "))
 
 
 def text_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Non-empty text blocks of HTML pages in document order."""
     c = F.regexp_replace(F.col(html), SILENT, "")
-    c = F.regexp_replace(F.replace(c, F.lit("\n"), F.lit(" ")), BLOCK_TAGS, "\n")
-    c = F.regexp_replace(c, "<[^>]*>", "")
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(char))
+    c = F.replace(c, F.lit("\n"), F.lit(" "))
+    # Quoted attributes may hold a closing bracket; a tag whose quotes do not close ends at the first one.
+    for inside in (INSIDE, "[^>]*>"):
+        c = F.regexp_replace(F.regexp_replace(c, BLOCK_TAGS + inside, "\n"), f"<[a-zA-Z/!?]{inside}", "")
+    c = pandas_udf(_decoded, "string")(c)
     blocks = F.filter(F.transform(F.split(c, "\n"), tx.strip), lambda b: b != "")
     return pages.select(key, F.posexplode(blocks).alias("block_index", "block"))
 

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from docloom.operators.numbering import row_positions
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
-CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# A missing cell is written as nothing and an empty one as two quotes; the mark for missing cells must differ from both.
+CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
 REQUIRED = ("question", "answer")
 
 EVAL_SCHEMA = T.StructType([

@@ -105,17 +105,18 @@ def test_fixed_windows(spark, size, overlap):
         assert sorted(got.get(i, [])) == want
 
 
-@pytest.mark.parametrize("n", [0, 1, 19, 20, 21, 37, 38, 55, 500])
+#: Rows of a table, and the (first, end) of its groups of 20 with 3 rows shared.
+ROW_GROUPS = {
+    0: [], 1: [(0, 1)], 19: [(0, 19)], 20: [(0, 20)], 21: [(0, 20), (17, 21)], 37: [(0, 20), (17, 37)],
+    38: [(0, 20), (17, 37), (34, 38)], 55: [(0, 20), (17, 37), (34, 54), (51, 55)],
+}
+
+
+@pytest.mark.parametrize("n", sorted(ROW_GROUPS))
 def test_row_groups(spark, n):
     df = spark.range(n).select(F.lit("t").alias("t"), F.col("id").alias("k"))
     got = ck.chunk_rows(df, ["t"], ["k"], integer_bucket("k", 16)).collect()
-    want, start = [], 0
-    while start < n:
-        end = min(start + 20, n)
-        want += [(start // 17 + 1, start, end, r) for r in range(start, end)]
-        if end >= n:
-            break
-        start += 17
+    want = [(i, a, b, row) for i, (a, b) in enumerate(ROW_GROUPS[n], 1) for row in range(a, b)]
     assert sorted((r.chunk_index_in_table, r.row_start, r.row_end_exclusive, r.row_number) for r in got) == want
 
 

@@ -8,8 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from docloom.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +22,10 @@ def test_agrees_with_sql(spark, con, sf, name):
     assert ok, note
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 40 and "prediction" in df.columns

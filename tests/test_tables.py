@@ -91,6 +91,11 @@ def test_latency_drops_warm_up(spark):
     assert {r.m: r.runs for r in measure.latency(df, "m", "run", "ms").collect()} == {"a": 6}
 
 
+def test_latency_counts_tied_runs(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0), ("b", 1, 1.0), (None, 1, 2.0), (None, 2, 4.0)], "m string, run int, ms double")
+    assert {r.m: (r.avg_latency, r.runs) for r in measure.latency(df, "m", "run", "ms").collect()} == {"a": (7.0, 1), None: (4.0, 1)}
+
+
 def test_pair_and_improvement(spark):
     df = spark.createDataFrame([("x", "base", 200.0), ("x", "int8", 150.0), ("y", "base", 0.0)], "k string, m string, v double")
     both = measure.pair(df, ["k"], "m", "v", "base", "int8")
@@ -123,15 +128,28 @@ def test_history_blocks_rebuild_every_prefix(spark, block):
     rows = threads()
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
     blocks = {(r.conv_id, r.block): [(m.role, m.content) for m in r.messages]
-              for r in dialogue.thread_blocks(df, block=block).collect()}
+              for r in dialogue.thread_blocks(df, block).collect()}
     assert all(len(m) <= block for m in blocks.values())
-    for r in dialogue.running_history(df, block=block).collect():
+    for r in dialogue.block_history(df, block).collect():
         before = [m for b in range(r.block) for m in blocks[r.conv_id, b]]
         whole = before + [(m.role, m.content) for m in r.history]
         want = [(role, text) for c, t, role, text in sorted(rows) if c == r.conv_id and t <= r.turn]
         assert whole == want and r.n_messages == len(want)
 
 
+def test_a_long_thread_is_complete(spark):
+    rows = [(1, t, "user", f"m{t}") for t in range(200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    assert [m.content for m in dialogue.threads(df).collect()[0].messages] == [f"m{t}" for t in range(200)]
+    got = {r.turn: [m.content for m in r.history] for r in dialogue.running_history(df).collect()}
+    assert got == {t: [f"m{i}" for i in range(t + 1)] for t in range(200)}
+
+
+def test_last_message_of_tied_turns(spark):
+    df = spark.createDataFrame([(1, 2, "user", "b"), (1, 2, "user", "a"), (1, 1, "x", "z")], "conv_id long, turn long, role string, text string")
+    assert [tuple(r) for r in dialogue.last_message(df).collect()] == [(1, 2, "user", "b")]
+
+
 def test_last_message(spark):
     df = spark.createDataFrame(threads(), "conv_id long, turn long, role string, text string")
     assert {r.conv_id: r.text for r in dialogue.last_message(df).collect()} == {1: "m1-22", 2: "m2-0", 3: "m3-7"}
@@ -166,7 +184,7 @@ def test_collection_of_base_and_batches(spark, tmp_path):
     def frame(*rows):
         return spark.createDataFrame(rows, "id string, v string, n int, kind string")
 
-    collection.write_base(frame(("a", "1", 0, "x"), ("b", "1", 0, "y")), path, "kind")
+    collection.write_base(frame(("a", "0", -1, "x"), ("a", "1", 0, "x"), ("b", "1", 0, "y")), path, "id", "n", "kind")
     assert collection.read_collection(spark, path, "id", "n").count() == 2
     collection.write_delta(frame(("b", "2", 1, "y"), ("b", "3", 2, "y")), path, 0)
     collection.write_delta(frame(("b", "3", 2, "y"), ("c", "1", 0, "x")), path, 1)
@@ -175,4 +193,4 @@ def test_collection_of_base_and_batches(spark, tmp_path):
     got = sorted((r.id, r.v, r.kind) for r in collection.read_collection(spark, path, "id", "n").collect())
     assert got == [("a", "1", "x"), ("b", "3", "y"), ("c", "9", "x")]
     with pytest.raises(Exception, match="already exists"):
-        collection.write_base(frame(("a", "1", 0, "x")), path, "kind")
+        collection.write_base(frame(("a", "1", 0, "x")), path, "id", "n", "kind")
