@@ -243,10 +243,8 @@ def _pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
         ["a", "b", "part", "tree", "prefix"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach ``100 * intersection >= percent * union``."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = saved(full_sets(docs.join(wanted, "doc_id", "left_semi"), size), "sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     met = pairs.select("a", "b").join(one, "a").join(two, "b")
@@ -271,13 +269,16 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     pairs = saved(candidates(reps), "candidates")
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("trees", "b")).alias("b")).union(
         pairs.groupBy("b").agg(F.max_by("a", F.struct("trees", "a")).alias("a")).select("a", "b")).distinct()
-    links = saved(confirmed(best, rows, size, percent), "links")
+    # The texts that need comparing are fetched once for all rounds, by a join that is the same at every size.
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = saved(full_sets(rows.join(wanted.hint("merge"), "doc_id", "left_semi"), size), "sets")
+    links = saved(confirmed(best, sets, percent), "links")
     found = saved(components(links), "components")
     rest = pairs.select("a", "b").join(found.select(F.col("node").alias("a"), F.col("component_id").alias("ca")), "a", "left")
     rest = rest.join(found.select(F.col("node").alias("b"), F.col("component_id").alias("cb")), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     rest = saved(rest.join(best, ["a", "b"], "left_anti"), "rest")
-    more = saved(confirmed(rest, rows, size, percent), "links")
+    more = saved(confirmed(rest, sets, percent), "links")
     found = saved(components(links.union(more)), "components") if more.limit(1).count() else found
     named = heads.join(found.select(F.col("node").alias("head"), "component_id"), "head", "left").select(
         "class", F.coalesce("component_id", "head").alias("component_id"))
@@ -292,4 +293,5 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     A document is its id: rows with a null id stay, rows that repeat an id stay or go together.
     """
     gone = near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.where("_gone IS NOT NULL").distinct(), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    gone = gone.where("_gone IS NOT NULL").distinct().hint("merge")
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
