@@ -55,12 +55,15 @@ def build_context(hits: DataFrame, style: str = "numbered", query: Sequence[str]
 
 
 def pack_contexts(hits: DataFrame, query: str = "query_id", rank: str = "rank", content: str = "content",
-                  source: str = "source") -> DataFrame:
+                  source: str = "source", style: str | None = None) -> DataFrame:
+    """Contents and sources of a hit list in rank order; with a style the prompt's context as well, in the same pass."""
     named = tx.first_filled(F.col(source), default="Unknown")
-    return hits.groupBy(query).agg(
-        joined_in_order(rank, F.col(content), V.CONTEXT_JOINER).alias("contexts_joined"),
-        joined_in_order(rank, named, V.SOURCE_JOINER).alias("sources"),
-    )
+    texts = [joined_in_order(rank, F.col(content), V.CONTEXT_JOINER).alias("contexts_joined"),
+             joined_in_order(rank, named, V.SOURCE_JOINER).alias("sources")]
+    if style:
+        block = F.concat(block_header(style, rank), F.lit("\n"), F.coalesce(F.col(content), F.lit("")))
+        texts.append(joined_in_order(rank, block, V.BLOCK_JOINER).alias("context"))
+    return hits.groupBy(query).agg(*texts)
 
 
 def unpack_contexts(df: DataFrame) -> DataFrame:

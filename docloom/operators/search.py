@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,13 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docloom.operators.numbering import top_k
 
-# Queries up to this count travel with the tasks (2048 x 64 floats = 1 MB).
-MAX_SHIPPED_QUERIES = 2_048
-GRID_QUERIES = 2_048
-GRID_VECTORS = 32_768
+# Queries that travel with the tasks of one scan (2048 x 64 floats = 1 MB); more are cut into blocks of this size.
+BLOCK_QUERIES = 2_048
+# Hit rows up to this count are broadcast to the table that holds their content.
+BROADCAST_HITS = 100_000
 SCORE_DIGITS = 9
 ROWS_AT_ONCE = 2_048
 
@@ -36,6 +39,9 @@ def squared_l2(a: str, b: str, dim: int) -> Column:
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError(f"vectors of different lengths in one table: {sorted(set(lengths.tolist()))}")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
@@ -60,7 +66,7 @@ def _nearest(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int)
 
 
 class _Best:
-    """The k best rows seen so far per (group, query); its size does not grow with the input."""
+    """The k best rows seen so far per (group, query) of one task: groups x block of queries x k entries at most."""
 
     def __init__(self, k: int):
         self.k = k
@@ -89,10 +95,19 @@ def _ids_array(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False)
 
 
-def collect_queries(queries: DataFrame, query_id: str, vector: str) -> list | None:
-    """The query vectors if there are few enough to ship, else None."""
-    rows = queries.select(query_id, vector).limit(MAX_SHIPPED_QUERIES + 1).collect()
-    return rows if len(rows) <= MAX_SHIPPED_QUERIES else None
+def query_blocks(queries: DataFrame, query_id: str, vector: str) -> list[list]:
+    """The query vectors in blocks of at most ``BLOCK_QUERIES``; queries without a vector find nothing."""
+    given = queries.where(F.col(vector).isNotNull()).select(query_id, vector)
+    rows = given.limit(BLOCK_QUERIES + 1).collect()
+    if len(rows) <= BLOCK_QUERIES:
+        return [rows]
+    # Dealt by hash into parts that stay below the block size, one part on the driver at a time.
+    parts = -(-2 * given.count() // BLOCK_QUERIES)
+    blocks = []
+    for part in range(parts):
+        rows = given.where(F.pmod(F.xxhash64(query_id), F.lit(parts)) == part).collect()
+        blocks += [rows[lo:lo + BLOCK_QUERIES] for lo in range(0, len(rows), BLOCK_QUERIES)]
+    return blocks
 
 
 def _hit_schema(queries: DataFrame, vectors: DataFrame, query_id: str, vector_id: str, group: str | None):
@@ -104,12 +119,13 @@ def _hit_schema(queries: DataFrame, vectors: DataFrame, query_id: str, vector_id
     return T.StructType(fields)
 
 
-def _scan_shipped(rows: list, queries, vectors, query_id, vector_id, vector, group, k) -> DataFrame:
+def _scan_block(rows: list, queries, vectors, query_id, vector_id, vector, group, k) -> DataFrame:
     schema = _hit_schema(queries, vectors, query_id, vector_id, group)
     names = [r[0] for r in rows]
     matrix = np.asarray([r[1] for r in rows], dtype=np.float64)
     shipped = vectors.sparkSession.sparkContext.broadcast((names, matrix))
     columns = [vector_id, vector] + ([group] if group else [])
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, q = shipped.value
@@ -124,58 +140,11 @@ def _scan_shipped(rows: list, queries, vectors, query_id, vector_id, vector, gro
                for i, s in zip(ids.tolist(), scores.tolist())]
         cols = [[r[0] for r in out]] + ([[r[1] for r in out]] if group else [])
         cols += [[r[2] for r in out], [r[3] for r in out]]
-        types = [_arrow_type(f.dataType) for f in schema.fields]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=schema.names)
 
     return vectors.select(*columns).mapInArrow(scan, schema)
 
 
-def _arrow_type(kind: T.DataType) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
-            "string": pa.string()}[kind.simpleString()]
-
-
-def _cells(n: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-
-
-def _scan_grid(queries, vectors, query_id, vector_id, vector, group, k) -> DataFrame:
-    """Many queries: tile the (queries x vectors) work into cells of bounded size.
-
-    Each side is dealt into rows or columns of a grid by hash and copied along
-    the other axis; a cell then holds a bounded block of both, emits only its
-    own best k, and the cells merge in the final top-k.
-    """
-    schema = _hit_schema(queries, vectors, query_id, vector_id, group)
-    n_rows = max(1, -(-queries.count() // GRID_QUERIES))
-    n_cols = max(1, -(-vectors.count() // GRID_VECTORS))
-    left = queries.select(
-        F.col(query_id), F.col(vector).alias("_qv"),
-        F.pmod(F.xxhash64(query_id), F.lit(n_rows)).alias("_row"),
-        F.explode(_cells(n_cols)).alias("_col"),
-    )
-    right = vectors.select(
-        F.col(vector_id), F.col(vector).alias("_vv"), *([F.col(group)] if group else []),
-        F.pmod(F.xxhash64(vector_id), F.lit(n_cols)).alias("_col"),
-        F.explode(_cells(n_rows)).alias("_row"),
-    )
-
-    def cell(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(k)
-        if len(q) and len(v):
-            ids = v[vector_id].to_numpy()
-            ids = ids.astype(np.str_) if ids.dtype == object else ids
-            groups = v[group].to_numpy() if group else np.zeros(len(v), dtype=np.int8)
-            best.scan(np.stack(q["_qv"]).astype(np.float64), np.stack(v["_vv"]).astype(np.float64), ids, groups)
-        labels = q[query_id].tolist()
-        out = [(labels[qi], *([g] if group else []), i, s) for (g, qi), (ids, scores) in best.kept.items()
-               for i, s in zip(ids.tolist(), scores.tolist())]
-        return pd.DataFrame(out, columns=schema.names)
-
-    return (left.groupBy("_row", "_col").cogroup(right.groupBy("_row", "_col"))
-            .applyInPandas(cell, schema))
-
-
 def knn(
     queries: DataFrame,
     vectors: DataFrame,
@@ -184,23 +153,23 @@ def knn(
     vector_id: str = "vec_id",
     vector: str = "embedding",
     group: str | None = None,
-    shipped: list | None | bool = False,
+    blocks: list[list] | None = None,
 ) -> DataFrame:
     """Exact k nearest vectors per query (and per ``group`` value), squared L2, ties by id.
 
-    One scan of the vectors without a shuffle when the counted queries fit
-    ``MAX_SHIPPED_QUERIES``; a grid of bounded blocks otherwise. ``shipped`` takes
-    the result of :func:`collect_queries` when the caller already has it.
+    The vectors are scanned where they lie, once for each block of queries; each task
+    keeps its best k and only those are shuffled. Rows without a vector are
+    never found. ``blocks`` takes the result of :func:`query_blocks` when the caller has it.
     """
-    rows = collect_queries(queries, query_id, vector) if shipped is False else shipped
-    scan = _scan_grid if rows is None else lambda *a: _scan_shipped(rows, *a)
-    local = scan(queries, vectors, query_id, vector_id, vector, group, k)
+    blocks = query_blocks(queries, query_id, vector) if blocks is None else blocks
+    there = vectors.where(F.col(vector).isNotNull())
+    local = reduce(DataFrame.union, [_scan_block(rows, queries, there, query_id, vector_id, vector, group, k) for rows in blocks])
     return top_k(local, [query_id] + ([group] if group else []), ["score", vector_id], k)
 
 
-def with_payload(hits: DataFrame, table: DataFrame, key: str, bounded: bool) -> DataFrame:
-    """Attach content to hits. With shipped queries the hits are few (queries x k rows)."""
-    side = F.broadcast(hits) if bounded else hits
+def with_payload(hits: DataFrame, table: DataFrame, key: str, most: int | None) -> DataFrame:
+    """Attach content to hits; ``most`` bounds their number, and few enough are broadcast to the content."""
+    side = F.broadcast(hits) if most is not None and most <= BROADCAST_HITS else hits
     return table.join(side, key)
 
 
@@ -231,20 +200,25 @@ def band_keys(vector: Column, bands: int, bits: int, dim: int) -> Column:
 def knn_lsh(
     queries: DataFrame, vectors: DataFrame, k: int,
     query_id: str = "query_id", vector_id: str = "vec_id", vector: str = "embedding",
-    bands: int = 8, bits: int = 4, dim: int = 64,
+    bands: int = 8, bits: int | None = None, dim: int = 64,
 ) -> DataFrame:
     """Approximate neighbours: equal bucket in any band, exact re-score, top k.
 
-    A pair counts in its first shared band only, so pairs in several buckets need
-    no distinct. Few (counted) queries are broadcast and the vectors stay where
-    they are; otherwise the join shuffles, and a hot bucket is split at run time.
+    ``bits`` follows the number of vectors unless given: a bucket of a band should hold about
+    eight of them. A pair counts in its first shared band only, so pairs in several buckets need
+    no distinct. The candidates are pairs of ids; vectors are fetched for them afterwards. Few
+    (counted) queries are broadcast; otherwise the join shuffles, and a hot bucket is split at run time.
     """
-    few = queries.limit(MAX_SHIPPED_QUERIES + 1).count() <= MAX_SHIPPED_QUERIES
+    few = queries.limit(BLOCK_QUERIES + 1).count() <= BLOCK_QUERIES
+    bits = bits or max(4, round(math.log2(max(vectors.count(), 128) / 8)))
+    queries, vectors = (df.where(F.col(vector).isNotNull()) for df in (queries, vectors))
     left = queries.select(query_id, F.col(vector).alias("_qv"), band_keys(F.col(vector), bands, bits, dim).alias("_qk"))
-    right = vectors.select(vector_id, F.col(vector).alias("_vv"), band_keys(F.col(vector), bands, bits, dim).alias("_vk"))
-    probes = left.select("*", F.explode("_qk").alias("_key"))
+    right = vectors.select(vector_id, band_keys(F.col(vector), bands, bits, dim).alias("_vk"))
+    probes = left.select(query_id, "_qk", F.explode("_qk").alias("_key"))
     filed = right.select("*", F.explode("_vk").alias("_key"))
     first_shared = F.element_at(F.array_intersect("_qk", "_vk"), 1)
-    pairs = filed.join(F.broadcast(probes) if few else probes, "_key").where(F.col("_key") == first_shared)
+    found = filed.join(F.broadcast(probes) if few else probes, "_key").where(F.col("_key") == first_shared).select(query_id, vector_id)
+    asked = left.select(query_id, "_qv")
+    pairs = found.join(vectors.select(vector_id, F.col(vector).alias("_vv")), vector_id).join(F.broadcast(asked) if few else asked, query_id)
     scored = pairs.select(query_id, vector_id, squared_l2("_qv", "_vv", dim).alias("score"))
     return top_k(scored, [query_id], ["score", vector_id], k)

@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import scoring
-from docloom.operators import context, evaluation
+from docloom.operators import context
 from docloom.plans.retrieval import retrieve
 
 
 def evaluate(golden: DataFrame, chunks: DataFrame, k: int = V.TOP_K, completer=None) -> DataFrame:
     """``golden(query_id, question, ground_truth)`` to one scored row per question."""
     hits = retrieve(golden.select("query_id", "question"), chunks, k)
-    packed = context.pack_contexts(hits)
-    blocks = context.build_context(hits, "source")
-    rows = golden.join(packed.join(blocks, "query_id"), "query_id").withColumn(
+    rows = golden.join(context.pack_contexts(hits, style="source"), "query_id").withColumn(
         "prompt", context.rag_prompt("question_first", F.col("question"), F.col("context")))
     answered = context.answer(rows, completer=completer)
     return answered.select(
@@ -26,15 +24,8 @@ def evaluate(golden: DataFrame, chunks: DataFrame, k: int = V.TOP_K, completer=N
     )
 
 
-def judged(results: DataFrame) -> DataFrame:
-    """Lexical support ratios per row, under names of their own."""
-    ctx = F.col("contexts_joined")
-    return results.select(
-        "query_id",
-        scoring.support_ratio(F.col("ground_truth"), ctx).alias("reference_support"),
-        scoring.support_ratio(F.col("prediction"), ctx).alias("answer_support"),
-    )
-
-
 def scored_and_judged(results: DataFrame) -> DataFrame:
-    return evaluation.merge_metrics(results, judged(results), "query_id")
+    """The results with lexical support ratios, under names of their own."""
+    ctx = F.col("contexts_joined")
+    return results.withColumn("reference_support", scoring.support_ratio(F.col("ground_truth"), ctx)).withColumn(
+        "answer_support", scoring.support_ratio(F.col("prediction"), ctx))

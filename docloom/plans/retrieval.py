@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
-from docloom.operators import chunking, context, embed, ensemble, search
+from docloom.operators import chunking, context, embed, ensemble, measure, search
+from docloom.session import scratch_path
 
 META = ["chunk_uid", "vector_id", "id", "doc_id", "table_id", "figure_id",
         "source_docx", "source_csv", "source_image", "source_file"]
@@ -17,17 +18,26 @@ def with_metadata(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.lit(None).cast("string").alias(c) for c in META if c not in df.columns])
 
 
+def stored(chunks: DataFrame) -> DataFrame:
+    """Chunks with their vectors as a table: embedded and written once, so search and content need no second pass
+    over the documents. A frame that has vectors is taken as it is."""
+    if "embedding" in chunks.columns:
+        return chunks
+    path = scratch_path(chunks.sparkSession, "chunks")
+    rows = embed.embed(chunks, "content")
+    rows.write.parquet(path)
+    return chunks.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def retrieve(questions: DataFrame, chunks: DataFrame, k: int, chunk_id: str = "chunk_id",
              group: str | None = None) -> DataFrame:
     """Ranked hits with their content; ``questions(query_id, question)``, ``chunks(chunk_id, content, ...)``."""
     asked = embed.embed(questions, "question")
-    stored = chunks if "embedding" in chunks.columns else embed.embed(chunks, "content")
-    shipped = search.collect_queries(asked, "query_id", "embedding")
-    hits = search.knn(asked, stored, k, vector_id=chunk_id, group=group, shipped=shipped)
-    payload = chunks.drop("embedding")
-    if group:
-        payload = payload.drop(group)
-    return search.with_payload(hits, payload, chunk_id, bounded=shipped is not None and group is None)
+    held = stored(chunks)
+    blocks = search.query_blocks(asked, "query_id", "embedding")
+    hits = search.knn(asked, held, k, vector_id=chunk_id, group=group, blocks=blocks)
+    payload = held.drop("embedding", *([group] if group else []))
+    return search.with_payload(hits, payload, chunk_id, None if group else k * sum(map(len, blocks)))
 
 
 def answer_questions(questions: DataFrame, chunks: DataFrame, k: int = V.TOP_K,
@@ -48,11 +58,11 @@ def ensemble_hits(questions: DataFrame, collection: DataFrame, per_modality: int
     one scan serves every collection. Deduplication and reranking follow the cut.
     """
     asked = embed.embed(questions, "question")
-    stored = collection if "embedding" in collection.columns else embed.embed(collection, "content")
-    shipped = search.collect_queries(asked, "query_id", "embedding")
-    hits = search.knn(asked, stored, per_modality, vector_id="chunk_id", group="modality", shipped=shipped)
+    held = stored(collection)
+    blocks = search.query_blocks(asked, "query_id", "embedding")
+    hits = search.knn(asked, held, per_modality, vector_id="chunk_id", group="modality", blocks=blocks)
     merged = ensemble.ensemble(hits, final).withColumnRenamed("score", "retrieval_score").drop("rank")
-    rows = search.with_payload(merged, collection.drop("embedding", "modality"), "chunk_id", shipped is not None)
+    rows = search.with_payload(merged, held.drop("embedding", "modality"), "chunk_id", final * sum(map(len, blocks)))
     marked = rows.withColumn("fingerprint", ensemble.fingerprint())
     return ensemble.dedupe_small_lists(marked, "query_id", "fingerprint", "ensemble_rank")
 
@@ -70,6 +80,23 @@ def ensemble_context(questions: DataFrame, collection: DataFrame, scorer=ensembl
     return contexts.withColumn("prompt", context.rag_prompt("cited", F.col("question"), F.col("context")))
 
 
+def answer_ensemble(questions: DataFrame, collection: DataFrame, scorer=ensemble.lexical_overlap) -> DataFrame:
+    """Question to answer over all modalities, one row each: retrieved, deduplicated, reranked, answered and counted.
+
+    The short hit list of a question is used twice, for its counts and its contexts, so it is stored once.
+    """
+    path = scratch_path(collection.sparkSession, "hits")
+    ensemble_hits(questions, collection).write.parquet(path)
+    hits = collection.sparkSession.read.parquet(path)
+    kept = ensemble.pairs(questions, hits.where(~F.col("repeat")))
+    final = ensemble.rerank(kept, V.FINAL_CONTEXT_K, scorer=scorer)
+    contexts = context.build_context(final, "index", ["query_id", "question"], "final_rank")
+    ranked = final.groupBy("query_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("final_rank", "chunk_id"))), lambda h: h["chunk_id"]).alias("final_chunks"))
+    prompted = contexts.withColumn("prompt", context.rag_prompt("cited", F.col("question"), F.col("context")))
+    return context.answer(prompted).join(measure.trace_counts(hits), "query_id").join(ranked, "query_id")
+
+
 def text_collection(documents: DataFrame, size: int = V.LONG_CHUNK_SIZE, overlap: int = V.LONG_CHUNK_OVERLAP,
                     recursive: bool = True) -> DataFrame:
     """Text chunks with per-document ids that stay put when other documents change."""

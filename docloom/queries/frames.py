@@ -24,11 +24,11 @@ def centroids(spark: SparkSession, sf: str) -> DataFrame:
 def hits(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
     """Ranked neighbours of the label centroids with document content and source."""
     queries = centroids(spark, sf)
-    shipped = search.collect_queries(queries, "query_id", "embedding")
-    found = search.knn(queries, table(spark, sf, "embeddings"), k, shipped=shipped)
+    blocks = search.query_blocks(queries, "query_id", "embedding")
+    found = search.knn(queries, table(spark, sf, "embeddings"), k, blocks=blocks)
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("text").alias("content"), "source", "lang")
-    return search.with_payload(found, docs, "vec_id", shipped is not None)
+    return search.with_payload(found, docs, "vec_id", k * sum(map(len, blocks)))
 
 
 def metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,6 +97,5 @@ def stored_collection(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.open_collection(spark, path)
 
 
-def ensemble_hits(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
-    rows = stored_collection(spark, sf) if stored else collection(spark, sf)
-    return retrieval.ensemble_hits(questions(spark, sf), rows)
+def ensemble_hits(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieval.ensemble_hits(questions(spark, sf), stored_collection(spark, sf))

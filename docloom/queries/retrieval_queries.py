@@ -30,7 +30,7 @@ def knn_collection(spark, sf):
     return search.knn(frames.centroids(spark, sf), vectors, 4, group="collection")
 
 
-def _lsh_sql(bands: int = 8, bits: int = 4, dim: int = 64) -> str:
+def _lsh_sql(bands: int = 8, bits: int = 8, dim: int = 64) -> str:
     return "WITH" + q.CENTROIDS + f""",
     w AS (SELECT p, list(CASE WHEN ('0x' || substr(md5(p || ':' || d), 1, 8))::UBIGINT % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END
         ORDER BY d) AS w FROM range({bands * bits}) t(p), range({dim}) u(d) GROUP BY p),
@@ -48,7 +48,7 @@ def _lsh_sql(bands: int = 8, bits: int = 4, dim: int = 64) -> str:
 
 @query("knn_lsh", _lsh_sql(), ints="query_id rank")
 def knn_lsh(spark, sf):
-    return search.knn_lsh(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 3)
+    return search.knn_lsh(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 3, bits=8)
 
 
 @query("query_candidate_pairs", "WITH" + q.HITS + """

@@ -114,25 +114,32 @@ def sink_sidecar_json(spark, sf):
 
 
 @query("sink_trace", "WITH" + q.ENSEMBLE + """
-    SELECT query_id, 4 AS top_k, 7 AS final_k, count(*) AS retrieved_raw, sum(repeat::INT)::BIGINT AS dedupe_removed,
-        sum((NOT repeat)::INT)::BIGINT AS final_context, round(sum(score), 4) AS retrieval,
-        'Token counts not available from this call path.' AS chat_note FROM ehits GROUP BY query_id""")
+    SELECT query_id, any_value(question) AS query, 4 AS top_k, 7 AS final_k, true AS rerank, count(*) AS retrieved_raw,
+        sum(repeat::INT)::BIGINT AS dedupe_removed, sum((NOT repeat)::INT)::BIGINT AS final_context,
+        sum(length(content))::BIGINT AS embedded, round(sum(length(content)) / 1000.0 * 0.0001, 9)::DOUBLE AS embed_cost,
+        'Token counts not available from this call path.' AS chat_note, 0.005 AS vlm_rate,
+        'run_0001/q_' || query_id || '/answer.txt' AS answer_txt FROM ehits GROUP BY query_id""", ints="top_k final_k")
 def sink_trace(spark, sf):
     out = scratch_path(spark, "trace")
-    hits = frames.ensemble_hits(spark, sf, stored=True)
-    # Distances stand in for stage seconds: the tables hold no clock readings per question.
-    both = measure.trace_counts(hits)
-    timings = hits.groupBy("query_id").agg(F.sum("retrieval_score").alias("retrieval"))
-    config = {"TOP_K_PER_MODALITY": 4, "FINAL_CONTEXT_K": 7, "ENABLE_DEDUPE": True, "ENABLE_RERANK": True}
-    writers.write_json(writers.trace_frame(both, timings, config), out)
+    hits = frames.ensemble_hits(spark, sf)
+    counts = measure.trace_counts(hits).join(frames.questions(spark, sf), "query_id")
+    # Each character of a hit counts as an embedding token; the other stages leave none.
+    tokens = hits.select("query_id", F.lit("embeddings").alias("stage"), F.length("content").cast("long").alias("input_tokens"),
+                         F.lit(None).cast("long").alias("output_tokens"))
+    config = {"TOP_K_PER_MODALITY": 4, "FINAL_CONTEXT_K": 7, "ENABLE_DEDUPE": True, "ENABLE_RERANK": True, "RERANK_TOP_K": 7}
+    artifacts = {"answer_txt": "run_0001/q_{query}/answer.txt", "retrieval_raw_csv": "run_0001/q_{query}/retrieval_raw.csv"}
+    writers.write_json(writers.trace_frame(counts, config, tokens=tokens, artifacts=artifacts), out)
     back = spark.read.schema(
-        "query_id BIGINT, config STRUCT<TOP_K_PER_MODALITY: INT, FINAL_CONTEXT_K: INT>, "
+        "query_id BIGINT, query STRING, config STRUCT<TOP_K_PER_MODALITY: INT, FINAL_CONTEXT_K: INT, ENABLE_RERANK: BOOLEAN>, "
         "counts STRUCT<retrieved_raw: BIGINT, dedupe_removed: BIGINT, final_context: BIGINT>, "
-        "timings_sec STRUCT<retrieval: DOUBLE>, cost_placeholders STRUCT<chat: STRUCT<note: STRING>>").json(out)
+        "cost_placeholders STRUCT<chat: STRUCT<note: STRING>, embeddings: STRUCT<input_tokens: BIGINT, cost_usd: DOUBLE>, "
+        "rates_config: STRUCT<vlm_cost_per_1k_output: DOUBLE>>, artifacts STRUCT<answer_txt: STRING>").json(out)
+    costs = F.col("cost_placeholders")
     return back.select(
-        "query_id", F.col("config.TOP_K_PER_MODALITY").alias("top_k"), F.col("config.FINAL_CONTEXT_K").alias("final_k"),
-        "counts.*", F.col("timings_sec.retrieval").alias("retrieval"),
-        F.col("cost_placeholders.chat.note").alias("chat_note"))
+        "query_id", "query", F.col("config.TOP_K_PER_MODALITY").alias("top_k"), F.col("config.FINAL_CONTEXT_K").alias("final_k"),
+        F.col("config.ENABLE_RERANK").alias("rerank"), "counts.*", costs["embeddings"]["input_tokens"].alias("embedded"),
+        F.round(costs["embeddings"]["cost_usd"], 9).alias("embed_cost"), costs["chat"]["note"].alias("chat_note"),
+        costs["rates_config"]["vlm_cost_per_1k_output"].alias("vlm_rate"), "artifacts.answer_txt")
 
 
 @query("sink_eval_csv", """

@@ -7,7 +7,6 @@ from docloom.plans import retrieval
 from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.registry import query, table
-from docloom.queries.retrieval_queries import QA
 from docloom.session import scratch_path
 from docloom.streaming import jobs
 
@@ -28,18 +27,20 @@ def stream_thread_memory(spark, sf):
     return collection.read_collection(spark, out, "conv_id", "last_turn")
 
 
-@query("stream_queries", QA + """
-    SELECT query_id, chunk_id, rank, score FROM top""", ints="rank")
+@query("stream_queries", "WITH" + q.ENSEMBLE + """,
+    counted AS (SELECT query_id, count(*) AS retrieved_raw, sum(repeat::INT)::BIGINT AS dedupe_removed,
+        sum((NOT repeat)::INT)::BIGINT AS final_context FROM ehits GROUP BY query_id)
+    SELECT query_id, question, string_agg(chunk_id, ',' ORDER BY final_rank) AS chunks, retrieved_raw, dedupe_removed, final_context,
+        count(*) AS n_cited FROM reranked JOIN counted USING (query_id) WHERE final_rank <= 7 GROUP BY ALL""")
 def stream_queries(spark, sf):
     out = scratch_path(spark, "answers")
     asked = stream(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
-    chunks = frames.fixed_chunks(spark, sf)
-
-    def search(batch):
-        return retrieval.retrieve(batch, chunks, 3).select("query_id", "chunk_id", "rank", "score")
-
-    jobs.answer_stream(asked, search, out, scratch_path(spark, "cp")).awaitTermination()
-    return spark.read.parquet(f"{out}/delta").drop("run_no", "batch_no")
+    # The collection is embedded once, before the stream starts; a batch embeds its questions only.
+    held = frames.stored_collection(spark, sf)
+    jobs.answer_stream(asked, lambda batch: retrieval.answer_ensemble(batch, held), out, scratch_path(spark, "cp")).awaitTermination()
+    answers = spark.read.parquet(f"{out}/delta").where(F.col("prediction").isNotNull() & F.contains("prompt", "question"))
+    return answers.select("query_id", "question", F.array_join("final_chunks", ",").alias("chunks"), "retrieved_raw", "dedupe_removed",
+                          "final_context", F.regexp_count("context", F.lit(r"(?m)^\[\d+\] chunk_id=")).cast("long").alias("n_cited"))
 
 
 @query("stream_upsert", "WITH" + q.windows(500, 50) + f"""

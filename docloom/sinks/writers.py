@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
+from docloom.operators import measure
 from docloom.operators.context import joined_in_order, shown_float
 from docloom.session import scratch_path
 
@@ -117,16 +118,35 @@ def write_eval(df: DataFrame, out: str) -> None:
     df.write.mode("errorifexists").options(**CSV).csv(out)
 
 
-def trace_frame(counts: DataFrame, timings: DataFrame, config: dict, query: str = "query_id") -> DataFrame:
-    """One nested record per query: settings, counts, timings and a cost entry per stage."""
-    settings = F.struct(*[F.lit(v).alias(k) for k, v in config.items()])
-    spent = [c for c in timings.columns if c != query]
-    no_cost = F.struct(
-        F.lit(None).cast("double").alias("cost_usd"), F.lit(V.NOTE_NO_TOKENS).alias("note"))
-    return counts.join(timings, query).select(
-        query,
-        settings.alias("config"),
-        F.struct("retrieved_raw", "dedupe_removed", "final_context").alias("counts"),
-        F.struct(*[F.round(c, 4).alias(c) for c in spent]).alias("timings_sec"),
-        F.struct(*[no_cost.alias(s) for s in V.NOTE_NO_RATE]).alias("cost_placeholders"),
-    )
+def trace_frame(counts: DataFrame, config: dict, timings: DataFrame | None = None, tokens: DataFrame | None = None,
+                artifacts: dict | None = None, rates=V.UNIT_COSTS, query: str = "query_id", text: str = "question") -> DataFrame:
+    """One nested record per query: its text, settings, counts, timings, a cost entry per stage with the rates, artifact paths.
+
+    ``timings(query, seconds per stage...)`` holds what the caller measured; without it the record has no timings.
+    ``tokens(query, stage, input_tokens, output_tokens)`` may hold token counts; a stage without any is noted as such.
+    ``artifacts`` maps names to path templates in which ``{query}`` stands for the query's id.
+    """
+    stages = list(V.NOTE_NO_RATE)
+    asked = counts.select(query, F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"))
+    if tokens is None:
+        asked = asked.withColumns({c: F.lit(None).cast("long") for c in ("input_tokens", "output_tokens")})
+    else:
+        asked = asked.join(tokens.groupBy(query, "stage").agg(*[F.sum(c).alias(c) for c in ("input_tokens", "output_tokens")]), [query, "stage"], "left")
+    entry = F.struct("stage", "input_tokens", "output_tokens", "cost_usd", "note", "rates_used")
+    costs = measure.estimate_cost(asked, rates).groupBy(query).agg(
+        *[F.max(F.when(F.col("stage") == s, F.to_json(entry, {"ignoreNullFields": "false"}))).alias(f"_{s}") for s in stages])
+    cost_kind = "stage string, input_tokens long, output_tokens long, cost_usd double, note string, rates_used map<string,double>"
+    rated = F.struct(*[F.lit(rate, ).cast("double").alias(f"{measure.RATE_PREFIX[s]}_cost_per_1k_{side}")
+                       for s, pair in rates.items() for side, rate in zip(("input", "output"), pair)])
+    spent = [c for c in timings.columns if c != query] if timings is not None else []
+    rows = counts.join(costs, query)
+    rows = rows if timings is None else rows.join(timings, query, "left")
+    columns = [F.col(query), *([F.col(text).alias("query")] if text in counts.columns else []),
+               F.struct(*[F.lit(v).alias(k) for k, v in config.items()]).alias("config"),
+               F.struct("retrieved_raw", "dedupe_removed", "final_context").alias("counts")]
+    if spent:
+        columns.append(F.struct(*[F.round(c, 4).alias(c) for c in spent]).alias("timings_sec"))
+    columns.append(F.struct(*[F.from_json(f"_{s}", cost_kind).alias(s) for s in stages], rated.alias("rates_config")).alias("cost_placeholders"))
+    if artifacts:
+        columns.append(F.struct(*[tx.fill_template(path, {"query": F.col(query)}).alias(name) for name, path in artifacts.items()]).alias("artifacts"))
+    return rows.select(*columns)

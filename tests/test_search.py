@@ -37,23 +37,32 @@ def test_shipped_scan_is_exact(spark, data, k):
     assert got == brute(*data, k)
 
 
-def test_grid_equals_shipped_scan(spark, data, monkeypatch):
+@pytest.mark.parametrize("size", [1, 4, 5])
+def test_blocks_of_queries_equal_one_scan(spark, data, monkeypatch, size):
     q, v = frames(spark, data)
-    monkeypatch.setattr(search, "MAX_SHIPPED_QUERIES", 5)
-    monkeypatch.setattr(search, "GRID_QUERIES", 4)
-    monkeypatch.setattr(search, "GRID_VECTORS", 50)
-    assert search.collect_queries(q, "query_id", "embedding") is None
+    monkeypatch.setattr(search, "BLOCK_QUERIES", size)
+    blocks = search.query_blocks(q, "query_id", "embedding")
+    assert len(blocks) > 1 and max(map(len, blocks)) <= size and sum(map(len, blocks)) == q.count()
     got = sorted((r.query_id, r.vec_id, r.score, r["rank"]) for r in search.knn(q, v, 5).collect())
     assert got == brute(*data, 5)
 
 
+def test_missing_and_uneven_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    v = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [1.0, 1.0])], schema)
+    q = spark.createDataFrame([(7, [0.0, 1.0]), (8, None)], "query_id long, embedding array<float>")
+    assert sorted((r.query_id, r.vec_id) for r in search.knn(q, v, 5).collect()) == [(7, 1), (7, 3)]
+    uneven = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0])], schema).coalesce(1)
+    with pytest.raises(Exception, match="different lengths"):
+        search.knn(q, uneven, 5).collect()
+
+
 @pytest.mark.parametrize("limit", [5, 1000])
 def test_groups_and_string_ids(spark, data, monkeypatch, limit):
     from pyspark.sql import functions as F
 
     queries, vectors = data
-    monkeypatch.setattr(search, "MAX_SHIPPED_QUERIES", limit)
-    monkeypatch.setattr(search, "GRID_VECTORS", 64)
+    monkeypatch.setattr(search, "BLOCK_QUERIES", limit)
     q, v = frames(spark, data)
     named = v.select(F.format_string("v%04d", "vec_id").alias("vid"), "embedding",
                      F.when(F.col("vec_id") % 3 == 0, "x").otherwise("y").alias("g"))
@@ -78,7 +87,7 @@ def test_lsh_scores_are_exact_and_recall_is_reported(spark, sf):
     vectors = table(spark, sf, "embeddings")
     queries = qf.centroids(spark, sf)
     exact = {(r.query_id, r.vec_id): r.score for r in search.knn(queries, vectors, 500).collect()}
-    near = search.knn_lsh(queries, vectors, 3).collect()
+    near = search.knn_lsh(queries, vectors, 3, bands=12, bits=4).collect()
     assert all(abs(exact[r.query_id, r.vec_id] - r.score) < 1e-9 for r in near)
     best = {(r.query_id, r.vec_id) for r in search.knn(queries, vectors, 3).collect()}
     recall = len(best & {(r.query_id, r.vec_id) for r in near}) / len(best)
