@@ -133,6 +133,27 @@ def parse_payload(content: Column) -> Column:
     return F.from_json(content, PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
 
 
+def readable_payload(content: Column) -> Column:
+    """The typed record, or NULL for text that is none."""
+    p = parse_payload(content)
+    return F.when(p.isNotNull() & p["_corrupt_record"].isNull(), p.dropFields("_corrupt_record"))
+
+
+def json_text(*columns: str) -> Column:
+    """The columns as one JSON text, in the given order; missing values are left out."""
+    return F.to_json(F.struct(*columns))
+
+
+def metadata_subset(metadata: Column, keys: Sequence[str]) -> Column:
+    """The entries of a metadata map under the wanted keys; keys that are absent stay absent."""
+    return F.map_filter(metadata, lambda k, v: k.isin(*keys))
+
+
+def drop_control_words(df: DataFrame, text: str = "query") -> DataFrame:
+    """Messages that are not one of the words that end a session, whatever their case."""
+    return df.where(~F.lower(text).isin(*V.CONTROL_WORDS))
+
+
 def _listed(name: str, items: Column, n: int) -> Column:
     text = F.array_join(F.slice(items, 1, n), "; ")
     return F.when(F.coalesce(F.size(items), F.lit(0)) > 0, F.concat(F.lit(f"{name}: "), text)).otherwise(

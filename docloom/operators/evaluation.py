@@ -36,9 +36,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = QUARTILES) ->
 
     Sketch quantiles a little to both sides bracket each answer; values are counted
     per distinct value first, and only those inside a bracket meet in its running
-    count. A value shared by a third of all rows is a single row there.
+    count. A value shared by a third of all rows is a single row there. NaN counts as missing.
     """
-    values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    values = df.select(F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-BRACKET, BRACKET)]
     sketch = values.agg(
         F.percentile_approx("v", F.array(*[F.lit(m) for m in marks]), F.lit(int(4 / BRACKET))).alias("b"),
@@ -66,7 +66,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = QUARTILES) ->
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max of one column, as one row."""
+    """count, mean, sample deviation, min, quartiles and max of one column, as one row; NaN counts as missing."""
+    df = df.where(~F.isnan(F.col(col).cast("double")))
     base = df.agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"), F.max(col).alias("max"),

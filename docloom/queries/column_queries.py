@@ -65,7 +65,7 @@ def source_hint(spark, sf):
 def metadata_subset(spark, sf):
     extra = F.create_map(F.lit("lang"), "lang", F.lit("n_chars"), F.col("n_chars").cast("string"), F.lit("source"), "source")
     keys = ["lang", "source", "chunk_uid"]
-    kept = F.map_filter(extra, lambda k, v: k.isin(*keys))
+    kept = context.metadata_subset(extra, keys)
     return table(spark, sf, "documents").select("doc_id", kept.alias("m")).select(
         "doc_id", *[F.col("m")[k].alias(k) for k in keys],
         F.array_join(F.array_sort(F.map_keys("m")), ",").alias("kept_keys"))
@@ -99,17 +99,34 @@ def render_chunk(spark, sf):
 
 
 @query("json_payload_extract", """
-    SELECT event_id, (props->>'$.k')::BIGINT AS k, coalesce(props->>'$.type', 'unknown') AS type FROM events""")
+    WITH p AS (SELECT page_id, url, page_id % 5 <> 0 AS ok, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)
+    SELECT page_id, CASE WHEN ok THEN 'screenshot' END AS type, CASE WHEN ok THEN title END AS summary, CASE WHEN ok THEN 'url;page' END AS key_text,
+        CASE WHEN ok THEN url || '=site' END AS entities, CASE WHEN ok THEN 'id:' || page_id || ':count' END AS numbers,
+        CASE WHEN ok AND page_id % 2 = 0 THEN 'blurred' END AS warnings, NOT ok AS malformed FROM p""")
 def json_payload_extract(spark, sf):
-    p = F.from_json("props", "k BIGINT, type STRING")
-    return table(spark, sf, "events").select(
-        "event_id", p["k"].alias("k"), F.coalesce(p["type"], F.lit("unknown")).alias("type"))
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    record = F.to_json(F.struct(
+        F.lit("screenshot").alias("type"), title.alias("summary"), F.array(F.lit("url"), F.lit("page")).alias("key_text"),
+        F.array(F.struct(F.col("url").alias("name"), F.lit("site").alias("role"))).alias("entities"),
+        F.array(F.struct(F.lit("id").alias("label"), F.col("page_id").cast("string").alias("value"), F.lit("count").alias("unit"))).alias("numbers"),
+        F.when(F.col("page_id") % 2 == 0, F.array(F.lit("blurred"))).alias("warnings")))
+    content = F.when(F.col("page_id") % 5 != 0, record).otherwise(F.concat(F.lit("{not a record: "), "html"))
+    p = context.readable_payload(F.col("content"))
+    rows = wide(spark, sf, "pages", "page_id", "url", "html").select("page_id", content.alias("content")).select("page_id", p.alias("p"))
+
+    def joined(name, show):
+        return F.when(F.col("p")[name].isNotNull(), F.array_join(F.transform(F.col("p")[name], show), ";")).alias(name)
+
+    return rows.select(
+        "page_id", "p.type", "p.summary", joined("key_text", lambda k: k), joined("entities", lambda e: F.concat(e["name"], F.lit("="), e["role"])),
+        joined("numbers", lambda n: F.concat_ws(":", n["label"], n["value"], n["unit"])), joined("warnings", lambda w: w),
+        F.col("p").isNull().alias("malformed"))
 
 
 @query("json_text", """
     SELECT doc_id, to_json({doc_id: doc_id, lang: lang, source: source, n_chars: n_chars})::VARCHAR AS body FROM documents""")
 def json_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.to_json(F.struct("doc_id", "lang", "source", "n_chars")).alias("body"))
+    return table(spark, sf, "documents").select("doc_id", context.json_text("doc_id", "lang", "source", "n_chars").alias("body"))
 
 
 @query("query_filter_exit", f"""
@@ -119,7 +136,7 @@ def json_text(spark, sf):
 def query_filter_exit(spark, sf):
     raw = F.when(F.col("role") == "system", " Quit ").otherwise(F.concat(F.lit("  "), "text", F.lit(" ")))
     asked = table(spark, sf, "conversations").select("conv_id", "turn", tx.strip(raw).alias("query"))
-    return asked.where(~F.lower("query").isin(*V.CONTROL_WORDS))
+    return context.drop_control_words(asked)
 
 
 @query("tokenize_words", f"""
@@ -218,6 +235,8 @@ STAGES = "['chat', 'embeddings', 'vlm', 'audio'][event_id % 4 + 1]"
     WITH e AS (SELECT event_id, {STAGES} AS stage, CASE WHEN event_id % 3 <> 0 THEN (props->>'$.k')::BIGINT END AS i,
         CASE WHEN event_id % 5 <> 0 THEN floor(value)::BIGINT END AS o FROM events)
     SELECT event_id, stage, i AS input_tokens, o AS output_tokens,
+        CASE WHEN i IS NULL AND o IS NULL THEN NULL WHEN stage = 'chat' THEN 'chat_cost_per_1k_input=0.001,chat_cost_per_1k_output=0.001'
+             WHEN stage = 'embeddings' THEN 'embed_cost_per_1k_input=0.0001' WHEN stage = 'vlm' THEN 'vlm_cost_per_1k_input=0.005,vlm_cost_per_1k_output=0.005' END AS rates_used,
         CASE WHEN i IS NULL AND o IS NULL THEN 'Token counts not available from this call path.'
              WHEN stage = 'audio' THEN 'Unknown stage ''audio''.' END AS note,
         round(CASE WHEN i IS NULL AND o IS NULL THEN NULL
@@ -232,7 +251,9 @@ def cost_estimate(spark, sf):
         "event_id", stage.alias("stage"),
         F.when(F.col("event_id") % 3 != 0, F.get_json_object("props", "$.k").cast("long")).alias("input_tokens"),
         F.when(F.col("event_id") % 5 != 0, F.floor("value").cast("long")).alias("output_tokens"))
-    return measure.estimate_cost(events).drop("rates_used").withColumn("cost_usd", F.round("cost_usd", 9))
+    listed = F.transform(F.array_sort(F.map_entries("rates_used")), lambda e: F.concat(e["key"], F.lit("="), F.regexp_replace(
+        F.format_string("%.4f", e["value"]), "0+$", "")))
+    return measure.estimate_cost(events).withColumn("rates_used", F.array_join(listed, ",")).withColumn("cost_usd", F.round("cost_usd", 9))
 
 
 @query("round_timing", """

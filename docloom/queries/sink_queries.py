@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import collection, measure
+from docloom.operators import chunking, collection, measure
+from docloom.operators.numbering import integer_bucket
 from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.registry import query, table
@@ -33,16 +34,28 @@ def sink_table_export(spark, sf):
 
 
 @query("sink_manifest", "WITH" + q.windows(500, 50) + """
-    SELECT doc_id, count(*) AS n_entries,
-        string_agg(chunk_index || ':' || length(content), ',' ORDER BY chunk_index) AS entries FROM chunks GROUP BY doc_id""")
+    SELECT doc_id, chunk_index // 20 AS part, count(*) AS n_entries,
+        string_agg(chunk_index || ':' || length(content), ',' ORDER BY chunk_index) AS entries FROM chunks GROUP BY ALL""", ints="part")
 def sink_manifest(spark, sf):
     out = scratch_path(spark, "manifest")
     chunks = frames.fixed_chunks(spark, sf).withColumn("n_chars", F.length("content"))
-    writers.write_json(writers.manifest(chunks, "doc_id", ["chunk_index", "n_chars"]), out)
+    writers.write_json(writers.manifest(chunks, "doc_id", ["chunk_index", "n_chars"], 20), out)
     back = spark.read.schema(
-        "doc_id BIGINT, n_entries BIGINT, entries ARRAY<STRUCT<chunk_index: INT, n_chars: INT>>").json(out)
+        "doc_id BIGINT, part INT, n_entries BIGINT, entries ARRAY<STRUCT<chunk_index: INT, n_chars: INT>>").json(out)
     shown = F.array_join(F.transform("entries", lambda e: F.concat(e["chunk_index"], F.lit(":"), e["n_chars"])), ",")
-    return back.select("doc_id", "n_entries", shown.alias("entries"))
+    return back.select("doc_id", "part", "n_entries", shown.alias("entries"))
+
+
+@query("item_manifests", """
+    WITH t AS (SELECT o_orderpriority AS item, count(*) AS n FROM orders GROUP BY 1)
+    SELECT 'tables' AS collection, item, (CASE WHEN n <= 20 THEN 1 ELSE 1 + ceil((n - 20) / 17.0) END)::BIGINT AS n_chunks FROM t
+    UNION ALL SELECT 'images', regexp_replace(string_split(url, '/')[-1], '\\.[^.]*$', ''), count(*) FROM pages GROUP BY 2""")
+def item_manifests(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey")
+    rows = chunking.chunk_rows(orders, ["o_orderpriority"], ["o_orderkey"], integer_bucket("o_orderkey"))
+    first = rows.where(F.col("row_number") == F.col("row_start")).select(F.col("o_orderpriority").alias("item"), F.lit(1).cast("long").alias("n"))
+    images = table(spark, sf, "pages").select(tx.stem(F.col("url")).alias("item"), F.lit(1).cast("long").alias("n"))
+    return writers.item_manifest(first, "tables", ["item"], "n").union(writers.item_manifest(images, "images", ["item"], "n"))
 
 
 @query("sink_union_keys_csv", """

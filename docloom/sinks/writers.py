@@ -48,10 +48,21 @@ def table_view(spark: SparkSession, out: str, doc: str, table: int, name: str) -
     return view
 
 
-def manifest(chunks: DataFrame, doc: str, entry: Sequence[str]) -> DataFrame:
-    """Per document the number of entries and the ordered list of them (bounded by the document)."""
+def manifest(chunks: DataFrame, doc: str | Sequence[str], entry: Sequence[str], size: int = 10_000) -> DataFrame:
+    """The entries of each document in order of the first entry column, a number from 0, in parts of ``size``.
+
+    An ordinary document is its part 0; one of any length never meets in one array.
+    """
+    doc = [doc] if isinstance(doc, str) else list(doc)
     listed = F.array_sort(F.collect_list(F.struct(*entry)))
-    return chunks.groupBy(doc).agg(F.count(F.lit(1)).alias("n_entries"), listed.alias("entries"))
+    part = F.floor(F.col(entry[0]) / size).cast("int").alias("part")
+    return chunks.groupBy(*doc, part).agg(F.count(F.lit(1)).alias("n_entries"), listed.alias("entries"))
+
+
+def item_manifest(items: DataFrame, collection: str, items_per_doc: Sequence[str], n: str) -> DataFrame:
+    """Per table or image what an ingest wrote: its collection, its own columns and its number of rows or chunks."""
+    return items.groupBy(*items_per_doc).agg(F.sum(n).alias("n_chunks")).select(
+        F.lit(collection).alias("collection"), *items_per_doc, "n_chunks")
 
 
 def write_json(df: DataFrame, out: str) -> None:

@@ -16,7 +16,7 @@ from docloom.operators import collection, dialogue, evaluation, measure
     [1.0], [2.0, 1.0], [0.0] * 500 + [1.0, 5.0, 9.0], np.random.default_rng(1).normal(size=2001).tolist(),
     [float(i % 7) for i in range(1000)]])
 def test_describe_matches_numpy(spark, values):
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(3)
     got = evaluation.describe(df, "v").collect()[0]
     assert got["count"] == len(values) and got.min == min(values) and got.max == max(values)
     assert abs(got.mean - statistics.fmean(values)) < 1e-9
