@@ -19,12 +19,14 @@ def _order_rows(spark, sf):
     return chunking.chunk_rows(orders, ["o_orderpriority"], ["o_orderkey"], integer_bucket("o_orderkey"))
 
 
-@query("chunk_recursive")
+@query("chunk_recursive", "WITH RECURSIVE" + q.recursive_chunks(500, 50) + """
+    SELECT doc_id, source, chunk_index, start, content FROM rchunks JOIN documents USING (doc_id)""", ints="chunk_index start")
 def chunk_recursive(spark, sf):
     return chunking.chunk_text(wide(spark, sf, "documents", "doc_id", "source", "text"))
 
 
-@query("table_valued_chunker")
+@query("table_valued_chunker", "WITH RECURSIVE" + q.recursive_chunks(1200, 150) + """
+    SELECT doc_id, chunk_index, start, content FROM rchunks""", ints="chunk_index start")
 def table_valued_chunker(spark, sf):
     chunking.register_chunker(spark)
     wide(spark, sf, "documents", "doc_id", "text").createOrReplaceTempView("documents_to_chunk")

@@ -167,3 +167,43 @@ ENSEMBLE = COLLECTION + "," + vectors("cv", "coll", "chunk_id, modality, mrank",
     reranked AS (SELECT *, {overlap('question', 'content')} AS rerank_score,
         row_number() OVER (PARTITION BY query_id ORDER BY {overlap('question', 'content')} DESC, ensemble_rank) AS final_rank
       FROM ehits WHERE NOT repeat)"""
+
+
+def recursive_chunks(size: int, overlap: int) -> str:
+    """CTEs down to ``rchunks(doc_id, chunk_index, start, content)``: recursive splitting on offsets.
+
+    Each level cuts the spans that hold its separator. Pieces below the size wait in runs between the
+    larger ones, which go down a level; what is left at the end is cut into windows. A run is packed
+    greedily: a window takes pieces while they fit, the next one starts at the first piece that keeps the overlap.
+    """
+    out, runs = " span0 AS (SELECT doc_id, text, 0 AS lo, length(text) AS hi FROM documents),", []
+    for k, (sep, n) in enumerate((("chr(10) || chr(10)", 2), ("chr(10)", 1), ("'. '", 2), ("' '", 1))):
+        body = "substr(text, (lo + 1)::BIGINT, (hi - lo)::BIGINT)"
+        out += f"""
+    cut{k} AS (SELECT doc_id, text, lo AS top, string_split({body}, {sep}) AS parts FROM span{k} WHERE contains({body}, {sep})),
+    part{k} AS (SELECT doc_id, text, top, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM cut{k}),
+    upto{k} AS (SELECT *, top + sum(length(part) + {n}) OVER (PARTITION BY doc_id, top ORDER BY i) - {n} AS hi FROM part{k}),
+    piece{k} AS (SELECT *, CASE WHEN i = 1 THEN top ELSE hi - length(part) - {n} END AS lo FROM upto{k}),
+    sized{k} AS (SELECT *, hi - lo >= {size} AS big,
+        sum((hi - lo >= {size})::INT) OVER (PARTITION BY doc_id, top ORDER BY i) AS run FROM piece{k} WHERE hi > lo),
+    span{k + 1} AS (SELECT doc_id, text, lo, hi FROM span{k} WHERE NOT contains({body}, {sep})
+        UNION ALL SELECT doc_id, text, lo, hi FROM sized{k} WHERE big),"""
+        runs.append(f"SELECT doc_id, {k} AS level, top, run, lo, hi FROM sized{k} WHERE NOT big")
+    return out + f"""
+    packs AS (SELECT doc_id, level, top, run, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his, count(*)::BIGINT AS n
+        FROM ({' UNION ALL '.join(runs)}) GROUP BY ALL),
+    wins AS (
+        SELECT doc_id, level, top, run, 1::BIGINT AS f, list_max(list_filter(range(1, least(n, {size} + 1) + 1), lambda j: his[j] - los[1] <= {size})) AS l FROM packs
+        UNION ALL
+        SELECT doc_id, level, top, run, g AS f, list_max(list_filter(range(g, least(n, g + {size}) + 1), lambda j: his[j] - los[g] <= {size})) AS l
+        FROM (SELECT p.*, list_min(list_filter(range(w.f + 1, w.l + 2), lambda x: x = w.l + 1
+                OR (p.his[w.l] - p.los[x] <= {overlap} AND p.his[w.l + 1] - p.los[x] <= {size}))) AS g
+            FROM wins w JOIN packs p USING (doc_id, level, top, run) WHERE w.l < p.n)),
+    slides AS (SELECT doc_id, lo, hi, unnest(range(0, 1 + greatest(0, ceil((hi - lo - {size}) / {size - overlap}.0))::BIGINT)) AS i FROM span4 WHERE hi > lo),
+    raws AS (
+        SELECT doc_id, los[f] AS lo, his[l] AS hi FROM wins JOIN packs USING (doc_id, level, top, run)
+        UNION ALL SELECT doc_id, lo + i * {size - overlap}, least(hi, lo + i * {size - overlap} + {size}) FROM slides),
+    cuts AS (SELECT doc_id, lo, substr(text, (lo + 1)::BIGINT, (hi - lo)::BIGINT) AS raw FROM raws JOIN documents USING (doc_id)),
+    rchunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY lo) - 1 AS chunk_index,
+        lo + length(raw) - length(regexp_replace(raw, '^\\s+', '')) AS start, {strip('raw')} AS content
+      FROM cuts WHERE {strip('raw')} <> '')"""
