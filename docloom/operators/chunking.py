@@ -144,7 +144,10 @@ def chunk_text(
 
 
 def register_chunker(spark: SparkSession, name: str = "chunk") -> None:
-    """Make the splitter callable from SQL: ``FROM t, LATERAL chunk(t.text, 500, 50)``."""
+    """Make the splitter callable from SQL: ``FROM t, LATERAL chunk(t.text, 500, 50)``.
+
+    Row by row, for Spark 4.1 refuses Arrow table functions under LATERAL; :func:`chunk_text` is the Arrow form.
+    """
 
     @udtf(returnType="chunk_index int, start int, content string")
     class Chunk:
