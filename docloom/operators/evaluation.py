@@ -12,6 +12,8 @@ from docloom import fixed_values as V
 
 QUARTILES = (0.25, 0.5, 0.75)
 BRACKET = 1e-4
+#: Rows of a bracket up to which they are counted in one task.
+BAND_ROWS = 1_000_000
 
 
 def attach_predictions(golden: DataFrame, predictions: DataFrame, key: str = "idx") -> DataFrame:
@@ -31,24 +33,57 @@ def numeric_means(df: DataFrame) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in numeric_columns(df)])
 
 
+def _brackets(values: DataFrame, qs: Sequence[float]) -> list[tuple[float, float, float, float]]:
+    """(q, low, high, spot): values between which each quantile lies, and its place among all values.
+
+    Sketch quantiles a little to both sides bracket an answer. As long as one bracket holds more than
+    ``BAND_ROWS`` rows, a sketch of these alone brackets it again. A few numbers per quantile reach the driver.
+    """
+    def sketched(rows: DataFrame, marks: Sequence[float]) -> list[float]:
+        listed = F.array(*[F.lit(float(m)) for m in marks])
+        return rows.agg(F.percentile_approx("v", listed, F.lit(int(4 / BRACKET)))).first()[0]
+
+    def around(share: float) -> tuple[float, float]:
+        return max(0.0, share - BRACKET), min(1.0, share + BRACKET)
+
+    n, lo, hi = values.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    if not n:
+        return []
+    found = sketched(values, [m for q in qs for m in around(q)])
+    out = []
+    for i, q in enumerate(qs):
+        low = lo if q <= BRACKET else found[2 * i]
+        high = hi if q >= 1 - BRACKET else found[2 * i + 1]
+        out.append((float(q), low, high, q * (n - 1)))
+    while True:
+        counts = values.agg(*[F.count(F.when(F.col("v") < low, 1)) for _, low, _, _ in out],
+                            *[F.count(F.when(F.col("v").between(low, high), 1)) for _, low, high, _ in out]).first() if n > BAND_ROWS else ()
+        narrower = False
+        for i, (q, low, high, spot) in enumerate(out):
+            below, inside = (counts[i], counts[len(out) + i]) if counts else (0, 0)
+            if inside > BAND_ROWS and low < high:
+                band = values.where(F.col("v").between(low, high))
+                start, end = sketched(band, around((spot - below) / inside))
+                # A bracket must keep the value before and after the spot, so its ends stay where the sketch found values.
+                if (start, end) != (low, high):
+                    out[i], narrower = (q, start, end, spot), True
+        if not narrower:
+            return out
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = QUARTILES) -> DataFrame:
     """Rows ``(q, value)``: linearly interpolated quantiles, exact at any size.
 
-    Sketch quantiles a little to both sides bracket each answer; values are counted
-    per distinct value first, and only those inside a bracket meet in its running
-    count. A value shared by a third of all rows is a single row there. NaN counts as missing.
+    Each answer is bracketed by sketches; values are counted per distinct value, and only
+    those inside a bracket meet in its running count. A value shared by a third of all rows is a single row there.
+    NaN counts as missing; without values there are no rows.
     """
     values = df.select(F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-BRACKET, BRACKET)]
-    sketch = values.agg(
-        F.percentile_approx("v", F.array(*[F.lit(m) for m in marks]), F.lit(int(4 / BRACKET))).alias("b"),
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    brackets = F.array(*[F.struct(
-        F.lit(q).alias("q"),
-        (F.col("lo") if q <= BRACKET else F.col("b")[2 * i]).alias("low"),
-        (F.col("hi") if q >= 1 - BRACKET else F.col("b")[2 * i + 1]).alias("high"),
-        (F.lit(q) * (F.col("n") - 1)).alias("spot")) for i, q in enumerate(qs)])
-    limits = sketch.select(brackets).scalar()
+    found = _brackets(values, qs)
+    if not found:
+        return df.sparkSession.createDataFrame([], "q double, value double")
+    limits = F.array(*[F.struct(*[F.lit(x).cast("double").alias(name) for name, x in zip(("q", "low", "high", "spot"), bracket)])
+                       for bracket in found])
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     # Outside a bracket only the count and the value next to it matter: one row per side.
     side = F.when(F.col("v") < F.col("k.low"), -1).when(F.col("v") > F.col("k.high"), 1).otherwise(0)

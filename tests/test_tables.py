@@ -32,6 +32,17 @@ def test_extreme_quantiles(spark):
     assert got[0.0] == 0.0 and got[1.0] == 100.0 and abs(got[0.333] - 33.3) < 1e-9
 
 
+def test_narrow_brackets_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "BAND_ROWS", 3)
+    monkeypatch.setattr(evaluation, "BRACKET", 0.05)
+    rng = random.Random(4)
+    values = [float(rng.randint(0, 50)) for _ in range(300)] + [rng.random() for _ in range(200)] + [7.0] * 400
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    qs = [0.0, 0.01, 0.2, 0.5, 0.77, 0.999, 1.0]
+    got = {r.q: r.value for r in evaluation.exact_quantiles(df, "v", qs).collect()}
+    assert all(abs(got[q] - np.quantile(values, q)) < 1e-9 for q in qs)
+
+
 def test_metrics_are_joined_left(spark):
     a = spark.createDataFrame([(0, "x"), (1, "y")], "idx int, p string")
     b = spark.createDataFrame([(1, 0.5)], "idx int, m double")
