@@ -220,12 +220,12 @@ class _Nystroem:
 
 def _machine(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 40) -> np.ndarray:
     """Support vector machine with squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w, ridge = np.zeros(x.shape[1]), np.diag([1.0] * (x.shape[1] - 1) + [1e-6])
     for _ in range(steps):
         active = y * (x @ w) < 1
-        xa, ca = x[active], c[active]
-        new = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ y[active])
+        xa = x[active] * np.sqrt(c[active, None]).astype(x.dtype)
+        new = np.linalg.solve(ridge + (xa.T @ xa).astype(float), (xa.T @ (y[active] * np.sqrt(c[active])).astype(x.dtype)).astype(float))
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -233,8 +233,12 @@ def _machine(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 40) -> np
 
 
 def train(texts: list[str], toxic: list[int], weights: list[float] | None = None, landmarks: int = 160,
-          rounds: int = 4, negatives: int = 30_000, seed: int = 11) -> Model:
-    """A model from labelled texts. Without texts of both labels it scores every text by the share of toxic ones."""
+          rounds: int = 4, negatives: int = 15_000, seed: int = 11) -> Model:
+    """A model from labelled texts. Without texts of both labels it scores every text by the share of toxic ones.
+
+    Each round trains on ``negatives`` clean words and half as many of those it scored worst, so the memory
+    it takes does not depend on the texts.
+    """
     y = np.array(toxic, int)
     weight = np.ones(len(y)) if weights is None else np.array(weights, float)
     share = float((weight * y).sum() / weight.sum()) if len(y) else 0.0
@@ -269,15 +273,15 @@ def train(texts: list[str], toxic: list[int], weights: list[float] | None = None
             chosen.setdefault(w, spread[w])
         pos = sorted(chosen)
         neg = [w for w in dict.fromkeys(clean + hard) if w not in chosen]
-        x = space(pos + neg).astype(np.float64)
+        x = space(pos + neg).astype(np.float32)
         n_pos = np.array([chosen[w] for w in pos], float)
         cost = np.concatenate([np.minimum(n_pos, 20.0), np.ones(len(neg))])
         w = _machine(x, np.array([1.0] * len(pos) + [-1.0] * len(neg)), 10.0 * cost)
         model = Model(space.fold(w[:-1]), float(w[-1]), 1.0, 0.0, 0.0)
         # The worst word of each toxic text is its positive case; clean words over the margin become negative ones.
-        chosen, hard = Counter(), []
-        for at in range(0, len(texts), 200):
-            part = texts[at:at + 200]
+        chosen, over = Counter(), {}
+        for at in range(0, len(texts), 50):
+            part = texts[at:at + 50]
             s, starts, value, owner = model.decisions(part)
             ends = np.append(starts[1:], len(s) - 1) if len(starts) else starts
             order = np.lexsort((-value, owner))
@@ -286,11 +290,11 @@ def train(texts: list[str], toxic: list[int], weights: list[float] | None = None
                 if y[at + owner[i]] == 1:
                     chosen[s[starts[i] + 1:ends[i]].tobytes()] += 1
             for i in np.flatnonzero((value > -0.5) & (y[at + owner] == 0)):
-                hard.append(s[starts[i] + 1:ends[i]].tobytes())
+                over[s[starts[i] + 1:ends[i]].tobytes()] = float(value[i])
         # A word that clean texts hold as often marks no toxic one.
         chosen = Counter({w: n for w, n in chosen.items() if len(w) > 1 and odds(w) > 1}) or chosen
-        hard = [w for w in dict.fromkeys(hard) if len(w) > 1]
-    best, count = [np.concatenate(x) for x in zip(*[model.worst(texts[at:at + 200]) for at in range(0, len(texts), 200)])]
+        hard = sorted((w for w in over if len(w) > 1), key=lambda w: (-over[w], w))[:negatives // 2]
+    best, count = [np.concatenate(x) for x in zip(*[model.worst(texts[at:at + 50]) for at in range(0, len(texts), 50)])]
     x = np.stack([best, np.log1p(count), np.ones(len(best))], 1)
     fit = np.zeros(3)
     for _ in range(50):
@@ -310,7 +314,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-              per_label: int = 2000, longest: int = 10_000) -> Model:
+              per_label: int = 1500, longest: int = 8_000) -> Model:
     """Train on labelled rows that are not held out: at most ``per_label`` ids of each label, drawn by a hash of the
     id, and of these the texts of up to ``longest`` characters. This bounded sample is all that comes to the driver."""
     marked = columns_of(labels, doc_id=id_col, toxic=label_col).where("toxic IN (0, 1)")
