@@ -99,22 +99,23 @@ def fixed_sequences(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text:
                     max_len: int = V.MAX_SEQUENCE) -> DataFrame:
     """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1.
 
-    The most frequent words (a fixed number of them) are looked up by broadcast. Only
-    words that this leaves open go through the shuffled lookup; they are rare, so no key is hot.
+    The most frequent words (a fixed number of them) are looked up by broadcast, and the row is put together
+    again. Only words that this leaves open go through the shuffled lookup; they are rare, so no key is hot.
     """
     head = F.slice(tx.tokens(F.col(text)), 1, max_len)
     placed = df.select(key, F.posexplode_outer(head).alias("at", "word"))
     frequent = F.broadcast(vocab.where(F.col("word_id") < FREQUENT).select("word", F.col("word_id").alias("_near")))
-    near = placed.join(frequent, "word", "left")
     rare = vocab.where(F.col("word_id") >= FREQUENT).select("word", F.col("word_id").alias("_far"))
-    open_ = near.where(F.col("word").isNotNull() & F.col("_near").isNull()).join(rare, "word", "left")
-    done = near.where(F.col("word").isNull() | F.col("_near").isNotNull()).withColumn("_far", F.lit(None).cast("long"))
-    coded = done.select(key, "at", "word", "_near", "_far").union(open_.select(key, "at", "word", "_near", "_far"))
-    ids = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct(
-        "at", F.coalesce("_near", "_far", F.lit(1)).alias("id")))))
-    ids = F.transform(ids, lambda x: x["id"])
+    open_word = F.when(F.col("_near").isNull() & F.col("word").isNotNull(), F.struct("at", "word"))
+    near = placed.join(frequent, "word", "left").groupBy(key).agg(
+        F.collect_list(F.when(F.col("_near").isNotNull(), F.struct("at", F.col("_near").alias("id")))).alias("near"),
+        F.collect_list(open_word).alias("open"))
+    far = near.select(key, F.inline("open")).join(rare, "word", "left").groupBy(key).agg(
+        F.collect_list(F.struct("at", F.coalesce("_far", F.lit(1)).alias("id"))).alias("far"))
+    ids = F.when(F.col("far").isNull(), F.col("near")).otherwise(F.concat("near", "far"))
+    ids = F.transform(F.array_sort(ids), lambda x: x["id"])
     pad = F.lit(max_len) - F.size("ids")
-    return coded.groupBy(key).agg(ids.alias("ids")).select(
+    return near.join(far, key, "left").select(key, ids.alias("ids")).select(
         key,
         F.concat("ids", F.array_repeat(F.lit(0).cast("long"), pad)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
