@@ -28,8 +28,8 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LITERAL_MARK = 0x110001  # code of a literal mark; no piece has it
-SLICE_CHARS = 4_000_000
-CACHED_WORDS = 400_000
+SLICE_CHARS = 2_000_000
+CACHED_WORDS = 200_000
 WORDS = re.compile(r" *[^ ]+| +")
 
 
