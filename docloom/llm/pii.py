@@ -316,8 +316,10 @@ def added_spans(field: Field, text: str, base: list[tuple[int, int, str]]) -> li
 def fit_field(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample: int = 2000, longest: int = 5000) -> Field:
     """Train on at most ``sample`` texts with digits in number, of up to ``longest`` characters, drawn by a hash of the id."""
     rows = columns_of(docs, doc_id=id_col, text=text_col).where(F.length("text") <= longest).where(F.col("text").rlike(r"@|[0-9]{4}|\+[0-9]"))
-    drawn = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample).select("text").collect()
-    return train(sorted(r["text"] for r in drawn))
+    # Ids are drawn first, so that no task sends texts which the limit then drops.
+    drawn = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    texts = rows.join(F.broadcast(drawn), "doc_id").select("text").distinct().collect()
+    return train(sorted(r["text"] for r in texts)[:sample])
 
 
 def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
