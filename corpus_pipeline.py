@@ -47,7 +47,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Every document with its piece ids, their number, and as text what they decode to."""
     ship_package(spark)
     vocabulary = pieces.Vocabulary.load()
-    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    coded = pieces.encode(docs, vocabulary, decoded="decoded")
     exact = F.col("decoded").eqNullSafe(F.col("text"))
     return coded.select(*[F.col("decoded").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
                         "tokens", F.size("tokens").cast("long").alias("n_tokens"), exact.alias("exact"))

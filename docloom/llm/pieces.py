@@ -209,29 +209,37 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", into: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", into: str = "tokens", decoded: str | None = None) -> DataFrame:
     """All columns and the piece ids of the text, as array<int>; a null text has a null list, an empty one an empty list.
 
-    Rows pass through as they are, whatever their ids or further columns. A column already named
-    ``into`` is replaced.
+    ``decoded`` names a further column for the text that the ids spell, so that a round trip takes one pass. Rows pass through
+    as they are, whatever their ids or further columns. Columns already named like the new ones are replaced.
     """
-    base = docs.drop(into)
+    added = [into, *([decoded] if decoded else [])]
+    base = docs.drop(*added)
     names, place = base.columns, base.columns.index(text_col)
 
+    def coded(encoder: Encoder, part: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+        lists = encoder.encode([t or "" for t in texts])
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        offsets = pa.array(ends.astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
+        flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int32))
+        columns = [*part.columns, pa.ListArray.from_arrays(offsets, flat)]
+        if decoded:
+            columns.append(pa.array([None if t is None else encoder.decode(x) for t, x in zip(texts, lists)], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, [*names, *added])
+
     def work(batches):
         encoder = Encoder(vocabulary)
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            for start, end in _slices([t or "" for t in texts]):
-                part = texts[start:end]
-                lists = encoder.encode([t or "" for t in part])
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-                offsets = pa.array(ends.astype(np.int32), mask=np.array([t is None for t in part] + [False]))
-                flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns, pa.ListArray.from_arrays(offsets, flat)], [*names, into])
+            for at in range(0, batch.num_rows, 500):  # no more texts as Python strings than these
+                part = batch.slice(at, 500)
+                texts = part.column(place).to_pylist()
+                for start, end in _slices([t or "" for t in texts]):
+                    yield coded(encoder, part.slice(start, end - start), texts[start:end])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(work, f"{schema}, `{into}` array<int>")
+    return base.mapInArrow(work, f"{schema}, `{into}` array<int>" + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, tokens_col: str = "tokens", into: str = "decoded") -> DataFrame:

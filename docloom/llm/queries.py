@@ -42,7 +42,7 @@ def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding them gives the text back."""
     vocabulary = pieces.Vocabulary.load()
-    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, decoded="decoded")
     return coded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.octet_length("text").cast("long").alias("n_bytes"),
                         F.col("decoded").eqNullSafe(F.col("text")).alias("exact"), "tokens")
 

@@ -144,6 +144,9 @@ def test_public_vocabulary_returns_every_text(spark):
     got = by_id(rows)
     assert got[1]["tokens"] is None and got[2]["tokens"] == [] and len(got[10]["tokens"]) > 100
     assert pieces.decode(pieces.encode(empty(spark), vocabulary), vocabulary).count() == 0
+    both = pieces.encode(df, vocabulary, decoded="back")
+    assert sorted(map(str, both.select("doc_id", "text", "tokens", "back").collect())) == sorted(
+        str(r).replace("decoded=", "back=") for r in pieces.decode(pieces.encode(df, vocabulary), vocabulary).select("doc_id", "text", "tokens", "decoded").collect())
 
 
 def test_pieces_of_a_vocabulary_that_crosses_words_are_refused():
