@@ -94,6 +94,21 @@ def test_lsh_scores_are_exact_and_recall_is_reported(spark, sf):
     assert recall >= 0.6
 
 
+def test_lsh_looks_at_few_pairs(spark, sf):
+    from pyspark.sql import functions as F
+
+    from docloom.queries import frames as qf
+    from docloom.queries.registry import table
+
+    vectors, queries = table(spark, sf, "embeddings"), qf.centroids(spark, sf)
+    keys = [df.select(search.band_keys(F.col("embedding"), 8, 8, 64).alias("k")).toPandas()["k"] for df in (queries, vectors)]
+    shared = sum(bool(set(a) & set(b)) for a in keys[0] for b in keys[1])
+    assert shared < 0.05 * len(keys[0]) * len(keys[1])
+    exact = {(r.query_id, r.vec_id) for r in search.knn(queries, vectors, 3).collect()}
+    near = {(r.query_id, r.vec_id) for r in search.knn_lsh(queries, vectors, 3, bits=8).collect()}
+    print(f"recall of approximate search at 8 x 8 bits: {len(exact & near) / len(exact):.2f}")
+
+
 def test_hashed_vectors(spark):
     df = spark.createDataFrame([(0, "The cat, the CAT"), (1, ""), (2, None), (3, "été_1 ß")], "id int, content string")
     got = {r.id: np.array(r.embedding) for r in embed.embed(df).collect()}
