@@ -18,6 +18,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a frame that ``saved`` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def columns_of(df: DataFrame, **wanted: str) -> DataFrame:
     """The named inputs under fixed names; whatever else the frame holds is left behind, so no name can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in wanted.items()])

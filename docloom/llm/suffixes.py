@@ -10,15 +10,21 @@ alongside the arrays of the levels so far, both in order, as in a merge; anchors
 some other document has as well are noted on both sides. Then the batch becomes a level, and
 levels made of equally many batches are merged, so there are never more than a logarithm of them.
 
-Of the noted anchors alone all strings are compared, by hash and bucket (64 bits and the bucket's),
-and a string that a document with a smaller id holds too is marked. A prefix, string or copy that
-a third of all documents share costs each task one entry: what repeats inside a task is settled there.
+The strings around noted anchors are compared in two steps. First whole stretches, those of all strings
+with one anchor: a stretch that a document with a smaller id has as well is marked; an anchor whose
+stretches are all equal is settled by that. Only where stretches around one anchor differ, at the edges of copies,
+are single strings compared, by 64 bits of hash among those of one anchor.
+
+A prefix, stretch or copy that a third of all documents share costs each task one entry: what repeats inside
+a task is settled there. An anchor with many different stretches in one task is common; its strings are
+dealt by their own hash instead, so that no group grows with it.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import columns_of, saved
+from docloom.llm.common import columns_of, dropped, saved
 from docloom.llm.minhash import _ODD, _UNODD, _mixed, _powers
 
 LENGTH, GRAM = 50, 16
@@ -42,8 +48,13 @@ def _sums(a: np.ndarray, base: np.uint64) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(base, len(a)))])
 
 
-def _hash_at(sums: np.ndarray, inverse: np.uint64, starts: np.ndarray, length: int) -> np.ndarray:
-    return _mixed((sums[starts + length] - sums[starts]) * _powers(inverse, len(sums))[starts])
+def _stirred(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hash_at(sums: np.ndarray, inverse: np.uint64, starts: np.ndarray, length) -> np.ndarray:
+    return _stirred((sums[starts + length] - sums[starts]) * _powers(inverse, len(sums))[starts])
 
 
 def _pieces(body: bytes) -> Iterator[tuple[int, np.ndarray]]:
@@ -55,13 +66,12 @@ def _pieces(body: bytes) -> Iterator[tuple[int, np.ndarray]]:
             yield at, part
 
 
-def anchors(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each run of strings with one anchor: first string, number of strings, and the anchor's key:
+def anchors(a: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each stretch of strings with one anchor: first string, number of strings, and the anchor's key:
     its first eight bytes as a number, so that numbers sort as suffixes do, and 32 bits of its hash."""
-    sums = _sums(a, _ODD)
-    every = np.arange(len(a) - GRAM + 1)
-    h = _hash_at(sums, _UNODD, every, GRAM)
-    least = (h & ~_PLACE) | every.astype(np.uint64)  # ties go to the leftmost
+    n = len(a) - GRAM + 1
+    h = _stirred((sums[GRAM:] - sums[:n]) * _powers(_UNODD, n))
+    least = (h & ~_PLACE) | np.arange(n, dtype=np.uint64)  # ties go to the leftmost
     width = 1
     while width * 2 <= RUNS:
         least = np.minimum(least[:-width], least[width:])
@@ -106,15 +116,26 @@ def _entries(bucket: int, head: np.ndarray, tail: np.ndarray, docs: np.ndarray)
     return pa.RecordBatch.from_pylist([{"kind": ENTRY, "bucket": bucket, "head": head.tobytes(), "tail": tail.tobytes(), "docs": docs.tobytes()}], _PART)
 
 
+def _ordered(first_key: np.ndarray, second_key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by two keys, the second of so many bits, and where each pair of keys begins in it."""
+    order = np.argsort(first_key)
+    run = np.zeros(len(order), np.uint64)
+    run[1:] = np.cumsum(first_key[order][1:] != first_key[order][:-1])
+    if len(run) and int(run[-1]) >> (64 - bits):  # more keys than a number has room for beside the second one
+        order = np.lexsort((second_key, first_key))
+        return order, _heads(first_key[order], second_key[order])
+    both = run << np.uint64(bits) | second_key[order].astype(np.uint64)
+    inner = np.argsort(both)
+    return order[inner], _heads(both[inner])
+
+
 def _grouped(head: np.ndarray, tail: np.ndarray, docs: np.ndarray):
-    """Sort suffixes; for each key its head, tail, lowest document and whether it has several."""
-    order = np.lexsort((docs, tail, head))
+    """Sort suffixes; where each key begins, how often it occurs, and whether several documents have it."""
+    order, first = _ordered(head, tail, 32)
     head, tail, docs = head[order], tail[order], docs[order]
-    first = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])) if len(head) else np.zeros(0, int)
     size = np.diff(np.append(first, len(head)))
-    last = docs[first + size - 1] if len(first) else docs
-    several = last != docs[first]
-    return order, head, tail, docs, first, size, several
+    several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first) if len(first) else first.astype(bool)
+    return head, tail, docs, first, size, several
 
 
 def _suffix_parts(buckets: int):
@@ -122,7 +143,7 @@ def _suffix_parts(buckets: int):
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         head, tail, docs = (np.concatenate([h[i] for h in held]) for i in range(3))
-        _, head, tail, docs, first, size, several = _grouped(head, tail, docs)
+        head, tail, docs, first, size, several = _grouped(head, tail, docs)
         shared = np.repeat(several, size)
         yield _noted(docs[shared], _named(head[shared], tail[shared]), buckets)
         # Of a key that several documents share all are noted; -1 says that no one is left to be.
@@ -141,7 +162,7 @@ def _suffix_parts(buckets: int):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 body = _body(text.as_py())
                 for _, a in _pieces(body):
-                    _, _, head, tail = anchors(a)
+                    _, _, head, tail = anchors(a, _sums(a, _ODD))
                     held.append((head, tail, np.full(len(head), doc, np.int64)))
                 size += len(body)
                 if size >= FLUSH and held:
@@ -162,7 +183,7 @@ def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _merged(head: np.ndarray, tail: np.ndarray, docs: np.ndarray, buckets: int):
     """Scan sorted suffixes of several arrays together: rows to note, and the merged array."""
-    _, head, tail, docs, first, size, _ = _grouped(head, tail, docs)
+    head, tail, docs, first, size, _ = _grouped(head, tail, docs)
     met = np.repeat(size > 1, size) & (docs >= 0)
     noted = _noted(docs[met], _named(head[met], tail[met]), buckets)
     return noted, head[first], tail[first], np.where(size > 1, -1, docs[first])
@@ -197,8 +218,15 @@ class SuffixFamily:
 
         made = saved(parts.groupBy("bucket").cogroup(levels.groupBy("bucket")).applyInArrow(scan, PART), "suffixes")
         if not last:
-            self.levels.append((1, made.where(f"kind = {ENTRY}")))
+            # Level and notes are kept apart, so that a level can go when it is merged.
+            level = saved(made.where(f"kind = {ENTRY}"), "level")
+            notes = saved(made.where(f"kind = {NOTED}").select("doc", F.col("head").alias("names")), "notes")
+            dropped(made)
+            self.levels.append((1, level))
             self._merge()
+            return notes
+        for _, level in self.levels:
+            dropped(level)
         return made.where(f"kind = {NOTED}").select("doc", F.col("head").alias("names"))
 
     def _merge(self) -> None:
@@ -212,7 +240,7 @@ class SuffixFamily:
 
             level = saved(one.union(two).groupBy("bucket").applyInArrow(merge, PART), "level")
             self.levels.append((2 * n, level))
-            del one, two
+            dropped(one), dropped(two)
 
 
 def _release(spark: SparkSession) -> None:
@@ -221,129 +249,269 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-WINDOW = "bucket int, doc long, body long, strings binary, rows binary, places binary, docs binary, bodies binary"
-_WINDOW = pa.schema([("bucket", pa.int32()), ("doc", pa.int64()), ("body", pa.int64()), ("strings", pa.binary()), ("rows", pa.binary()),
-                     ("places", pa.binary()), ("docs", pa.binary()), ("bodies", pa.binary())])
+ROW = ("kind int, bucket int, doc long, body long, names binary, wholes binary, strings binary, rows binary, places binary, counts binary, "
+       "texts binary, docs binary, bodies binary")
+_ROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.int64()), ("body", pa.int64()),
+                  *[(c, pa.binary()) for c in ("names", "wholes", "strings", "rows", "places", "counts", "texts", "docs", "bodies")]])
+#: Kinds of rows: stretches or single strings to compare in a bucket, spans to remove of a document.
+STRETCHES, STRINGS, MARKED = 0, 1, 2
+#: Entries of one anchor that a bucket may have to hold.
+GROUP_ROWS = 200_000
 
 
-def _marks(doc: np.ndarray, body: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of marked strings (their starts), one a document."""
-    order = np.lexsort((places, body, doc))
-    doc, body, places = doc[order], body[order], places[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (body[1:] != body[:-1])])) if len(doc) else np.zeros(0, int)
-    n, ends = len(first), np.append(first[1:], len(doc))
-    none = pa.nulls(n, pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array((doc[first] % buckets).astype(np.int32)), pa.array(doc[first]), pa.array(body[first]), none, none,
-         pa.array([_spans(places[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary()), none, none], schema=_WINDOW)
+def _marked(doc: np.ndarray, body: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row a document with its spans, joined where they touch."""
+    order = np.lexsort((start, body, doc))
+    doc, body, spans = doc[order], body[order], np.stack([start[order], end[order]], 1).astype(np.int64)
+    first = _heads(doc, body)
+    ends = np.append(first[1:], len(doc))
+    none = pa.nulls(len(first), pa.binary())
+    columns = {"kind": pa.array(np.full(len(first), MARKED, np.int32)), "bucket": pa.array((doc[first] % buckets).astype(np.int32)),
+               "doc": pa.array(doc[first]), "body": pa.array(body[first]),
+               "places": pa.array([_joined(spans[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary())}
+    return pa.RecordBatch.from_arrays([columns.get(f.name, none) for f in _ROW], schema=_ROW)
 
 
-def _spans(starts: np.ndarray) -> np.ndarray:
-    """Sorted starts of strings as (start, end) of the runs they cover."""
-    if not len(starts):
-        return np.zeros((0, 2), np.int64)
-    first = np.flatnonzero(np.concatenate([[True], starts[1:] > starts[:-1] + LENGTH]))
-    last = np.append(first[1:] - 1, len(starts) - 1)
-    return np.stack([starts[first], starts[last] + LENGTH], 1).astype(np.int64)
+def _joined(spans: np.ndarray) -> np.ndarray:
+    """Spans in order of their starts as maximal runs."""
+    reach = np.maximum.accumulate(spans[:, 1])
+    first = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > reach[:-1]]))
+    return np.stack([spans[first, 0], reach[np.append(first[1:] - 1, len(spans) - 1)]], 1)
 
 
-def _strings(buckets: int):
-    """Map task: the strings around noted anchors, by bucket; repeats among its documents are marked at once."""
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Places where sorted rows begin a new key."""
+    if not len(keys[0]):
+        return np.zeros(0, int)
+    new = np.zeros(len(keys[0]), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
-    def flush(held: list) -> Iterator[pa.RecordBatch]:
-        docs, bodies = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
-        row = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
-        string, bucket, place = (np.concatenate([h[i] for h in held]) for i in (2, 3, 4))
-        order = np.lexsort((docs[row], string, bucket))
-        row, string, bucket, place = row[order], string[order], bucket[order], place[order]
-        first = np.flatnonzero(np.concatenate([[True], (string[1:] != string[:-1]) | (bucket[1:] != bucket[:-1])])) if len(row) else np.zeros(0, int)
-        least = np.repeat(docs[row[first]], np.diff(np.append(first, len(row)))) if len(row) else np.zeros(0, np.int64)
-        later = docs[row] > least
-        yield _marks(docs[row[later]], bodies[row[later]], place[later], buckets)
-        row, string, bucket, place = row[~later], string[~later], bucket[~later], place[~later]
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        for b in range(buckets):
-            i = slice(edges[b], edges[b + 1])
-            if edges[b] < edges[b + 1]:
-                known, rows = np.unique(row[i], return_inverse=True)
-                yield pa.RecordBatch.from_pylist([{"bucket": b, "strings": string[i].tobytes(), "rows": rows.astype(np.uint32).tobytes(),
-                                                   "places": place[i].astype(np.uint32).tobytes(), "docs": docs[known].tobytes(),
-                                                   "bodies": bodies[known].tobytes()}], _WINDOW)
+
+def _spread(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """A value for each group as a value for each of its rows."""
+    return np.repeat(values, np.diff(np.append(first, n)))
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``starts``, one run after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+
+
+def _send(kind: int, bucket: np.ndarray, row: np.ndarray, docs: np.ndarray, bodies: np.ndarray, texts=None, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What goes to each bucket, as one row of packed columns; ``texts`` gives the bytes of chosen entries."""
+    order = np.argsort(bucket, kind="stable")
+    filled = np.flatnonzero(np.bincount(bucket)) if len(bucket) else bucket
+    edges = np.searchsorted(bucket[order], [filled, filled + 1])
+    for b, lo, hi in zip(filled, *edges):
+        i = order[lo:hi]
+        known, rows = np.unique(row[i], return_inverse=True)
+        yield pa.RecordBatch.from_pylist([{
+            "kind": kind, "bucket": int(b), "rows": rows.astype(np.uint32).tobytes(), "docs": docs[known].tobytes(), "bodies": bodies[known].tobytes(),
+            **({"texts": zlib.compress(texts(i), 1)} if texts else {}), **{name: values[i].tobytes() for name, values in columns.items()}}], _ROW)
+
+
+def _split(table: pa.Table, kind: int) -> tuple[pa.Table, list[dict]]:
+    """Rows of other kinds, to pass on, and those of one kind."""
+    own = np.array(table.column("kind").to_pylist(), int) == kind
+    return table.filter(pa.array(~own)).cast(_ROW), table.filter(pa.array(own)).to_pylist()
+
+
+def _unpacked(rows: list[dict], **kinds) -> dict[str, np.ndarray]:
+    """Packed columns end to end, with the doc and body of each entry."""
+    places = [np.frombuffer(r["rows"], np.uint32) for r in rows]
+    out = {name: np.concatenate([np.frombuffer(r[name], kind) for r in rows] + [np.zeros(0, kind)]) for name, kind in kinds.items()}
+    for name, column in (("doc", "docs"), ("body", "bodies")):
+        out[name] = np.concatenate([np.frombuffer(r[column], np.int64)[x] for r, x in zip(rows, places)] + [np.zeros(0, np.int64)])
+    return out
+
+
+def _strings_of(flat: np.ndarray, starts: np.ndarray, count: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and bucket of each string of stretches that lie in ``flat``, the stretch it is of and its place there."""
+    at = _ragged(starts, count)
+    bucket = (_hash_at(_sums(flat, _BASE2), _UNBASE2, at, LENGTH) >> np.uint64(33)).astype(np.int64) % buckets
+    owner = np.repeat(np.arange(len(count)), count)
+    return _hash_at(_sums(flat, _ODD), _UNODD, at, LENGTH), bucket, owner, at - starts[owner]
+
+
+def _texts(batches) -> Iterator[tuple]:
+    """doc_id, body, bytes of the text, and the packed list that came with it."""
+    for batch in batches:
+        for doc, body, packed, lists in zip(*[batch.column(c) for c in ("doc_id", "body", "packed", "lists")]):
+            yield doc.as_py(), body.as_py(), zlib.decompress(packed.as_py()), lists.as_py()
+
+
+def _stretches(buckets: int, many: int):
+    """Map task: the stretches around noted anchors, by bucket of the anchor; what repeats in the task is settled.
+
+    Up to ``many`` different stretches of an anchor are sent on as such each time entries are handed on.
+    """
 
     def work(batches):
         held, size = [], 0
-        for batch in batches:
-            columns = [batch.column(c) for c in ("doc_id", "body", "text", "names")]
-            for doc, body, text, names in zip(*columns):
-                noted = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in names.as_py()]))
-                for offset, a in _pieces(_body(text.as_py())):
-                    first, count, head, tail = anchors(a)
-                    hit = np.isin(_named(head, tail), noted)
-                    first, count = first[hit], count[hit]
-                    starts = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(first) else first
-                    string = _hash_at(_sums(a, _ODD), _UNODD, starts, LENGTH)
-                    bucket = (_hash_at(_sums(a, _BASE2), _UNBASE2, starts, LENGTH) >> np.uint64(33)).astype(np.int64) % buckets
-                    held.append((doc.as_py(), body.as_py(), string, bucket.astype(np.int32), starts + offset))
-                    size += len(starts) * 4
-                if size >= FLUSH:
-                    yield from flush(held)
-                    held, size = [], 0
+        for doc, body, text, lists in _texts(batches):
+            noted = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in lists]))
+            for offset, a in _pieces(text):
+                sums = _sums(a, _ODD)
+                first, count, head, tail = anchors(a, sums)
+                names = _named(head, tail)
+                hit = np.isin(names, noted)
+                first, count, names = first[hit], count[hit], names[hit]
+                long = count - 1 + LENGTH
+                whole = _hash_at(sums, _UNODD, first, long) + count.astype(np.uint64) * _BASE2
+                held.append((doc, body, names, whole, first + offset, count, a[_ragged(first, long)]))
+                size += len(held[-1][-1])
+            if size >= FLUSH // 2:
+                yield from flush(held)
+                held, size = [], 0
         if held:
             yield from flush(held)
 
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        docs, bodies = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
+        row = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
+        name, whole, place, count, flat = (np.concatenate([h[i] for h in held]) for i in range(2, 7))
+        long = count - 1 + LENGTH
+        start = np.cumsum(long) - long
+        order, first = _ordered(name, whole >> np.uint64(20), 44)
+        row, name, whole, place, count, long, start = (x[order] for x in (row, name, whole, place, count, long, start))
+        doc = docs[row]
+        later = doc > _spread(np.minimum.reduceat(doc, first) if len(first) else first, first, len(doc))
+        yield _marked(doc[later], bodies[row[later]], place[later], place[later] + long[later], buckets)
+        # An anchor with many stretches here is common whatever other tasks hold; one entry of it says so.
+        group, begins = _heads(name), np.zeros(len(name), np.int64)
+        begins[first] = 1
+        kinds = np.add.reduceat(begins, group) if len(group) else group
+        common = _spread(kinds > many, group, len(name)) & ~later
+        at = np.flatnonzero(common)
+        if len(at):
+            part = flat[_ragged(start[at], long[at])]
+            string, bucket, owner, shift = _strings_of(part, np.cumsum(long[at]) - long[at], count[at], buckets)
+            yield from _send(STRINGS, bucket, row[at][owner], docs, bodies, strings=string, places=(place[at][owner] + shift).astype(np.uint32))
+        sign = np.zeros(len(name), bool)
+        sign[group] = kinds > many
+        at = np.flatnonzero((~later & ~common) | sign)
+        sent = np.where(sign, 0, count)[at]
+
+        def texts(i: np.ndarray) -> bytes:
+            i = i[sent[i] > 0]
+            return flat[_ragged(start[at[i]], long[at[i]])].tobytes()
+
+        yield from _send(STRETCHES, (name[at] >> np.uint64(32)).astype(np.int64) % buckets, row[at], docs, bodies, texts, names=name[at],
+                         wholes=whole[at], places=place[at].astype(np.uint32), counts=sent.astype(np.uint8))
+
+    return work
+
+
+def _settle_stretches(buckets: int):
+    """Bucket task: mark repeated stretches, and repeated strings of anchors with several; pass on strings of common anchors."""
+
+    def work(table: pa.Table) -> pa.Table:
+        passed, rows = _split(table, STRETCHES)
+        e = _unpacked(rows, names=np.uint64, wholes=np.uint64, places=np.uint32, counts=np.uint8)
+        count, place = e["counts"].astype(np.int64), e["places"].astype(np.int64)
+        real, long = count > 0, np.where(count > 0, count - 1 + LENGTH, 0)
+        order = np.lexsort((e["doc"], e["wholes"], real, e["names"]))
+        name, whole, doc, sure = e["names"][order], e["wholes"][order], e["doc"][order], real[order]
+        first, group, begins = _heads(name, whole, sure), _heads(name), np.zeros(len(name), np.int64)
+        begins[first] = 1
+        later = (doc > _spread(doc[first], first, len(doc))) & sure
+        kinds = np.add.reduceat(begins, group) if len(group) else group
+        signed = ~sure[group] if len(group) else group.astype(bool)
+        open_, common = np.zeros(len(name), bool), np.zeros(len(name), bool)
+        open_[order] = _spread((kinds > 1) & ~signed, group, len(name)) & ~later
+        common[order] = _spread(signed, group, len(name)) & ~later & sure
+        i = order[later]
+        out = [passed, pa.Table.from_batches([_marked(e["doc"][i], e["body"][i], place[i], place[i] + long[i], buckets)])]
+        # The texts are opened one row at a time, for the entries that still need them.
+        found, at = [], 0
+        for r in rows:
+            n = len(r["counts"])
+            own = np.arange(at, at + n)
+            at += n
+            start = np.cumsum(long[own]) - long[own]
+            if not (open_[own] | common[own]).any():
+                continue
+            flat = np.frombuffer(zlib.decompress(r["texts"]), np.uint8)
+            for chosen, far in ((open_, False), (common, True)):
+                j = np.flatnonzero(chosen[own])
+                if not len(j):
+                    continue
+                part = flat[_ragged(start[j], long[own[j]])]
+                string, bucket, owner, shift = _strings_of(part, np.cumsum(long[own[j]]) - long[own[j]], count[own[j]], buckets)
+                k = own[j][owner]
+                if far:
+                    known, of = np.unique(k, return_inverse=True)
+                    out += [pa.Table.from_batches([b]) for b in _send(STRINGS, bucket, of, e["doc"][known], e["body"][known], strings=string,
+                                                                     places=(place[k] + shift).astype(np.uint32))]
+                else:
+                    found.append((k, string, place[k] + shift))
+        if found:
+            k, string, place = (np.concatenate(x) for x in zip(*found))
+            out.append(pa.Table.from_batches([_repeats(string, e["doc"][k], e["body"][k], place, buckets, e["names"][k])]))
+        return pa.concat_tables(out)
+
     return work
 
 
-def _settle(buckets: int):
-    """Bucket task: mark each string that a document with a smaller id holds too."""
+def _repeats(string: np.ndarray, doc: np.ndarray, body: np.ndarray, place: np.ndarray, buckets: int, *also: np.ndarray) -> pa.RecordBatch:
+    """Mark the strings that a document with a smaller id holds too."""
+    order = np.lexsort((doc, string, *also))
+    string, doc, body, place, *also = (x[order] for x in (string, doc, body, place, *also))
+    first = _heads(string, *also)
+    later = doc > _spread(doc[first], first, len(doc))
+    return _marked(doc[later], body[later], place[later], place[later] + LENGTH, buckets)
+
+
+def _settle_strings(buckets: int):
+    """Bucket task: the strings of common anchors."""
 
     def work(table: pa.Table) -> pa.Table:
-        whole = [r for r in table.to_pylist() if r["strings"] is not None]
-        passed = table.filter(pa.array([v is None for v in table.column("strings").to_pylist()])).cast(_WINDOW)
-        if not whole:
-            return passed
-        string = np.concatenate([np.frombuffer(r["strings"], np.uint64) for r in whole])
-        place = np.concatenate([np.frombuffer(r["places"], np.uint32) for r in whole]).astype(np.int64)
-        rows = [np.frombuffer(r["rows"], np.uint32) for r in whole]
-        doc = np.concatenate([np.frombuffer(r["docs"], np.int64)[x] for r, x in zip(whole, rows)])
-        body = np.concatenate([np.frombuffer(r["bodies"], np.int64)[x] for r, x in zip(whole, rows)])
-        order = np.lexsort((doc, string))
-        string, place, doc, body = string[order], place[order], doc[order], body[order]
-        first = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
-        later = doc > np.repeat(doc[first], np.diff(np.append(first, len(doc))))
-        return pa.concat_tables([passed, pa.Table.from_batches([_marks(doc[later], body[later], place[later], buckets)])])
+        passed, rows = _split(table, STRINGS)
+        e = _unpacked(rows, strings=np.uint64, places=np.uint32)
+        return pa.concat_tables([passed, pa.Table.from_batches([_repeats(e["strings"], e["doc"], e["body"], e["places"].astype(np.int64), buckets)])])
 
     return work
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, packed): texts as compressed bytes, for the joins that move them; a null text stays null."""
+    def work(batches):
+        for batch in batches:
+            texts = [None if t is None else zlib.compress(_body(t), 1) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("body"), pa.array(texts, pa.binary())], ["doc_id", "body", "packed"])
+
+    return docs.select("doc_id", "body", "text").mapInArrow(work, "doc_id long, body long, packed binary")
+
+
 def repeated_spans(docs: DataFrame, batches: int = 4) -> DataFrame:
-    """(doc, body, spans): for documents with repeats, lists of the runs to remove; ``docs`` has doc_id, text, body."""
+    """(doc_id, body, lists): for documents with repeats, lists of the runs to remove; ``docs`` has doc_id, text, body."""
     spark = docs.sparkSession
     size, least, most = docs.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
-    buckets = int(max(64, (size or 0) >> 26))
+    buckets = int(max(32, (size or 0) >> 24))  # about a million anchors each
+    many = max(1, GROUP_ROWS // (1 + (size or 0) // (FLUSH // 2)))
     edges = sorted({int(e) for e in docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)}) if least is not None and batches > 1 else []
     bounds = [least if least is not None else 0, *[e for e in edges if least < e <= most], (most if most is not None else 0) + 1]
-    family = SuffixFamily(spark, buckets)
-    noted = None
+    family, noted = SuffixFamily(spark, buckets), None
     for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
         found = family.add(docs.where((F.col("doc_id") >= low) & (F.col("doc_id") < high)), last=i == len(bounds) - 2)
         noted = found if noted is None else noted.union(found)
         _release(spark)
-    lists = noted.groupBy("doc").agg(F.collect_list("names").alias("names"))
-    rows = docs.distinct().join(lists, F.col("doc_id") == F.col("doc")).select("doc_id", "body", "text", "names")
-    strings = rows.mapInArrow(_strings(buckets), WINDOW)
-    marks = saved(strings.groupBy("bucket").applyInArrow(_settle(buckets), WINDOW), "marks")
+    lists = noted.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("names").alias("lists"))
+    rows = _packed(docs).join(lists.hint("merge"), "doc_id")
+    settled = saved(rows.mapInArrow(_stretches(buckets, many), ROW).groupBy("bucket").applyInArrow(_settle_stretches(buckets), ROW), "stretches")
     _release(spark)
-    return marks.groupBy("doc", "body").agg(F.collect_list("places").alias("spans"))
+    strings = settled.where(F.col("kind") == STRINGS).groupBy("bucket").applyInArrow(_settle_strings(buckets), ROW)
+    marks = settled.where(F.col("kind") == MARKED).union(strings)
+    return marks.groupBy(F.col("doc").alias("doc_id"), "body").agg(F.collect_list("places").alias("lists"))
 
 
 def _union(spans: list[bytes]) -> np.ndarray:
     """Runs of several lists as maximal runs in order."""
     both = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 2) for s in spans])
-    both = both[np.argsort(both[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(both[:, 1])
-    first = np.flatnonzero(np.concatenate([[True], both[1:, 0] > reach[:-1]]))
-    return np.stack([both[first, 0], reach[np.append(first[1:] - 1, len(both) - 1)]], 1)
+    return _joined(both[np.argsort(both[:, 0], kind="stable")])
 
 
 def remove_repeats(docs: DataFrame, batches: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -357,16 +525,15 @@ def remove_repeats(docs: DataFrame, batches: int = 4, id_col: str = "doc_id", te
     rows = columns_of(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("body", F.xxhash64("text"))
     long_enough = rows.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-    spans = repeated_spans(long_enough, batches)
-    joined = rows.join(spans.withColumnRenamed("body", "of"), (F.col("doc_id") == F.col("doc")) & (F.col("body") == F.col("of")), "left")
+    joined = _packed(rows).join(repeated_spans(long_enough, batches).hint("merge"), ["doc_id", "body"], "left")
 
     def cut(parts):
         for part in parts:
             for at in range(0, part.num_rows, 500):
                 batch = part.slice(at, 500)
                 out = []
-                for text, lists in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                    body, kept, removed, runs = _body(text), None, 0, 0
+                for packed, lists in zip(batch.column("packed").to_pylist(), batch.column("lists").to_pylist()):
+                    body, kept, removed, runs = zlib.decompress(packed) if packed else b"", None, 0, 0
                     if lists:
                         gone = _union(lists)
                         edges = np.concatenate([[0], gone.ravel(), [len(body)]]).reshape(-1, 2)
@@ -378,5 +545,5 @@ def remove_repeats(docs: DataFrame, batches: int = 4, id_col: str = "doc_id", te
                 if out:
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return joined.select("doc_id", "text", "spans").mapInArrow(
+    return joined.select("doc_id", "packed", "lists").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

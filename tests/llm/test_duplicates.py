@@ -136,6 +136,9 @@ def test_repeated_passages(spark, batches):
             cut = rng.randint(0, len(s) // 2)
             parts += [s[cut:cut + rng.choice([49, 50, 51, 500])], words(rng.random(), rng.randint(0, 20))]
         rows.append((i * 7 % 61, " ".join(parts)))
+    # One phrase in so many surroundings that its strings are compared one by one.
+    phrase, tails = words(777, 9)[:40], [words(778 + k, 4) for k in range(3)]
+    rows += [(300 + i, f"{words(5000 + i, 6)} {phrase} {tails[i % 3][:12 + i % 9]} {words(6000 + i, 6)}") for i in range(90)]
     rows += [(200, "ab" * 400), (201, "ab" * 30), (202, "é" * 40), (203, "é" * 60), (204, None), (205, "short")]
     want = removed(rows)
     got = suffixes.remove_repeats(frame(spark, [(i, t, "en", "s", 0) for i, t in rows]), batches).collect()
