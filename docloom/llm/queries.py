@@ -71,7 +71,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), batches=3).drop("kept")
 
 
 @_query

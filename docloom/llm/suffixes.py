@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -245,8 +246,10 @@ class SuffixFamily:
 
 def _release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps now, not when the driver next happens to collect."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # references from Python go in the first round, what they held in the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 ROW = ("kind int, bucket int, doc long, body long, names binary, wholes binary, strings binary, rows binary, places binary, counts binary, "
@@ -363,7 +366,7 @@ def _stretches(buckets: int, many: int):
                 whole = _hash_at(sums, _UNODD, first, long) + count.astype(np.uint64) * _BASE2
                 held.append((doc, body, names, whole, first + offset, count, a[_ragged(first, long)]))
                 size += len(held[-1][-1])
-            if size >= FLUSH // 2:
+            if size >= FLUSH:
                 yield from flush(held)
                 held, size = [], 0
         if held:
@@ -491,7 +494,7 @@ def repeated_spans(docs: DataFrame, batches: int = 4) -> DataFrame:
     spark = docs.sparkSession
     size, least, most = docs.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
     buckets = int(max(32, (size or 0) >> 24))  # about a million anchors each
-    many = max(1, GROUP_ROWS // (1 + (size or 0) // (FLUSH // 2)))
+    many = max(1, GROUP_ROWS // (1 + (size or 0) // FLUSH))
     edges = sorted({int(e) for e in docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)}) if least is not None and batches > 1 else []
     bounds = [least if least is not None else 0, *[e for e in edges if least < e <= most], (most if most is not None else 0) + 1]
     family, noted = SuffixFamily(spark, buckets), None
