@@ -18,8 +18,15 @@ Documents with equal shingle sets are one class and enter once. Candidates are c
 on full sets. First each document tries its best candidate; later rounds try only pairs
 whose documents are not linked yet, since a pair inside a component changes nothing.
 
-With 20 trees and a similarity of exactly 0.8 a pair of a small region is missed with
-probability (1 - 0.8 ** 4) ** 20 = 2.6e-5; the higher the similarity, the less.
+Neighbours alone would lose the only link of two documents in a large region whose other
+members are alike but below the similarity. So the regions that hold more than one component
+when all candidates are tried are open, and the documents of open regions are joined exactly:
+two sets of n <= m shingles that reach the similarity share one of the rarest few of both,
+and the places of what they share bound what they can have in common.
+
+With 20 trees and a similarity of exactly 0.8 a pair stands in no common region with
+probability (1 - 0.8 ** 4) ** 20 = 2.6e-5; the higher the similarity, the less. Pairs of a
+common region are all found, whatever its size.
 """
 
 from __future__ import annotations
@@ -37,6 +44,7 @@ TREES, DEPTH, DEEPEST = 20, 4, 8
 SMALL = 12  # documents of a region that gives all its pairs
 NEXT = 2  # documents that follow in order, in larger regions
 HASHES = TREES * DEPTH
+SAMPLE = 2_000_000  # shingles of the sample of sets that shows which ones are common; for speed only
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -148,6 +156,13 @@ def full_sets(docs: DataFrame, size: int = 2) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, shingles array<long>")
 
 
+def _large(keys: np.ndarray, tree: np.ndarray) -> np.ndarray:
+    """Places of sorted rows in a region of more than ``SMALL`` rows, or in one that may go on beyond the rows."""
+    same = (keys[1:, :DEPTH] == keys[:-1, :DEPTH]).all(axis=1) & (tree[1:] == tree[:-1])
+    run = np.concatenate([[0], np.cumsum(~same)])
+    return np.flatnonzero((np.bincount(run)[run] > SMALL) | (run == 0) | (run == run[-1]))
+
+
 def _neighbours(keys: np.ndarray, tree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs (places) of sorted rows: all of a small run, the next ones in a large one."""
     n = len(keys)
@@ -172,8 +187,9 @@ def _neighbours(keys: np.ndarray, tree: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(left), np.concatenate(right)
 
 
-def candidates(sigs: DataFrame) -> DataFrame:
-    """(a, b, trees) of documents that are neighbours in the forest, with the number of trees that say so; a < b."""
+def candidates(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, trees) of documents that are neighbours in the forest, with the number of trees that say so; a < b.
+    And (doc_id, tree, prefix) of the documents in regions that need not have given all their pairs."""
     order = [np.concatenate([np.arange(DEPTH * t, DEPTH * (t + 1)), np.arange(DEPTH * (t + 7), DEPTH * (t + 8))]) % HASHES
              for t in range(TREES)]
 
@@ -207,7 +223,7 @@ def candidates(sigs: DataFrame) -> DataFrame:
                 yield _edge(batch.slice(0, 1), 0)
             last = batch.slice(batch.num_rows - 1, 1)
             whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            yield _pairs(whole)
+            yield from _pairs(whole)
             held = whole.slice(max(0, whole.num_rows - 4 * SMALL))
         if last is not None:
             yield _edge(last, 1)
@@ -215,12 +231,13 @@ def candidates(sigs: DataFrame) -> DataFrame:
     made = saved(sorted_rows.mapInArrow(pair, f"a {kind}, b {kind}, part int, tree int, prefix string"), "neighbours")
     pairs = made.where("b IS NOT NULL").select("a", "b")
     # Only the first and the last row of each partition: two rows a task.
-    edges = made.where("b IS NULL")
+    edges = made.where("b IS NULL AND part IS NOT NULL")
+    regions = made.where("b IS NULL AND part IS NULL").select(F.col("a").alias("doc_id"), "tree", "prefix")
     first = edges.where("part % 2 = 0").select((F.expr("part div 2") - 1).alias("at"), "tree", "prefix", F.col("a").alias("b"))
     last = edges.where("part % 2 = 1").select(F.expr("part div 2").alias("at"), "tree", "prefix", "a")
     across = last.join(first, ["at", "tree", "prefix"]).select("a", "b")
     both = pairs.union(across).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("trees"))
+    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("trees")), regions
 
 
 def _edge(row: pa.RecordBatch, end: int) -> pa.RecordBatch:
@@ -232,15 +249,93 @@ def _edge(row: pa.RecordBatch, end: int) -> pa.RecordBatch:
         ["a", "b", "part", "tree", "prefix"])
 
 
-def _pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
+def _pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     packed = np.stack([rows.column(f"k{i}").to_numpy() for i in range(4)], 1).astype(np.int64)
     keys = np.stack([x for i in range(4) for x in (packed[:, i] >> 32, packed[:, i] & 0xFFFFFFFF)], 1)
-    left, right = _neighbours(keys, rows.column("tree").to_numpy())
-    ids = rows.column("doc_id")
+    tree = rows.column("tree").to_numpy()
+    left, right = _neighbours(keys, tree)
+    ids, names = rows.column("doc_id"), ["a", "b", "part", "tree", "prefix"]
     none = pa.nulls(len(left), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(left)), ids.take(pa.array(right)), none, none, pa.nulls(len(left), pa.string())],
-        ["a", "b", "part", "tree", "prefix"])
+    yield pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(left)), ids.take(pa.array(right)), none, none, pa.nulls(len(left), pa.string())], names)
+    at = _large(keys, tree)
+    prefix = pa.array([f"{a}:{b}" for a, b in packed[at, :2].tolist()], pa.string())
+    yield pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(at)), pa.nulls(len(at), ids.type), pa.nulls(len(at), pa.int32()), pa.array(tree[at], pa.int32()), prefix], names)
+
+
+def open_documents(regions: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents in regions that hold more than one component."""
+    named = regions.join(found.select(F.col("node").alias("doc_id"), "component_id"), "doc_id", "left")
+    named = saved(named.select("doc_id", "tree", "prefix", F.coalesce("component_id", "doc_id").alias("component")), "regions")
+    mixed = named.groupBy("tree", "prefix").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return named.join(mixed.select("tree", "prefix"), ["tree", "prefix"], "left_semi").select("doc_id", "component").distinct()
+
+
+def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that a sample of the sets holds more than once, and how many sets of it hold each."""
+    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    rows = sets.where(F.expr(f"pmod(xxhash64(doc_id), 1000000) < {1_000_000 * SAMPLE // max(1, total)}"))
+    rows = rows.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = rows.toPandas().sort_values("s")
+    return counts["s"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
+
+
+def rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, component, name, n, at, shingle, short): each set's rarest shingles, as many as a partner can need.
+
+    One order of all shingles holds for all sets. ``at`` is a shingle's place in its set; ``short`` marks those that
+    meet a partner that is not smaller, ``name`` tells sets of one id apart.
+    """
+    known, often = _common(sets)
+
+    def work(batches):
+        for batch in batches:
+            out = []
+            for k, held in enumerate(batch.column("shingles")):
+                s = held.values.to_numpy()
+                n = len(s)
+                count = np.zeros(n, np.int64)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    count = np.where(known[place] == s, often[place], 0)
+                s = s[np.lexsort((s, count))]
+                # A partner shares at least percent of the larger set, and of a partner as large 2p / (100 + p) of either.
+                probe, index = n - -(-n * percent // 100) + 1, n - -(-2 * n * percent // (100 + percent)) + 1
+                at = np.arange(min(probe, n))
+                name = int(_mixed(s.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
+                out.append((np.full(len(at), k), np.full(len(at), name), np.full(len(at), n), at, s[at], at < index))
+            if not out:
+                continue
+            k, name, n, at, s, short = (np.concatenate(x) for x in zip(*out))
+            k = pa.array(k)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(k), batch.column("component").take(k), pa.array(name, pa.int64()), pa.array(n, pa.int32()),
+                 pa.array(at, pa.int32()), pa.array(s, pa.int64()), pa.array(short)],
+                ["doc_id", "component", "name", "n", "at", "shingle", "short"])
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    return sets.select("doc_id", "component", "shingles").mapInArrow(
+        work, f"doc_id {kind}, component {kind}, name long, n int, at int, shingle long, short boolean")
+
+
+def exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b, of different components: all that can reach the similarity, by the rarest shingles they share.
+
+    Components meet on a shingle first, so documents that are linked already are never paired on it.
+    """
+    rows = saved(rarest(sets, percent), "rarest")
+    one = rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("component", "doc_id", "name", "n", "at")])
+    two = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("component", "doc_id", "name", "n", "at")])
+    meet = one.select("shingle", "component_a").distinct().join(
+        two.select("shingle", "component_b").distinct(), "shingle").where("component_a <> component_b")
+    # What two sets share from one place on is no more than what either has from there on.
+    reach = f"n_a <= n_b AND 100 * n_a >= {percent} * n_b AND {100 + percent} * (1 + least(n_a - at_a, n_b - at_b) - 1 + least(at_a, at_b)) >= {percent} * (n_a + n_b)"
+    met = meet.join(one, ["shingle", "component_a"]).join(two, ["shingle", "component_b"]).where(reach)
+    by = ["doc_id_a", "name_a", "n_a", "doc_id_b", "name_b", "n_b"]
+    met = met.groupBy(*by).agg(F.count(F.lit(1)).alias("shared"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
+    met = met.where(f"{100 + percent} * (shared + least(n_a - at_a, n_b - at_b) - 1) >= {percent} * (n_a + n_b)")
+    return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,7 +361,8 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     heads = full.groupBy("class").agg(F.min("doc_id").alias("head"))
     # The class heads alone are compared; their copies hang on them by the class's name.
     reps = full.join(heads, "class").where(F.col("doc_id") == F.col("head")).select("doc_id", "sig").distinct()
-    pairs = saved(candidates(reps), "candidates")
+    pairs, regions = candidates(reps)
+    pairs = saved(pairs, "candidates")
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("trees", "b")).alias("b")).union(
         pairs.groupBy("b").agg(F.max_by("a", F.struct("trees", "a")).alias("a")).select("a", "b")).distinct()
     # The texts that need comparing are fetched once for all rounds, by a join that is the same at every size.
@@ -279,7 +375,14 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     rest = saved(rest.join(best, ["a", "b"], "left_anti"), "rest")
     more = saved(confirmed(rest, sets, percent), "links")
-    found = saved(components(links.union(more)), "components") if more.limit(1).count() else found
+    links = links.union(more)
+    found = saved(components(links), "components") if more.limit(1).count() else found
+    unsure = saved(open_documents(regions, found), "open")
+    if unsure.limit(1).count():
+        sets = saved(full_sets(rows.join(unsure.select("doc_id").hint("merge"), "doc_id", "left_semi"), size), "sets")
+        last = saved(exact_pairs(sets.join(unsure, "doc_id"), percent), "last")
+        more = saved(confirmed(last, sets, percent), "links")
+        found = saved(components(links.union(more)), "components") if more.limit(1).count() else found
     named = heads.join(found.select(F.col("node").alias("head"), "component_id"), "head", "left").select(
         "class", F.coalesce("component_id", "head").alias("component_id"))
     out = sigs.join(named, "class", "left")

@@ -78,6 +78,20 @@ def test_forest_pairs_stay_linear_in_a_large_group():
     assert len(left) < 3000 * (minhash.NEXT + 1) and set(zip(range(2999), range(1, 3000))) <= set(zip(left.tolist(), right.tolist()))
 
 
+def test_minhash_finds_the_only_link_inside_a_large_family(spark):
+    page = [f"page{k}" for k in range(151)]
+    rows = []
+    for i in range(2000):
+        # Each member is alike to all others below the similarity; 100 pairs share six more words and are above it.
+        twin = [f"twin{i // 2}w{k}" for k in range(6)] if i < 200 else []
+        rows.append((i, " ".join(page + twin + [f"own{i}w{k}" for k in range(24 - len(twin))]), "en", "s", 0))
+    sets = [shingles(t, 2) for _, t, *_ in rows]
+    alike = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in [(0, 1), (0, 2), (300, 301)]]
+    assert alike[0] >= 0.8 > 0.77 > max(alike[1:])
+    got = by_id(minhash.near_duplicates(frame(spark, rows), 2).collect())
+    assert [got[i]["component_id"] for i in range(2000)] == [i - i % 2 if i < 200 else i for i in range(2000)]
+
+
 def test_components_of_long_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(50, 120)]
     star = [(500, i) for i in range(501, 560)]
