@@ -81,9 +81,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 #: Tokens of a stretch: runs of letters, runs of digits, blanks, single signs.
 TOKEN = re.compile(r"[^\W\d_]+|\d+|\s+|[^\w\s]|_")
-#: Something worth a look: digits in number, an at sign, or a spelled-out one with a dot behind it.
-ANCHOR = re.compile(r"(?:\d[\s().\-/\[\]]{0,3}){7}|@|[(\[]\s?at\s?[)\]]|\bat\s+\w{1,40}\s+dot\b", re.IGNORECASE)
-LONGEST = 16  # tokens of a segment
+#: Something worth a look: digits in number, four short groups of them with dots between, an at sign, or a spelled-out
+#: one with a host behind it, whose dot may be plain or spelled.
+ANCHOR = re.compile(
+    r"(?:\d[\s().\-/\[\]]{0,3}){7}|\d{1,3}(?:\s?[(\[]?\s?\.\s?[)\]]?\s?\d{1,3}){3}|@|[(\[]\s?at\s?[)\]]"
+    r"|\bat\s+[\w-]{1,63}(?:\.\w|\s*[(\[]\s?dot\s?[)\]]|\s+dot\b)", re.IGNORECASE)
+LONGEST = 40  # tokens of a segment: a name of 8, and a host of 5 parts with bracketed dots and blanks around them
+LONGEST_NUMBER = 17  # tokens of a segment without an at: 19 digits in 5 groups with blank, sign, blank between
+LONGEST_TEXT = 100  # characters of a segment
 MARGIN = 60  # characters taken along on either side of an anchor
 TLD = re.compile(r"(?:com|org|net|edu|gov|io|de|fr|es|uk|info|example)$", re.IGNORECASE)
 SPELLED_AT = re.compile(r"\s*[(\[]\s?at\s?[)\]]\s*|\s+at\s+|\s?@\s?", re.IGNORECASE)
@@ -154,12 +159,20 @@ def _segments(stretch: str) -> tuple[list[tuple[int, int]], list[tuple[int, int,
     """Places of the tokens, and the candidate segments (first token, token behind the last, features)."""
     places = [(m.start(), m.end()) for m in TOKEN.finditer(stretch)]
     shapes = ["^", *[_shape(stretch[a:b]) for a, b in places], "$"]
-    out = []
+    # A blank behind a segment tells little; a spelled dot behind the blank says that the host goes on.
+    behind = [s + t if s == " " and t in ("dot", "(", "[") else s for s, t in zip(shapes, [*shapes[1:], ""])]
+    out, ats = [], [0]
+    for a, b in places:
+        ats.append(ats[-1] + (stretch[a:b].lower() in ("@", "at")))
     for i in range(len(places)):
         for j in range(i + 1, min(i + LONGEST, len(places)) + 1):
+            if j - i > LONGEST_NUMBER and ats[i] == ats[j]:
+                continue
             segment = stretch[places[i][0]:places[j - 1][1]]
-            if len(segment) <= 80 and _may_hold(segment):
-                out.append((i, j, _features(segment, shapes[i], shapes[j + 1])))
+            if len(segment) > LONGEST_TEXT:
+                break
+            if _may_hold(segment):
+                out.append((i, j, _features(segment, shapes[i], behind[j + 1])))
     return places, out
 
 
@@ -252,7 +265,8 @@ def _written_around(kind: str, value: str, rng: np.random.Generator) -> str:
 #: Numbers that are no personal data, so that the field sees some whatever the sample holds.
 PLAIN = ["2024-03-15 10:45:02", "1,234,567.89", "version 10.2.33", "15/03/2024 12:30", "0.123456789", "1999-2004 (pp. 1031-1047)",
          "10 000 000 000", "page 12345678", "3.14159265", "2 400 512 units", "No. 20240315", "1-2-3-4-5-6-7-8", "at noon a dot", "ratio 1.2.3.4.5.6.7",
-         "order 8812345678", "id 123456789012", "look at this dot there", "born 12.04.1987 in", "100 200 300 400 500"]
+         "order 8812345678", "id 123456789012", "look at this dot there", "met at noon. Then we left at 5.30 with", "stay at home and write", "at least one. At last two",
+         "arrived at 10.30 and left", "sections 1.2.3 and 4.5", "born 12.04.1987 in", "100 200 300 400 500"]
 
 
 def train(texts: list[str | None], rounds: int = 6, seed: int = 5, stretches: int = 1500) -> Field:
@@ -269,7 +283,8 @@ def train(texts: list[str | None], rounds: int = 6, seed: int = 5, stretches: in
         cases.append((f"figure {['.', '[.]', ' . '][int(rng.integers(3))].join(parts)} here", 0, 0, None))
     made = [(k, v) for k, v in (("email", "joe@example.com"), ("email", "kim_lee@web.example.net"), ("card", "340000000000009"), ("card", "6011000990139424"),
                                 ("email", "jo.ann7@mail.example.org"), ("ip", "192.0.2.44"), ("card", "4111111111111111"), ("phone", "+1 (212) 555-0134"),
-                                ("phone", "+1 (415) 555-0199"), ("email", "info@example.com"), ("ip", "198.51.100.7"), ("card", "5500005555555559"))]
+                                ("phone", "+1 (415) 555-0199"), ("email", "info@example.com"), ("ip", "198.51.100.7"), ("card", "5500005555555559"),
+                                ("ip", "10.0.0.5"), ("ip", "172.16.0.1"), ("email", "lee.park8@web.mail.example.net"), ("email", "jo@my-host.org"))]
     for kind, value in made * 30:
         shown = value if rng.random() < 0.4 else _written_around(kind, value, rng)
         cases.append((f"call or write {shown} and then", 14, 14 + len(shown), kind))

@@ -118,6 +118,20 @@ def test_field_finds_what_is_written_around_and_keeps_base(spark):
     assert got[2]["spans"] == got[3]["spans"] == ""
 
 
+def test_every_written_form_is_found_for_its_full_span():
+    field = pii.train([])
+    emails = [("joe", "example.com"), ("jo.ann7", "mail.example.org"), ("jo", "my-host.org")]
+    forms = [("email", name + at + host.replace(".", dot)) for name, host in emails for at in (" at ", " (at) ", "[at]", " @ ", "(at)")
+             for dot in (" dot ", ".", " (dot) ", "[dot]")]
+    forms += [("ip", ip.replace(".", dot)) for ip in ("10.0.0.5", "192.0.2.4") for dot in ("[.]", " . ", "(.)")]
+    for kind, form in forms:
+        text = f"please write to {form} when you are there"
+        base = pii.base_spans(text)
+        assert (16, 16 + len(form), kind) in base + pii.added_spans(field, text, base), form
+    for text in ("We met at noon. Then we left at 5.30 pm.", "Look at home.Then go."):
+        assert not pii.added_spans(field, text, [])
+
+
 def test_segments_are_the_best_of_all_segmentations():
     field = pii.train([], rounds=1)
     stretch = "to 10 [.] 2 x@y.org 555"
