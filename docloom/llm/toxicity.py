@@ -17,6 +17,7 @@ weights, and scoring a text is a few lookups per character, whatever the number
 from __future__ import annotations
 
 import unicodedata
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -232,6 +233,18 @@ def _machine(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 40) -> np
     return w
 
 
+def _parts(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts, each with the place of its first: 50 at most, and fewer where they are long."""
+    at, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > at and (k - at == 50 or held + len(text) > CHUNK // 2):
+            yield at, texts[at:k]
+            at, held = k, 0
+        held += len(text)
+    if at < len(texts):
+        yield at, texts[at:]
+
+
 def train(texts: list[str], toxic: list[int], weights: list[float] | None = None, landmarks: int = 160,
           rounds: int = 4, negatives: int = 15_000, seed: int = 11) -> Model:
     """A model from labelled texts. Without texts of both labels it scores every text by the share of toxic ones.
@@ -280,8 +293,7 @@ def train(texts: list[str], toxic: list[int], weights: list[float] | None = None
         model = Model(space.fold(w[:-1]), float(w[-1]), 1.0, 0.0, 0.0)
         # The worst word of each toxic text is its positive case; clean words over the margin become negative ones.
         chosen, over = Counter(), {}
-        for at in range(0, len(texts), 50):
-            part = texts[at:at + 50]
+        for at, part in _parts(texts):
             s, starts, value, owner = model.decisions(part)
             ends = np.append(starts[1:], len(s) - 1) if len(starts) else starts
             order = np.lexsort((-value, owner))
@@ -294,7 +306,7 @@ def train(texts: list[str], toxic: list[int], weights: list[float] | None = None
         # A word that clean texts hold as often marks no toxic one.
         chosen = Counter({w: n for w, n in chosen.items() if len(w) > 1 and odds(w) > 1}) or chosen
         hard = sorted((w for w in over if len(w) > 1), key=lambda w: (-over[w], w))[:negatives // 2]
-    best, count = [np.concatenate(x) for x in zip(*[model.worst(texts[at:at + 50]) for at in range(0, len(texts), 50)])]
+    best, count = [np.concatenate(x) for x in zip(*[model.worst(part) for _, part in _parts(texts)])]
     x = np.stack([best, np.log1p(count), np.ones(len(best))], 1)
     fit = np.zeros(3)
     for _ in range(50):
@@ -315,15 +327,29 @@ def held_out(doc_id) -> F.Column:
 
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
               per_label: int = 1500, longest: int = 8_000) -> Model:
-    """Train on labelled rows that are not held out: at most ``per_label`` ids of each label, drawn by a hash of the
-    id, and of these the texts of up to ``longest`` characters. This bounded sample is all that comes to the driver."""
+    """Train on labelled rows that are not held out: of each label at most ``per_label`` ids that have a text, drawn by a
+    hash of the id, those of up to ``longest`` characters first. Longer texts follow whole, as far as the sample of a
+    label stays within ``per_label * longest`` characters. This bounded sample is all that comes to the driver.
+    A label that has ids but no text in the sample is warned of, since no document can then be told apart."""
     marked = columns_of(labels, doc_id=id_col, toxic=label_col).where("toxic IN (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Ids are drawn first: a few thousand at most, so they are sent to the texts and not the texts to them.
-    drawn = [marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for label in (0, 1)]
-    texts = columns_of(docs, doc_id=id_col, text=text_col).where(F.length("text").between(1, longest))
-    rows = texts.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").select("text", "toxic").distinct().collect()
+    # Ids and lengths are drawn first: a few thousand at most, so they are sent to the texts and not the texts to them.
+    texts = columns_of(docs, doc_id=id_col, text=text_col).where(F.length("text") >= 1)
+    usable = texts.select("doc_id", F.length("text").cast("long").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n")).join(marked, "doc_id")
+    drawn = []
+    for label in (0, 1):
+        of_label = usable.where(F.col("toxic") == label).orderBy(F.col("n") > longest, F.xxhash64("doc_id"), "doc_id").limit(per_label)
+        left = per_label * longest
+        for r in of_label.collect():
+            if r["n"] <= left:
+                left -= r["n"]
+                drawn.append((r["doc_id"], label))
+    ids = docs.sparkSession.createDataFrame(drawn, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, toxic int")
+    rows = texts.join(F.broadcast(ids), "doc_id").select("text", "toxic").distinct().collect()
+    for label in sizes:
+        if not any(r["toxic"] == label for r in rows):
+            warnings.warn(f"no text to train on for label {label}, which {sizes[label]} ids have: every text will get the same score", stacklevel=2)
     rows = sorted((r["text"], r["toxic"]) for r in rows)
     share = {label: sizes.get(label, 0) / max(1, sum(k == label for _, k in rows)) for label in (0, 1)}
     return train([t for t, _ in rows], [k for _, k in rows], [share[k] for _, k in rows])

@@ -93,6 +93,17 @@ def test_training_without_labels(spark):
     assert toxicity.score_texts(toxicity.train(["a"], [1]), ["b"])[0] > 0.5
 
 
+def test_training_draws_among_texts_that_are_there(spark):
+    # Most labelled ids have no text, and the toxic texts are all longer than the limit.
+    texts, toxic = labelled()
+    rows = [(i, t + " " + words(i, 150) if k else t, "en", "s", 0) for i, (t, k) in enumerate(zip(texts, toxic))]
+    labels = spark.createDataFrame([(i, k) for i, k in enumerate(toxic)] + [(10_000 + i, i % 2) for i in range(4000)], "doc_id long, toxic int")
+    fitted = toxicity.fit_model(frame(spark, rows), labels, per_label=200, longest=400)
+    assert fitted.slope > 0
+    with pytest.warns(UserWarning, match="label 1"):
+        toxicity.fit_model(frame(spark, [r for r, k in zip(rows, toxic) if not k]), labels, per_label=200, longest=400)
+
+
 def test_long_texts_are_scored_whole(model, monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK", 100)
     text = words(3, 400)
