@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.session import written
+
 
 def row_positions(
     df: DataFrame,
@@ -48,6 +50,37 @@ def row_positions(
         *df.columns, (F.col("_start") + F.col("_rank")).cast("long").alias(out), *([total] if total else []))
 
 
+def ranged_positions(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[Column | str],
+    out: str = "position",
+    total: str | None = None,
+) -> DataFrame:
+    """0-based position of each row within its group, whatever the keys look like.
+
+    The rows are cut into ranges of (group, order) at sampled quantiles, so neither one group nor one
+    key value's neighbourhood decides how many rows share a task; only rows that agree in the whole key stay together.
+    Each range is sorted once and written with its running number. What the ranges before hold of a group
+    is a running sum over one short row per (group, range): at most as many as there are ranges.
+    """
+    keys = [*partition_by, *order_by]
+    cut = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = written(cut.withColumn("_at", F.monotonically_increasing_id()), "positions").withColumn("_range", F.expr("_at >> 33"))
+    sizes = placed.groupBy(*partition_by, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition_by)], F.col("_range").alias("_r"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        *([F.sum("_n").over(whole).alias(total)] if total else []))
+    same = F.col("_range") == F.col("_r")
+    for i, c in enumerate(partition_by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return placed.join(starts, same).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift")).alias(out), *([total] if total else []))
+
+
 def integer_bucket(key: str | Column, width: int = 65_536) -> list[Column]:
     """Bucket for a unique, roughly dense integer key: at most ``width`` rows share one."""
     c = F.col(key) if isinstance(key, str) else key

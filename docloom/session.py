@@ -77,6 +77,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df, name: str):
+    """A frame written under the shared folder and read back: fixed rows, a short lineage, safe from lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, key: str):
     """Redistribute a scan that has fewer splits than the cluster has slots.
 

@@ -32,6 +32,33 @@ def test_positions_match_a_full_sort(spark, rows, width):
     assert all(r.n == sizes[r.g] for r in got)
 
 
+@pytest.mark.parametrize("parts", ["1", "13"])
+def test_ranged_positions_match_a_full_sort(spark, rows, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.createDataFrame(rows, "k long, g string").repartition(5)
+        got = nb.ranged_positions(df, ["g"], ["k"], total="n").collect()
+        down = nb.ranged_positions(df, ["g"], [F.desc("k")]).collect()
+        empty = nb.ranged_positions(df.limit(0), [], ["k"], total="n")
+        assert empty.count() == 0 and empty.columns == ["k", "g", "position", "n"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want, sizes = expected_positions(rows)
+    assert {r.k: r.position for r in got} == want and all(r.n == sizes[r.g] for r in got)
+    assert {r.k: sizes[r.g] - 1 - r.position for r in down} == want
+
+
+def test_ranged_positions_of_clustered_keys_stay_even(spark):
+    # Nine tenths of the rows share one document, which sits between far-off ids.
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id") * 10**12).otherwise(77).alias("doc"), F.col("id").alias("n"))
+    placed = nb.ranged_positions(df, [], ["doc", "n"])
+    path = placed.inputFiles()
+    sizes = [r[0] for r in spark.read.parquet(*path).groupBy(F.input_file_name()).agg(F.count(F.lit(1))).select("count(1)").collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+    got = [(r.doc, r.n) for r in placed.orderBy("position").collect()]
+    assert got == sorted(got)
+
+
 def test_sparse_keys_get_even_buckets(spark):
     rng = random.Random(4)
     keys = sorted({rng.randrange(-(2**62), 2**62) for _ in range(500)})
