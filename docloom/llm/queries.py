@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import decontaminate, minhash, pieces, pii, quotes, secrets, sharding, suffixes, toxicity, vectors
+from docloom.llm import decontaminate, minhash, mixing, pieces, pii, quotes, secrets, sharding, suffixes, toxicity, vectors
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -82,3 +82,11 @@ def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), shards=24)
+
+
+@_query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_mixing"] = mixing.ORACLE

@@ -9,7 +9,7 @@ from docloom.llm.queries import QUERIES
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
 
 
