@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import decontaminate, minhash, mixing, pieces, pii, quotes, secrets, sharding, suffixes, toxicity, vectors
+from docloom.llm import collocations, decontaminate, divergence, minhash, mixing, pieces, pii, quotes, secrets, sharding, suffixes, toxicity, vectors
 from docloom.llm.common import table
 from docloom.session import ship_package
 
@@ -90,3 +90,19 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_mixing"] = mixing.ORACLE
+
+
+@_query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_divergence"] = divergence.ORACLE
+
+
+@_query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = collocations.ORACLE
