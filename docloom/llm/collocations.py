@@ -129,36 +129,37 @@ class Look:
     """A bit table of hashes; finds every hash put into it, and a few others."""
 
     def __init__(self, bits: np.ndarray):
-        self.bits = bits
+        self.bits, self.size = bits, (8 * len(bits)).bit_length() - 1
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
-        for place in _places(h):
+        for place in _places(h, self.size):
             out &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
         return out
 
 
-def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _places(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     h = h.astype(np.uint64, copy=False)
-    return h >> np.uint64(64 - TABLE_BITS), _mixed(h) >> np.uint64(64 - TABLE_BITS)
+    return h >> np.uint64(64 - size), _mixed(h) >> np.uint64(64 - size)
 
 
-def look_for(hashes: DataFrame) -> np.ndarray:
+def look_for(hashes: DataFrame, size: int = TABLE_BITS) -> np.ndarray:
     """The bit table of a column ``h``, put together in blocks; only the finished blocks, fixed in size, come to the driver."""
+    block_bits = min(_BLOCK_BITS, size - 3)
 
     def places(batches):
         for batch in batches:
-            at = np.concatenate(_places(batch.column("h").to_numpy().view(np.uint64))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((at >> _BLOCK_BITS).astype(np.int32)), pa.array((at & ((1 << _BLOCK_BITS) - 1)).astype(np.int32))], ["block", "bit"])
+            at = np.concatenate(_places(batch.column("h").to_numpy().view(np.uint64), size)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> block_bits).astype(np.int32)), pa.array((at & ((1 << block_bits) - 1)).astype(np.int32))], ["block", "bit"])
 
     def fill(key: tuple, part: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << _BLOCK_BITS, bool)
+        bits = np.zeros(1 << block_bits, bool)
         bits[part.column("bit").to_numpy()] = True
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
     spread = hashes.select("h").mapInArrow(places, "block int, bit int")
-    out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
-    width = (1 << _BLOCK_BITS) // 8
+    out = np.zeros((1 << size) // 8, np.uint8)
+    width = (1 << block_bits) // 8
     for block, bits in spread.groupBy("block").applyInArrow(fill, "block int, bits binary").collect():
         out[block * width:(block + 1) * width] = np.frombuffer(bits, np.uint8)
     return out
@@ -261,10 +262,10 @@ def counted(docs: DataFrame, table: np.ndarray) -> DataFrame:
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
-def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS) -> DataFrame:
+def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS, table_bits: int = TABLE_BITS) -> DataFrame:
     """(lang, words, phrase, n) of all phrases of up to four words that occur ``support`` times, and each language's word count (0 words).
 
-    ``docs`` has lang and text.
+    ``docs`` has lang and text; ``table_bits`` (6 at least) is for speed only.
     """
     # Written once, so that a shard is the same in every pass.
     docs = saved(docs.select("lang", "text", F.expr(f"spark_partition_id() % {shards}").alias("shard")), "shards")
@@ -273,14 +274,14 @@ def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS) -
     least = sizes.join(whole, "lang").withColumn("least", F.expr(f"({support} * size + whole - 1) div whole"))
     supports = saved(least.join(least.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("hidden")), "lang").select("lang", "shard", "least", "hidden"), "supports")
     short = saved(reachable(mined(docs, (1, 2)), supports, support), "short")
-    table = look_for(short)
+    table = look_for(short, table_bits)
     long = saved(reachable(mined(docs, (3, LONGEST), table), supports, support), "long")
-    found = counted(docs, table | look_for(long))
+    found = counted(docs, table | look_for(long, table_bits))
     return saved(found.where((F.col("words") == 0) | (F.col("n") >= support)), "phrases")
 
 
-def collocations(docs: DataFrame, support: int = 30, top: int = 2000, inside: int = 80, shards: int = SHARDS, text_col: str = "text",
-                 lang_col: str = "lang") -> DataFrame:
+def collocations(docs: DataFrame, support: int = 30, top: int = 2000, inside: int = 80, shards: int = SHARDS, table_bits: int = TABLE_BITS,
+                 text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The best collocations of each language: lang, rank, phrase, a, l, r, n, score.
 
     Texts are put in lower case (A-Z) and split at ``. , ; : ! ?`` and line breaks into pieces, pieces at blanks and tabs into words.
@@ -294,7 +295,7 @@ def collocations(docs: DataFrame, support: int = 30, top: int = 2000, inside: in
     """
     given = columns_of(docs, text=text_col, lang=lang_col)
     given = given.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    found = frequent_phrases(given, support, shards)
+    found = frequent_phrases(given, support, shards, table_bits)
     words = found.where("words = 0").select("lang", F.col("n").alias("n"))
     phrases = found.where("words > 0").select("lang", "words", "phrase", F.col("n").alias("a"))
     split = phrases.where("words > 1").withColumn("list", F.split("phrase", " "))
