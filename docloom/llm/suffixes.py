@@ -96,8 +96,8 @@ def _body(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-PART = "kind int, bucket int, doc long, head binary, tail binary, docs binary"
-_PART = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.int64()), ("head", pa.binary()), ("tail", pa.binary()), ("docs", pa.binary())])
+PART = "kind int, bucket int, doc long, head binary, tail binary, docs binary, open binary"
+_PART = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.int64()), ("head", pa.binary()), ("tail", pa.binary()), ("docs", pa.binary()), ("open", pa.binary())])
 ENTRY, NOTED = 0, 1
 
 
@@ -110,11 +110,13 @@ def _noted(doc: np.ndarray, names: np.ndarray, buckets: int) -> pa.RecordBatch:
     n = len(first)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(n, NOTED, np.int32)), pa.array((doc[first] % buckets).astype(np.int32)), pa.array(doc[first]),
-         pa.array([np.unique(names[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], schema=_PART)
+         pa.array([np.unique(names[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary()), *[pa.nulls(n, pa.binary())] * 3], schema=_PART)
 
 
-def _entries(bucket: int, head: np.ndarray, tail: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([{"kind": ENTRY, "bucket": bucket, "head": head.tobytes(), "tail": tail.tobytes(), "docs": docs.tobytes()}], _PART)
+def _entries(bucket: int, head: np.ndarray, tail: np.ndarray, docs: np.ndarray, open_: np.ndarray) -> pa.RecordBatch:
+    """A bucket of an array: keys in order, the document of each, and whether that document is still to be noted for the key."""
+    return pa.RecordBatch.from_pylist([{"kind": ENTRY, "bucket": bucket, "head": head.tobytes(), "tail": tail.tobytes(), "docs": docs.tobytes(),
+                                        "open": np.packbits(open_).tobytes()}], _PART)
 
 
 def _ordered(first_key: np.ndarray, second_key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,13 +132,10 @@ def _ordered(first_key: np.ndarray, second_key: np.ndarray, bits: int) -> tuple[
     return order[inner], _heads(both[inner])
 
 
-def _grouped(head: np.ndarray, tail: np.ndarray, docs: np.ndarray):
-    """Sort suffixes; where each key begins, how often it occurs, and whether several documents have it."""
+def _grouped(head: np.ndarray, tail: np.ndarray):
+    """The order of suffixes, where each key begins in it, and how often it occurs."""
     order, first = _ordered(head, tail, 32)
-    head, tail, docs = head[order], tail[order], docs[order]
-    size = np.diff(np.append(first, len(head)))
-    several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first) if len(first) else first.astype(bool)
-    return head, tail, docs, first, size, several
+    return order, first, np.diff(np.append(first, len(head)))
 
 
 def _suffix_parts(buckets: int):
@@ -144,18 +143,20 @@ def _suffix_parts(buckets: int):
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         head, tail, docs = (np.concatenate([h[i] for h in held]) for i in range(3))
-        head, tail, docs, first, size, several = _grouped(head, tail, docs)
+        order, first, size = _grouped(head, tail)
+        head, tail, docs = head[order], tail[order], docs[order]
+        several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first) if len(first) else first.astype(bool)
         shared = np.repeat(several, size)
         yield _noted(docs[shared], _named(head[shared], tail[shared]), buckets)
-        # Of a key that several documents share all are noted; -1 says that no one is left to be.
-        head, tail, docs = head[first], tail[first], np.where(several, -1, docs[first])
+        # Of a key that several documents share all are noted, and no one is left to be.
+        head, tail, docs, open_ = head[first], tail[first], docs[first], ~several
         bucket = (_named(head, tail) >> np.uint64(32)).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in range(buckets):
             i = order[edges[b]:edges[b + 1]]
             if len(i):
-                yield _entries(b, head[i], tail[i], docs[i])
+                yield _entries(b, head[i], tail[i], docs[i], open_[i])
 
     def work(batches):
         held, size = [], 0
@@ -175,19 +176,21 @@ def _suffix_parts(buckets: int):
     return work
 
 
-def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     def joined(name: str, kind) -> np.ndarray:
         return np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()] + [np.zeros(0, kind)])
 
-    return joined("head", np.uint64), joined("tail", np.uint32), joined("docs", np.int64)
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(d) // 8) for b, d in zip(table.column("open").to_pylist(), table.column("docs").to_pylist())]
+    return joined("head", np.uint64), joined("tail", np.uint32), joined("docs", np.int64), np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)
 
 
-def _merged(head: np.ndarray, tail: np.ndarray, docs: np.ndarray, buckets: int):
+def _merged(head: np.ndarray, tail: np.ndarray, docs: np.ndarray, open_: np.ndarray, buckets: int):
     """Scan sorted suffixes of several arrays together: rows to note, and the merged array."""
-    head, tail, docs, first, size, _ = _grouped(head, tail, docs)
-    met = np.repeat(size > 1, size) & (docs >= 0)
+    order, first, size = _grouped(head, tail)
+    head, tail, docs, open_ = head[order], tail[order], docs[order], open_[order]
+    met = np.repeat(size > 1, size) & open_
     noted = _noted(docs[met], _named(head[met], tail[met]), buckets)
-    return noted, head[first], tail[first], np.where(size > 1, -1, docs[first])
+    return noted, head[first], tail[first], docs[first], open_[first] & (size == 1)
 
 
 class SuffixFamily:
@@ -208,13 +211,12 @@ class SuffixFamily:
         def scan(own: pa.Table, old: pa.Table) -> pa.Table:
             kinds = np.array(own.column("kind").to_pylist(), int)
             passed, entries = own.filter(pa.array(kinds == NOTED)), own.filter(pa.array(kinds == ENTRY))
-            head, tail, docs_ = _arrays(entries)
-            more = _arrays(old)
-            noted, *_ = _merged(np.concatenate([head, more[0]]), np.concatenate([tail, more[1]]), np.concatenate([docs_, more[2]]), buckets)
+            mine = _arrays(entries)
+            noted, *_ = _merged(*[np.concatenate(x) for x in zip(mine, _arrays(old))], buckets)
             out = [passed.combine_chunks().cast(_PART), pa.Table.from_batches([noted])]
-            if not last and len(head):
-                _, head, tail, docs_ = _merged(head, tail, docs_, buckets)
-                out.append(pa.Table.from_batches([_entries(entries.column("bucket")[0].as_py(), head, tail, docs_)]))
+            if not last and len(mine[0]):
+                _, *level = _merged(*mine, buckets)
+                out.append(pa.Table.from_batches([_entries(entries.column("bucket")[0].as_py(), *level)]))
             return pa.concat_tables(out)
 
         made = saved(parts.groupBy("bucket").cogroup(levels.groupBy("bucket")).applyInArrow(scan, PART), "suffixes")
@@ -236,8 +238,8 @@ class SuffixFamily:
             (n, one), (_, two) = self.levels.pop(), self.levels.pop()
 
             def merge(table: pa.Table) -> pa.Table:
-                _, head, tail, docs = _merged(*_arrays(table), buckets)
-                return pa.Table.from_batches([_entries(table.column("bucket")[0].as_py(), head, tail, docs)])
+                _, *both = _merged(*_arrays(table), buckets)
+                return pa.Table.from_batches([_entries(table.column("bucket")[0].as_py(), *both)])
 
             level = saved(one.union(two).groupBy("bucket").applyInArrow(merge, PART), "level")
             self.levels.append((2 * n, level))
