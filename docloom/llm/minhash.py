@@ -20,9 +20,9 @@ whose documents are not linked yet, since a pair inside a component changes noth
 
 Neighbours alone would lose the only link of two documents in a large region whose other
 members are alike but below the similarity. So the regions that hold more than one component
-when all candidates are tried are open, and the documents of open regions are joined exactly:
-two sets of n <= m shingles that reach the similarity share one of the rarest few of both,
-and the places of what they share bound what they can have in common.
+when all candidates are tried are open, and the documents of open regions are compared exactly: in tiles of
+like set sizes, two of which meet in a task. There two sets that reach the similarity share one of the rarest few shingles
+of both; what does is counted out on full sets, and the task returns a forest of links. No pair leaves a task.
 
 With 20 trees and a similarity of exactly 0.8 a pair stands in no common region with
 probability (1 - 0.8 ** 4) ** 20 = 2.6e-5; the higher the similarity, the less. Pairs of a
@@ -35,16 +35,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import columns_of, components, saved
+from docloom.operators.numbering import ranged_positions
 
 TREES, DEPTH, DEEPEST = 20, 4, 8
 SMALL = 12  # documents of a region that gives all its pairs
 NEXT = 2  # documents that follow in order, in larger regions
 HASHES = TREES * DEPTH
-SAMPLE = 2_000_000  # shingles of the sample of sets that shows which ones are common; for speed only
+TILE, TILE_SHINGLES = 1024, 1 << 20  # documents of a tile of an open region, and their shingles (about)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -265,77 +266,95 @@ def _pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def open_documents(regions: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, component) of the documents in regions that hold more than one component."""
+    """(doc_id, component, cluster) of the documents in regions that hold more than one component.
+
+    Regions that share a document form a cluster, named by its smallest document; pairs to look for lie within one.
+    """
     named = regions.join(found.select(F.col("node").alias("doc_id"), "component_id"), "doc_id", "left")
     named = saved(named.select("doc_id", "tree", "prefix", F.coalesce("component_id", "doc_id").alias("component")), "regions")
-    mixed = named.groupBy("tree", "prefix").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    return named.join(mixed.select("tree", "prefix"), ["tree", "prefix"], "left_semi").select("doc_id", "component").distinct()
-
-
-def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that a sample of the sets holds more than once, and how many sets of it hold each."""
-    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    rows = sets.where(F.expr(f"pmod(xxhash64(doc_id), 1000000) < {1_000_000 * SAMPLE // max(1, total)}"))
-    rows = rows.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counts = rows.toPandas().sort_values("s")
-    return counts["s"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
+    mixed = named.groupBy("tree", "prefix").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("doc_id").alias("head")).where("x <> y")
+    rows = saved(named.join(mixed.select("tree", "prefix", "head"), ["tree", "prefix"]).select("doc_id", "component", "head").distinct(), "open")
+    clusters = components(rows.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
+    return rows.select("doc_id", "component").distinct().join(clusters.select(F.col("node").alias("doc_id"), F.col("component_id").alias("cluster")), "doc_id")
 
 
-def rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, component, name, n, at, shingle, short): each set's rarest shingles, as many as a partner can need.
+def _set_links(left: pa.Table, right: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Rows (of both tables, end to end) that reach the similarity across the tables, or within one if ``right`` is empty.
 
-    One order of all shingles holds for all sets. ``at`` is a shingle's place in its set; ``short`` marks those that
-    meet a partner that is not smaller, ``name`` tells sets of one id apart.
+    Links inside what is a component already, or has become one here, are left out: they would change nothing. Two sets that
+    reach the similarity share one of the rarest few shingles of each; rows that do are counted out on their full sets.
     """
-    known, often = _common(sets)
-
-    def work(batches):
-        for batch in batches:
-            out = []
-            for k, held in enumerate(batch.column("shingles")):
-                s = held.values.to_numpy()
-                n = len(s)
-                count = np.zeros(n, np.int64)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    count = np.where(known[place] == s, often[place], 0)
-                s = s[np.lexsort((s, count))]
-                # A partner shares at least percent of the larger set, and of a partner as large 2p / (100 + p) of either.
-                probe, index = n - -(-n * percent // 100) + 1, n - -(-2 * n * percent // (100 + percent)) + 1
-                at = np.arange(min(probe, n))
-                name = int(_mixed(s.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
-                out.append((np.full(len(at), k), np.full(len(at), name), np.full(len(at), n), at, s[at], at < index))
-            if not out:
-                continue
-            k, name, n, at, s, short = (np.concatenate(x) for x in zip(*out))
-            k = pa.array(k)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(k), batch.column("component").take(k), pa.array(name, pa.int64()), pa.array(n, pa.int32()),
-                 pa.array(at, pa.int32()), pa.array(s, pa.int64()), pa.array(short)],
-                ["doc_id", "component", "name", "n", "at", "shingle", "short"])
+    split, both = left.num_rows, pa.concat_tables([left, right.cast(left.schema)]) if right.num_rows else left
+    column = both.column("shingles").combine_chunks()
+    sizes = np.diff(column.offsets.to_numpy()).astype(np.int64)
+    _, code, often = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    rare = np.empty(len(often), np.int64)
+    rare[np.argsort(often, kind="stable")] = np.arange(len(often))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((rare[code], owner))
+    code, starts = code[order], np.cumsum(sizes) - sizes
+    place = np.arange(len(code)) - starts[owner]
+    # A partner shares at least so many of a set's shingles that one of the first is among them.
+    first = (place < (sizes - -(-sizes * percent // 100) + 1)[owner]) & (often[code] > 1)
+    at = np.flatnonzero(first)[np.argsort(code[first], kind="stable")]
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(code[at]) != 0, [True]])) if len(at) else np.zeros(1, int)
+    met = np.zeros((split, len(sizes) - split if right.num_rows else split), bool)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        rows = owner[at[lo:hi]]
+        if right.num_rows:
+            met[np.ix_(rows[rows < split], rows[rows >= split] - split)] = True
+        else:
+            met[np.ix_(rows, rows)] = True
+    _, root = np.unique(both.column("component").to_numpy(), return_inverse=True)
+    held, links = np.zeros(len(often), bool), []
+    for i in np.flatnonzero(met.any(axis=1)).tolist():
+        others = np.flatnonzero(met[i]) + (split if right.num_rows else 0)
+        if not right.num_rows:
+            others = others[others > i]
+        others = others[(root[others] != root[i]) & (100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i]))]
+        if not len(others):
+            continue
+        own = code[starts[i]:starts[i] + sizes[i]]
+        held[own] = True
+        for lo in range(0, len(others), 256):
+            part = others[lo:lo + 256]
+            places = np.concatenate([np.arange(starts[j], starts[j] + sizes[j]) for j in part])
+            shared = np.add.reduceat(held[code[places]], np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+            for j in part[100 * shared >= percent * (sizes[part] + sizes[i] - shared)].tolist():
+                if root[i] != root[j]:
+                    links.append((i, j))
+                    root[root == root[j]] = root[i]
+        held[own] = False
+    return links
+
+
+def exact_links(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the components of each cluster as all its pairs at the similarity would.
+
+    ``sets`` has doc_id, component, cluster and shingles. A cluster's documents are cut into tiles by set size, and two tiles
+    meet in a task if their sizes can reach the similarity. Pairs are found and tried inside the task; it returns a forest of
+    links, fewer than it has documents.
+    """
+    n = F.size("shingles")
+    sets = sets.withColumn("n", n).withColumn("level", F.expr("int(floor(log2(n)))"))
+    tile = F.expr(f"place div greatest(1L, least({TILE}L, {TILE_SHINGLES}L div (1L << (level + 1))))")
+    tiled = saved(ranged_positions(sets, ["cluster", "level"], ["n", "doc_id"], "place").withColumn("tile", tile).drop("place"), "tiled")
+    tiles = tiled.groupBy("cluster", "level", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    tiles = saved(tiles.withColumn("t", F.row_number().over(Window.partitionBy("cluster").orderBy("level", "tile"))), "tiles")
+    one = tiles.select("cluster", F.col("level").alias("level_a"), F.col("tile").alias("tile_a"), F.col("most").alias("most_a"), F.col("t").alias("a"))
+    two = tiles.select("cluster", F.col("level").alias("level_b"), F.col("tile").alias("tile_b"), F.col("least").alias("least_b"), F.col("t").alias("b"))
+    meet = saved(one.join(two, "cluster").where(f"a <= b AND 100 * most_a >= {percent} * least_b"), "meet")
+    carried = ["cluster", "a", "b", "doc_id", "component", "shingles"]
+    left = tiled.join(meet.select("cluster", F.col("level_a").alias("level"), F.col("tile_a").alias("tile"), "a", "b"), ["cluster", "level", "tile"])
+    right = tiled.join(meet.where("a < b").select("cluster", F.col("level_b").alias("level"), F.col("tile_b").alias("tile"), "a", "b"), ["cluster", "level", "tile"])
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        links = _set_links(one, two, percent) if one.num_rows else []
+        ids = pa.chunked_array([*one.column("doc_id").chunks, *two.column("doc_id").chunks], one.column("doc_id").type)
+        return pa.table({name: ids.take(pa.array([pair[k] for pair in links], pa.int64())) for k, name in enumerate(("a", "b"))})
 
     kind = sets.schema["doc_id"].dataType.simpleString()
-    return sets.select("doc_id", "component", "shingles").mapInArrow(
-        work, f"doc_id {kind}, component {kind}, name long, n int, at int, shingle long, short boolean")
-
-
-def exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b, of different components: all that can reach the similarity, by the rarest shingles they share.
-
-    Components meet on a shingle first, so documents that are linked already are never paired on it.
-    """
-    rows = saved(rarest(sets, percent), "rarest")
-    one = rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("component", "doc_id", "name", "n", "at")])
-    two = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("component", "doc_id", "name", "n", "at")])
-    meet = one.select("shingle", "component_a").distinct().join(
-        two.select("shingle", "component_b").distinct(), "shingle").where("component_a <> component_b")
-    # What two sets share from one place on is no more than what either has from there on.
-    reach = f"n_a <= n_b AND 100 * n_a >= {percent} * n_b AND {100 + percent} * (1 + least(n_a - at_a, n_b - at_b) - 1 + least(at_a, at_b)) >= {percent} * (n_a + n_b)"
-    met = meet.join(one, ["shingle", "component_a"]).join(two, ["shingle", "component_b"]).where(reach)
-    by = ["doc_id_a", "name_a", "n_a", "doc_id_b", "name_b", "n_b"]
-    met = met.groupBy(*by).agg(F.count(F.lit(1)).alias("shared"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
-    met = met.where(f"{100 + percent} * (shared + least(n_a - at_a, n_b - at_b) - 1) >= {percent} * (n_a + n_b)")
-    return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    return left.select(*carried).groupBy("cluster", "a", "b").cogroup(right.select(*carried).groupBy("cluster", "a", "b")).applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -380,8 +399,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     unsure = saved(open_documents(regions, found), "open")
     if unsure.limit(1).count():
         sets = saved(full_sets(rows.join(unsure.select("doc_id").hint("merge"), "doc_id", "left_semi"), size), "sets")
-        last = saved(exact_pairs(sets.join(unsure, "doc_id"), percent), "last")
-        more = saved(confirmed(last, sets, percent), "links")
+        more = saved(exact_links(sets.join(unsure, "doc_id"), percent), "links")
         found = saved(components(links.union(more)), "components") if more.limit(1).count() else found
     named = heads.join(found.select(F.col("node").alias("head"), "component_id"), "head", "left").select(
         "class", F.coalesce("component_id", "head").alias("component_id"))

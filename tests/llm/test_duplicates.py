@@ -92,6 +92,29 @@ def test_minhash_finds_the_only_link_inside_a_large_family(spark):
     assert [got[i]["component_id"] for i in range(2000)] == [i - i % 2 if i < 200 else i for i in range(2000)]
 
 
+@pytest.mark.parametrize("tile", [1024, 70])
+def test_tiles_link_what_all_pairs_would(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "TILE_SHINGLES", tile * 64)
+    rng, rows = random.Random(tile), []
+    for base in range(3):  # families of three base similarities, with twins at 0.80 to 0.82, copies in between and other sizes
+        page = [f"p{base}x{k}" for k in range(120 + 15 * base)]
+        for i in range(250):
+            twin = [f"t{base}x{i // 2}x{k}" for k in range(9)] if i < 60 else []
+            own = [f"o{base}x{i}x{k}" for k in range(24 + 2 * base - len(twin) + (i % 7) * 3)]
+            rows.append((1000 * base + i, page + twin + own))
+    sets = {i: {hash(w) for w in t} for i, t in rows}
+    ids = sorted(sets)
+    truth = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert truth
+    known = [p for p in truth if rng.random() < 0.3]
+    now = grouped(ids, known)
+    frame_ = spark.createDataFrame([(i, now[i], 1000 * (i // 1000), sorted(sets[i])) for i in ids], "doc_id long, component long, cluster long, shingles array<long>")
+    links = [(r.a, r.b) for r in minhash.exact_links(frame_.repartition(4), 80).collect()]
+    assert all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in links)
+    assert grouped(ids, known + links) == grouped(ids, truth)
+
+
 def test_components_of_long_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(50, 120)]
     star = [(500, i) for i in range(501, 560)]
@@ -159,6 +182,15 @@ def test_repeated_passages(spark, batches):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept"])) for r in got} == want
 
 
+@pytest.mark.parametrize("parts,batches", [(1, 1), (5, 1), (5, 3), (3, 5)])
+def test_repeats_among_negative_ids(spark, parts, batches):
+    same = words(31, 16)[:89]
+    rows = [(i, f"{words(40 + i, 3 + i % 4)} {same} {words(80 + i, 5)}") for i in (-(2**63), -3, -2, -1, 0, 5, 6, 2**62)]
+    df = frame(spark, [(i, t, "en", "s", 0) for i, t in rows]).repartition(parts, "doc_id")
+    got = suffixes.remove_repeats(df, batches).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept"])) for r in got} == removed(rows)
+
+
 def test_repeats_in_odd_rows(spark, monkeypatch):
     rows = suffixes.remove_repeats(frame(spark, odd_rows())).collect()
     assert len(rows) == len(odd_rows())
