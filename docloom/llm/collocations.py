@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import columns_of, joined_small, saved
+from docloom.llm.entries import _BASES, Entries, hash_words, strings
 from docloom.llm.minhash import _mixed, _powers
+from docloom.llm.suffixes import _ragged
 from docloom.operators.numbering import ranged_positions
 
 SHARDS = 10
@@ -32,20 +34,12 @@ LONGEST = 4  # words of a phrase
 TABLE_BITS = 27
 _BLOCK_BITS = 20  # of the parts in which it is put together
 #: Bytes of text looked at together, and phrases that a task holds before it hands counts on.
-PIECE_BYTES, HELD = 4_000_000, 3_000_000
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-_UNBASES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
+PIECE_BYTES, HELD = 2_000_000, 2_000_000
 _KIND = np.zeros(256, np.uint8)  # 1: between words, 2: between pieces
 _KIND[[9, 32]] = 1
 _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2
 
 
-def _hash_words(a: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
-    base = _BASES[which]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(base, len(a)))])
-    return _mixed((sums[ends] - sums[starts]) * _powers(_UNBASES[which], len(a) + 1)[starts])
-
-
 class Words:
     """The words of some texts: where they are, in which piece, of which language."""
 
@@ -61,14 +55,19 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def phrase(self, at: int, length: int) -> str:
-        return b" ".join(self.bytes[s:e].tobytes() for s, e in zip(self.starts[at:at + length], self.ends[at:at + length])).decode("utf-8", "surrogatepass")
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words end to end with one blank after each, and where each begins there; one more place for the end."""
+        lengths = self.ends - self.starts
+        places = np.concatenate([[0], np.cumsum(lengths + 1)])
+        out = np.full(places[-1], 32, np.uint8)
+        out[_ragged(places[:-1], lengths)] = self.bytes[_ragged(self.starts, lengths)]
+        return out, places
 
     def hashes(self, seeds: np.ndarray, which: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, places, hashes) of all phrases of each length; ``seeds`` is a number for each language."""
         if not len(self):
             return
-        word = _hash_words(self.bytes, self.starts, self.ends, which)
+        word = hash_words(self.bytes, self.starts, self.ends, which)
         own = _mixed(word ^ seeds[self.lang])
         yield 1, np.arange(len(own)), own
         for n in range(2, LONGEST + 1):
@@ -165,18 +164,6 @@ def look_for(hashes: DataFrame, size: int = TABLE_BITS) -> np.ndarray:
     return out
 
 
-def _grouped(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(first places, sums) of the distinct rows of some columns."""
-    order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for c in columns:
-        new[1:] |= c[order][1:] != c[order][:-1]
-    at = np.flatnonzero(new)
-    sums = np.diff(np.append(at, len(order))) if counts is None else np.add.reduceat(counts[order], at) if len(at) else counts[:0]
-    return order[at], sums
-
-
 def mined(docs: DataFrame, lengths: tuple[int, int], pairs: np.ndarray | None = None) -> DataFrame:
     """(lang, shard, h, n): counts of hashed phrases of some lengths by shard. With ``pairs``, only phrases all of whose pairs it holds."""
     shipped = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
@@ -244,19 +231,39 @@ def counted(docs: DataFrame, table: np.ndarray) -> DataFrame:
 
     def work(batches):
         look = Look(shipped.value)
+        known: dict[str, int] = {}
+        totals: dict[str, int] = {}
+        held: list[Entries] = []
+        size = 0
         for names, seeds, words in _batches(batches):
-            total = np.bincount(words.lang, minlength=len(names))
-            out = [(names[i], 0, "", int(t)) for i, t in enumerate(total) if t]
-            again = words.hashes(seeds, 1)
-            for (n, at, h), (_, _, other) in zip(words.hashes(seeds), again):
+            code = np.array([known.setdefault(name, len(known)) for name in names], np.int64)
+            for name, n in zip(names, np.bincount(words.lang, minlength=len(names)).tolist()):
+                totals[name] = totals.get(name, 0) + n
+            flat, places = words.spelled()
+            for (n, at, h), (_, _, other) in zip(words.hashes(seeds), words.hashes(seeds, 1)):
                 at = at[look(h[at])]
-                # Two hashes of their own tell phrases apart within a stretch; the sums go by the words.
-                first, sums = _grouped([h[at], other[at]])
-                out += [(names[words.lang[i]], n, words.phrase(i, n), int(c)) for i, c in zip(at[first].tolist(), sums.tolist())]
-            if out:
-                lang, n, phrase, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.string()), pa.array(c, pa.int64())],
-                                                 ["lang", "words", "phrase", "n"])
+                # Two hashes name a phrase within a task; the sums go by its words.
+                held.append(Entries.of(code[words.lang[at]] * 8 + n, h[at], other[at], flat, places[at], places[at + n] - 1 - places[at]))
+                size += len(held[-1])
+            if size >= HELD:
+                held = [Entries.joined(held)]
+                size = len(held[0])
+                if size >= HELD // 2:
+                    yield from told(held[0], list(known))
+                    held, size = [], 0
+        if held:
+            yield from told(Entries.joined(held), list(known))
+        if totals:
+            n = len(totals)
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([0] * n, pa.int32()), pa.array([""] * n, pa.string()),
+                                              pa.array(list(totals.values()), pa.int64())], ["lang", "words", "phrase", "n"])
+
+    def told(entries, names):
+        langs = pa.array(names, pa.string())
+        for part, phrase in strings(entries):
+            group = entries.group[part]
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(group // 8)), pa.array((group % 8).astype(np.int32)), phrase, pa.array(entries.n[part])],
+                                             ["lang", "words", "phrase", "n"])
 
     rows = docs.select("lang", "text").mapInArrow(work, "lang string, words int, phrase string, n long")
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))

@@ -21,16 +21,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.collocations import _hash_words
 from docloom.llm.common import columns_of, joined_small, saved
+from docloom.llm.entries import Entries, hash_words, strings
 from docloom.llm.minhash import _mixed
-from docloom.llm.suffixes import _ragged
 from docloom.operators.numbering import top_k
 
 #: Cells of a column block (about), groups of a row block (about), and the sides of a leaf of the tree.
 BLOCK_CELLS, BLOCK_GROUPS, LEAF_GROUPS, LEAF_TERMS = 4096, 256, 8, 32
 #: Bytes of text looked at together, and distinct entries that a task holds before it hands them on.
-PIECE_BYTES, HELD = 4_000_000, 1_000_000
+PIECE_BYTES, HELD = 2_000_000, 1_000_000
 BILLION = 1_000_000_000
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -56,53 +55,12 @@ def _terms(a: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return a, starts, ends
 
 
-class _Entries:
-    """Counts of terms by group: group, two hashes that name the term, occurrences, documents, and the term's bytes."""
-
-    def __init__(self, group, key, other, n, docs, lengths, data):
-        self.group, self.key, self.other, self.n, self.docs, self.lengths, self.data = group, key, other, n, docs, lengths, data
-
-    def __len__(self) -> int:
-        return len(self.key)
-
-    @classmethod
-    def of(cls, a: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray, doc: np.ndarray) -> _Entries:
-        key = _mixed(_hash_words(a, starts, ends, 0) ^ _mixed(group.astype(np.uint64) + np.uint64(1)))
-        other = _hash_words(a, starts, ends, 1)
-        order, first = _runs(key, other)
-        doc = doc[order]
-        changed = np.concatenate([[True], doc[1:] != doc[:-1]])[:len(doc)]
-        changed[first] = True
-        n = np.diff(np.append(first, len(order)))
-        docs = np.add.reduceat(changed, first, dtype=np.int64) if len(first) else n
-        own = order[first]
-        lengths = (ends - starts)[own]
-        return cls(group[own], key[own], other[own], n, docs, lengths, a[_ragged(starts[own], lengths)])
-
-    @classmethod
-    def joined(cls, parts: list[_Entries], one_document: bool = False) -> _Entries:
-        """Entries added up; of parts of one document each term counts one document."""
-        group, key, other, n, docs, lengths, data = (np.concatenate([getattr(p, c) for p in parts]) for c in ("group", "key", "other", "n", "docs", "lengths", "data"))
-        order, first = _runs(key, other)
-        own = order[first]
-        n, docs = (np.add.reduceat(x[order], first) if len(first) else x for x in (n, docs))
-        starts = np.cumsum(lengths) - lengths
-        return cls(group[own], key[own], other[own], n, np.minimum(docs, 1) if one_document else docs, lengths[own], data[_ragged(starts[own], lengths[own])])
-
-
-def _runs(key: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order that puts equal pairs of hashes together, and where each pair begins."""
-    order = np.argsort(key, kind="stable")
-    k, o = key[order], other[order]
-    same = k[1:] == k[:-1]
-    if (same & (o[1:] != o[:-1])).any():  # one hash for two terms
-        order = np.lexsort((other, key))
-        k, o = key[order], other[order]
-        same = (k[1:] == k[:-1]) & (o[1:] == o[:-1])
-    return order, np.flatnonzero(np.concatenate([[True], ~same])[:len(k)])
-
-
-def _document_entries(a: np.ndarray, group: int) -> _Entries:
+def _entries(a: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray, doc: np.ndarray) -> Entries:
+    key = _mixed(hash_words(a, starts, ends, 0) ^ _mixed(group.astype(np.uint64) + np.uint64(1)))
+    return Entries.of(group, key, hash_words(a, starts, ends, 1), a, starts, ends - starts, doc)
+
+
+def _document_entries(a: np.ndarray, group: int) -> Entries:
     """Entries of a long document, cut between terms."""
     parts, at = [], 0
     while at < len(a):
@@ -110,12 +68,12 @@ def _document_entries(a: np.ndarray, group: int) -> _Entries:
         while end < len(a) and _IN_TERM[a[end - 1]] and _IN_TERM[a[end]]:
             end += 1
         part, starts, ends = _terms(a[at:end], np.zeros(1, int))
-        parts.append(_Entries.of(part, starts, ends, np.full(len(starts), group), np.zeros(len(starts), np.int64)))
+        parts.append(_entries(part, starts, ends, np.full(len(starts), group), np.zeros(len(starts), np.int64)))
         at = end
-    return _Entries.joined(parts, one_document=True)
+    return Entries.joined(parts, one_document=True)
 
 
-def _counted(text: pa.Array, group: np.ndarray) -> Iterator[_Entries]:
+def _counted(text: pa.Array, group: np.ndarray) -> Iterator[Entries]:
     """Entries of some texts, a stretch of whole texts at a time."""
     flat, places = _flat(text)
     at = 0
@@ -127,7 +85,7 @@ def _counted(text: pa.Array, group: np.ndarray) -> Iterator[_Entries]:
         elif len(part):
             part, starts, ends = _terms(part, begins)
             doc = np.searchsorted(begins, starts, "right") - 1
-            yield _Entries.of(part, starts, ends, group[at:to][doc], doc)
+            yield _entries(part, starts, ends, group[at:to][doc], doc)
         at = to
 
 
@@ -139,7 +97,7 @@ def count_terms(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[tuple[str, str], int] = {}
-        held: list[_Entries] = []
+        held: list[Entries] = []
         size = 0
         for batch in batches:
             pairs = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
@@ -148,28 +106,22 @@ def count_terms(docs: DataFrame) -> DataFrame:
                 held.append(entries)
                 size += len(entries)
                 if size >= 2 * HELD:
-                    held = [_Entries.joined(held)]
+                    held = [Entries.joined(held)]
                     size = len(held[0])
                     if size >= HELD:
                         yield from told(held[0], names)
                         held, size = [], 0
         if held:
-            yield from told(_Entries.joined(held), names)
+            yield from told(Entries.joined(held), names)
         if names:
             langs, sources = zip(*names)
             none = pa.array([0] * len(names), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.nulls(len(names), pa.string()), none, none],
                                              ["lang", "source", "term", "n", "docs"])
 
-    def told(entries: _Entries, names: dict) -> Iterator[pa.RecordBatch]:
+    def told(entries: Entries, names: dict) -> Iterator[pa.RecordBatch]:
         langs, sources = (pa.array(x, pa.string()) for x in zip(*names))
-        ends = np.cumsum(entries.lengths)
-        for at in range(0, len(entries), 100_000):
-            part = slice(at, at + 100_000)
-            first = ends[at] - entries.lengths[at]
-            places = np.concatenate([[0], ends[part] - first]).astype(np.int32)
-            data = np.ascontiguousarray(entries.data[first:ends[part][-1]])
-            term = pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(data))
+        for part, term in strings(entries):
             of = pa.array(entries.group[part])
             yield pa.RecordBatch.from_arrays([langs.take(of), sources.take(of), term, pa.array(entries.n[part]), pa.array(entries.docs[part])],
                                              ["lang", "source", "term", "n", "docs"])

@@ -169,7 +169,7 @@ def test_terms_are_counted_over_stretches_and_long_texts(monkeypatch, piece):
     monkeypatch.setattr(divergence, "PIECE_BYTES", piece)
     texts = [r[1] or "" for r in audit_rows(5)] + ["", "Z" * 50, "a9b-c" * 40, "é", "Éa éA"]
     group = np.arange(len(texts)) % 3
-    got = divergence._Entries.joined(list(divergence._counted(pa.array(texts).slice(0), group)))
+    got = divergence.Entries.joined(list(divergence._counted(pa.array(texts).slice(0), group)))
     ends = np.cumsum(got.lengths)
     named = {(int(g), got.data[e - n:e].tobytes().decode()): (int(c), int(d)) for g, e, n, c, d in zip(got.group, ends, got.lengths, got.n, got.docs)}
     n, held = collections.Counter(), collections.Counter()
@@ -272,8 +272,15 @@ def test_long_texts_are_cut_between_pieces_only(monkeypatch):
     # A piece longer than a stretch stays whole; beyond it the cuts fall between pieces.
     parts = ["one piece of words " * 100, *(words(k, 12) for k in range(60))]
     seeds = np.array([3], np.uint64)
-    count = lambda texts: collections.Counter(
-        w.phrase(i, n) for w in collocations._readings(texts, np.zeros(len(texts), int)) for n, at, _ in w.hashes(seeds) for i in at.tolist())
+
+    def count(texts):
+        out = collections.Counter()
+        for w in collocations._readings(texts, np.zeros(len(texts), int)):
+            flat, places = w.spelled()
+            for n, at, _ in w.hashes(seeds):
+                out.update(flat[places[i]:places[i + n] - 1].tobytes() for i in at.tolist())
+        return out
+
     assert count([". ".join(parts)]) == count(parts)
 
 
