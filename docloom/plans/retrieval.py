@@ -34,10 +34,10 @@ def retrieve(questions: DataFrame, chunks: DataFrame, k: int, chunk_id: str = "c
     """Ranked hits with their content; ``questions(query_id, question)``, ``chunks(chunk_id, content, ...)``."""
     asked = embed.embed(questions, "question")
     held = stored(chunks)
-    blocks = search.query_blocks(asked, "query_id", "embedding")
-    hits = search.knn(asked, held, k, vector_id=chunk_id, group=group, blocks=blocks)
+    few = search.few_queries(asked, "query_id", "embedding")
+    hits = search.knn(asked, held, k, vector_id=chunk_id, group=group, few=few)
     payload = held.drop("embedding", *([group] if group else []))
-    return search.with_payload(hits, payload, chunk_id, None if group else k * sum(map(len, blocks)))
+    return search.with_payload(hits, payload, chunk_id, None if group else search.hits_at_most(few, k))
 
 
 def answer_questions(questions: DataFrame, chunks: DataFrame, k: int = V.TOP_K,
@@ -59,10 +59,10 @@ def ensemble_hits(questions: DataFrame, collection: DataFrame, per_modality: int
     """
     asked = embed.embed(questions, "question")
     held = stored(collection)
-    blocks = search.query_blocks(asked, "query_id", "embedding")
-    hits = search.knn(asked, held, per_modality, vector_id="chunk_id", group="modality", blocks=blocks)
+    few = search.few_queries(asked, "query_id", "embedding")
+    hits = search.knn(asked, held, per_modality, vector_id="chunk_id", group="modality", few=few)
     merged = ensemble.ensemble(hits, final).withColumnRenamed("score", "retrieval_score").drop("rank")
-    rows = search.with_payload(merged, held.drop("embedding", "modality"), "chunk_id", final * sum(map(len, blocks)))
+    rows = search.with_payload(merged, held.drop("embedding", "modality"), "chunk_id", search.hits_at_most(few, final))
     marked = rows.withColumn("fingerprint", ensemble.fingerprint())
     return ensemble.dedupe_small_lists(marked, "query_id", "fingerprint", "ensemble_rank")
 

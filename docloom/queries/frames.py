@@ -24,11 +24,11 @@ def centroids(spark: SparkSession, sf: str) -> DataFrame:
 def hits(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
     """Ranked neighbours of the label centroids with document content and source."""
     queries = centroids(spark, sf)
-    blocks = search.query_blocks(queries, "query_id", "embedding")
-    found = search.knn(queries, table(spark, sf, "embeddings"), k, blocks=blocks)
+    few = search.few_queries(queries, "query_id", "embedding")
+    found = search.knn(queries, table(spark, sf, "embeddings"), k, few=few)
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("text").alias("content"), "source", "lang")
-    return search.with_payload(found, docs, "vec_id", k * sum(map(len, blocks)))
+    return search.with_payload(found, docs, "vec_id", search.hits_at_most(few, k))
 
 
 def metadata(spark: SparkSession, sf: str) -> DataFrame:

@@ -30,25 +30,11 @@ def knn_collection(spark, sf):
     return search.knn(frames.centroids(spark, sf), vectors, 4, group="collection")
 
 
-def _lsh_sql(bands: int = 8, bits: int = 8, dim: int = 64) -> str:
-    return "WITH" + q.CENTROIDS + f""",
-    w AS (SELECT p, list(CASE WHEN ('0x' || substr(md5(p || ':' || d), 1, 8))::UBIGINT % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END
-        ORDER BY d) AS w FROM range({bands * bits}) t(p), range({dim}) u(d) GROUP BY p),
-    side AS (
-      SELECT 'q' AS kind, query_id AS id, p // {bits} AS band, sum(CASE WHEN list_dot_product(q, w) >= 0 THEN 1 << (p % {bits}) ELSE 0 END) AS key
-      FROM cent, w GROUP BY ALL
-      UNION ALL
-      SELECT 'v', vec_id, p // {bits}, sum(CASE WHEN list_dot_product(embedding::DOUBLE[], w) >= 0 THEN 1 << (p % {bits}) ELSE 0 END)
-      FROM embeddings, w GROUP BY ALL),
-    cand AS (SELECT DISTINCT a.id AS query_id, b.id AS vec_id FROM side a JOIN side b
-      ON a.kind = 'q' AND b.kind = 'v' AND a.band = b.band AND a.key = b.key),
-    s AS (SELECT query_id, vec_id, {q.d2('embedding', 'q')} AS score FROM cand JOIN cent USING (query_id) JOIN embeddings USING (vec_id))
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM s QUALIFY rank <= 3"""
-
-
-@query("knn_lsh", _lsh_sql(), ints="query_id rank")
+@query("knn_lsh", "WITH" + CENT_SCORED + """
+    SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank
+    FROM s QUALIFY rank <= 3""", ints="rank")
 def knn_lsh(spark, sf):
-    return search.knn_lsh(frames.centroids(spark, sf), table(spark, sf, "embeddings"), 3, bits=8)
+    return search.knn_indexed(frames.centroids(spark, sf), search.build_index(table(spark, sf, "embeddings")), 3)
 
 
 @query("query_candidate_pairs", "WITH" + q.HITS + """

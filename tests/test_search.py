@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from docloom.operators import embed, search
 
@@ -37,16 +39,66 @@ def test_shipped_scan_is_exact(spark, data, k):
     assert got == brute(*data, k)
 
 
-@pytest.mark.parametrize("size", [1, 4, 5])
-def test_blocks_of_queries_equal_one_scan(spark, data, monkeypatch, size):
+@pytest.mark.parametrize("size,tile", [(1, 3), (4, 50), (5, 1000)])
+def test_tiles_of_both_sides_equal_one_scan(spark, data, monkeypatch, size, tile):
     q, v = frames(spark, data)
     monkeypatch.setattr(search, "BLOCK_QUERIES", size)
-    blocks = search.query_blocks(q, "query_id", "embedding")
-    assert len(blocks) > 1 and max(map(len, blocks)) <= size and sum(map(len, blocks)) == q.count()
+    monkeypatch.setattr(search, "TILE_QUERIES", tile)
+    monkeypatch.setattr(search, "TILE_VECTORS", tile)
+    assert search.few_queries(q, "query_id", "embedding") is None
     got = sorted((r.query_id, r.vec_id, r.score, r["rank"]) for r in search.knn(q, v, 5).collect())
     assert got == brute(*data, 5)
 
 
+def test_hits_of_a_task_are_bounded(spark, data, monkeypatch):
+    monkeypatch.setattr(search, "HEAP", 160)
+    monkeypatch.setattr(search, "ROWS_AT_ONCE", 16)
+    queries = np.asarray([q for _, q in data[0]])
+    vectors = np.asarray([v for _, v in data[1]])
+    ids, groups = np.arange(len(vectors)), np.arange(len(vectors)) % 7
+    best, out, most = search._Best(3, queries), [], 0
+    schema = T.StructType([T.StructField("q", T.LongType()), T.StructField("g", T.LongType()), T.StructField("id", T.LongType()), T.StructField("score", T.DoubleType())])
+    for lo in range(0, len(ids), 16):
+        best.scan(vectors[lo:lo + 16], ids[lo:lo + 16], groups[lo:lo + 16])
+        most = max(most, best.size)
+        if best.full:
+            out += best.taken(pa.array(range(len(queries))), schema).to_pylist()
+    out += best.taken(pa.array(range(len(queries))), schema).to_pylist()
+    # Between two looks at the bound come at most the hits of one block, and thresholds keep what is handed on small.
+    assert most <= 160 + 16 * len(queries) and len(out) < len(queries) * len(ids)
+    held = {}
+    for r in out:
+        held.setdefault((r["q"], r["g"]), []).append((r["score"], r["id"]))
+    for q in range(len(queries)):
+        for g in range(7):
+            want = [(s, i) for _, i, s, _ in sorted(brute([(q, data[0][q][1])], [x for x in data[1] if x[0] % 7 == g], 3), key=lambda x: x[3])]
+            assert sorted(held[q, g])[:3] == want
+
+
+def test_ten_thousand_queries_and_a_thousand_groups(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    def of(n, seed):
+        at = [((F.col("id") * (31 + 7 * k) + seed) % 1009 / 1009).cast("float") for k in range(4)]
+        return spark.range(n).select("id", F.array(*at).alias("embedding"))
+
+    queries, vectors = of(10_000, 5).withColumnRenamed("id", "query_id"), of(3_000, 11).select(F.col("id").alias("vec_id"), "embedding", (F.col("id") % 1000).alias("g"))
+    collected = []
+    monkeypatch.setattr(type(queries), "collect", lambda self, f=type(queries).collect: collected.append(rows := f(self)) or rows)
+    got = search.knn(queries, vectors, 1, group="g").cache()
+    n, ranks, wrong = got.agg(F.count(F.lit(1)), F.sum("rank"), F.sum((F.col("vec_id") % 1000 != F.col("g")).cast("int"))).first()
+    assert (n, ranks, wrong) == (10_000_000, 10_000_000, 0)
+    # Nothing but the first few queries, which show that there are too many, comes to the driver.
+    assert sum(map(len, collected)) <= search.BLOCK_QUERIES + 1 + 10
+    some = got.where("query_id IN (3, 7777) AND g IN (0, 999)").collect()
+    q, v = ({r[0]: r[1] for r in df.toLocalIterator()} for df in (queries.where("query_id IN (3, 7777)"), vectors.where("g IN (0, 999)")))
+    for i in (3, 7777):
+        for g in (0, 999):
+            want = brute([(i, q[i])], [(k, x) for k, x in v.items() if k % 1000 == g], 1)
+            assert sorted((r.query_id, r.vec_id, r.score, r["rank"]) for r in some if (r.query_id, r.g) == (i, g)) == want
+    got.unpersist()
+
+
 def test_missing_and_uneven_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     v = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [1.0, 1.0])], schema)
@@ -80,33 +132,53 @@ def test_empty_sides(spark, data):
     assert search.knn(q, v.limit(0), 3).count() == 0
 
 
-def test_lsh_scores_are_exact_and_recall_is_reported(spark, sf):
-    from docloom.queries import frames as qf
-    from docloom.queries.registry import table
+def recall(found, exact):
+    want = {(r.query_id, r.vec_id) for r in exact.collect()}
+    return len(want & {(r.query_id, r.vec_id) for r in found.collect()}) / len(want)
 
-    vectors = table(spark, sf, "embeddings")
-    queries = qf.centroids(spark, sf)
-    exact = {(r.query_id, r.vec_id): r.score for r in search.knn(queries, vectors, 500).collect()}
-    near = search.knn_lsh(queries, vectors, 3, bands=12, bits=4).collect()
-    assert all(abs(exact[r.query_id, r.vec_id] - r.score) < 1e-9 for r in near)
-    best = {(r.query_id, r.vec_id) for r in search.knn(queries, vectors, 3).collect()}
-    recall = len(best & {(r.query_id, r.vec_id) for r in near}) / len(best)
-    assert recall >= 0.6
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_registered_index_misses_nothing(spark, scale):
+    from docloom.queries import QUERIES
 
-def test_lsh_looks_at_few_pairs(spark, sf):
-    from pyspark.sql import functions as F
+    sf = f"/root/testdata/{scale}"
+    exact = QUERIES["knn_l2"](spark, sf)
+    assert recall(QUERIES["knn_lsh"](spark, sf), exact) >= 0.9
+    assert sorted(map(tuple, QUERIES["knn_lsh"](spark, sf).collect())) == sorted(map(tuple, exact.collect()))
+
+
+@pytest.mark.parametrize("k,pivots,tile", [(1, None, 16_384), (3, 5, 20), (7, 60, 16_384), (1000, 9, 50)])
+def test_index_equals_the_scan(spark, data, monkeypatch, k, pivots, tile):
+    # Copies crowd one cell, which is cut into slices; ties go by id.
+    monkeypatch.setattr(search, "TILE_VECTORS", tile)
+    q, v = frames(spark, data)
+    index = search.build_index(v, pivots=pivots)
+    assert index.cells[:, 2].sum() == 400 and index.table.count() == 400
+    got = sorted((r.query_id, r.vec_id, r.score, r["rank"]) for r in search.knn_indexed(q, index, k).collect())
+    assert got == brute(*data, k)
+
+
+def test_index_looks_at_few_vectors_that_cluster(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 10
+    vectors = [(i, [float(x) for x in np.float32(centres[i % 40] + rng.normal(size=16) * 0.2)]) for i in range(4000)]
+    queries = [(i, [float(x) for x in np.float32(centres[i] + rng.normal(size=16) * 0.2)]) for i in range(20)]
+    q, v = frames(spark, (queries, vectors))
+    index = search.build_index(v)
+    got = sorted((r.query_id, r.vec_id, r.score, r["rank"]) for r in search.knn_indexed(q, index, 5).collect())
+    assert got == brute(queries, vectors, 5)
+    share = search.looked_at(q, index, 5) / (len(queries) * len(vectors))
+    print(f"share of the vectors looked at: {share:.3f}")
+    assert share < 0.15
 
-    from docloom.queries import frames as qf
-    from docloom.queries.registry import table
 
-    vectors, queries = table(spark, sf, "embeddings"), qf.centroids(spark, sf)
-    keys = [df.select(search.band_keys(F.col("embedding"), 8, 8, 64).alias("k")).toPandas()["k"] for df in (queries, vectors)]
-    shared = sum(bool(set(a) & set(b)) for a in keys[0] for b in keys[1])
-    assert shared < 0.05 * len(keys[0]) * len(keys[1])
-    exact = {(r.query_id, r.vec_id) for r in search.knn(queries, vectors, 3).collect()}
-    near = {(r.query_id, r.vec_id) for r in search.knn_lsh(queries, vectors, 3, bits=8).collect()}
-    print(f"recall of approximate search at 8 x 8 bits: {len(exact & near) / len(exact):.2f}")
+def test_index_of_odd_tables(spark):
+    schema = "vec_id long, embedding array<float>"
+    v = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [1.0, 1.0])], schema)
+    q = spark.createDataFrame([(7, [0.0, 1.0]), (8, None)], "query_id long, embedding array<float>")
+    assert sorted((r.query_id, r.vec_id) for r in search.knn_indexed(q, search.build_index(v), 5).collect()) == [(7, 1), (7, 3)]
+    assert search.knn_indexed(q, search.build_index(v.limit(0)), 3).count() == 0
+    assert search.knn_indexed(q.limit(0), search.build_index(v), 3).count() == 0
 
 
 def test_hashed_vectors(spark):
