@@ -34,7 +34,7 @@ LONGEST = 4  # words of a phrase
 TABLE_BITS = 27
 _BLOCK_BITS = 20  # of the parts in which it is put together
 #: Bytes of text looked at together, and phrases that a task holds before it hands counts on.
-PIECE_BYTES, HELD = 2_000_000, 2_000_000
+PIECE_BYTES, HELD = 1_000_000, 1_000_000
 _KIND = np.zeros(256, np.uint8)  # 1: between words, 2: between pieces
 _KIND[[9, 32]] = 1
 _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2

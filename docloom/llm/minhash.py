@@ -354,7 +354,8 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({name: ids.take(pa.array([pair[k] for pair in links], pa.int64())) for k, name in enumerate(("a", "b"))})
 
     kind = sets.schema["doc_id"].dataType.simpleString()
-    return left.select(*carried).groupBy("cluster", "a", "b").cogroup(right.select(*carried).groupBy("cluster", "a", "b")).applyInArrow(compare, f"a {kind}, b {kind}")
+    left, right = (side.select(*[F.col(c).alias(c) for c in carried]) for side in (left, right))  # columns of their own
+    return left.groupBy("cluster", "a", "b").cogroup(right.groupBy("cluster", "a", "b")).applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

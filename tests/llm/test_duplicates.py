@@ -98,7 +98,7 @@ def test_tiles_link_what_all_pairs_would(spark, monkeypatch, tile):
     monkeypatch.setattr(minhash, "TILE_SHINGLES", tile * 64)
     rng, rows = random.Random(tile), []
     for base in range(3):  # families of three base similarities, with twins at 0.80 to 0.82, copies in between and other sizes
-        page = [f"p{base}x{k}" for k in range(120 + 15 * base)]
+        page = [f"p{base}x{k}" for k in range(130 + 15 * base)]
         for i in range(250):
             twin = [f"t{base}x{i // 2}x{k}" for k in range(9)] if i < 60 else []
             own = [f"o{base}x{i}x{k}" for k in range(24 + 2 * base - len(twin) + (i % 7) * 3)]
