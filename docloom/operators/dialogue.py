@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
-from docloom.operators.numbering import integer_bucket, row_positions
+from docloom.operators.numbering import integer_bucket, ranged_positions, row_positions
+from docloom.session import written
 
-FREQUENT = 10_000  # word ids below this are broadcast
+FREQUENT = 10_000  # word ids below this travel with the tasks
 
 
 def thread_positions(df: DataFrame, thread: str = "conv_id", turn: str = "turn",
@@ -90,32 +94,44 @@ def vocabulary(df: DataFrame, text: str = "text", reserved: int = 2) -> DataFram
     """Word ids by falling count, then word; ids below ``reserved`` stay free for padding and unknown."""
     counts = df.select(F.explode(tx.tokens(F.col(text))).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("n"))
-    placed = row_positions(counts.withColumn("_down", -F.col("n")), [], ["_down", "word"],
-                           [F.col("_down"), F.substring("word", 1, 2)], "_p")
+    placed = ranged_positions(counts, [], [F.desc("n"), "word"], "_p")
     return placed.select("word", "n", (F.col("_p") + reserved).alias("word_id"))
 
 
 def fixed_sequences(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
                     max_len: int = V.MAX_SEQUENCE) -> DataFrame:
-    """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1.
+    """Token ids cut or padded with 0 to ``max_len``, with their attention mask; unknown words read 1. ``key`` is unique.
 
-    The most frequent words (a fixed number of them) are looked up by broadcast, and the row is put together
-    again. Only words that this leaves open go through the shuffled lookup; they are rare, so no key is hot.
+    The most frequent words, a fixed number of them, travel with the tasks and are looked up in their row. Only words
+    that this leaves open leave it, for a shuffled lookup; they are rare, so no word is hot.
     """
+    known = vocab.where(F.col("word_id") < FREQUENT).select("word", "word_id").toArrow()
+    shipped = df.sparkSession.sparkContext.broadcast((known.column("word").combine_chunks(), known.column("word_id").combine_chunks()))
+    kind = df.schema[key].dataType.simpleString()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, ids = shipped.value
+        for batch in batches:
+            column = batch.column(1)
+            flat, ends = column.flatten(), np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())
+            places = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            found = ids.take(pc.index_in(flat, value_set=words.cast(flat.type)))
+            away = np.flatnonzero(pc.is_null(found).to_numpy(zero_copy_only=False))
+            row = np.searchsorted(ends, away, "right")
+            at = away - np.concatenate([[0], ends])[row]
+            cut = pa.array(np.searchsorted(row, np.arange(len(ends) + 1)).astype(np.int32))
+            open_ = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), flat.take(pa.array(away))], ["at", "word"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(places, pc.fill_null(found, 0)), pa.ListArray.from_arrays(cut, open_)], [key, "ids", "open"])
+
     head = F.slice(tx.tokens(F.col(text)), 1, max_len)
-    placed = df.select(key, F.posexplode_outer(head).alias("at", "word"))
-    frequent = F.broadcast(vocab.where(F.col("word_id") < FREQUENT).select("word", F.col("word_id").alias("_near")))
+    near = written(df.select(key, head.alias("words")).mapInArrow(look, f"{key} {kind}, ids array<long>, open array<struct<at:int,word:string>>"), "sequences")
     rare = vocab.where(F.col("word_id") >= FREQUENT).select("word", F.col("word_id").alias("_far"))
-    open_word = F.when(F.col("_near").isNull() & F.col("word").isNotNull(), F.struct("at", "word"))
-    near = placed.join(frequent, "word", "left").groupBy(key).agg(
-        F.collect_list(F.when(F.col("_near").isNotNull(), F.struct("at", F.col("_near").alias("id")))).alias("near"),
-        F.collect_list(open_word).alias("open"))
     far = near.select(key, F.inline("open")).join(rare, "word", "left").groupBy(key).agg(
-        F.collect_list(F.struct("at", F.coalesce("_far", F.lit(1)).alias("id"))).alias("far"))
-    ids = F.when(F.col("far").isNull(), F.col("near")).otherwise(F.concat("near", "far"))
-    ids = F.transform(F.array_sort(ids), lambda x: x["id"])
+        F.map_from_entries(F.collect_list(F.struct("at", F.coalesce("_far", F.lit(1)).alias("id")))).alias("far"))
+    filled = F.transform("ids", lambda x, i: F.when(x == 0, F.col("far")[i]).otherwise(x))
     pad = F.lit(max_len) - F.size("ids")
-    return near.join(far, key, "left").select(key, ids.alias("ids")).select(
+    return near.join(far, key, "left").select(key, F.when(F.size("open") > 0, filled).otherwise(F.col("ids")).alias("ids")).select(
         key,
         F.concat("ids", F.array_repeat(F.lit(0).cast("long"), pad)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),

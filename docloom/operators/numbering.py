@@ -61,8 +61,9 @@ def ranged_positions(
 
     The rows are cut into ranges of (group, order) at sampled quantiles, so neither one group nor one
     key value's neighbourhood decides how many rows share a task; only rows that agree in the whole key stay together.
-    Each range is sorted once and written with its running number. What the ranges before hold of a group
-    is a running sum over one short row per (group, range): at most as many as there are ranges.
+    Each range is sorted once and written with its running number; what is numbered is read twice, once for
+    the sample. What the ranges before hold of a group is a running sum over one short row per (group, range): at most as
+    many as there are ranges.
     """
     keys = [*partition_by, *order_by]
     cut = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -111,23 +112,22 @@ def number_within(
     ).drop("_p")
 
 
-def with_global_index(chunks: DataFrame, doc: str = "doc_id", local: str = "chunk_index",
-                      bucket: Sequence[Column] | None = None) -> DataFrame:
-    """1-based index over all chunks in document order."""
-    placed = row_positions(chunks, [], [doc, local], bucket or integer_bucket(doc, 1_024), "_p")
+def with_global_index(chunks: DataFrame, doc: str = "doc_id", local: str = "chunk_index") -> DataFrame:
+    """1-based index over all chunks in document order, however the ids lie and however long a document is."""
+    placed = ranged_positions(chunks, [], [doc, local], "_p")
     return placed.withColumn("chunk_index_global", F.col("_p") + 1).drop("_p")
 
 
-def head_percent(df: DataFrame, percent: float, key: str, bucket: Sequence[Column] | None = None) -> DataFrame:
-    """The first ``percent`` of the rows along a unique integer key, to the nearest row."""
-    placed = row_positions(df, [], [key], bucket or integer_bucket(key), "_p", total="_n")
+def head_percent(df: DataFrame, percent: float, key: str) -> DataFrame:
+    """The first ``percent`` of the rows along a unique key, to the nearest row."""
+    placed = ranged_positions(df, [], [key], "_p", total="_n")
     return placed.where(F.col("_p") < F.round(F.col("_n") * percent / 100)).drop("_p", "_n")
 
 
 def batches(df: DataFrame, size: int, key: str, seed: str) -> DataFrame:
     """Shuffle by a seeded hash of the key and cut into batches; the last may be short."""
     mixed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(":" + seed))))
-    placed = row_positions(mixed, [], ["_h", key], [F.substring("_h", 1, 4)], "_p")
+    placed = ranged_positions(mixed, [], ["_h", key], "_p")
     return placed.select(
         *df.columns,
         F.floor(F.col("_p") / size).cast("long").alias("batch"),

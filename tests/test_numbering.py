@@ -63,6 +63,16 @@ def test_ranged_positions_of_clustered_keys_stay_even(spark):
     assert got == sorted(got)
 
 
+def test_global_index_of_a_huge_document(spark):
+    # One document holds a million chunks; the other ids are far apart and partly negative.
+    huge = spark.range(1_000_000).select(F.lit(5).cast("long").alias("doc_id"), F.col("id").alias("chunk_index"))
+    far = spark.range(2_000).select(((F.col("id") - 1_000) * 10**13).alias("doc_id"), F.lit(0).cast("long").alias("chunk_index"))
+    got = nb.with_global_index(huge.union(far).repartition(11))
+    wrong = got.where(F.col("chunk_index_global") != F.when(F.col("doc_id") == 5, F.col("chunk_index") + 1_002).when(
+        F.col("doc_id") <= 0, F.col("doc_id") / 10**13 + 1_001).otherwise(F.col("doc_id") / 10**13 + 1_001_001))
+    assert wrong.count() == 0 and got.count() == 1_002_000
+
+
 def test_sparse_keys_get_even_buckets(spark):
     rng = random.Random(4)
     keys = sorted({rng.randrange(-(2**62), 2**62) for _ in range(500)})
