@@ -8,7 +8,7 @@ from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.registry import query, table
 from docloom.session import scratch_path
-from docloom.streaming import jobs
+from docloom.streaming import jobs, memory
 
 
 def stream(spark, sf, name):
@@ -17,14 +17,23 @@ def stream(spark, sf, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
+def _remembered(spark, sf):
+    out = scratch_path(spark, "threads")
+    jobs.start_thread_memory(stream(spark, sf, "conversations"), out, scratch_path(spark, "cp")).awaitTermination()
+    return jobs.remembered(spark, out)
+
+
 @query("stream_thread_memory", """
     SELECT conv_id, count(*) AS n_messages, max(turn) AS last_turn, arg_max(role, turn) AS last_role,
         arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id""")
 def stream_thread_memory(spark, sf):
-    out = scratch_path(spark, "threads")
-    run = jobs.start_thread_memory(stream(spark, sf, "conversations"), out, scratch_path(spark, "cp"))
-    run.awaitTermination()
-    return collection.read_collection(spark, out, "conv_id", "last_turn")
+    return memory.summary(_remembered(spark, sf))
+
+
+@query("stream_thread_messages", """
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, turn, role, text FROM conversations""")
+def stream_thread_messages(spark, sf):
+    return _remembered(spark, sf)
 
 
 @query("stream_queries", "WITH" + q.ENSEMBLE + """,

@@ -4,45 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators.collection import write_delta
+from docloom.streaming import memory
 
 
-def thread_memory(messages: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Running state per thread: messages stored, last turn, last message.
+def start_thread_memory(messages: DataFrame, out: str, checkpoint: str, **options) -> StreamingQuery:
+    """Keep the memory of every thread (see :func:`memory.thread_memory` for the options) and log what it takes in.
 
-    A streaming aggregation, so a hot thread is combined before the shuffle and
-    the state stays one short row per thread. The messages themselves go to the
-    store of :func:`store_messages`; together they are the thread's memory.
+    Each batch of the log is written under its own number, so a replay repeats it exactly; :func:`remembered` reads it.
     """
-    last = F.max_by(F.struct("role", "text"), turn)
-    return messages.groupBy(thread).agg(
-        F.count(F.lit(1)).alias("n_messages"), F.max(turn).alias("last_turn"), last.alias("last"),
-    ).select(thread, "n_messages", "last_turn", F.col("last.role").alias("last_role"),
-             F.col("last.text").alias("last_text"))
+    with memory.keyed_state(messages.sparkSession):
+        return _each_batch(memory.thread_memory(messages, **options), lambda df, n: write_delta(df, out, n), checkpoint, "append")
 
 
-def start_thread_memory(messages: DataFrame, out: str, checkpoint: str, **keys: str) -> StreamingQuery:
-    """Keep the changed threads of every trigger; readers take the newest row per thread.
+def remembered(spark: SparkSession, out: str, thread: str = "conv_id") -> DataFrame:
+    """The stored messages of every thread that has not expired: thread, place, turn, role, text."""
+    return memory.stored_messages(spark.read.parquet(f"{out}/delta"), thread).drop("run_no", "batch_no")
 
-    Each batch is written under its own number, so a replay repeats it exactly.
-    """
-    return _each_batch(thread_memory(messages, **keys), lambda df, n: write_delta(df, out, n), checkpoint, "update")
 
+def asked_once(questions: DataFrame, key: str = "query_id", event_time: str | None = None, within: str = "1 hour") -> DataFrame:
+    """Questions without those that arrive again ``within`` a time; of equal keys the first to arrive counts.
 
-def store_messages(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append the messages themselves (exactly once, by the file sink)."""
-    return (messages.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    Time is that of ``event_time``, or of arrival. State is dropped once the watermark has passed it.
+    """
+    moment = event_time or "_arrived"
+    timed = questions if event_time else questions.withColumn("_arrived", F.current_timestamp())
+    once = timed.withWatermark(moment, within).dropDuplicatesWithinWatermark([key])
+    return once if event_time else once.drop("_arrived")
 
 
 def answer_stream(questions: DataFrame, answer: Callable[[DataFrame], DataFrame], out: str,
-                  checkpoint: str) -> StreamingQuery:
-    """Every arriving micro-batch of questions through the batch flow ``answer``."""
-    return _each_batch(questions, lambda df, n: write_delta(answer(df), out, n), checkpoint, "append")
+                  checkpoint: str, **once) -> StreamingQuery:
+    """Every arriving micro-batch of questions, each question once, through the batch flow ``answer``.
+
+    ``once`` goes to :func:`asked_once`.
+    """
+    return _each_batch(asked_once(questions, **once), lambda df, n: write_delta(answer(df), out, n), checkpoint, "append")
 
 
 def ingest_stream(rows: DataFrame, out: str, checkpoint: str, run: int = 0) -> StreamingQuery:
