@@ -15,6 +15,7 @@ from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators.ensemble import union_hits
 from docloom.operators.numbering import limit_sorted, row_positions
+from docloom.sources import quoted
 
 
 def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt", ".csv"),
@@ -30,7 +31,7 @@ def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".
         reader = spark.read.option("pathGlobFilter", f"*{suffix}")
         try:
             if suffix == ".csv":
-                found = _csv_documents(spark, reader, path)
+                found = _csv_documents(spark, path)
             elif suffix == ".parquet":
                 raw = reader.parquet(path)
                 rest = [c for c in raw.columns if c not in (text, "source", "content")]
@@ -49,19 +50,13 @@ def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = (".
     return union_hits(*frames)
 
 
-def _csv_documents(spark: SparkSession, reader, path: str) -> DataFrame:
-    """One document per CSV row. Files are read together with those of equal header, each group with its own columns."""
-    first = reader.text(path, wholetext=False).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    # The header is the first line of a file's first block; one short line per file comes to the driver.
-    lines = first.where("at = 0").groupBy("file").agg(F.first("value").alias("header")).collect()
-    groups: dict[str, list[str]] = {}
-    for line in lines:
-        groups.setdefault(line["header"], []).append(line["file"])
-    frames = []
-    for files in groups.values():
-        raw = spark.read.csv(sorted(files), header=True, multiLine=True, quote='"', escape='"')
-        frames.append(raw.select(row_text(raw.columns).alias("content"), F.col("_metadata.file_name").alias("source")))
-    return union_hits(*frames) if frames else spark.createDataFrame([], "content string, source string")
+def _csv_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One document per CSV row, under the column names of its own file; one read, whatever the headers."""
+    rows = quoted.with_header(quoted.csv_records(spark, path, "*.csv"))
+    named = F.transform(quoted.cells("header"), tx.strip)
+    line = lambda name, i: F.concat(name, F.lit(": "), tx.strip(F.coalesce(F.get("cells", i), F.lit(""))))
+    split = rows.select("name", named.alias("names"), quoted.cells("text").alias("cells"))
+    return split.select(F.array_join(F.transform("names", line), "\n").alias("content"), F.col("name").alias("source"))
 
 
 def row_text(cols: Sequence[str]) -> Column:

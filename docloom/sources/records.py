@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.operators.numbering import row_positions
+from docloom.operators.numbering import ranged_positions
+from docloom.sources import quoted
+from docloom.sources.quoted import CSV
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
-# A missing cell is written as nothing and an empty one as two quotes; the mark for missing cells must differ from both.
-CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
 REQUIRED = ("question", "answer")
 
 EVAL_SCHEMA = T.StructType([
@@ -30,16 +30,22 @@ def read_chat(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
 
 
 def read_golden(spark: SparkSession, path: str) -> DataFrame:
-    """Golden questions with their 0-based position in file order as ``idx``."""
-    raw = spark.read.csv(path, **CSV)
-    missing = set(REQUIRED) - set(raw.columns)
+    """Golden questions with their 0-based position, by file name and place in the file, as ``idx``. All cells are texts."""
+    rows = quoted.with_header(quoted.csv_records(spark, path))
+    columns = quoted.headers(rows) or _first_line(spark, path)
+    missing = set(REQUIRED) - set(columns)
     if missing:
-        raise ValueError(f"golden CSV must contain columns {sorted(REQUIRED)}; found {raw.columns}")
-    # A multi-line CSV file is one split, so the running id follows the file.
-    placed = raw.select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_line"))
-    return row_positions(placed, [], ["_file", "_line"], [F.col("_file")], "idx").drop("_file", "_line")
+        raise ValueError(f"golden CSV must contain columns {sorted(REQUIRED)}; found {columns}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return ranged_positions(rows, [], ["name", "file", "block", "record"], "idx").select(quoted.parsed("text", schema).alias("cells"), "idx").select("cells.*", "idx")
+
+
+def _first_line(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a table without rows."""
+    return spark.read.csv(path, **CSV).columns
 
 
 def read_eval(spark: SparkSession, path: str, schema: T.StructType = EVAL_SCHEMA) -> DataFrame:
-    """Stored evaluation rows; quoted cells may hold line breaks."""
-    return spark.read.schema(schema).csv(path, **CSV)
+    """Stored evaluation rows, by place under the given schema; quoted cells may hold line breaks."""
+    rows = quoted.with_header(quoted.csv_records(spark, path))
+    return rows.select(quoted.parsed("text", schema).alias("cells")).select("cells.*")
