@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as tx
 from docloom.operators import chunking, collection, measure
 from docloom.operators.numbering import integer_bucket
+from docloom.plans import run
 from docloom.queries import frames
 from docloom.queries import sqltext as q
 from docloom.queries.registry import query, table
@@ -96,6 +97,34 @@ def sink_run_dirs(spark, sf):
         "rank INT, source STRING, faiss_distance DOUBLE, preview STRING, q_idx STRING").json(out)
 
 
+@query("sink_artifacts", "WITH" + q.ENSEMBLE + """,
+    raw AS (SELECT query_id, any_value(question) AS question, string_agg(ensemble_rank || ':' || modality || ':' || chunk_id, ',' ORDER BY ensemble_rank) AS raw,
+        count(*) AS n_raw, count(*) FILTER (NOT repeat) AS n_cited, coalesce(string_agg(chunk_id, ',' ORDER BY ensemble_rank) FILTER (repeat), '') AS removed
+      FROM ehits GROUP BY query_id)
+    SELECT 'q_' || query_id AS q_idx, raw, n_raw AS n_rendered, removed, n_cited, true AS asked, true AS answered, question AS traced, n_raw AS traced_raw,
+        true AS timed FROM raw""")
+def sink_artifacts(spark, sf):
+    out = run.run_questions(frames.questions(spark, sf), frames.stored_collection(spark, sf), scratch_path(spark, "runs"), "0001")
+    found = writers.read_artifacts(spark, out).groupBy("q_idx").pivot("artifact", [*writers.ARTIFACTS, "trace.json"]).agg(F.first("body"))
+    of = lambda name: F.col(f"`{name}`")
+    line = F.from_csv("line", ", ".join(f"{c} STRING" for c in writers.RAW_COLUMNS), {"quote": '"', "escape": '"'})
+    rows = found.select("q_idx", F.explode(F.slice(F.split(of("retrieval_raw.csv"), "\n"), 2, 100)).alias("line")).select("q_idx", line.alias("r"))
+    named = F.concat_ws(":", "r.rank", "r.modality", F.coalesce("r.chunk_uid", "r.vector_id"))
+    raw = rows.groupBy("q_idx").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("r.rank").cast("int"), named))), lambda x: x["col2"]), ",").alias("raw"))
+    trace = F.from_json(of("trace.json"), "query STRING, counts STRUCT<retrieved_raw: BIGINT>, timings_sec STRUCT<retrieval: DOUBLE, dedupe: DOUBLE, "
+                        "rerank: DOUBLE, context_build: DOUBLE, llm: DOUBLE, total: DOUBLE>")
+    spent = trace["timings_sec"]
+    sums = sum((spent[c] for c in ("dedupe", "rerank", "context_build", "llm")), spent["retrieval"])
+    gone = F.from_json(of("dedupe_removed.json"), "ARRAY<STRUCT<chunk_id: STRING>>")
+    return found.join(raw, "q_idx").select(
+        "q_idx", "raw", F.regexp_count(of("retrieval_raw.txt"), F.lit(r"(?m)^chunk_id=[0-9a-f]{24} \| modality=")).cast("long").alias("n_rendered"),
+        F.array_join(gone["chunk_id"], ",").alias("removed"),
+        F.regexp_count(of("final_context.txt"), F.lit(r"(?m)^\[\d+\] chunk_id=")).cast("long").alias("n_cited"),
+        F.contains(of("final_prompt.txt"), trace["query"]).alias("asked"), (F.length(of("answer.txt")) > 0).alias("answered"),
+        trace["query"].alias("traced"), trace["counts"]["retrieved_raw"].alias("traced_raw"),
+        ((spent["retrieval"] > 0) & (spent["total"] >= sums - 0.001)).alias("timed"))
+
+
 @query("upsert_collection", """
     SELECT doc_id AS id, md5(text) AS content_md5, 'documents' AS origin FROM documents
     WHERE doc_id NOT IN (SELECT item_id FROM benchmark)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
 from docloom.operators import measure
-from docloom.operators.context import joined_in_order, shown_float
+from docloom.operators.context import joined_in_order, render_chunk, shown_float
 from docloom.session import scratch_path
 
 # Cells keep their own white space; an empty text differs from a missing one.
@@ -113,6 +114,56 @@ def write_run(df: DataFrame, base: str, run_id: str, name: str, by: Sequence[str
     return out
 
 
+#: What a question leaves behind, besides its trace. Fixed names.
+ARTIFACTS = ["retrieval_raw.csv", "retrieval_raw.txt", "dedupe_removed.json", "final_context.txt", "final_prompt.txt", "answer.txt"]
+RAW_COLUMNS = ["rank", "modality", "doc_id", "chunk_uid", "vector_id", "table_id", "figure_id", "source_docx", "source_csv", "source_image",
+               "retrieval_score", "preview"]
+
+
+def artifact_rows(hits: DataFrame, answers: DataFrame, traces: DataFrame, query: str = "query_id") -> DataFrame:
+    """(query, artifact, body): every artifact of every question.
+
+    ``hits`` are the ranked raw hits with ``repeat`` and ``fingerprint``, ``answers`` have context, prompt and prediction.
+    """
+    row = hits.withColumns({"rank": F.col("ensemble_rank"), "preview": tx.preview(F.col("content"))})
+    line = F.to_csv(F.struct(*RAW_COLUMNS), {"quote": '"', "escape": '"'})
+    gone = F.struct("ensemble_rank", "fingerprint", "modality", "doc_id", "chunk_id")
+    listed = F.array_sort(F.collect_list(F.when(F.col("repeat"), gone)))
+    raw = row.withColumns({"_line": line, "_text": render_chunk()}).groupBy(query).agg(
+        F.concat(F.lit(",".join(RAW_COLUMNS) + "\n"), joined_in_order("rank", F.col("_line"), "\n")).alias(ARTIFACTS[0]),
+        joined_in_order("rank", F.col("_text"), "\n\n").alias(ARTIFACTS[1]), F.to_json(listed).alias(ARTIFACTS[2]))
+    told = traces.select(query, F.to_json(F.struct(*[F.col(c) for c in traces.columns]), {"ignoreNullFields": "false"}).alias("trace.json"))
+    whole = raw.join(answers.select(query, F.col("context").alias(ARTIFACTS[3]), F.col("prompt").alias(ARTIFACTS[4]), F.col("prediction").alias(ARTIFACTS[5])), query)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("artifact"), F.col(f"`{n}`").alias("body")) for n in [*ARTIFACTS, "trace.json"]]))
+    return whole.join(told, query).select(query, each.alias("_each")).select(query, "_each.*")
+
+
+def write_artifacts(rows: DataFrame, out: str, query: str = "query_id") -> str:
+    """All artifacts of a run in one job, ``q_idx=q_<query>/artifact=<name>``: every one of them, or none.
+
+    Files appear when the whole job commits. A folder that exists is never written to; if the job fails, its own goes.
+    """
+    named = rows.select(F.concat(F.lit("q_"), F.col(query).cast("string")).alias("q_idx"), "artifact", F.coalesce("body", F.lit("")).alias("value"))
+    try:
+        named.write.mode("errorifexists").partitionBy("q_idx", "artifact").option("lineSep", "\n").text(out)
+    except Exception as problem:
+        if not (isinstance(problem, AnalysisException) and problem.getCondition() == "PATH_ALREADY_EXISTS"):
+            remove(rows.sparkSession, out)
+        raise
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def read_artifacts(spark: SparkSession, out: str) -> DataFrame:
+    """(q_idx, artifact, body) of a finished run."""
+    found = spark.read.schema("value STRING, q_idx STRING, artifact STRING").text(out, wholetext=True)
+    return found.select("q_idx", "artifact", F.regexp_replace("value", r"\n\z", "").alias("body"))
+
+
 def question_folder(idx):
     return F.format_string("q_%03d", idx)
 

@@ -1,16 +1,18 @@
 """Sources, sinks and streams over small files."""
 
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom import fixed_values as V
 from docloom.operators import collection
 from docloom.plans import ingest, retrieval
 from docloom.sinks import writers
 from docloom.sources import documents, records
-from docloom.streaming import jobs
+from docloom.streaming import jobs, memory
 
 
 def test_documents_of_a_folder(spark, tmp_path):
@@ -92,6 +94,46 @@ def test_eval_rows_keep_their_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in back] == [tuple(r) for r in df.collect()]
 
 
+TRICKY = ['plain', 'say ""x"", then', 'two\nlines', '\n', '""', 'a,b', ' lead and trail ', 'é\r\nü', '""\n""', 'x' * 70 + '\n' + 'y' * 70, "", 'end""']
+
+
+@pytest.mark.parametrize("split", [97, 400, 100_000])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, split):
+    import duckdb
+
+    file = tmp_path / "big.csv"
+    lines = [f'{i},"{TRICKY[i % len(TRICKY)]}",{"" if i % 5 == 0 else i / 4},"{TRICKY[(i * 7 + 3) % len(TRICKY)]}"' for i in range(120)]
+    file.write_bytes(("\ufeffid,one,number,two\n" + "\n\n".join(lines[:60]) + "\n" + "\n".join(lines[60:])).encode())
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("one", T.StringType()), T.StructField("number", T.DoubleType()), T.StructField("two", T.StringType())])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        rows = records.read_eval(spark, str(file), schema)
+        tasks = spark.read.option("lineSep", "\n").text(str(file)).rdd.getNumPartitions()
+        got = sorted(map(tuple, rows.collect()))
+        golden = tmp_path / "golden.csv"
+        golden.write_bytes(file.read_bytes().replace(b"\xef\xbb\xbfid,one,number,two", b"id,question,number,answer"))
+        placed = records.read_golden(spark, str(golden)).orderBy("idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks >= min(8, file.stat().st_size // split)
+    with duckdb.connect() as con:
+        want = con.execute("SELECT id::BIGINT, one, number::DOUBLE, two FROM read_csv(?, header = true, auto_detect = false, delim = ',', quote = '\"', escape = '\"', "
+                           "new_line = '\\n', allow_quoted_nulls = false, "
+                           "columns = {'id': 'VARCHAR', 'one': 'VARCHAR', 'number': 'VARCHAR', 'two': 'VARCHAR'})", [str(file)]).fetchall()
+    assert got == sorted(want)
+    assert [(r.idx, r.id, r.question) for r in placed] == [(i, str(i), TRICKY[i % len(TRICKY)].replace('""', '"')) for i in range(120)]
+
+
+def test_documents_of_many_headers_take_one_read(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"f{i}.csv").write_text(f'k{i}," b,{i}"\r\n"v\n{i}",x,dropped\r\n\r\nshort\r\n' if i % 2 else f"only{i}\n")
+    got = documents.read_documents(spark, str(tmp_path), [".csv"])
+    assert sorted((r.source, r.content) for r in got.collect()) == sorted(
+        (f"f{i}.csv", c) for i in range(1, 30, 2) for c in (f"k{i}: v\n{i}\nb,{i}: x", f"k{i}: short\nb,{i}: "))
+    # One read of the records gives the rows, another the headers, however many there are.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
 def test_empty_cells_differ_from_missing_ones(spark, tmp_path):
     rows = [(0, "", None, "p", None, None, ""), (1, None, "", "", 0.5, "", None)]
     writers.write_eval(spark.createDataFrame(rows, records.EVAL_SCHEMA), str(tmp_path / "e"))
@@ -142,6 +184,20 @@ def test_runs_are_never_overwritten(spark, tmp_path):
         writers.write_run(df, str(tmp_path), "r1", "result", ["q_idx"])
 
 
+def test_artifacts_are_all_there_or_none(spark, tmp_path):
+    rows = spark.createDataFrame([(q, n, f"{q} {n}\nsecond line") for q in range(3) for n in writers.ARTIFACTS], "query_id long, artifact string, body string").repartition(3)
+    out = writers.write_artifacts(rows, str(tmp_path / "run_1"))
+    got = {(r.q_idx, r.artifact): r.body for r in writers.read_artifacts(spark, out).collect()}
+    assert got == {(f"q_{q}", n): f"{q} {n}\nsecond line" for q in range(3) for n in writers.ARTIFACTS}
+    with pytest.raises(Exception, match="already exists"):
+        writers.write_artifacts(rows.limit(1), out)
+    assert len(writers.read_artifacts(spark, out).collect()) == 18
+    broken = rows.withColumn("body", F.when((F.col("query_id") == 2) & (F.col("artifact") == "answer.txt"), F.raise_error(F.lit("lost"))).otherwise(F.col("body")))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_artifacts(broken, str(tmp_path / "run_2"))
+    assert not (tmp_path / "run_2").exists()
+
+
 def test_exported_tables(spark, tmp_path):
     df = spark.createDataFrame([("my doc", 1, 5, "x"), ("my doc", 1, 6, "y"), ("my doc", 12, 7, "z")],
                                "doc_id string, table_index int, n int, s string")
@@ -181,16 +237,64 @@ def message_files(spark, folder):
     return rows, schema
 
 
+MESSAGES = "conv_id long, turn long, role string, text string"
+
+
 def test_thread_memory_over_several_triggers(spark, tmp_path):
-    folder, out, store = (str(tmp_path / n) for n in ("in", "out", "store"))
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "cp"))
     rows, schema = message_files(spark, folder)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
-    jobs.start_thread_memory(stream, out, str(tmp_path / "cp1")).awaitTermination()
-    jobs.store_messages(stream, store, str(tmp_path / "cp2")).awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(store).collect())) == sorted(rows)
-    got = {r.conv_id: (r.n_messages, r.last_turn, r.last_text)
-           for r in collection.read_collection(spark, out, "conv_id", "n_messages").collect()}
-    assert got == {c: (6, 5, f"m{c}.5") for c in range(4)}
+    before = spark.conf.get(memory.PROVIDER, None)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
+        jobs.start_thread_memory(stream, out, check).awaitTermination()
+        return sorted((r.conv_id, r.turn, r.role, r.text) for r in jobs.remembered(spark, out).collect())
+
+    assert run() == sorted(rows)
+    got = {r.conv_id: (r.n_messages, r.last_turn, r.last_text) for r in memory.summary(jobs.remembered(spark, out)).collect()}
+    assert got == {c: (6, 5, f"m{c}.5") for c in range(4)} and spark.conf.get(memory.PROVIDER, None) == before
+    # After a restart from the checkpoint, turns that were sent before are not stored again; new ones go on where the thread was.
+    again = [(0, 3, "assistant", "sent twice"), (0, 6, "user", "m0.6"), (1, -1, "user", "late"), (None, 1, "user", "x"), (2, None, "user", "x")]
+    spark.createDataFrame(again, MESSAGES).coalesce(1).write.mode("append").json(folder)
+    assert run() == sorted([*rows, again[1], again[2]])
+    places = {(r.conv_id, r.turn): r.place for r in jobs.remembered(spark, out).collect()}
+    assert places[0, 6] == 6 and places[1, -1] == 6 and sorted(p for (c, _), p in places.items() if c == 3) == list(range(6))
+
+
+def test_a_silent_thread_expires(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = MESSAGES + ", at timestamp"
+
+    def send(*rows):
+        spark.createDataFrame([(c, t, "user", f"{c}.{t}", datetime.datetime(2024, 1, 1, 0, m)) for c, t, m in rows], schema).coalesce(1).write.mode("append").json(folder)
+        stream = spark.readStream.schema(schema).json(folder).withWatermark("at", "0 seconds")
+        jobs.start_thread_memory(stream, out, check, idle=10 * 60_000, event_time="at").awaitTermination()
+        return sorted((r.conv_id, r.place, r.turn) for r in jobs.remembered(spark, out).collect())
+
+    assert send((1, 0, 0), (1, 1, 1), (2, 0, 1)) == [(1, 0, 0), (1, 1, 1), (2, 0, 0)]
+    assert send((2, 1, 8)) == [(1, 0, 0), (1, 1, 1), (2, 0, 0), (2, 1, 1)]
+    # Thread 1 has been silent for more than ten minutes, thread 2 has not.
+    assert send((3, 0, 14)) == [(2, 0, 0), (2, 1, 1), (3, 0, 0)]
+    # What comes later begins it anew.
+    assert send((1, 2, 15)) == [(1, 0, 2), (2, 0, 0), (2, 1, 1), (3, 0, 0)]
+    log = spark.read.parquet(f"{out}/delta").where("expired").collect()
+    assert [(r.conv_id, r.place, r.turn) for r in log] == [(1, 2, 1)]
+
+
+def test_a_question_sent_twice_is_answered_once(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "query_id long, question string, at timestamp"
+
+    def send(*rows):
+        spark.createDataFrame([(q, x, datetime.datetime(2024, 1, 1, h, 0)) for q, x, h in rows], schema).coalesce(1).write.mode("append").json(folder)
+        stream = spark.readStream.schema(schema).json(folder)
+        jobs.answer_stream(stream, lambda batch: batch.drop("at"), out, check, event_time="at", within="2 hours").awaitTermination()
+        return sorted((r.query_id, r.question) for r in spark.read.parquet(f"{out}/delta").collect())
+
+    assert send((1, "a", 0), (1, "a", 1), (2, "b", 1)) == [(1, "a"), (2, "b")]
+    assert send((1, "a", 0), (3, "c", 1)) == [(1, "a"), (2, "b"), (3, "c")]
+    arrived = jobs.asked_once(spark.readStream.schema(schema).json(folder))
+    assert arrived.columns == ["query_id", "question", "at"]
 
 
 def test_streamed_questions_equal_the_batch(spark, tmp_path):
