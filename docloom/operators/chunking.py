@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf
 
 from docloom import fixed_values as V
 from docloom.functions import text as tx
@@ -16,12 +16,8 @@ from docloom.operators.numbering import row_positions
 
 
 def check_sizes(size: int, overlap: int) -> None:
-    if size <= 0:
-        raise ValueError("chunk size must be > 0")
-    if overlap < 0:
-        raise ValueError("overlap must be >= 0")
-    if overlap >= size:
-        raise ValueError("overlap must be smaller than the chunk size")
+    if size < 1 or not 0 <= overlap < size:
+        raise ValueError(f"a chunk of {size} cannot share {overlap} with the next; sizes start at 1, shares lie below the size")
 
 
 # --- recursive splitting -------------------------------------------------------
@@ -143,19 +139,40 @@ def chunk_text(
     return df.select(*keep, text).mapInArrow(split, schema)
 
 
-def register_chunker(spark: SparkSession, name: str = "chunk") -> None:
-    """Make the splitter callable from SQL: ``FROM t, LATERAL chunk(t.text, 500, 50)``.
+def register_chunker(spark: SparkSession, name: str = "chunk", keep: str = "doc_id BIGINT", text: str = "text") -> None:
+    """Make the splitter callable from SQL: ``SELECT * FROM chunk(TABLE(t), 500, 50)``.
 
-    Row by row, for Spark 4.1 refuses Arrow table functions under LATERAL; :func:`chunk_text` is the Arrow form.
+    ``keep`` lists columns of the table, in DDL form, that are copied to every chunk. Works on Arrow batches where the rows
+    lie; Spark 4.1 lets an Arrow table function take a table, but neither LATERAL nor ask for its columns at analysis.
     """
+    kept = T.StructType.fromDDL(keep)
 
-    @udtf(returnType="chunk_index int, start int, content string")
     class Chunk:
-        def eval(self, text: str, size: int, overlap: int):
+        def eval(self, table: pa.RecordBatch, size: int, overlap: int):
+            size, overlap = (x[0].as_py() if isinstance(x, (pa.Array, pa.ChunkedArray)) else x for x in (size, overlap))
             check_sizes(size, overlap)
-            yield from recursive_chunks(text, size, overlap, V.SEPARATORS)
+            missing = [c for c in [*kept.names, text] if c not in table.schema.names]
+            if missing:
+                raise ValueError(f"the table lacks {missing}; it has {table.schema.names}")
+            rows, column = table.select(kept.names), table.column(text)
+            found: list[tuple] = []
+            for i in range(table.num_rows):
+                for chunk in recursive_chunks(column[i].as_py(), size, overlap, V.SEPARATORS):
+                    found.append((i, *chunk))
+                    if len(found) >= CHUNKS_AT_ONCE:
+                        yield _chunk_table(rows, found)
+                        found = []
+            if found:
+                yield _chunk_table(rows, found)
+
+    spark.udtf.register(name, arrow_udtf(Chunk, returnType=T.StructType(kept.fields + CHUNK_FIELDS)))
+
 
-    spark.udtf.register(name, Chunk)
+def _chunk_table(kept: pa.RecordBatch, found: list[tuple]) -> pa.Table:
+    """The kept columns of each chunk's row beside the chunk."""
+    rows, index, start, content = zip(*found)
+    columns = {f.name: kept.column(i).take(pa.array(rows, pa.int32())) for i, f in enumerate(kept.schema)}
+    return pa.table({**columns, "chunk_index": pa.array(index, pa.int32()), "start": pa.array(start, pa.int32()), "content": pa.array(content, pa.string())})
 
 
 # --- fixed windows ---------------------------------------------------------------
@@ -262,7 +279,7 @@ def table_head(cols: Sequence[str], form: str) -> str:
         return "| " + " | ".join(cols) + " |\n|" + "|".join([" --- "] * len(cols)) + "|\n"
     if form == "csv":
         return ",".join(cols) + "\n"
-    raise ValueError("serialize_as must be 'markdown' or 'csv'")
+    raise ValueError(f"no table form {form!r}; there are markdown and csv")
 
 
 def rows_to_text(

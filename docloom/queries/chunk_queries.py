@@ -30,9 +30,7 @@ def chunk_recursive(spark, sf):
 def table_valued_chunker(spark, sf):
     chunking.register_chunker(spark)
     wide(spark, sf, "documents", "doc_id", "text").createOrReplaceTempView("documents_to_chunk")
-    return spark.sql("""
-        SELECT d.doc_id, c.chunk_index, c.start, c.content
-        FROM documents_to_chunk d, LATERAL chunk(d.text, 1200, 150) c""")
+    return spark.sql("SELECT doc_id, chunk_index, start, content FROM chunk(TABLE(documents_to_chunk), 1200, 150)")
 
 
 @query("chunk_stats", "WITH" + q.windows(500, 50) + """

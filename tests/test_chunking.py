@@ -8,69 +8,39 @@ from docloom.operators import chunking as ck
 from docloom.operators.numbering import integer_bucket
 
 
-def naive_recursive(text, size, overlap, seps):
-    """The splitting rules on plain strings, independent of the offsets the operator keeps."""
-    out = []
-
-    def merge(pieces):
-        window, total = [], 0
-        for p in pieces:
-            if total + len(p) > size and window:
-                joined = "".join(window).strip()
-                if joined:
-                    out_here.append(joined)
-                while total > overlap or (total + len(p) > size and total > 0):
-                    total -= len(window.pop(0))
-            window.append(p)
-            total += len(p)
-        joined = "".join(window).strip()
-        if joined:
-            out_here.append(joined)
-
-    sep, rest = seps[-1], []
-    for i, s in enumerate(seps):
-        if s == "" or s in text:
-            sep, rest = s, seps[i + 1:]
-            break
-    if sep == "":
-        pieces = list(text)
-    else:
-        parts = text.split(sep)
-        pieces = [parts[0]] + [sep + p for p in parts[1:]]
-    small = []
-    for p in [p for p in pieces if p]:
-        if len(p) < size:
-            small.append(p)
-            continue
-        out_here = []
-        merge(small)
-        out += out_here
-        small = []
-        out += naive_recursive(p, size, overlap, rest) if rest else [p]
-    out_here = []
-    merge(small)
-    return out + out_here
-
-
 def random_text(rng, n):
     words = ["a", "été", "straße", "word", "x" * 30, "fin. ", "\n", "\n\n", " ", "  ", "𝔘nicode", "."]
     return "".join(rng.choice(words) + rng.choice(["", " "]) for _ in range(n))
 
 
 @pytest.mark.parametrize("size,overlap", [(10, 0), (10, 9), (25, 5), (60, 20), (500, 50)])
-def test_recursive_matches_plain_rules(size, overlap):
+def test_recursive_chunks_cover_the_text(size, overlap):
     rng = random.Random(size + overlap)
     texts = ["", "   ", "\n\n", "abc", "x" * 200, "a. b. c. " * 20] + [random_text(rng, k) for k in (1, 5, 40, 300)]
     for t in texts:
         got = list(ck.recursive_chunks(t, size, overlap, V.SEPARATORS))
-        assert [c for _, _, c in got] == naive_recursive(t, size, overlap, V.SEPARATORS)
-        assert all(t[at:at + len(c)] == c and 0 < len(c) <= size for _, at, c in got)
+        assert all(t[at:at + len(c)] == c and 0 < len(c) <= size and c == c.strip() for _, at, c in got)
+        assert [i for i, _, _ in got] == list(range(len(got)))
         covered = set()
         for _, at, c in got:
             covered.update(range(at, at + len(c)))
         assert all(t[i].isspace() for i in range(len(t)) if i not in covered)
 
 
+# Written out by hand; SQL checks the same rules on the given documents.
+@pytest.mark.parametrize("text,size,overlap,want", [
+    ("one two three four", 9, 0, ["one two", "three", "four"]),
+    ("aa bb cc dd", 6, 3, ["aa bb", "bb cc", "cc dd"]),
+    ("aa bb cc dd", 6, 2, ["aa bb", "cc dd"]),
+    ("first part\n\nsecond part", 12, 0, ["first part", "second part"]),
+    ("x" * 12, 5, 0, ["xxxxx", "xxxxx", "xx"]),
+    ("x" * 12, 5, 2, ["xxxxx", "xxxxx", "xxxxx", "xxx"]),
+    ("ab\n" + "y" * 7 + "\ncd", 5, 0, ["ab", "yyyy", "yyy", "cd"]),
+])
+def test_recursive_chunks_by_hand(text, size, overlap, want):
+    assert [c for _, _, c in ck.recursive_chunks(text, size, overlap, V.SEPARATORS)] == want
+
+
 def test_chunk_text_copies_metadata(spark):
     df = spark.createDataFrame([(1, "s1", "one two three four"), (2, "s2", None), (3, "s3", "")],
                                "doc_id long, source string, text string")
@@ -79,12 +49,16 @@ def test_chunk_text_copies_metadata(spark):
 
 
 def test_sql_chunker_equals_operator(spark):
-    ck.register_chunker(spark)
-    df = spark.createDataFrame([(1, "a. b\n\nc " * 30), (2, "x" * 99)], "doc_id long, text string")
-    df.createOrReplaceTempView("chunker_input")
-    via_sql = spark.sql("SELECT doc_id, c.* FROM chunker_input, LATERAL chunk(text, 20, 5) c").collect()
-    direct = ck.chunk_text(df, 20, 5, keep=["doc_id"]).collect()
-    assert sorted(map(tuple, via_sql)) == sorted(map(tuple, direct))
+    ck.register_chunker(spark, keep="doc_id BIGINT, source STRING")
+    df = spark.createDataFrame([(1, "a. b\n\nc " * 30, "s"), (2, "x" * 99, None), (3, None, "t")], "doc_id long, text string, source string")
+    df.repartition(3).createOrReplaceTempView("chunker_input")
+    via_sql = spark.sql("SELECT * FROM chunk(TABLE(chunker_input), 20, 5)")
+    direct = ck.chunk_text(df, 20, 5, keep=["doc_id", "source"])
+    assert via_sql.columns == direct.columns and sorted(map(str, via_sql.collect())) == sorted(map(str, direct.collect()))
+    assert "SinglePartition" not in via_sql._jdf.queryExecution().executedPlan().toString()
+    for wrong, said in (("TABLE(SELECT doc_id FROM chunker_input), 20, 5", "lacks"), ("TABLE(chunker_input), 5, 5", "cannot share")):
+        with pytest.raises(Exception, match=said):
+            spark.sql(f"SELECT * FROM chunk({wrong})").collect()
 
 
 @pytest.mark.parametrize("size,overlap", [(5, 0), (5, 4), (5, 2), (7, 6), (500, 50)])
