@@ -3,6 +3,9 @@
 Toxic documents go, one document of each group of near copies stays, documents with benchmark passages
 go, secrets are blacked out, and what is left is encoded and decoded. All but the last stage return the columns of
 ``documents``. SQL cannot express the classifier or the hashes; the tests hold each stage against plain Python.
+
+Null and empty texts pass every stage. Rows with a null id pass where a decision goes by id; rows that repeat an id stay or go
+together there. An empty table gives an empty result, and other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import decontaminate, minhash, pieces, secrets, toxicity
-from docloom.llm.common import saved, table
+from docloom.llm.common import free_name, saved, table
 from docloom.session import ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -44,12 +47,17 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its piece ids, their number, and as text what they decode to."""
+    """Every document with its piece ids, their number, and as text what they decode to.
+
+    A null text has null pieces. A column that is called like one of the new ones gives way to it.
+    """
     ship_package(spark)
     vocabulary = pieces.Vocabulary.load()
-    coded = pieces.encode(docs, vocabulary, decoded="decoded")
-    exact = F.col("decoded").eqNullSafe(F.col("text"))
-    return coded.select(*[F.col("decoded").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+    docs = docs.drop("tokens", "n_tokens", "exact")
+    back = free_name(docs, "decoded")
+    coded = pieces.encode(docs, vocabulary, decoded=back)
+    exact = F.col(back).eqNullSafe(F.col("text"))
+    return coded.select(*[F.col(back).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
                         "tokens", F.size("tokens").cast("long").alias("n_tokens"), exact.alias("exact"))
 
 
