@@ -31,6 +31,14 @@ def columns_of(df: DataFrame, **wanted: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in wanted.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether a frame has at most so many rows; reads no further than one row beyond."""
     return len(df.limit(rows + 1).select(F.lit(1)).collect()) <= rows

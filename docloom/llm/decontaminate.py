@@ -22,7 +22,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import columns_of, fits, joined_small, let, saved
+from docloom.llm.common import columns_of, fits, free_name, joined_small, let, saved
 
 SHINGLE = 5
 RADIUS = 23
@@ -155,6 +155,10 @@ def _confirmed(windows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of documents without such a passage, with all their columns."""
-    found = matches(docs, benchmark, percent, id_col, text_col).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col(f"`{id_col}`") == F.col("_found"), "left_anti")
+    """The rows of documents without such a passage, with all their columns, whatever these are called.
+
+    A null or empty text has no passage and stays; so do rows with a null id. Rows that repeat an id go if one of their texts has one.
+    """
+    name = free_name(docs, "_found")
+    found = matches(docs, benchmark, percent, id_col, text_col).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.col(f"`{id_col}`") == F.col(name), "left_anti")

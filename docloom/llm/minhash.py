@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import columns_of, components, saved
+from docloom.llm.common import columns_of, components, free_name, saved
 from docloom.operators.numbering import ranged_positions
 
 TREES, DEPTH, DEEPEST = 20, 4, 8
@@ -414,6 +414,7 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
 
     A document is its id: rows with a null id stay, rows that repeat an id stay or go together.
     """
-    gone = near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    gone = gone.where("_gone IS NOT NULL").distinct().hint("merge")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "_gone")
+    gone = near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(name))
+    gone = gone.where(F.col(name).isNotNull()).distinct().hint("merge")
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")

@@ -372,7 +372,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows that score below 0.5, with all their columns as they are."""
+    """The rows that score below 0.5, with all their columns as they are. Null and empty texts are scored like texts without a word."""
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:

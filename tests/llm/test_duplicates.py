@@ -72,6 +72,18 @@ def test_minhash_odd_rows(spark):
     assert set(minhash.keep_first(frame(spark, odd_rows()), 2).columns) == set(frame(spark, odd_rows()).columns)
 
 
+def test_rows_stay_whatever_their_columns_are_called(spark):
+    from docloom.llm import decontaminate
+
+    item = " ".join(f"item{k}" for k in range(30))
+    rows = [(1, "alpha beta gamma " * 9, "en", "s", 0), (2, "alpha beta gamma " * 9, "en", "s", 0), (3, words(4, 20) + " " + item, "en", "s", 0), (None, None, None, None, None), (5, "", "en", "s", 0)]
+    df = frame(spark, rows).selectExpr("*", "1 as _gone", "2 as _found", "3 as _FOUND_", "array(4) as tokens")
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    first, clean = minhash.keep_first(df, 5), decontaminate.keep_clean(df, bench)
+    assert first.columns == clean.columns == df.columns
+    assert {r.doc_id for r in first.collect()} == {1, 3, None, 5} and {r.doc_id for r in clean.collect()} == {1, 2, None, 5}
+
+
 def test_forest_pairs_stay_linear_in_a_large_group():
     keys = np.zeros((3000, 8), np.int64)
     left, right = minhash._neighbours(keys, np.zeros(3000, int))
