@@ -34,7 +34,9 @@ LONGEST = 4  # words of a phrase
 TABLE_BITS = 27
 _BLOCK_BITS = 20  # of the parts in which it is put together
 #: Bytes of text looked at together, and phrases that a task holds before it hands counts on.
-PIECE_BYTES, HELD = 1_000_000, 1_000_000
+PIECE_BYTES, HELD = 1_000_000, 2_000_000
+#: Bytes of text whose counts make one part of a shuffle, and the most parts.
+PART_BYTES, MOST_PARTS = 1 << 22, 10_000
 _KIND = np.zeros(256, np.uint8)  # 1: between words, 2: between pieces
 _KIND[[9, 32]] = 1
 _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2
@@ -164,8 +166,11 @@ def look_for(hashes: DataFrame, size: int = TABLE_BITS) -> np.ndarray:
     return out
 
 
-def mined(docs: DataFrame, lengths: tuple[int, int], pairs: np.ndarray | None = None) -> DataFrame:
-    """(lang, shard, h, n): counts of hashed phrases of some lengths by shard. With ``pairs``, only phrases all of whose pairs it holds."""
+def mined(docs: DataFrame, lengths: tuple[int, int], parts: int, pairs: np.ndarray | None = None) -> DataFrame:
+    """(lang, shard, h, n): counts of hashed phrases of some lengths by shard. With ``pairs``, only phrases all of whose pairs it holds.
+
+    Tasks add up what they read, so the counts are dealt as they are, into ``parts`` that are small enough to be held twice.
+    """
     shipped = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
     def work(batches):
@@ -185,12 +190,13 @@ def mined(docs: DataFrame, lengths: tuple[int, int], pairs: np.ndarray | None =
 
         for batch in batches:
             # A batch may hold rows of several shards where files were joined into one task.
-            for own in pc.unique(batch.column("shard")).to_pylist():
+            several = pc.unique(batch.column("shard")).to_pylist()
+            for own in several:
                 if shard is not None and own != shard:
                     yield from told()
                     held, size = [], 0
                 shard = own
-                for names, seeds, words in _batches([batch.filter(pc.equal(batch.column("shard"), own))]):
+                for names, seeds, words in _batches([batch.filter(pc.equal(batch.column("shard"), own)) if len(several) > 1 else batch]):
                     likely = None
                     for n, at, h in words.hashes(seeds):
                         if n == 2 and look is not None:
@@ -211,7 +217,7 @@ def mined(docs: DataFrame, lengths: tuple[int, int], pairs: np.ndarray | None =
         yield from told()
 
     counted = docs.select("lang", "shard", "text").mapInArrow(work, "lang string, shard int, h long, n long")
-    return counted.groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+    return counted.repartition(parts, "lang", "shard", "h").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
 
 
 def reachable(counts: DataFrame, supports: DataFrame, support: int) -> DataFrame:
@@ -225,7 +231,7 @@ def reachable(counts: DataFrame, supports: DataFrame, support: int) -> DataFrame
     return most.where(F.col("known") + F.col("hidden") - F.col("seen") >= support).select("h")
 
 
-def counted(docs: DataFrame, table: np.ndarray) -> DataFrame:
+def counted(docs: DataFrame, table: np.ndarray, parts: int) -> DataFrame:
     """(lang, words, phrase, n): exact counts of every phrase the table may hold. A row with 0 words gives the language's word count."""
     shipped = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -245,10 +251,10 @@ def counted(docs: DataFrame, table: np.ndarray) -> DataFrame:
                 # Two hashes name a phrase within a task; the sums go by its words.
                 held.append(Entries.of(code[words.lang[at]] * 8 + n, h[at], other[at], flat, places[at], places[at + n] - 1 - places[at]))
                 size += len(held[-1])
-            if size >= HELD:
+            if size >= HELD // 3:  # an entry is some times as long as a bare hash
                 held = [Entries.joined(held)]
                 size = len(held[0])
-                if size >= HELD // 2:
+                if size >= HELD // 6:
                     yield from told(held[0], list(known))
                     held, size = [], 0
         if held:
@@ -266,7 +272,7 @@ def counted(docs: DataFrame, table: np.ndarray) -> DataFrame:
                                              ["lang", "words", "phrase", "n"])
 
     rows = docs.select("lang", "text").mapInArrow(work, "lang string, words int, phrase string, n long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return rows.repartition(parts, "lang", "words", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS, table_bits: int = TABLE_BITS) -> DataFrame:
@@ -280,10 +286,12 @@ def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS, t
     whole = sizes.groupBy("lang").agg(F.sum("size").alias("whole"))
     least = sizes.join(whole, "lang").withColumn("least", F.expr(f"({support} * size + whole - 1) div whole"))
     supports = saved(least.join(least.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("hidden")), "lang").select("lang", "shard", "least", "hidden"), "supports")
-    short = saved(reachable(mined(docs, (1, 2)), supports, support), "short")
+    read = least.agg(F.sum("size")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(read // PART_BYTES, MOST_PARTS))
+    short = saved(reachable(mined(docs, (1, 2), parts), supports, support), "short")
     table = look_for(short, table_bits)
-    long = saved(reachable(mined(docs, (3, LONGEST), table), supports, support), "long")
-    found = counted(docs, table | look_for(long, table_bits))
+    long = saved(reachable(mined(docs, (3, LONGEST), parts, table), supports, support), "long")
+    found = counted(docs, table | look_for(long, table_bits), parts)
     return saved(found.where((F.col("words") == 0) | (F.col("n") >= support)), "phrases")
 
 
