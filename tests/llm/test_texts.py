@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import numpy as np
@@ -189,6 +190,71 @@ def test_reply_order(spark):
     assert quotes.thread(df.limit(0)).count() == 0
 
 
+def threaded(messages):
+    """Parents, link counts and reply order of one conversation, message by message."""
+    def sentences(text):
+        parts = re.split(r"(?<=[.!?]) ", re.sub(r"\s+", " ", text))
+        return {n for p in parts if (n := re.sub(r"[\W_]+", " ", p.lower()).strip())}
+
+    first, out = {}, []
+    for at, (turn, text) in enumerate(messages):
+        own, quoted, level, passage = [], collections.defaultdict(set), 0, []
+        lines = [(len(re.match(r"(?:> ?)*", x)[0].replace(" ", "")), re.sub(r"^(?:> ?)*", "", x)) for x in (text or "").split("\n")] + [(0, None)]
+        for deep, line in lines:
+            if deep != level and level:
+                quoted[level] |= sentences("\n".join(passage))
+                passage = []
+            level = deep
+            if deep:
+                passage.append(line)
+            elif line is not None:
+                own.append(line)
+        votes = collections.Counter()
+        for deep, said in quoted.items():
+            votes.update((deep, first[x]) for x in said if x in first)
+        parent = max(votes, key=lambda v: (-v[0], votes[v], v[1]))[1] if votes else None
+        for x in sentences("\n".join(own)):
+            first.setdefault(x, at)
+        out.append({"turn": turn, "quoted": parent, "n_linked": sum(votes.values()), "depth": max(quoted, default=0), "text": "\n".join(own).strip("\n")})
+    starts = [0] + [i for i, m in enumerate(out) if m["quoted"] is not None and m["quoted"] < i - 1]
+    run_of = {i: max(x for x in starts if x <= i) for i in range(len(out))}
+    order = []
+
+    def follow(run):
+        order.extend(i for i in range(len(out)) if run_of[i] == run)
+        for x in sorted((x for x in starts[1:] if run_of[out[x]["quoted"]] == run), key=lambda x: (-out[x]["quoted"], x)):
+            follow(x)
+
+    follow(0)
+    for i, m in enumerate(out):
+        parent = m["quoted"] if m["quoted"] is not None else i - 1 if i else None
+        m.update(reply_order=order.index(i), parent_turn=None if parent is None else messages[parent][0], linked=m["quoted"] is not None)
+    return out
+
+
+def test_threads_equal_brute_force(spark):
+    rng, rows, want = random.Random(8), [], {}
+    for conv in range(5):
+        said, messages = [], []
+        for t in range(rng.choice([1, 2, 30, 45])):
+            lines = []
+            for _ in range(rng.choice([0, 0, 1, 1, 2])):  # quotations of one to three levels, in another case and spacing
+                deep, line = rng.randint(1, 3), rng.choice(said) if said and rng.random() < 0.9 else "Nobody said that."
+                lines += [("> " * deep if rng.random() < 0.5 else ">" * deep + " ") + (line.upper().replace(" ", "  ") if rng.random() < 0.3 else line)]
+                lines += ["Agreed." if rng.random() < 0.3 else f"Re {conv} {t} {rng.randint(0, 9)}!"]
+            own = [f"{words(conv * 100 + t, rng.randint(2, 5))}{rng.choice('.!?')}" for _ in range(rng.randint(1, 3))]
+            said += own
+            messages.append((3 * t + rng.randint(0, 2), "\n".join([*lines, " ".join(own)])))
+        rows += [(conv, turn, "user", text) for turn, text in messages]
+        want.update({(conv, m["turn"]): m for m in threaded(messages)})
+    got = quotes.thread(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()
+    assert len(got) == len(want) and any(m["linked"] for m in want.values()) and max(m["depth"] for m in want.values()) == 3
+    for r in got:
+        m = want[r["conv_id"], r["turn"]]
+        assert {k: r[k] for k in ("reply_order", "parent_turn", "linked", "n_linked", "depth", "text")} == {k: m[k] for k in (
+            "reply_order", "parent_turn", "linked", "n_linked", "depth", "text")}, (r["conv_id"], r["turn"])
+
+
 def test_stretches_of_a_long_conversation(spark, monkeypatch):
     monkeypatch.setattr(quotes, "STRETCH", 3)
     rows = [(1, t, "r", f"line {t}." if t % 5 else f"> line {max(0, t - 4)}.\nline {t}.") for t in range(40)]
