@@ -418,3 +418,20 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     gone = near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(name))
     gone = gone.where(F.col(name).isNotNull()).distinct().hint("merge")
     return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
+
+
+#: The registered query by its definition: all pairs that share a shingle, and what each document can reach.
+ORACLE = r"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+    classes AS (SELECT list_sort(s) AS s, min(doc_id) AS head, len(s) AS n FROM (SELECT * FROM sets WHERE len(s) > 0) GROUP BY ALL),
+    each AS (SELECT head, n, unnest(s) AS shingle FROM classes),
+    shared AS (SELECT a.head AS a, b.head AS b, a.n AS n, b.n AS m, count(*) AS i FROM each a JOIN each b ON a.shingle = b.shingle AND a.head < b.head
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+    half AS (SELECT a, b FROM shared WHERE 100 * i >= 80 * (n + m - i)),
+    links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+    reach AS (SELECT head AS a, head AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    found AS (SELECT classes.s, min(b) AS component_id FROM reach JOIN classes ON classes.head = reach.a GROUP BY ALL)
+    SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
+    FROM sets LEFT JOIN found ON found.s = list_sort(sets.s)"""

@@ -38,6 +38,9 @@ def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+ORACLES["op2_vectors"] = vectors.ORACLE
+
+
 @_query
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding them gives the text back."""
@@ -63,6 +66,9 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+ORACLES["op6_minhash"] = minhash.ORACLE
+
+
 @_query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

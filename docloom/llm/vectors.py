@@ -235,3 +235,12 @@ def _compare(heads: DataFrame, n: int, dim: int, threshold: float, tile: int) ->
     made = saved(met.groupBy("lo", "hi").applyInPandas(compare, "a long, b long, links long"), "links")
     links = made.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     return links, components(made.where("links = 0").select("a", "b"))
+
+
+#: Links by all pairs, and what each vector can reach.
+ORACLE = """
+    WITH RECURSIVE links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+        AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    found AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM found"""
