@@ -251,10 +251,10 @@ def counted(docs: DataFrame, table: np.ndarray, parts: int) -> DataFrame:
                 # Two hashes name a phrase within a task; the sums go by its words.
                 held.append(Entries.of(code[words.lang[at]] * 8 + n, h[at], other[at], flat, places[at], places[at + n] - 1 - places[at]))
                 size += len(held[-1])
-            if size >= HELD // 3:  # an entry is some times as long as a bare hash
+            if size >= HELD // 8:  # an entry is some times as long as a bare hash
                 held = [Entries.joined(held)]
                 size = len(held[0])
-                if size >= HELD // 6:
+                if size >= HELD // 16:
                     yield from told(held[0], list(known))
                     held, size = [], 0
         if held:
