@@ -12,9 +12,9 @@ from docloom.streaming import jobs, memory
 
 
 def stream(spark, sf, name):
-    """The file of one table as a stream."""
+    """One table as a stream, be it a file or a folder of files (as a pattern the path may name either)."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{{{name}}}.parquet")
 
 
 def _remembered(spark, sf):

@@ -17,8 +17,9 @@ def start_thread_memory(messages: DataFrame, out: str, checkpoint: str, **option
 
     Each batch of the log is written under its own number, so a replay repeats it exactly; :func:`remembered` reads it.
     """
+    named = {k: v for k, v in options.items() if k in ("thread", "turn")}
     with memory.keyed_state(messages.sparkSession):
-        return _each_batch(memory.thread_memory(messages, **options), lambda df, n: write_delta(df, out, n), checkpoint, "append")
+        return _each_batch(memory.thread_memory(messages, **options), lambda df, n: write_delta(memory.by_turn(df, **named), out, n), checkpoint, "append")
 
 
 def remembered(spark: SparkSession, out: str, thread: str = "conv_id") -> DataFrame:

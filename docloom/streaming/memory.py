@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import datetime
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# The worker on the driver's side that prepares the state gets no shipped files, so the processor travels with its code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def millis(moment) -> int:
@@ -112,6 +116,12 @@ class keyed_state:
             self.conf.set(PROVIDER, self.before)
 
 
+def by_turn(log: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """The log of one trigger with places in order of turns; its rows may reach a thread in several parts, in any order."""
+    own = Window.partitionBy(thread, "expired")
+    return log.withColumn("place", F.min("place").over(own) + F.row_number().over(own.orderBy(turn)) - 1)
+
+
 def stored_messages(log: DataFrame, thread: str = "conv_id") -> DataFrame:
     """The messages that the threads remember: those of a log (with its ``batch_no``) after the thread last expired."""
     gone = log.where("expired").groupBy(F.col(thread).alias("_thread")).agg(F.max("batch_no").alias("_gone"))

@@ -2,14 +2,19 @@
 
 import datetime
 import json
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom import fixed_values as V
 from docloom.operators import collection
 from docloom.plans import ingest, retrieval
+from docloom.queries import stream_queries
 from docloom.sinks import writers
 from docloom.sources import documents, records
 from docloom.streaming import jobs, memory
@@ -261,6 +266,45 @@ def test_thread_memory_over_several_triggers(spark, tmp_path):
     assert places[0, 6] == 6 and places[1, -1] == 6 and sorted(p for (c, _), p in places.items() if c == 3) == list(range(6))
 
 
+def test_thread_memory_is_unpickled_without_the_package(tmp_path):
+    body = CloudPickleSerializer().dumps(memory.ThreadMemory("conv_id", "turn", None, None))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    load = "import pickle, sys; assert pickle.load(sys.stdin.buffer).turn == 'turn'"
+    subprocess.run([sys.executable, "-c", load], input=body, cwd=tmp_path, env=env, check=True)
+
+
+def test_places_follow_turns_where_a_thread_comes_in_parts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(c, t, "user", f"{c}:{t}") for t in reversed(range(40)) for c in range(5)]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(folder)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        jobs.start_thread_memory(spark.readStream.schema(schema).json(folder), out, str(tmp_path / "cp")).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = jobs.remembered(spark, out).select("conv_id", "place", "turn").collect()
+    assert sorted(map(tuple, got)) == [(c, t, t) for c in range(5) for t in range(40)]
+
+
+def test_streams_read_a_file_and_a_folder_of_files(spark, tmp_path):
+    turns = [(c, t, "user", f"{c}:{t}") for c in range(20) for t in range(6)]
+    texts = [(d, "a", "x" * (100 * d)) for d in range(12)]
+    seen = []
+    for kind in ("file", "folder"):
+        sf = str(tmp_path / kind)
+        os.makedirs(sf)
+        for name, rows, schema in (("conversations", turns, "conv_id long, turn long, role string, text string"),
+                                   ("documents", texts, "doc_id long, source string, text string")):
+            df = spark.createDataFrame(rows, schema)
+            if kind == "file":
+                df.toPandas().to_parquet(f"{sf}/{name}.parquet")
+            else:
+                df.repartition(3).write.parquet(f"{sf}/{name}.parquet")
+        seen.append([sorted(map(tuple, of(spark, sf).collect())) for of in (stream_queries.stream_thread_memory, stream_queries.stream_thread_messages, stream_queries.stream_upsert)])
+    assert seen[0] == seen[1] and [len(x) for x in seen[0]][:2] == [20, 120] and seen[0][2]
+
+
 def test_a_silent_thread_expires(spark, tmp_path):
     folder, out, check = (str(tmp_path / n) for n in ("in", "out", "cp"))
     schema = MESSAGES + ", at timestamp"
