@@ -22,10 +22,10 @@ class HashedEmbedder:
     """Hashed term frequencies at unit length (all zeros for a text without tokens).
 
     A token's bucket is the first 32 bits of its md5, modulo ``dim``. Words repeat,
-    so the buckets seen are kept, up to a bound.
+    so the buckets seen are kept, up to a bound. Texts are counted a few at a time.
     """
 
-    KEPT = 1_000_000
+    KEPT, TEXTS_AT_ONCE = 100_000, 1_000
 
     def __init__(self, dim: int = DIM):
         self.dim = dim
@@ -41,6 +41,12 @@ class HashedEmbedder:
         return found
 
     def __call__(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), self.dim))
+        for lo in range(0, len(texts), self.TEXTS_AT_ONCE):
+            out[lo:lo + self.TEXTS_AT_ONCE] = self._some(texts[lo:lo + self.TEXTS_AT_ONCE])
+        return out
+
+    def _some(self, texts: list[str]) -> np.ndarray:
         lists = [[self.bucket(t) for t in PYTHON_WORD.findall(text.lower())] for text in texts]
         rows = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
         flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=len(rows))

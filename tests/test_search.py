@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -201,3 +203,16 @@ def test_kept_buckets_are_bounded():
     first = model(["a b c"])
     model([" ".join(f"w{i}" for i in range(100))])
     assert len(model.buckets) <= 10 and (model(["a b c"]) == first).all()
+
+
+def test_the_embedder_holds_little_however_many_words_there_are():
+    model = embed.HashedEmbedder()
+    tracemalloc.start()
+    try:
+        for first in range(0, 300_000, 75_000):
+            model([" ".join(f"w{w}" for w in range(at, at + 15)) for at in range(first, first + 75_000, 15)])
+        assert tracemalloc.get_traced_memory()[1] < 25e6
+    finally:
+        tracemalloc.stop()
+    again = model([f"w{w} x" for w in range(2_500)])
+    assert len(again) == 2_500 and (again == np.concatenate([embed.HashedEmbedder()([f"w{w} x"]) for w in range(2_500)])).all()
