@@ -10,6 +10,9 @@ A shard is not one task: its tasks count on their own, in bounded memory, and th
 by length. Words and pairs come first; longer phrases are formed only of pairs that can still reach the support. What a pass may look for
 travels as a bit table of hashes of fixed size. A false hit costs a row and is counted like any other, so hashes never
 decide a result: the last pass counts phrases by their words.
+
+Counts are shuffled packed: a task sorts what it holds by ranges of the hash and hands on one row for each range, with the counts, and
+the hashes or words, of all languages in it.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import columns_of, joined_small, saved
-from docloom.llm.entries import _BASES, Entries, hash_words, strings
+from docloom.llm.entries import _BASES, Entries, hash_words
 from docloom.llm.minhash import _mixed, _powers
 from docloom.llm.suffixes import _ragged
 from docloom.operators.numbering import ranged_positions
@@ -37,6 +40,9 @@ _BLOCK_BITS = 20  # of the parts in which it is put together
 PIECE_BYTES, HELD = 1_000_000, 2_000_000
 #: Bytes of text whose counts make one part of a shuffle, and the most parts.
 PART_BYTES, MOST_PARTS = 1 << 22, 10_000
+_PACKED = "shard int, part int, langs array<string>, sizes array<long>, n binary, h binary, lengths binary, data binary"
+#: Mining needs no more of a hash than this: equal beginnings are counted together, which only lets more through.
+_BEGINNING = np.uint64(0xFFFFFFFFFF000000)
 _KIND = np.zeros(256, np.uint8)  # 1: between words, 2: between pieces
 _KIND[[9, 32]] = 1
 _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2
@@ -140,7 +146,7 @@ class Look:
 
 
 def _places(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    h = h.astype(np.uint64, copy=False)
+    h = h.astype(np.uint64, copy=False) & _BEGINNING
     return h >> np.uint64(64 - size), _mixed(h) >> np.uint64(64 - size)
 
 
@@ -166,10 +172,66 @@ def look_for(hashes: DataFrame, size: int = TABLE_BITS) -> np.ndarray:
     return out
 
 
-def mined(docs: DataFrame, lengths: tuple[int, int], parts: int, pairs: np.ndarray | None = None) -> DataFrame:
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte of their digits, compressed: high digits are mostly alike."""
+    return pa.compress(np.ascontiguousarray(values.astype(np.uint64, copy=False).view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
+
+
+def _unpack(body: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(body, 8 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, size).T).view(np.uint64).reshape(-1)
+
+
+def _packed(shard: int, bits: int, names: list[str], code: np.ndarray, key: np.ndarray, n: np.ndarray,
+            lengths: np.ndarray | None = None, data: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One row per range of the keys (by their first ``bits``); the keys themselves go along unless there are strings."""
+    part = key >> np.uint64(64 - bits) if bits else np.zeros(len(key), np.uint64)
+    order = np.lexsort((key, code, part))
+    part, code, key, n = part[order], code[order], key[order], n[order]
+    if lengths is not None:
+        data = data[_ragged((np.cumsum(lengths) - lengths)[order], lengths[order])]
+        lengths = lengths[order]
+        places = np.concatenate([[0], np.cumsum(lengths)])
+    firsts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])[:len(part)]).tolist()
+    rows: list[tuple] = []
+    for a, z in zip(firsts, [*firsts[1:], len(part)]):
+        runs = np.flatnonzero(np.concatenate([[True], code[a + 1:z] != code[a:z - 1]]))
+        langs, sizes = [names[c] for c in code[a:z][runs].tolist()], np.diff(np.append(runs, z - a)).tolist()
+        if lengths is None:  # sorted keys as gaps
+            what = (_pack(np.diff(key[a:z], prepend=np.uint64(0))), None, None)
+        else:
+            what = (None, _pack(lengths[a:z]), pa.compress(np.ascontiguousarray(data[places[a]:places[z]]), codec="zstd", asbytes=True))
+        rows.append((shard, int(part[a]), langs, sizes, _pack(n[a:z]), *what))
+    kinds = [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 4]
+    names_ = ["shard", "part", "langs", "sizes", "n", "h", "lengths", "data"]
+    for at in range(0, len(rows), 1_000):
+        yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows[at:at + 1_000]), kinds)], names_)
+
+
+def _unpacked(rows: pa.Table) -> dict[str, list[tuple]]:
+    """Language by language the pieces of (hashes or strings, counts) in some packed rows."""
+    found: dict[str, list[tuple]] = {}
+    for row in rows.to_pylist():
+        size = sum(row["sizes"])
+        n = _unpack(row["n"], size).view(np.int64)
+        if row["h"] is not None:
+            what = np.cumsum(_unpack(row["h"], size), dtype=np.uint64)
+        else:
+            places = np.concatenate([[0], np.cumsum(_unpack(row["lengths"], size))]).astype(np.int32)
+            data = pa.decompress(row["data"], int(places[-1]), codec="zstd") if places[-1] else pa.py_buffer(b"")
+            what = pa.StringArray.from_buffers(size, pa.py_buffer(places), data)
+        at = 0
+        for lang, many in zip(row["langs"], row["sizes"]):
+            found.setdefault(lang, []).append((what[at:at + many], n[at:at + many]))
+            at += many
+    return found
+
+
+def mined(docs: DataFrame, lengths: tuple[int, int], parts: int, bits: int, supports: DataFrame, pairs: np.ndarray | None = None) -> DataFrame:
     """(lang, shard, h, n): counts of hashed phrases of some lengths by shard. With ``pairs``, only phrases all of whose pairs it holds.
 
     Tasks add up what they read, so the counts are dealt as they are, into ``parts`` that are small enough to be held twice.
+    Counts below every language's own support in a shard are left out.
     """
     shipped = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
@@ -180,13 +242,10 @@ def mined(docs: DataFrame, lengths: tuple[int, int], parts: int, pairs: np.ndarr
         size = 0
 
         def told():
-            for lang in {name for name, _ in held}:
-                h, n = np.unique(np.concatenate([x for name, x in held if name == lang]), return_counts=True)
-                for at in range(0, len(h), 100_000):
-                    part = slice(at, at + 100_000)
-                    of = len(h[part])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * of, pa.string()), pa.array([shard] * of, pa.int32()),
-                                                      pa.array(h[part].view(np.int64)), pa.array(n[part], pa.int64())], ["lang", "shard", "h", "n"])
+            names = sorted({name for name, _ in held})
+            summed = [np.unique(np.concatenate([x for own, x in held if own == name]), return_counts=True) for name in names]
+            if summed:
+                yield from _packed(shard, bits, names, np.repeat(np.arange(len(names)), [len(h) for h, _ in summed]), *map(np.concatenate, zip(*summed)))
 
         for batch in batches:
             # A batch may hold rows of several shards where files were joined into one task.
@@ -209,15 +268,30 @@ def mined(docs: DataFrame, lengths: tuple[int, int], parts: int, pairs: np.ndarr
                         for code, lang in enumerate(names):
                             mine = at if len(names) == 1 else at[words.lang[at] == code]
                             if len(mine):
-                                held.append((lang, h[mine]))
+                                held.append((lang, h[mine] & _BEGINNING))
                                 size += len(mine)
                     if size >= HELD:
                         yield from told()
                         held, size = [], 0
         yield from told()
 
-    counted = docs.select("lang", "shard", "text").mapInArrow(work, "lang string, shard int, h long, n long")
-    return counted.repartition(parts, "lang", "shard", "h").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+    def add(rows: pa.Table) -> pa.Table:
+        shard, least = rows.column("shard")[0].as_py(), rows.column("least")[0].as_py()
+        out = []
+        for lang, pieces in _unpacked(rows).items():
+            h, n = map(np.concatenate, zip(*pieces))
+            order = np.argsort(h, kind="stable")
+            h, n = h[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            n = np.add.reduceat(n, first)
+            h, n = h[first][n >= least], n[n >= least]
+            out.append(pa.table([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(h), np.int64))), pa.array(np.full(len(h), shard, np.int32)),
+                                 pa.array(h.view(np.int64)), pa.array(n)], ["lang", "shard", "h", "n"]))
+        return pa.concat_tables(out)
+
+    packed = docs.select("lang", "shard", "text").mapInArrow(work, _PACKED).drop("lengths", "data").repartition(parts, "shard", "part")
+    lowest = supports.groupBy("shard").agg(F.min("least").alias("least"))
+    return joined_small(packed, lowest, "shard").groupBy("shard", "part").applyInArrow(add, "lang string, shard int, h long, n long")
 
 
 def reachable(counts: DataFrame, supports: DataFrame, support: int) -> DataFrame:
@@ -231,8 +305,8 @@ def reachable(counts: DataFrame, supports: DataFrame, support: int) -> DataFrame
     return most.where(F.col("known") + F.col("hidden") - F.col("seen") >= support).select("h")
 
 
-def counted(docs: DataFrame, table: np.ndarray, parts: int) -> DataFrame:
-    """(lang, words, phrase, n): exact counts of every phrase the table may hold. A row with 0 words gives the language's word count."""
+def counted(docs: DataFrame, table: np.ndarray, parts: int, bits: int, support: int) -> DataFrame:
+    """(lang, words, phrase, n): exact counts of the phrases that the table may hold, from ``support`` on. A row with 0 words gives the language's word count."""
     shipped = docs.sparkSession.sparkContext.broadcast(table)
 
     def work(batches):
@@ -249,7 +323,7 @@ def counted(docs: DataFrame, table: np.ndarray, parts: int) -> DataFrame:
             for (n, at, h), (_, _, other) in zip(words.hashes(seeds), words.hashes(seeds, 1)):
                 at = at[look(h[at])]
                 # Two hashes name a phrase within a task; the sums go by its words.
-                held.append(Entries.of(code[words.lang[at]] * 8 + n, h[at], other[at], flat, places[at], places[at + n] - 1 - places[at]))
+                held.append(Entries.of(code[words.lang[at]], h[at], other[at], flat, places[at], places[at + n] - 1 - places[at]))
                 size += len(held[-1])
             if size >= HELD // 8:  # an entry is some times as long as a bare hash
                 held = [Entries.joined(held)]
@@ -259,20 +333,28 @@ def counted(docs: DataFrame, table: np.ndarray, parts: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield from told(Entries.joined(held), list(known))
-        if totals:
+        if totals:  # the words of a language count as its empty phrase
             n = len(totals)
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([0] * n, pa.int32()), pa.array([""] * n, pa.string()),
-                                              pa.array(list(totals.values()), pa.int64())], ["lang", "words", "phrase", "n"])
+            yield from _packed(0, bits, list(totals), np.arange(n), np.array([_lang_seed(name) for name in totals], np.uint64), np.array(list(totals.values())),
+                               np.zeros(n, np.int64), np.zeros(0, np.uint8))
 
     def told(entries, names):
-        langs = pa.array(names, pa.string())
-        for part, phrase in strings(entries):
-            group = entries.group[part]
-            yield pa.RecordBatch.from_arrays([langs.take(pa.array(group // 8)), pa.array((group % 8).astype(np.int32)), phrase, pa.array(entries.n[part])],
-                                             ["lang", "words", "phrase", "n"])
+        yield from _packed(0, bits, names, entries.group, entries.key, entries.n, entries.lengths, entries.data)
+
+    def add(rows: pa.Table) -> pa.Table:
+        out = []
+        for lang, pieces in _unpacked(rows).items():
+            both = pa.table([pa.chunked_array([p for p, _ in pieces]), pa.chunked_array([pa.array(n) for _, n in pieces])], ["phrase", "n"])
+            both = both.group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+            phrase, n = both.column("phrase"), both.column("n_sum")
+            empty = pc.equal(phrase, "")
+            words = pc.if_else(empty, 0, pc.add(pc.count_substring(phrase, " "), 1)).cast(pa.int32())
+            every = pa.table([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int64))), words, phrase, n], ["lang", "words", "phrase", "n"])
+            out.append(every.filter(pc.or_(empty, pc.greater_equal(n, support))))
+        return pa.concat_tables(out)
 
-    rows = docs.select("lang", "text").mapInArrow(work, "lang string, words int, phrase string, n long")
-    return rows.repartition(parts, "lang", "words", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    packed = docs.select("lang", "text").mapInArrow(work, _PACKED).drop("shard")
+    return packed.repartition(parts, "part").groupBy("part").applyInArrow(add, "lang string, words int, phrase string, n long")
 
 
 def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS, table_bits: int = TABLE_BITS) -> DataFrame:
@@ -288,11 +370,11 @@ def frequent_phrases(docs: DataFrame, support: int = 30, shards: int = SHARDS, t
     supports = saved(least.join(least.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("hidden")), "lang").select("lang", "shard", "least", "hidden"), "supports")
     read = least.agg(F.sum("size")).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(read // PART_BYTES, MOST_PARTS))
-    short = saved(reachable(mined(docs, (1, 2), parts), supports, support), "short")
+    bits = (read // PART_BYTES // shards).bit_length()
+    short = saved(reachable(mined(docs, (1, 2), parts, bits, supports), supports, support), "short")
     table = look_for(short, table_bits)
-    long = saved(reachable(mined(docs, (3, LONGEST), parts, table), supports, support), "long")
-    found = counted(docs, table | look_for(long, table_bits), parts)
-    return saved(found.where((F.col("words") == 0) | (F.col("n") >= support)), "phrases")
+    long = saved(reachable(mined(docs, (3, LONGEST), parts, bits, supports, table), supports, support), "long")
+    return saved(counted(docs, table | look_for(long, table_bits), parts, max(read // PART_BYTES, 1).bit_length() - 1, support), "phrases")
 
 
 def collocations(docs: DataFrame, support: int = 30, top: int = 2000, inside: int = 80, shards: int = SHARDS, table_bits: int = TABLE_BITS,

@@ -301,3 +301,21 @@ def test_scores_pass_64_bits(spark):
     finally:
         collocations.frequent_phrases = collocations_of
     assert (r.a, r.l, r.r, r.score) == (4 * 10**14, 6 * 10**14, 5 * 10**14, math.floor(2_000_000 * 4 / 11))
+
+
+@pytest.mark.parametrize("bits", [0, 3, 9])
+def test_packed_counts_come_back_and_are_small(bits):
+    rng = np.random.default_rng(4)
+    key = np.unique(rng.integers(0, 1 << 64, 30_000, dtype=np.uint64) & collocations._BEGINNING)
+    code, n = rng.integers(0, 3, len(key)), rng.integers(1, 4, len(key))
+    phrases = [f"word{k % 977} und{k % 89}" for k in key.tolist()]
+    lengths = np.array([len(p) for p in phrases])
+    data = np.frombuffer("".join(phrases).encode(), np.uint8)
+    for what, strings in ((key.tolist(), ()), (phrases, (lengths, data))):
+        rows = pa.Table.from_batches(list(collocations._packed(2, bits, ["en", "und", "ü"], code, key, n, *strings)))
+        assert rows.num_rows == 1 << bits and rows.nbytes < (8 if not strings else 16) * len(key)
+        got = {(lang, w): c for lang, pieces in collocations._unpacked(rows).items() for words, counts in pieces for w, c in zip(words.tolist(), counts.tolist())}
+        want = {}
+        for c, w, many in zip(code.tolist(), what, n.tolist()):
+            want.setdefault((["en", "und", "ü"][c], w), []).append(many)
+        assert got.keys() == want.keys() and all(c in want[k] for k, c in got.items())
