@@ -29,7 +29,7 @@ from docloom.operators.numbering import top_k
 #: Cells of a column block (about), groups of a row block (about), and the sides of a leaf of the tree.
 BLOCK_CELLS, BLOCK_GROUPS, LEAF_GROUPS, LEAF_TERMS = 4096, 256, 8, 32
 #: Bytes of text looked at together, and distinct entries that a task holds before it hands them on.
-PIECE_BYTES, HELD = 1_000_000, 1_000_000
+PIECE_BYTES, HELD = 500_000, 100_000
 BILLION = 1_000_000_000
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,27 @@ def test_counts_are_handed_on_in_bounded_memory(spark, monkeypatch):
     assert sorted(map(tuple, divergence.audit(docs(spark, rows)).collect())) == audit(rows)
 
 
+def test_counting_holds_little_however_many_terms_there_are(spark):
+    class Table:
+        select = mapInArrow = lambda self, first, *rest: self.__dict__.update(task=first) or self
+        groupBy = agg = lambda self, *columns: self
+
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(f"w{w:07d}".translate(letters) for w in range(at, at + 1000)) for at in range(0, 1_000_000, 1000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"] * 50), pa.array(["a", "b"] * 25), pa.array(texts[at:at + 50])], ["lang", "source", "text"])
+               for at in range(0, 1000, 50)]
+    table, n = Table(), 0
+    divergence.count_terms(table)
+    tracemalloc.start()
+    try:
+        for batch in table.task(iter(batches)):
+            n += int(batch.column("n").to_numpy().sum())
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
+    assert n == 1_000_000
+
+
 @pytest.mark.parametrize("piece", [3, 90, 10_000])
 def test_terms_are_counted_over_stretches_and_long_texts(monkeypatch, piece):
     monkeypatch.setattr(divergence, "PIECE_BYTES", piece)
