@@ -262,6 +262,8 @@ _ROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.int64
 STRETCHES, STRINGS, MARKED = 0, 1, 2
 #: Entries of one anchor that a bucket may have to hold.
 GROUP_ROWS = 200_000
+#: Strings compared at once; more only where one anchor has more.
+AT_ONCE = 250_000
 
 
 def _marked(doc: np.ndarray, body: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -318,10 +320,12 @@ def _send(kind: int, bucket: np.ndarray, row: np.ndarray, docs: np.ndarray, bodi
             **({"texts": zlib.compress(texts(i), 1)} if texts else {}), **{name: values[i].tobytes() for name, values in columns.items()}}], _ROW)
 
 
-def _split(table: pa.Table, kind: int) -> tuple[pa.Table, list[dict]]:
-    """Rows of other kinds, to pass on, and those of one kind."""
+def _split(table: pa.Table, kind: int, *columns: str) -> tuple[pa.Table, list[dict]]:
+    """Rows of other kinds, to pass on, and packed columns of those of one kind, where they lie in the table."""
     own = np.array(table.column("kind").to_pylist(), int) == kind
-    return table.filter(pa.array(~own)).cast(_ROW), table.filter(pa.array(own)).to_pylist()
+    rows = [{c: batch.column(c)[i].as_buffer() for c in ("rows", "docs", "bodies", *columns)}
+            for batch in table.to_batches() for i in np.flatnonzero(batch.column("kind").to_numpy() == kind).tolist()]
+    return table.filter(pa.array(~own)).cast(_ROW), rows
 
 
 def _unpacked(rows: list[dict], **kinds) -> dict[str, np.ndarray]:
@@ -334,11 +338,16 @@ def _unpacked(rows: list[dict], **kinds) -> dict[str, np.ndarray]:
 
 
 def _strings_of(flat: np.ndarray, starts: np.ndarray, count: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and bucket of each string of stretches that lie in ``flat``, the stretch it is of and its place there."""
-    at = _ragged(starts, count)
-    bucket = (_hash_at(_sums(flat, _BASE2), _UNBASE2, at, LENGTH) >> np.uint64(33)).astype(np.int64) % buckets
-    owner = np.repeat(np.arange(len(count)), count)
-    return _hash_at(_sums(flat, _ODD), _UNODD, at, LENGTH), bucket, owner, at - starts[owner]
+    """Hash and bucket of each string of stretches that lie in ``flat`` end to end, the stretch it is of and its place there."""
+    parts = []
+    edges = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(flat), PIECE // 2)), len(starts)))
+    for lo, hi in zip(edges, edges[1:]):
+        a = flat[starts[lo]:starts[hi] if hi < len(starts) else len(flat)]
+        at = _ragged(starts[lo:hi] - starts[lo], count[lo:hi])
+        bucket = (_hash_at(_sums(a, _BASE2), _UNBASE2, at, LENGTH) >> np.uint64(33)).astype(np.int64) % buckets
+        owner = np.repeat(np.arange(lo, hi), count[lo:hi])
+        parts.append((_hash_at(_sums(a, _ODD), _UNODD, at, LENGTH), bucket, owner, at - (starts[owner] - starts[lo])))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _texts(batches) -> Iterator[tuple]:
@@ -414,7 +423,7 @@ def _settle_stretches(buckets: int):
     """Bucket task: mark repeated stretches, and repeated strings of anchors with several; pass on strings of common anchors."""
 
     def work(table: pa.Table) -> pa.Table:
-        passed, rows = _split(table, STRETCHES)
+        passed, rows = _split(table, STRETCHES, "names", "wholes", "places", "counts", "texts")
         e = _unpacked(rows, names=np.uint64, wholes=np.uint64, places=np.uint32, counts=np.uint8)
         count, place = e["counts"].astype(np.int64), e["places"].astype(np.int64)
         real, long = count > 0, np.where(count > 0, count - 1 + LENGTH, 0)
@@ -430,6 +439,7 @@ def _settle_stretches(buckets: int):
         common[order] = _spread(signed, group, len(name)) & ~later & sure
         i = order[later]
         out = [passed, pa.Table.from_batches([_marked(e["doc"][i], e["body"][i], place[i], place[i] + long[i], buckets)])]
+        del order, name, whole, doc, sure, first, begins, later, i
         # The texts are opened one row at a time, for the entries that still need them.
         found, at = [], 0
         for r in rows:
@@ -445,38 +455,67 @@ def _settle_stretches(buckets: int):
                 if not len(j):
                     continue
                 part = flat[_ragged(start[j], long[own[j]])]
-                string, bucket, owner, shift = _strings_of(part, np.cumsum(long[own[j]]) - long[own[j]], count[own[j]], buckets)
-                k = own[j][owner]
                 if far:
+                    string, bucket, owner, shift = _strings_of(part, np.cumsum(long[own[j]]) - long[own[j]], count[own[j]], buckets)
+                    k = own[j][owner]
                     known, of = np.unique(k, return_inverse=True)
                     out += [pa.Table.from_batches([b]) for b in _send(STRINGS, bucket, of, e["doc"][known], e["body"][known], strings=string,
                                                                      places=(place[k] + shift).astype(np.uint32))]
                 else:
-                    found.append((k, string, place[k] + shift))
+                    found.append((own[j], part))
         if found:
-            k, string, place = (np.concatenate(x) for x in zip(*found))
-            out.append(pa.Table.from_batches([_repeats(string, e["doc"][k], e["body"][k], place, buckets, e["names"][k])]))
+            spans = _compared(*(np.concatenate(x) for x in zip(*found)), e["names"], e["doc"], e["body"], place, count, buckets)
+            out.append(pa.Table.from_batches([_marked(*spans, buckets)]))
         return pa.concat_tables(out)
 
     return work
 
 
-def _repeats(string: np.ndarray, doc: np.ndarray, body: np.ndarray, place: np.ndarray, buckets: int, *also: np.ndarray) -> pa.RecordBatch:
-    """Mark the strings that a document with a smaller id holds too."""
+def _compared(own: np.ndarray, flat: np.ndarray, name: np.ndarray, doc: np.ndarray, body: np.ndarray, place: np.ndarray, count: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Repeated runs among the strings of some entries, whose stretches lie in ``flat`` end to end, a few anchors at a time."""
+    long = count[own] - 1 + LENGTH
+    start = np.cumsum(long) - long
+    order = np.argsort(name[own], kind="stable")
+    group = np.append(_heads(name[own][order]), len(order))
+    reach = np.cumsum(np.add.reduceat(count[own][order], group[:-1]))
+    runs, at = [], 0
+    while at < len(reach):
+        to = max(at + 1, int(np.searchsorted(reach, AT_ONCE + (reach[at - 1] if at else 0), "right")))
+        i = order[group[at]:group[to]]
+        string, _, owner, shift = _strings_of(flat[_ragged(start[i], long[i])], np.cumsum(long[i]) - long[i], count[own[i]], buckets)
+        k = own[i][owner]
+        runs.append(_repeats(string, doc[k], body[k], place[k] + shift, name[k]))
+        at = to
+    return [np.concatenate(x) for x in zip(*runs)]
+
+
+def _repeats(string: np.ndarray, doc: np.ndarray, body: np.ndarray, place: np.ndarray, *also: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Doc, body, start and end of the runs of strings that a document with a smaller id holds too."""
     order = np.lexsort((doc, string, *also))
-    string, doc, body, place, *also = (x[order] for x in (string, doc, body, place, *also))
+    string, *also = (x[order] for x in (string, *also))
     first = _heads(string, *also)
-    later = doc > _spread(doc[first], first, len(doc))
-    return _marked(doc[later], body[later], place[later], place[later] + LENGTH, buckets)
+    order = order[doc[order] > _spread(doc[order[first]], first, len(order))]
+    order = order[np.lexsort((place[order], body[order], doc[order]))]
+    doc, body, place = doc[order], body[order], place[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (body[1:] != body[:-1]) | (place[1:] - place[:-1] > LENGTH)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order))[:len(first)] - 1
+    return doc[first], body[first], place[first], place[last] + LENGTH
 
 
 def _settle_strings(buckets: int):
     """Bucket task: the strings of common anchors."""
 
     def work(table: pa.Table) -> pa.Table:
-        passed, rows = _split(table, STRINGS)
+        passed, rows = _split(table, STRINGS, "strings", "places")
         e = _unpacked(rows, strings=np.uint64, places=np.uint32)
-        return pa.concat_tables([passed, pa.Table.from_batches([_repeats(e["strings"], e["doc"], e["body"], e["places"].astype(np.int64), buckets)])])
+        parts = np.uint64(1 + len(e["strings"]) // AT_ONCE)
+        runs = []
+        for part in range(int(parts)):
+            i = np.flatnonzero(e["strings"] % parts == np.uint64(part))
+            runs.append(_repeats(e["strings"][i], e["doc"][i], e["body"][i], e["places"][i].astype(np.int64)))
+        return pa.concat_tables([passed, pa.Table.from_batches([_marked(*(np.concatenate(x) for x in zip(*runs)), buckets)])])
 
     return work
 

@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docloom.llm import common, minhash, suffixes, vectors
@@ -213,6 +216,50 @@ def test_repeats_in_odd_rows(spark, monkeypatch):
     assert suffixes.remove_repeats(empty(spark)).count() == 0
 
 
+def open_bucket(entries, anchors):
+    """One bucket of stretches whose anchors stand in ever different surroundings, a few copied to later documents."""
+    rng, flat, at = np.random.default_rng(5), [], 0
+    for _ in range(entries):
+        flat.append(rng.integers(97, 105, 84, np.uint8))
+        if rng.random() < 0.1 and at >= anchors:
+            flat[-1][20:75] = flat[at - anchors][20:75]
+        at += 1
+    flat = np.concatenate(flat)
+    doc = np.arange(entries)
+    (sent,) = suffixes._send(suffixes.STRETCHES, np.zeros(entries, int), doc, doc, doc, lambda i: flat.reshape(-1, 84)[i].tobytes(),
+                             names=(doc % anchors).astype(np.uint64), wholes=doc.astype(np.uint64), places=np.zeros(entries, np.uint32), counts=np.full(entries, 35, np.uint8))
+    return pa.Table.from_batches([sent])
+
+
+def test_a_bucket_holds_little_however_many_strings_it_compares():
+    table = open_bucket(40_000, 4_000)
+    tracemalloc.start()
+    try:
+        out = suffixes._settle_stretches(32)(table)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+    assert sum(len(p or b"") for p in out.column("places").to_pylist())
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 10_000])
+def test_strings_compared_in_parts_give_the_same_runs(monkeypatch, at_once):
+    table = open_bucket(300, 30)
+    flat = zlib.decompress(table.column("texts")[0].as_py())
+    seen, want = {}, set()
+    for i in range(300):
+        gone = bytearray(84)
+        for p in range(35):
+            if seen.setdefault((i % 30, flat[84 * i + p:84 * i + p + 50]), i) < i:
+                gone[p:p + 50] = b"\1" * 50
+        want |= {(i, p) for p in range(84) if gone[p]}
+    monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+    monkeypatch.setattr(suffixes, "PIECE", 500)
+    out = suffixes._settle_stretches(32)(table)
+    got = {(d, p) for d, spans in zip(out.column("doc").to_pylist(), out.column("places").to_pylist()) for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2) for p in range(a, b)}
+    assert want and got == want
+
+
 def test_long_texts_are_taken_in_pieces(monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 256)
     body = words(4, 400).encode()
